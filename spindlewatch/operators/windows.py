@@ -20,14 +20,19 @@ def tumbling_average(
     The sum is over integers, so it does not depend on the order of the rows. It is reduced before the
     shuffle to one row per key, window and task, so a machine with very many events is not a hot spot.
     """
+    end = F.col("window.end")
     if isinstance(events.schema[time].dataType, T.TimestampNTZType):
-        events = events.withColumn(time, utc_timestamp(F.col(time)))
+        if events.isStreaming:
+            events = events.withColumn(time, utc_timestamp(F.col(time)))
+        else:
+            # Reading a zone-less time as UTC is costly, so it is left to the few rows after the aggregation.
+            end = utc_timestamp(end)
     if events.isStreaming:
         events = events.withWatermark(time, lag)
     return (
         events.groupBy(F.col(key), F.window(time, width).alias("window"))
         .agg(F.avg(F.col(value).cast("bigint")).alias("avgTemp"))
-        .select(key, to_epoch_ms(F.col("window.end")).alias("windowEnd"), "avgTemp")
+        .select(key, to_epoch_ms(end).alias("windowEnd"), "avgTemp")
     )
 
 

@@ -9,7 +9,7 @@ from spindlewatch import schemas
 from spindlewatch.functions.json_codec import decode_events, encode_events, malformed_events
 from spindlewatch.functions.labels import critical_limit
 from spindlewatch.functions.text import status_line
-from spindlewatch.functions.times import to_epoch_ms
+from spindlewatch.functions.times import to_epoch_ms, utc_timestamp
 from spindlewatch.operators.controls import routed, to_messages, with_action
 from spindlewatch.operators.latest import latest_status
 from spindlewatch.operators.lookup import unmatched_keys, with_faulty_odds, with_limits
@@ -226,7 +226,7 @@ def malformed_messages(spark, sf_dir):
 def encode_messages(spark, sf_dir):
     events = telemetry(spark, sf_dir).withColumns(
         {
-            "eventTime": to_epoch_ms(F.col("timestamp")),
+            "eventTime": to_epoch_ms(utc_timestamp(F.col("timestamp"))),
             "bitRPM": F.lit(10000),
             "bitPositionX": F.lit(0),
             "bitPositionY": F.lit(0),

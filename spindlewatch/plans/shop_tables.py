@@ -19,13 +19,13 @@ def table(spark, sf_dir, name):
 def _telemetry(events):
     return events.select(
         F.col("user_id").alias("serialNum"),
-        utc_timestamp(F.col("ts")).alias("timestamp"),
+        F.col("ts").alias("timestamp"),
         F.floor("value").cast("smallint").alias("bitTemp"),
     )
 
 
 def telemetry(spark, sf_dir):
-    """Stored telemetry: (serialNum, timestamp, bitTemp)."""
+    """Stored telemetry: (serialNum, timestamp without zone, bitTemp)."""
     return _telemetry(table(spark, sf_dir, "events"))
 
 
