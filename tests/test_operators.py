@@ -121,7 +121,7 @@ def brute_changes(rows, initial=""):
     return out
 
 
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=8, deadline=None)
 @given(
     st.dictionaries(
         st.tuples(st.sampled_from("AB"), st.integers(-40, 40)), st.sampled_from(["green", "orange", "red"]), min_size=1
@@ -203,8 +203,8 @@ def test_unmatched_keys(spark):
 # ---- numbering and reference data ----
 
 
-@settings(max_examples=10, deadline=None)
-@given(st.sets(st.integers(-(2**63), 2**63 - 1) | st.integers(-300, 300), max_size=60), st.sampled_from([3, 16]))
+@settings(max_examples=6, deadline=None)
+@given(st.sets(st.integers(-(2**63), 2**63 - 1) | st.integers(-300, 300), max_size=60), st.sampled_from([8, 16]))
 def test_dense_index(spark, values, bits):
     df = spark.createDataFrame([(v,) for v in values], "o bigint")
     assert tuples(dense_index(df, "o", "i", bits)) == [(v, i) for i, v in enumerate(sorted(values))]

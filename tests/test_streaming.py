@@ -1,0 +1,411 @@
+"""Streams as controlled sequences of files, one file per micro-batch."""
+
+import datetime as dt
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from spindlewatch import schemas
+from spindlewatch.functions.json_codec import decode_events
+from spindlewatch.functions.text import received_line
+from spindlewatch.operators.changes import label_changes
+from spindlewatch.operators.windows import tumbling_average
+from spindlewatch.plans.temperature_monitor import (
+    MonitorOptions,
+    TemperatureMonitor,
+    label_averages,
+    start_label_query,
+    start_status_query,
+)
+from spindlewatch.session import STREAM_CONF, session_conf
+from spindlewatch.sources.tables import make_folder
+from spindlewatch.sources.topics import file_messages, kafka_messages, kafka_options, stream_table
+from spindlewatch.streaming.change_filter import changes_since, stateful_changes
+from spindlewatch.streaming.feeds import Subscription, key_feed, late_rows
+from spindlewatch.streaming.keyed_table import KeyedTable
+from spindlewatch.streaming.sinks import (
+    console_lines,
+    key_line,
+    log_lines,
+    log_stream,
+    logged,
+    message_batch_sink,
+    tee,
+    write_messages,
+)
+
+NOW = {"availableNow": True}
+OPTIONS = MonitorOptions(trigger=tuple(NOW.items()), windows_per_slice=2)
+
+SEQUENCE = [
+    [("A", 1, 100), ("A", 9, 110), ("B", 3, 500), ("A", 13, 400)],
+    [("A", 2, 9999), ("A", 25, 401), ("B", 25, 501), ("A", 36, 90), ("B", 36, 90)],
+    [("A", 47, 90), ("B", 47, 90), ("A", 90, 1), ("B", 90, 1)],
+]
+AVERAGES = [
+    ("A", 10000, 3403.0), ("B", 10000, 500.0), ("A", 20000, 400.0), ("A", 30000, 401.0), ("B", 30000, 501.0),
+    ("A", 40000, 90.0), ("B", 40000, 90.0), ("A", 50000, 90.0), ("B", 50000, 90.0),
+]
+CHANGES = [("A", 10000, "red"), ("A", 40000, "green"), ("B", 10000, "red"), ("B", 40000, "green")]
+
+
+class Feed:
+    """A folder of messages that grows by one file at a time."""
+
+    def __init__(self, spark, folder):
+        self.spark, self.path, self.files = spark, make_folder(spark, f"{folder}/messages"), 0
+
+    def add(self, rows):
+        """Rows of (serial, seconds, temperature) as one file of JSON messages."""
+        name = f"{self.path}/part-{self.files:03d}.json"
+        text = []
+        for serial, second, temperature in rows:
+            ms = int(second * 1000)
+            numbers = (ms, 10000, temperature, 0, 0, 0)
+            event = dict(zip(schemas.MACHINE_EVENT.names, (serial, *numbers)))
+            time = dt.datetime.fromtimestamp(ms / 1000, dt.UTC).isoformat(timespec="milliseconds")
+            text.append(json.dumps({"key": serial, "value": json.dumps(event), "timestamp": time}))
+        with open(name + "x", "w") as f:
+            f.write("\n".join(text) + "\n")
+        os.utime(name + "x", (1_700_000_000 + 10 * self.files,) * 2)
+        os.rename(name + "x", name)
+        self.files += 1
+        return self
+
+    def events(self, per_batch=1):
+        messages = file_messages(
+            self.spark, self.path, "json", max_files_per_trigger=per_batch, pathGlobFilter="*.json"
+        )
+        return decode_events(messages)
+
+
+@pytest.fixture
+def feed(spark, folder):
+    feed = Feed(spark, folder)
+    for rows in SEQUENCE:
+        feed.add(rows)
+    return feed
+
+
+def profile_table(spark, *serials, warning=150):
+    rows = [(s, "Reno", "A", 0.5, "Maker", warning, warning + 60, 8000) for s in serials]
+    return spark.createDataFrame(rows, schemas.MACHINE_PROFILE)
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()))
+
+
+def collector(seen):
+    def publish(messages, batch_id):
+        seen.setdefault(batch_id, []).extend(rows_of(messages))
+
+    return publish
+
+
+def test_averages_by_batch(spark, folder, feed):
+    seen = {}
+    averages = tumbling_average(feed.events())
+    query = (
+        averages.writeStream.option("checkpointLocation", f"{folder}/cp").trigger(**NOW)
+        .foreachBatch(collector(seen)).start()
+    )
+    query.awaitTermination()
+    by_batch = [seen.get(i, []) for i in range(4)]
+    assert by_batch == [[], sorted(AVERAGES[:2]), sorted(AVERAGES[2:5]), sorted(AVERAGES[5:])]
+
+
+def test_monitor(spark, folder, feed):
+    seen = {}
+    monitor = TemperatureMonitor(spark, f"{folder}/m", lambda: profile_table(spark, "A", "B"), collector(seen), OPTIONS)
+    monitor.start(feed.events()).awaitTermination()
+    assert {b: m for b, m in seen.items() if m} == {1: [("A", "red"), ("B", "red")], 3: [("A", "green"), ("B", "green")]}
+    assert rows_of(monitor.averages.history()) == sorted(AVERAGES)
+    assert rows_of(monitor.changes.history()) == CHANGES
+    assert rows_of(monitor.status()) == [("A", 90, 50000), ("B", 90, 50000)]
+    assert monitor.status_history().count() == len(AVERAGES)
+
+
+def test_stream_equals_batch_on_closed_windows(spark, folder, feed):
+    stored = decode_events(
+        spark.read.schema(schemas.MESSAGE).json(feed.path)
+    )
+    labelled = label_averages(tumbling_average(stored), profile_table(spark, "A", "B"))
+    closed = labelled.where("windowEnd <= 88000")
+    assert rows_of(closed.select("serialNum", "windowEnd", "avgTemp")) == sorted(AVERAGES)
+    assert rows_of(label_changes(closed).select("serialNum", "windowEnd", "label")) == CHANGES
+
+
+def test_stateful_changes(spark, folder, feed):
+    sink = {"fmt": "parquet", "path": f"{folder}/out", "rows": True}
+    query = start_label_query(spark, feed.events(), profile_table(spark, "A", "B"), folder, sink, OPTIONS)
+    query.awaitTermination()
+    assert query.name == "Temperature Monitor labels"
+    assert rows_of(spark.read.parquet(f"{folder}/out")) == CHANGES
+
+
+def test_stateful_changes_published_as_messages(spark, folder):
+    feed = Feed(spark, folder).add([("A", 1, 100), ("A", 30, 300), ("A", 60, 1)])
+    sink = {"fmt": "json", "path": f"{folder}/out"}
+    start_label_query(spark, feed.events(), profile_table(spark, "A"), folder, sink, OPTIONS).awaitTermination()
+    out = spark.read.schema(schemas.CONTROL_MESSAGE).json(f"{folder}/out")
+    assert rows_of(out) == [("A", "green"), ("A", "red")]
+
+
+@pytest.mark.parametrize("form", ["table", "state"])
+def test_restart_does_not_repeat_labels(spark, folder, form):
+    feed, emitted = Feed(spark, folder), []
+    steps = [[("A", 1, 300), ("A", 15, 300)], [("A", 17, 310), ("A", 30, 1)], [("A", 31, 1), ("A", 60, 1)]]
+    for rows in steps:
+        feed.add(rows)
+        if form == "table":
+            seen = {}
+            table = lambda: profile_table(spark, "A")
+            monitor = TemperatureMonitor(spark, f"{folder}/m", table, collector(seen), OPTIONS)
+            monitor.start(feed.events()).awaitTermination()
+            emitted.append([m for messages in seen.values() for m in messages])
+        else:
+            sink = {"fmt": "parquet", "path": f"{folder}/out", "rows": True}
+            start_label_query(spark, feed.events(), profile_table(spark, "A"), folder, sink, OPTIONS).awaitTermination()
+            emitted.append([(s, v) for s, _, v in rows_of(spark.read.parquet(f"{folder}/out"))])
+    if form == "table":
+        assert emitted == [[("A", "red")], [], [("A", "green")]]
+    else:
+        assert emitted[0] == emitted[1] == [("A", "red")] and emitted[2] == [("A", "red"), ("A", "green")]
+
+
+def test_late_rows(spark, folder):
+    feed = Feed(spark, folder)
+    for rows in ([("A", 1, 1)], [("A", 20, 1), ("B", 21, 1)], [("A", 2.5, 1), ("A", 60, 1)], [("A", 3, 1), ("A", 90, 1)]):
+        feed.add(rows)
+    query, table = start_status_query(spark, feed.events(), folder, OPTIONS)
+    query.awaitTermination()
+    assert late_rows(query) == 1
+    assert ("A", 10000, 1.0) in rows_of(table.history())
+
+
+def test_profiles_as_of_the_start_or_of_every_batch(spark, folder):
+    rows = [[("A", 1, 1), ("B", 1, 1)], [("A", 30, 1), ("B", 30, 300)], [("A", 90, 1), ("B", 90, 1)]]
+    for refresh, last in (("start", "unknown"), ("batch", "red")):
+        feed = Feed(spark, f"{folder}/{refresh}")
+        path = f"{folder}/{refresh}/profiles"
+        profile_table(spark, "A").write.parquet(path)
+        seen = {}
+
+        def publish(messages, batch_id, path=path, seen=seen):
+            collector(seen)(messages, batch_id)
+            if ("B", "unknown") in seen[batch_id]:
+                profile_table(spark, "B").write.mode("append").parquet(path)
+
+        options = MonitorOptions(on_missing="unknown", refresh=refresh, trigger=OPTIONS.trigger)
+        read = lambda path=path: spark.read.schema(schemas.MACHINE_PROFILE).parquet(path)
+        monitor = TemperatureMonitor(spark, f"{folder}/{refresh}/m", read, publish, options)
+        for file in rows:
+            feed.add(file)
+        monitor.start(feed.events()).awaitTermination()
+        labels = [v for batch in sorted(seen) for k, v in seen[batch] if k == "B"]
+        assert labels == (["unknown"] if refresh == "start" else ["unknown", last])
+
+
+def test_missing_profile_stops_the_monitor(spark, folder, feed):
+    monitor = TemperatureMonitor(spark, f"{folder}/m", lambda: profile_table(spark, "A"), collector({}), OPTIONS)
+    query = monitor.start(feed.events())
+    with pytest.raises(Exception, match="no limits for machine B"):
+        query.awaitTermination()
+
+
+# ---- keyed tables ----
+
+
+def table_of(spark, folder, **options):
+    return KeyedTable(spark, f"{folder}/t", schemas.label_change(), "serialNum", "windowEnd", **options)
+
+
+def labelled(spark, *rows):
+    return spark.createDataFrame(list(rows), schemas.label_change())
+
+
+def test_keyed_table(spark, folder):
+    table = table_of(spark, folder, compact_every=2)
+    assert table.latest().count() == 0 and table.history().count() == 0
+    puts = [[("A", 1, "red")], [("A", 2, "green"), ("B", 2, "red")], [("A", 1, "old")], [("C", 9, "red")], [("B", 3, "x")]]
+    for batch_id, rows in enumerate(puts):
+        table.put(labelled(spark, *rows), batch_id)
+    assert table._complete("snapshot") == [1, 3]
+    assert rows_of(table.latest()) == [("A", 2, "green"), ("B", 3, "x"), ("C", 9, "red")]
+    assert rows_of(table.latest(before=1)) == [("A", 1, "red")]
+    assert rows_of(table.latest(before=4)) == [("A", 2, "green"), ("B", 2, "red"), ("C", 9, "red")]
+    assert rows_of(table.batch(1)) == [("A", 2, "green"), ("B", 2, "red")]
+    assert table.history().count() == 6
+
+
+def test_replayed_batch_is_not_put_twice(spark, folder):
+    table = table_of(spark, folder)
+    table.put(labelled(spark, ("A", 1, "red")), 0)
+    table.put(labelled(spark, ("A", 1, "red")), 0)
+    assert table.history().count() == 1
+
+
+def test_half_written_batch_is_ignored_and_replaced(spark, folder):
+    table = table_of(spark, folder)
+    table.put(labelled(spark, ("A", 1, "red")), 0)
+    labelled(spark, ("A", 2, "lost")).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
+        f"{folder}/t/history/batch={1:012d}"
+    )
+    assert rows_of(table.latest()) == [("A", 1, "red")]
+    table.put(labelled(spark, ("A", 2, "green")), 1)
+    assert rows_of(table.latest()) == [("A", 2, "green")]
+
+
+def test_changes_since(spark):
+    last = labelled(spark, ("A", 10, "red"), ("B", 10, "green"), ("Z", 10, "red"))
+    new = labelled(spark, ("A", 20, "red"), ("A", 30, "green"), ("B", 20, "green"), ("C", 20, "orange"))
+    for span in (10, 1000):
+        assert rows_of(changes_since(last, new, slice_span=span)) == [("A", 30, "green"), ("C", 20, "orange")]
+
+
+# ---- feeds and subscriptions ----
+
+
+def status_table(spark, folder):
+    return KeyedTable(spark, f"{folder}/status", schemas.MACHINE_STATUS, "serialNumber", "eventTime")
+
+
+def test_subscription(spark, folder):
+    status = status_table(spark, folder)
+    put = lambda batch, *rows: status.put(spark.createDataFrame(list(rows), schemas.MACHINE_STATUS), batch)
+    put(0, ("A", 5, 1000), ("Z", 9, 1000))
+    fleet = [profile_table(spark, "A", "B")]
+    subscription = Subscription(spark, status.stream, lambda: fleet[0], trigger=NOW)
+    assert subscription.results().count() == 0
+    assert subscription.select("Reno", "") == 0 and subscription.query is None
+    assert subscription.select("Reno", "A") == 2
+    subscription.query.awaitTermination()
+    expected = [("A", 5)]
+    assert [(r.serial_number, r.average_bit_temp_10s) for r in subscription.results().collect()] == expected
+
+    first = subscription.query
+    assert subscription.select(None, "A") == 0 and subscription.query is first
+    assert subscription.select("Ely", "A") == 0
+    assert subscription.query is None and subscription.results().count() == 0
+
+    put(1, ("A", 5, 2000), ("B", 7, 2000))
+    assert subscription.select("Reno", "A") == 2
+    subscription.query.awaitTermination()
+    got = subscription.results().select("serial_number", "average_bit_temp_10s", F.unix_millis("event_time"))
+    assert rows_of(got) == [("A", 5, 1000), ("A", 5, 2000), ("B", 7, 2000)]
+    subscription.stop()
+
+
+def test_machines_are_fixed_when_subscribing(spark, folder):
+    status = status_table(spark, folder)
+    status.put(spark.createDataFrame([("A", 5, 1000)], schemas.MACHINE_STATUS), 0)
+    fleet = [profile_table(spark, "A")]
+    subscription = Subscription(spark, status.stream, lambda: fleet[0], trigger={"processingTime": "200 milliseconds"})
+    assert subscription.select("Reno", "A") == 1
+    subscription.query.processAllAvailable()
+    fleet[0] = profile_table(spark, "A", "B")
+    status.put(spark.createDataFrame([("A", 6, 2000), ("B", 7, 2000)], schemas.MACHINE_STATUS), 1)
+    subscription.query.processAllAvailable()
+    assert sorted(r.average_bit_temp_10s for r in subscription.results().collect()) == [5, 6]
+    subscription.stop()
+
+
+def test_key_feed(spark, folder):
+    status = status_table(spark, folder)
+    rows = [("A", 5, 1000), ("A", 5, 2000), ("B", 5, 1000)]
+    status.put(spark.createDataFrame(rows, schemas.MACHINE_STATUS), 0)
+    feed = key_feed(status.stream(), "A")
+    write_messages(feed, f"{folder}/cp", "feed", NOW, "parquet", path=f"{folder}/out").awaitTermination()
+    assert rows_of(spark.read.parquet(f"{folder}/out")) == rows[:2]
+
+
+# ---- logs and sinks ----
+
+
+def controls(spark, *rows):
+    return spark.createDataFrame(list(rows) or [("A", "red"), ("B", "green")], schemas.CONTROL_MESSAGE)
+
+
+def test_log_lines(spark, folder):
+    line = received_line(F.col("key"))
+    with pytest.raises(ValueError, match="does not exist"):
+        log_lines(controls(spark), "log", f"{folder}/none", line)
+    df = controls(spark)
+    assert logged(df, "log", folder, line) is df
+    log_lines(controls(spark, ("é", "x")), "log", folder, line)
+    assert rows_of(spark.read.text(f"{folder}/log")) == [("Received event for é",)]
+
+
+def test_log_stream_and_console(spark, folder):
+    feed = Feed(spark, folder).add([("A", 1, 5)])
+    line = key_line("Received event for %s")
+    log_stream(feed.events(), "log", folder, line, f"{folder}/cp1", NOW).awaitTermination()
+    assert rows_of(spark.read.text(f"{folder}/log")) == [("Received event for A",)]
+    query = console_lines(feed.events(), line, f"{folder}/cp2", "console", NOW)
+    query.awaitTermination()
+    assert query.recentProgress[0]["sink"]["numOutputRows"] == 1
+
+
+def test_tee(spark, folder):
+    feed = Feed(spark, folder).add([("A", 1, 5)]).add([("B", 2, 6)])
+    seen = {}
+    step = tee("log", folder, key_line("got %s"), collector(seen))
+    query = (
+        feed.events().select("key", "bitTemp").writeStream.option("checkpointLocation", f"{folder}/cp")
+        .trigger(**NOW).foreachBatch(step).start()
+    )
+    query.awaitTermination()
+    assert seen == {0: [("A", 5)], 1: [("B", 6)]}
+    step(controls(spark, ("A", "5")).withColumnRenamed("value", "bitTemp"), 0)
+    assert rows_of(spark.read.text(f"{folder}/log/batch=*")) == [("got A",), ("got B",)]
+
+
+def test_message_batches_replace_themselves(spark, folder):
+    publish = message_batch_sink("json", path=f"{folder}/topic")
+    for _ in range(2):
+        publish(controls(spark), 0)
+    publish(controls(spark, ("C", "red")), 1)
+    out = spark.read.schema(schemas.CONTROL_MESSAGE).json(f"{folder}/topic").select("key", "value")
+    assert rows_of(out) == [("A", "red"), ("B", "green"), ("C", "red")]
+
+
+def test_control_topic_round_trip(spark, folder):
+    """Published controls, read back as the controller does."""
+    message_batch_sink("parquet", path=f"{folder}/topic")(controls(spark), 0)
+    stream = file_messages(spark, f"{folder}/topic/batch=*", schema=schemas.CONTROL_MESSAGE)
+    write_messages(stream, f"{folder}/cp", "controls", NOW, "parquet", path=f"{folder}/out").awaitTermination()
+    assert rows_of(spark.read.parquet(f"{folder}/out")) == [("A", "red"), ("B", "green")]
+
+
+def test_stream_of_a_table_in_one_file_or_many(spark, folder):
+    spark.range(10).coalesce(1).write.parquet(f"{folder}/many.parquet")
+    part = next(f for f in os.listdir(f"{folder}/many.parquet") if f.endswith(".parquet"))
+    os.link(f"{folder}/many.parquet/{part}", f"{folder}/one.parquet")
+    for name in ("one", "many"):
+        stream = stream_table(spark, f"{folder}/{name}.parquet")
+        write_messages(stream, f"{folder}/cp{name}", name, NOW, "parquet", path=f"{folder}/{name}").awaitTermination()
+        assert spark.read.parquet(f"{folder}/{name}").count() == 10
+
+
+def test_kafka_options():
+    assert kafka_options("h:1", "events") == {
+        "kafka.bootstrap.servers": "h:1", "subscribe": "events", "startingOffsets": "latest",
+    }
+    assert kafka_options("h:1", "events", "earliest", 5)["maxOffsetsPerTrigger"] == "5"
+
+
+def test_kafka_needs_its_connector(spark):
+    with pytest.raises(Exception, match="kafka"):
+        kafka_messages(spark, "h:1", "events")
+
+
+def test_stateful_changes_of_a_plain_stream(spark, folder):
+    labelled(spark, ("A", 2, "red"), ("A", 1, "red"), ("A", 3, "green")).write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema(schemas.label_change()).parquet(f"{folder}/in")
+    with session_conf(spark, STREAM_CONF):
+        out = stateful_changes(stream)
+        write_messages(out, f"{folder}/cp", "plain", NOW, "parquet", path=f"{folder}/out").awaitTermination()
+    assert rows_of(spark.read.parquet(f"{folder}/out")) == [("A", 1, "red"), ("A", 3, "green")]
