@@ -10,25 +10,23 @@ _NUMERIC = [f.name for f in schemas.MACHINE_EVENT if isinstance(f.dataType, T.Nu
 
 
 def _decoded(messages, value):
+    """The messages with the fields of their event, and whether they are malformed.
+
+    The parsed value is unpacked by a generator. Were it a plain column, the filter on it would be pushed
+    below it, and every text would be parsed once for the filter and once more for the result.
+    """
     with_bad = T.StructType([*schemas.MACHINE_EVENT, T.StructField(_BAD, T.StringType())])
-    event = F.from_json(value, with_bad, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD})
+    event = F.from_json(F.col(value), with_bad, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD})
+    unpacked = messages.select("*", F.inline(F.array(event)))
     # Null, blank and key-less values have no corrupt text of their own, so the key is checked as well.
-    return messages.withColumn("event", event).withColumn(
-        _BAD, F.col(f"event.{_BAD}").isNotNull() | F.col("event.serialNum").isNull()
-    )
+    return unpacked.withColumn(_BAD, F.col(_BAD).isNotNull() | F.col("serialNum").isNull())
 
 
-def _flat(decoded, missing):
-    if missing not in ("zero", "null"):
-        raise ValueError(f"missing must be 'zero' or 'null', not {missing!r}")
-
-    def field(f):
-        column = F.col(f"event.{f.name}")
-        if missing == "zero" and f.name in _NUMERIC:
-            column = F.coalesce(column, F.lit(0).cast(f.dataType))
-        return column.alias(f.name)
-
-    return decoded.select("key", "timestamp", *[field(f) for f in schemas.MACHINE_EVENT])
+def _event_column(f, missing):
+    column = F.col(f.name)
+    if missing == "zero" and f.name in _NUMERIC:
+        column = F.coalesce(column, F.lit(0).cast(f.dataType))
+    return column.alias(f.name)
 
 
 def decode_events(messages, on_malformed="fail", missing="zero", value="value"):
@@ -38,7 +36,9 @@ def decode_events(messages, on_malformed="fail", missing="zero", value="value"):
     serial number. ``on_malformed="fail"`` stops the job on one; ``"quarantine"`` leaves them out, and
     :func:`malformed_events` gives them. Missing numbers read as 0, or null with ``missing="null"``.
     """
-    decoded = _decoded(messages, F.col(value))
+    if missing not in ("zero", "null"):
+        raise ValueError(f"missing must be 'zero' or 'null', not {missing!r}")
+    decoded = _decoded(messages, value)
     if on_malformed == "fail":
         # In a filter, so that no column pruning can take the check out of the plan.
         stop = F.raise_error(F.concat(F.lit("malformed event: "), F.coalesce(F.col(value), F.lit("null"))))
@@ -47,12 +47,12 @@ def decode_events(messages, on_malformed="fail", missing="zero", value="value"):
         decoded = decoded.where(~F.col(_BAD))
     else:
         raise ValueError(f"on_malformed must be 'fail' or 'quarantine', not {on_malformed!r}")
-    return _flat(decoded, missing)
+    return decoded.select("key", "timestamp", *[_event_column(f, missing) for f in schemas.MACHINE_EVENT])
 
 
 def malformed_events(messages, value="value"):
     """The messages that ``decode_events(..., on_malformed="quarantine")`` leaves out."""
-    return _decoded(messages, F.col(value)).where(F.col(_BAD)).select(*messages.columns)
+    return _decoded(messages, value).where(F.col(_BAD)).select(*messages.columns)
 
 
 def encode_events(events, timestamp=None):

@@ -106,9 +106,15 @@ class TemperatureMonitor:
 
     def label_batch(self, profiles, batch_id):
         """Label one written micro-batch, and note and publish the changes."""
-        labelled = label_averages(self.averages.batch(batch_id), profiles, self.options.on_missing, self.key)
+        averages = self.averages.batch(batch_id)
+        first, last = averages.agg(F.min("windowEnd"), F.max("windowEnd")).first()
+        if first is None:
+            self.changes.put(self.changes.empty(), batch_id)
+            return
+        span = self.options.slice_span
+        labelled = label_averages(averages, profiles, self.options.on_missing, self.key)
         changed = changes_since(
-            self.changes.latest(before=batch_id), labelled, self.key, slice_span=self.options.slice_span
+            self.changes.latest(before=batch_id), labelled, self.key, slice_span=span if last - first > span else None
         )
         self.changes.put(changed, batch_id)
         self.publish(to_messages(self.changes.batch(batch_id), self.key), batch_id)

@@ -6,24 +6,29 @@ it needs no table of its own, and pays a call to a Python worker and its state f
 """
 
 import sys
+from array import array
 
+import numpy as np
 from pyspark import cloudpickle
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
-from spindlewatch.operators.changes import label_changes
+from spindlewatch.operators.changes import SLICE_SPAN, label_changes
 
 # Python workers get the processor itself, so this package need not be installed where they run.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def changes_since(last, rows, key="serialNum", order="windowEnd", label="label", slice_span=None):
-    """Rows of one micro-batch whose label is new, given ``last``, the newest change per key so far."""
-    known = last.select(key, order, label).withColumn("_old", F.lit(True))
-    both = known.unionByName(rows.select(key, order, label).withColumn("_old", F.lit(False)))
-    changed = label_changes(both, key, order, label, slice_span=slice_span)
-    return changed.where(~F.col("_old")).drop("_old")
+def changes_since(last, rows, key="serialNum", order="windowEnd", label="label", slice_span=SLICE_SPAN):
+    """Rows of one micro-batch whose label is new, given ``last``, the newest change per key so far.
+
+    With ``slice_span=None`` the look-up, the comparison and the last labels all use one partitioning by key.
+    """
+    known = last.select(key, F.col(label).alias("_known"))
+    joined = rows.select(key, order, label).join(known, key, "left")
+    first = F.coalesce(F.col("_known"), F.lit(""))
+    return label_changes(joined, key, order, label, first, slice_span).drop("_known")
 
 
 class LastLabel(StatefulProcessor):
@@ -37,14 +42,20 @@ class LastLabel(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         key_column, order, label = self._columns
-        # A key has one row per closed window, which Spark hands over in no particular order.
-        windows = sorted((row[order], row[label]) for row in rows)
+        # A key has one row per window that closed in this batch, in no particular order. All of them are
+        # held for sorting, at nine bytes each, which also lets a long backfill of one machine through.
+        ends, codes, code_of = array("q"), array("b"), {}
+        for row in rows:
+            ends.append(row[order])
+            codes.append(code_of.setdefault(row[label], len(code_of)))
+        label_of = list(code_of)
         stored = self._state.get()
         current = before = stored[0] if stored else ""
-        for end, value in windows:
+        for i in np.argsort(ends):
+            value = label_of[codes[i]]
             if value != current:
                 current = value
-                yield Row(**{key_column: key[0], order: end, label: value})
+                yield Row(**{key_column: key[0], order: ends[i], label: value})
         if current != before:
             self._state.update((current,))
 

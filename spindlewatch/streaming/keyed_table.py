@@ -6,17 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spindlewatch.operators.latest import latest_per_key
+from spindlewatch.sources.tables import path_exists
 
 
 class KeyedTable:
-    """Rows (``key``, ``order``, ...) under ``path``, one folder per micro-batch.
+    """Rows (``key``, ``order``, ...) under ``path``, put there by micro-batches 0, 1, 2, ...
 
     A put is an append, so several rows of a key in one batch, late rows and replays need no care: the row
     that counts is the one with the greatest ``order``. A batch that was written already is not written
     again, which makes replays after a failure harmless.
 
-    Every ``compact_every`` batches the newest rows are written out as a snapshot. Reading the newest rows
-    then takes that snapshot and the few batches after it, however long the history is.
+    Batches are kept in groups of ``compact_every``. The last put of a group also writes the newest rows so
+    far as a snapshot, so the newest rows before any batch are found in one snapshot and the batches of one
+    group, however long the history is, and their paths follow from the batch's number without a listing.
     """
 
     def __init__(self, spark, path, schema, key, order, compact_every=50):
@@ -27,69 +29,94 @@ class KeyedTable:
         self.order = order
         self.compact_every = compact_every
 
-    @property
-    def history_path(self):
-        return f"{self.path}/history"
+    def _batch_path(self, batch_id):
+        group = batch_id // self.compact_every
+        return f"{self.path}/history/group={group:010d}/batch={batch_id:012d}"
 
-    def _folder(self, kind, batch_id):
-        return f"{self.path}/{kind}/batch={batch_id:012d}"
+    def _snapshot_path(self, group):
+        return f"{self.path}/snapshot/group={group:010d}"
 
-    def _complete(self, kind):
-        """Ids of the completely written folders, in order."""
+    def _complete(self, path):
+        return path_exists(self.spark, f"{path}/_SUCCESS")
+
+    def _last_number(self, pattern, depth):
+        """Greatest number in the names matching ``pattern``; ``depth`` is how far up the name is."""
         hadoop = self.spark._jvm.org.apache.hadoop.fs
-        marks = hadoop.Path(f"{self.path}/{kind}/batch=*/_SUCCESS")
-        found = marks.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(marks)
-        return sorted(int(status.getPath().getParent().getName().split("=")[1]) for status in found or [])
+        glob = hadoop.Path(pattern)
+        numbers = []
+        for status in glob.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(glob) or []:
+            found = status.getPath()
+            for _ in range(depth):
+                found = found.getParent()
+            numbers.append(int(found.getName().split("=")[1]))
+        return max(numbers, default=None)
+
+    def last_batch(self):
+        """The newest completely written batch, or None."""
+        group = self._last_number(f"{self.path}/history/group=*", 0)
+        while group is not None and group >= 0:
+            batch = self._last_number(f"{self.path}/history/group={group:010d}/batch=*/_SUCCESS", 1)
+            if batch is not None:
+                return batch
+            group -= 1
+        return None
 
     def _read(self, *folders):
         if not folders:
-            return self.spark.createDataFrame([], self.schema)
+            return self.empty()
         return self.spark.read.schema(self.schema).parquet(*folders).select(*self.schema.names)
 
+    def empty(self):
+        return self.spark.createDataFrame([], self.schema)
+
     def put(self, rows, batch_id):
         """Add the rows of micro-batch ``batch_id``."""
-        if batch_id in self._complete("history"):
-            return
-        columns = [F.col(f.name).cast(f.dataType) for f in self.schema]
-        rows.select(*columns).write.mode("overwrite").parquet(self._folder("history", batch_id))
+        path = self._batch_path(batch_id)
+        if not self._complete(path):
+            columns = [F.col(f.name).cast(f.dataType) for f in self.schema]
+            rows.select(*columns).write.mode("overwrite").parquet(path)
         if (batch_id + 1) % self.compact_every == 0:
-            self.compact(batch_id)
+            self._compact(batch_id)
+
+    def _compact(self, batch_id):
+        path = self._snapshot_path(batch_id // self.compact_every)
+        if not self._complete(path):
+            latest_per_key(self._since_snapshot(batch_id), self.key, self.order).write.mode("overwrite").parquet(path)
 
     def batch(self, batch_id):
         """The rows of one micro-batch."""
-        return self._read(self._folder("history", batch_id))
+        return self._read(self._batch_path(batch_id))
 
     def history(self):
         """Every row put so far."""
-        return self._read(*[self._folder("history", b) for b in self._complete("history")])
+        last = self.last_batch()
+        if last is None:
+            return self._read()
+        rows = self.spark.read.parquet(f"{self.path}/history").where(F.col("batch") <= last)
+        return rows.select(*self.schema.names)
 
     def latest(self, before=None):
         """The newest row per key, optionally as it was before micro-batch ``before``."""
-        snapshot, batches = self._sources(before)
-        parts = []
-        if snapshot is not None:
-            parts.append(self._read(self._folder("snapshot", snapshot)))
-        if batches or not parts:
-            parts.append(self._read(*[self._folder("history", b) for b in batches]))
-        return latest_per_key(reduce(DataFrame.unionByName, parts), self.key, self.order)
-
-    def _sources(self, before):
-        def usable(batch_id):
-            return before is None or batch_id < before
-
-        snapshots = [b for b in self._complete("snapshot") if usable(b)]
-        snapshot = snapshots[-1] if snapshots else None
-        batches = [b for b in self._complete("history") if usable(b) and (snapshot is None or b > snapshot)]
-        return snapshot, batches
-
-    def compact(self, batch_id):
-        """Write the newest rows up to and including ``batch_id`` as a snapshot."""
-        if batch_id not in self._complete("snapshot"):
-            self.latest(before=batch_id + 1).write.mode("overwrite").parquet(self._folder("snapshot", batch_id))
+        if before is None:
+            last = self.last_batch()
+            before = 0 if last is None else last + 1
+        if before == 0:
+            return self._read()
+        return latest_per_key(self._since_snapshot(before - 1), self.key, self.order)
+
+    def _since_snapshot(self, batch_id):
+        """The last snapshot before the group of ``batch_id``, and that group's rows up to that batch."""
+        group = batch_id // self.compact_every
+        batches = range(group * self.compact_every, batch_id + 1)
+        parts = [self._read(*[self._batch_path(b) for b in batches])]
+        if group > 0:
+            parts.append(self._read(self._snapshot_path(group - 1)))
+        return reduce(DataFrame.unionByName, parts)
 
     def stream(self, **options):
         """Every put from the first one on, as a stream."""
-        return self.spark.readStream.schema(self.schema).options(**options).parquet(f"{self.history_path}/batch=*")
+        pattern = f"{self.path}/history/group=*/batch=*"
+        return self.spark.readStream.schema(self.schema).options(**options).parquet(pattern)
 
 
 def put_batches(stream, table, checkpoint, name, trigger, transform=None):

@@ -126,7 +126,7 @@ def brute_changes(rows, initial=""):
     st.dictionaries(
         st.tuples(st.sampled_from("AB"), st.integers(-40, 40)), st.sampled_from(["green", "orange", "red"]), min_size=1
     ),
-    st.sampled_from([1, 3, 7, 1000]),
+    st.sampled_from([1, 3, 7, 1000, None]),
 )
 def test_changes_whatever_the_slices(spark, labels, span):
     rows = [(key, order, label) for (key, order), label in labels.items()]

@@ -233,7 +233,7 @@ def test_keyed_table(spark, folder):
     puts = [[("A", 1, "red")], [("A", 2, "green"), ("B", 2, "red")], [("A", 1, "old")], [("C", 9, "red")], [("B", 3, "x")]]
     for batch_id, rows in enumerate(puts):
         table.put(labelled(spark, *rows), batch_id)
-    assert table._complete("snapshot") == [1, 3]
+    assert table.last_batch() == 4 and sorted(os.listdir(f"{folder}/t/snapshot")) == ["group=0000000000", "group=0000000001"]
     assert rows_of(table.latest()) == [("A", 2, "green"), ("B", 3, "x"), ("C", 9, "red")]
     assert rows_of(table.latest(before=1)) == [("A", 1, "red")]
     assert rows_of(table.latest(before=4)) == [("A", 2, "green"), ("B", 2, "red"), ("C", 9, "red")]
@@ -252,7 +252,7 @@ def test_half_written_batch_is_ignored_and_replaced(spark, folder):
     table = table_of(spark, folder)
     table.put(labelled(spark, ("A", 1, "red")), 0)
     labelled(spark, ("A", 2, "lost")).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
-        f"{folder}/t/history/batch={1:012d}"
+        f"{folder}/t/history/group={0:010d}/batch={1:012d}"
     )
     assert rows_of(table.latest()) == [("A", 1, "red")]
     table.put(labelled(spark, ("A", 2, "green")), 1)
@@ -262,7 +262,7 @@ def test_half_written_batch_is_ignored_and_replaced(spark, folder):
 def test_changes_since(spark):
     last = labelled(spark, ("A", 10, "red"), ("B", 10, "green"), ("Z", 10, "red"))
     new = labelled(spark, ("A", 20, "red"), ("A", 30, "green"), ("B", 20, "green"), ("C", 20, "orange"))
-    for span in (10, 1000):
+    for span in (10, 1000, None):
         assert rows_of(changes_since(last, new, slice_span=span)) == [("A", 30, "green"), ("C", 20, "orange")]
 
 
