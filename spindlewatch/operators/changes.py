@@ -31,19 +31,18 @@ def label_changes(df, key="serialNum", order="windowEnd", label="label", initial
     in_slice = Window.partitionBy(key, "_slice").orderBy(order)
     whole_slice = in_slice.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # The exchange is explicit, so that a plan that arrives partitioned by the key alone is cut as well.
-    sliced = (
+    candidates = (
         df.withColumn("_slice", F.floor(F.col(order) / F.lit(slice_span)))
         .repartition(key, "_slice")
-        .withColumn("_before", F.lag(order).over(in_slice))
+        .withColumn("_opens", F.lag(order).over(in_slice).isNull())
         .withColumn("_previous", F.lag(label).over(in_slice))
         .withColumn("_last", F.last(label).over(whole_slice))
+        .where(F.col("_opens") | (F.col(label) != F.col("_previous")))
     )
-    inside = sliced.where(F.col("_before").isNotNull() & (F.col(label) != F.col("_previous")))
-
-    slices_of_key = Window.partitionBy(key).orderBy("_slice")
-    opening = (
-        sliced.where(F.col("_before").isNull())
-        .withColumn("_previous", F.coalesce(F.lag("_last").over(slices_of_key), first))
-        .where(F.col(label) != F.col("_previous"))
+    # The opening rows of a key come together; its other rows stay apart by slice and are passed through.
+    openings = Window.partitionBy(key, F.when(~F.col("_opens"), F.col("_slice"))).orderBy("_slice")
+    return (
+        candidates.withColumn("_before", F.coalesce(F.lag("_last").over(openings), first))
+        .where(~F.col("_opens") | (F.col(label) != F.col("_before")))
+        .select(*df.columns)
     )
-    return inside.select(*df.columns).unionByName(opening.select(*df.columns))
