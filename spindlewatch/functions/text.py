@@ -21,11 +21,6 @@ def float_or_null(text):
     return F.when(~special | exact, text.try_cast("float"))
 
 
-def joined(column, separator="','"):
-    """All values of a group as one text. For display of a selection only: the text grows with the group."""
-    return F.concat_ws(separator, F.sort_array(F.collect_list(column)))
-
-
 def received_line(serial):
     return F.format_string(names.RECEIVED_TEXT, serial)
 

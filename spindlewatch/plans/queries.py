@@ -3,11 +3,14 @@
 Windows are one day long, since the test events are minutes apart; the width is a parameter everywhere.
 """
 
+import json
+
 from pyspark.sql import functions as F
 
 from spindlewatch import schemas
 from spindlewatch.functions.json_codec import decode_events, encode_events, malformed_events
 from spindlewatch.functions.labels import critical_limit
+from spindlewatch.functions.shared import map_with_resource
 from spindlewatch.functions.text import status_line
 from spindlewatch.functions.times import to_epoch_ms, utc_timestamp
 from spindlewatch.operators.controls import routed, to_messages, with_action
@@ -22,6 +25,7 @@ from spindlewatch.operators.monitor import (
 )
 from spindlewatch.operators.refdata import last_per_key, round_robin, top_up
 from spindlewatch.operators.windows import status_rows, tumbling_average
+from spindlewatch.plans.controller import start_controller
 from spindlewatch.plans.shop_tables import (
     limits,
     messages,
@@ -40,7 +44,7 @@ from spindlewatch.plans.temperature_monitor import (
     start_label_query,
     start_status_query,
 )
-from spindlewatch.session import run_dir
+from spindlewatch.session import run_dir, session_conf, stream_conf
 from spindlewatch.sources.tables import (
     key_set,
     make_folder,
@@ -50,6 +54,7 @@ from spindlewatch.sources.tables import (
     write_profiles,
 )
 from spindlewatch.sources.templates import accepted_templates, rejected_lines
+from spindlewatch.sources.topics import file_messages
 from spindlewatch.streaming.feeds import Subscription, key_feed
 from spindlewatch.streaming.sinks import log_lines, message_batch_sink, write_messages
 
@@ -203,6 +208,17 @@ def parse_json(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k int").k.alias("k"))
 
 
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events")
+def parse_with_shared_decoder(spark, sf_dir):
+    """The same with a Python decoder that every task opens once; for what has no built-in function."""
+
+    def decode(decoder, frame):
+        return frame.assign(k=[decoder.decode(text)["k"] for text in frame.pop("props")])
+
+    props = table(spark, sf_dir, "events").select("event_id", "props")
+    return map_with_resource(props, json.JSONDecoder, decode, "event_id bigint, k int")
+
+
 @query(
     "SELECT CAST(user_id AS VARCHAR) AS key, epoch_us(ts) // 1000 AS recordTime, CAST(user_id AS VARCHAR) AS serialNum, "
     "epoch_us(ts) // 1000 AS eventTime, 10000 AS bitRPM, CAST(floor(value) AS SMALLINT) AS bitTemp, 0 AS bitPositionX, "
@@ -431,9 +447,10 @@ def log_status_lines(spark, sf_dir):
 def stream_tumbling_avg(spark, sf_dir):
     root = run_dir(spark, "averages")
     averages = tumbling_average(telemetry_stream(spark, sf_dir), DAILY.width, DAILY.lag)
-    query = write_messages(
-        averages, f"{root}/checkpoint", "averages", dict(DAILY.trigger), "parquet", path=f"{root}/rows"
-    )
+    with session_conf(spark, stream_conf(spark)):
+        query = write_messages(
+            averages, f"{root}/checkpoint", "averages", dict(DAILY.trigger), "parquet", path=f"{root}/rows"
+        )
     query.awaitTermination()
     return read_table(spark, f"{root}/rows", averages.schema)
 
@@ -473,6 +490,39 @@ def stream_control_messages(spark, sf_dir):
     return read_table(spark, f"{monitor.root}/controls", schemas.CONTROL_MESSAGE)
 
 
+_ACTED = (
+    "acted AS (SELECT serialNum, label AS value, CASE label WHEN 'red' THEN 'reduce speed' ELSE 'resume normal speed' END "
+    "AS action, serialNum || CASE label WHEN 'red' THEN ' went RED, reducing speed' ELSE ' went GREEN, resuming normal "
+    "speed' END AS line FROM changes WHERE label <> 'orange')"
+)
+
+
+@query(
+    f"WITH {_CLOSED_MONITOR}, {_SOLVENT}, {_ACTED} SELECT CAST(serialNum AS VARCHAR) AS serialNum, value, action, line, "
+    "CAST(coalesce(faultyOdds, CAST(0.1 AS FLOAT)) AS DOUBLE) AS faultyOdds FROM acted LEFT JOIN solvent USING (serialNum)"
+)
+def stream_control_actions(spark, sf_dir):
+    """The controller on the messages of the monitor: what it does to every machine."""
+    monitor = _run_monitor(spark, sf_dir)
+    root = run_dir(spark, "controller")
+    text_key = F.col("serialNum").cast("string")
+    machines = limits(spark, sf_dir).select(text_key.alias("serialNum"))
+    known = solvent_profiles(spark, sf_dir).withColumn("serialNum", text_key)
+    controls = file_messages(spark, f"{monitor.root}/controls/batch=*", schema=schemas.CONTROL_MESSAGE)
+    controller = start_controller(
+        controls,
+        lambda: machines,
+        lambda: known,
+        message_batch_sink("parquet", path=f"{root}/actions"),
+        message_batch_sink("parquet", path=f"{root}/unmatched"),
+        f"{root}/checkpoint",
+        dict(DAILY.trigger),
+    )
+    controller.awaitTermination()
+    actions = spark.read.parquet(f"{root}/actions").drop("batch")
+    return actions.withColumn("faultyOdds", F.col("faultyOdds").cast("double"))
+
+
 @query(f"WITH {_CLOSED}, {_STATUS}, {_PROFILES} {_MONITOR_COLUMNS} ({_selection(PLACE, BLOCK)})")
 def stream_monitor(spark, sf_dir):
     """A subscription to one location and block, fed by the status table of a running monitor."""

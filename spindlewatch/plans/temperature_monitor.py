@@ -12,7 +12,7 @@ from spindlewatch.operators.changes import WINDOWS_PER_SLICE, label_changes
 from spindlewatch.operators.controls import to_messages
 from spindlewatch.operators.lookup import with_limits
 from spindlewatch.operators.windows import status_rows, tumbling_average
-from spindlewatch.session import STREAM_CONF, session_conf
+from spindlewatch.session import session_conf, stream_conf
 from spindlewatch.streaming.change_filter import changes_since, stateful_changes
 from spindlewatch.streaming.keyed_table import KeyedTable, put_batches
 from spindlewatch.streaming.sinks import write_messages
@@ -31,6 +31,7 @@ class MonitorOptions:
     on_missing: str = "fail"  # or "drop", or "unknown"
     refresh: str = "start"  # profiles as of the start, or of every "batch"
     trigger: tuple = (("processingTime", "10 seconds"),)
+    state_partitions: int | None = None  # see stream_conf
     compact_every: int = 50
     windows_per_slice: int = WINDOWS_PER_SLICE
 
@@ -95,7 +96,7 @@ class TemperatureMonitor:
             profiles = self.profiles() if started_with is None else started_with
             self.label_batch(profiles, batch_id)
 
-        with session_conf(self.spark, STREAM_CONF):
+        with session_conf(self.spark, stream_conf(self.spark, self.options.state_partitions)):
             return (
                 averages.writeStream.queryName(JOB_NAME)
                 .option("checkpointLocation", f"{self.root}/checkpoint")
@@ -136,7 +137,7 @@ def start_status_query(spark, events, root, options=MonitorOptions(), key="seria
     """The status branch as a query of its own. Returns (query, averages table)."""
     schema = schemas.machine_average(key, key_type)
     table = KeyedTable(spark, f"{root}/averages", schema, key, "windowEnd", options.compact_every)
-    with session_conf(spark, STREAM_CONF):
+    with session_conf(spark, stream_conf(spark, options.state_partitions)):
         averages = tumbling_average(events, options.width, options.lag, key)
         query = put_batches(
             averages, table, f"{root}/checkpoint-status", f"{JOB_NAME} status", dict(options.trigger)
@@ -150,7 +151,7 @@ def start_label_query(spark, events, profiles, root, sink, options=MonitorOption
     say where to; with ``rows=True`` the changes are written as they are instead of as messages."""
     sink = dict(sink)
     as_rows = sink.pop("rows", False)
-    with session_conf(spark, STREAM_CONF):
+    with session_conf(spark, stream_conf(spark, options.state_partitions)):
         averages = tumbling_average(events, options.width, options.lag, key)
         changes = stateful_changes(label_averages(averages, profiles, options.on_missing, key), key)
         out = changes if as_rows else to_messages(changes, key)

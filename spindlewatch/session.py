@@ -34,6 +34,19 @@ def build_session(app_name="spindlewatch", master=None, **conf):
     return builder.getOrCreate()
 
 
+def stream_conf(spark, state_partitions=None):
+    """Settings to start a stateful query under.
+
+    Every state partition is a store that each micro-batch opens and commits, so unless told otherwise there
+    are no more than two per core, or than the session's shuffle partitions. The number stays with a
+    checkpoint: a restarted query keeps the one it began with.
+    """
+    if state_partitions is None:
+        shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        state_partitions = min(shuffle, 2 * spark.sparkContext.defaultParallelism)
+    return {**STREAM_CONF, "spark.sql.shuffle.partitions": str(state_partitions)}
+
+
 @contextmanager
 def session_conf(spark, conf):
     """Set ``conf`` for the duration of the block. A streaming query keeps the values it was started under."""

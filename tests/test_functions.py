@@ -1,4 +1,6 @@
 import datetime as dt
+import os
+import uuid
 
 import pytest
 from hypothesis import given, settings
@@ -8,13 +10,13 @@ from pyspark.sql import functions as F
 
 from spindlewatch import schemas
 from spindlewatch.functions.json_codec import decode_events, encode_events, malformed_events
+from spindlewatch.functions.shared import map_with_resource
 from spindlewatch.functions.labels import critical_limit, threshold_label, whole_degrees
 from spindlewatch.functions.text import (
     comma_fields,
     control_line,
     event_line,
     float_or_null,
-    joined,
     received_line,
     status_line,
 )
@@ -92,10 +94,6 @@ def test_float_literals(spark):
     assert parsed["0x1p3"] == 8.0 and parsed["2D"] == 2.0
 
 
-def test_joined(spark):
-    assert one(spark.createDataFrame([("b",), ("a",)], "v string").agg(joined(F.col("v")))) == "a','b"
-
-
 def test_log_texts(spark):
     event = spark.createDataFrame([("S1", 5, 10000, 147, 1, 2, 3)], schemas.MACHINE_EVENT)
     assert one(event.select(event_line())) == (
@@ -188,3 +186,22 @@ def test_decode_undoes_encode(spark, rows):
     events = spark.createDataFrame(full, schemas.MACHINE_EVENT)
     back = decode_events(encode_events(events)).select(*events.columns).collect()
     assert sorted(map(tuple, back)) == sorted(full)
+
+
+def test_shared_resource_is_opened_once_per_task_and_closed(spark, folder):
+    class Counter:
+        def __init__(self):
+            self.seen = 0
+
+        def close(self):
+            open(f"{folder}/{uuid.uuid4().hex}-{self.seen}", "w").close()
+
+    def number(counter, frame):
+        counter.seen += len(frame)
+        return frame.assign(seen=counter.seen)
+
+    rows = spark.range(0, 100, 1, 4)
+    with session_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "10"}):
+        out = map_with_resource(rows, Counter, number, "id bigint, seen bigint").collect()
+    assert len(out) == 100 and max(r.seen for r in out) == 25
+    assert sorted(f.split("-")[1] for f in os.listdir(folder)) == ["25"] * 4

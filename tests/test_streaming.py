@@ -12,6 +12,7 @@ from spindlewatch.functions.json_codec import decode_events
 from spindlewatch.functions.text import received_line
 from spindlewatch.operators.changes import label_changes
 from spindlewatch.operators.windows import tumbling_average
+from spindlewatch.plans.controller import start_controller
 from spindlewatch.plans.temperature_monitor import (
     MonitorOptions,
     TemperatureMonitor,
@@ -19,7 +20,7 @@ from spindlewatch.plans.temperature_monitor import (
     start_label_query,
     start_status_query,
 )
-from spindlewatch.session import STREAM_CONF, session_conf
+from spindlewatch.session import session_conf, stream_conf
 from spindlewatch.sources.tables import make_folder
 from spindlewatch.sources.topics import file_messages, kafka_messages, kafka_options, stream_table
 from spindlewatch.streaming.change_filter import changes_since, stateful_changes
@@ -405,7 +406,21 @@ def test_kafka_needs_its_connector(spark):
 def test_stateful_changes_of_a_plain_stream(spark, folder):
     labelled(spark, ("A", 2, "red"), ("A", 1, "red"), ("A", 3, "green")).write.parquet(f"{folder}/in")
     stream = spark.readStream.schema(schemas.label_change()).parquet(f"{folder}/in")
-    with session_conf(spark, STREAM_CONF):
+    with session_conf(spark, stream_conf(spark)):
         out = stateful_changes(stream)
         write_messages(out, f"{folder}/cp", "plain", NOW, "parquet", path=f"{folder}/out").awaitTermination()
     assert rows_of(spark.read.parquet(f"{folder}/out")) == [("A", 1, "red"), ("A", 3, "green")]
+
+
+def test_controller(spark, folder):
+    publish = message_batch_sink("parquet", path=f"{folder}/topic")
+    publish(controls(spark, ("A", "red"), ("A", "orange"), ("Z", "green"), ("Z", "orange")), 0)
+    acted, reported = {}, {}
+    running = spark.createDataFrame([("A",)], "serialNum string")
+    stream = file_messages(spark, f"{folder}/topic/batch=*", schema=schemas.CONTROL_MESSAGE)
+    query = start_controller(
+        stream, lambda: running, lambda: profile_table(spark, "A"), collector(acted), collector(reported), f"{folder}/cp", NOW
+    )
+    query.awaitTermination()
+    assert acted == {0: [("A", "red", "reduce speed", "A went RED, reducing speed", 0.5)]}
+    assert reported == {0: [("Z", 1)]}
