@@ -40,11 +40,13 @@ def round_robin(candidates, templates, seq="seq", line="line"):
     the order of ``line``. Adds the templates' columns, less ``line``."""
     size = templates.agg(
         F.count(F.lit(1)).alias("rows"),
+        F.min(line).alias("first"),
+        F.max(line).alias("last"),
         F.sum(F.coalesce(F.octet_length("location"), F.lit(0)) + F.coalesce(F.octet_length("block"), F.lit(0)) + 16).alias("bytes"),
     ).first()
     if size.rows == 0:
         raise ValueError("there are no profile templates to hand out")
-    numbered = dense_index(templates, line, "_turn").drop(line)
+    numbered = dense_index(templates, line, "_turn", (size.first, size.last)).drop(line)
     if size.rows <= BROADCAST_ROWS and size.bytes <= BROADCAST_BYTES:
         numbered = F.broadcast(numbered)
     turn = F.pmod(F.col(seq), F.lit(size.rows))

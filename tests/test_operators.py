@@ -206,7 +206,7 @@ def test_unmatched_keys(spark):
 @given(st.sets(st.integers(-(2**63), 2**63 - 1) | st.integers(-300, 300), max_size=60), st.sampled_from([8, 16]))
 def test_dense_index(spark, values, bits):
     df = spark.createDataFrame([(v,) for v in values], "o bigint")
-    assert tuples(dense_index(df, "o", "i", bits)) == [(v, i) for i, v in enumerate(sorted(values))]
+    assert tuples(dense_index(df, "o", "i", bits=bits)) == [(v, i) for i, v in enumerate(sorted(values))]
 
 
 def test_machine_count():
