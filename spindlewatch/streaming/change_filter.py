@@ -2,7 +2,7 @@
 
 :func:`changes_since` works on one micro-batch and the last change of every machine; it stays in the JVM
 and is what the monitor uses. :func:`stateful_changes` keeps the label of a machine in Spark's state store;
-it needs no table of its own, and pays a call to a Python worker and its state for every machine in a batch.
+it needs no table of its own, and passes the labelled rows through Python workers.
 """
 
 import sys
@@ -31,41 +31,58 @@ def changes_since(last, rows, key="serialNum", order="windowEnd", label="label",
     return label_changes(joined, key, order, label, first, slice_span).drop("_known")
 
 
-class LastLabel(StatefulProcessor):
-    """Per key, passes a row when its label is not the label of the row before."""
+class LastLabels(StatefulProcessor):
+    """Passes a row when its label is not the label of the key's row before, for a bucket of keys at a time.
 
-    def __init__(self, key, order, label):
+    The state of a bucket is a list of (key, label). It is read and written in one piece: a call to the state
+    store costs far more than a label, and one per key and micro-batch would be most of the work.
+    """
+
+    def __init__(self, key, key_type, order, label):
         self._columns = (key, order, label)
+        self._schema = f"`{key}` {key_type}, label string"
 
     def init(self, handle):
-        self._state = handle.getValueState("label", "label string")
+        self._state = handle.getListState("labels", self._schema)
 
-    def handleInputRows(self, key, rows, timerValues):
-        key_column, order, label = self._columns
-        # A key has one row per window that closed in this batch, in no particular order. All of them are
-        # held for sorting, at nine bytes each, which also lets a long backfill of one machine through.
-        ends, codes, code_of = array("q"), array("b"), {}
+    def handleInputRows(self, bucket, rows, timerValues):
+        key, order, label = self._columns
+        # One row per key and window that closed in this batch, in no particular order. They are held for
+        # sorting in eighteen bytes each, which also lets a long backfill of one machine through.
+        keys, ends, codes, key_of, code_of = array("q"), array("q"), array("h"), {}, {}
         for row in rows:
+            keys.append(key_of.setdefault(row[key], len(key_of)))
             ends.append(row[order])
             codes.append(code_of.setdefault(row[label], len(code_of)))
-        label_of = list(code_of)
-        stored = self._state.get()
-        current = before = stored[0] if stored else ""
+        names, labels = list(key_of), list(code_of)
+        current = dict(self._state.get())
+        changed = False
         for i in np.argsort(ends):
-            value = label_of[codes[i]]
-            if value != current:
-                current = value
-                yield Row(**{key_column: key[0], order: ends[i], label: value})
-        if current != before:
-            self._state.update((current,))
+            name, value = names[keys[i]], labels[codes[i]]
+            if current.get(name, "") != value:
+                current[name] = value
+                changed = True
+                yield Row(**{key: name, order: ends[i], label: value})
+        if changed:
+            self._state.put(list(current.items()))
 
     def close(self):
         pass
 
 
-def stateful_changes(labels, key="serialNum", order="windowEnd", label="label"):
-    """Label changes of a stream of labelled averages, one state cell per key. Needs the RocksDB state store."""
+def stateful_changes(labels, key="serialNum", order="windowEnd", label="label", buckets=4096):
+    """Label changes of a stream of labelled averages, kept in Spark's state store (RocksDB is needed).
+
+    ``buckets`` is how many pieces the labels of all machines are kept in; a checkpoint is bound to it. A
+    piece should hold some thousand machines at most.
+    """
     selected = labels.select(key, order, label)
-    return selected.groupBy(key).transformWithState(
-        LastLabel(key, order, label), selected.schema, outputMode="Append", timeMode="None"
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).alias("_bucket")
+    key_type = selected.schema[key].dataType.simpleString()
+    return (
+        selected.select(bucket, "*")
+        .groupBy("_bucket")
+        .transformWithState(
+            LastLabels(key, key_type, order, label), selected.schema, outputMode="Append", timeMode="None"
+        )
     )
