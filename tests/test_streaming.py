@@ -210,6 +210,40 @@ def test_profiles_as_of_the_start_or_of_every_batch(spark, folder):
         assert labels == (["unknown"] if refresh == "start" else ["unknown", last])
 
 
+def test_backfill_in_one_batch(spark, folder, feed):
+    """All files at once: the batch spans more windows than a slice."""
+    seen = {}
+    monitor = TemperatureMonitor(spark, f"{folder}/m", lambda: profile_table(spark, "A", "B"), collector(seen), OPTIONS)
+    monitor.start(feed.events(per_batch=10)).awaitTermination()
+    assert rows_of(monitor.averages.history()) == sorted(AVERAGES)
+    assert rows_of(monitor.changes.history()) == CHANGES
+
+
+@pytest.mark.parametrize("fails_at", [0, 1, 2, 3])
+def test_failed_batch_is_replayed(spark, folder, feed, fails_at):
+    """The process dies after the batch was written and before it was committed."""
+    seen, failures = {}, [fails_at]
+
+    class Failing(TemperatureMonitor):
+        def label_batch(self, profiles, batch_id):
+            super().label_batch(profiles, batch_id)
+            if batch_id in failures:
+                failures.remove(batch_id)
+                raise RuntimeError("lost")
+
+    def start():
+        table = lambda: profile_table(spark, "A", "B")
+        return Failing(spark, f"{folder}/m", table, collector(seen), OPTIONS).start(feed.events())
+
+    with pytest.raises(Exception, match="lost"):
+        start().awaitTermination()
+    start().awaitTermination()
+    monitor = Failing(spark, f"{folder}/m", None, None, OPTIONS)
+    assert rows_of(monitor.averages.history()) == sorted(AVERAGES)
+    assert rows_of(monitor.changes.history()) == CHANGES
+    assert {m for messages in seen.values() for m in messages} == {(k, v) for k, _, v in CHANGES}
+
+
 def test_missing_profile_stops_the_monitor(spark, folder, feed):
     monitor = TemperatureMonitor(spark, f"{folder}/m", lambda: profile_table(spark, "A"), collector({}), OPTIONS)
     query = monitor.start(feed.events())
