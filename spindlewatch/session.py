@@ -13,6 +13,8 @@ BATCH_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+PARTITION_BYTES = 128 * 1024 * 1024
+
 # Keyed state with its own column families needs RocksDB. Changelogs keep a commit proportional to what changed,
 # and without a running row count a write does not have to read first.
 STREAM_CONF = {
@@ -23,12 +25,25 @@ STREAM_CONF = {
 }
 
 
-def build_session(app_name="spindlewatch", master=None, **conf):
-    """A session with this library's settings; ``conf`` keys use ``__`` for dots."""
+def partitions_for(shuffle_bytes):
+    """Shuffle partitions that leave each one about 128 MiB, which a task sorts and aggregates in memory."""
+    return max(200, -(-shuffle_bytes // PARTITION_BYTES))
+
+
+def build_session(app_name="spindlewatch", master=None, shuffle_bytes=None, **conf):
+    """A session with this library's settings; ``conf`` keys use ``__`` for dots.
+
+    ``shuffle_bytes`` is about how much the largest shuffle moves: for averages, the events less what the
+    first reduction takes off. Stored data is then shuffled into that many more partitions, and adaptive
+    execution merges those that turn out small.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    settings = {**BATCH_CONF, **STREAM_CONF, **{k.replace("__", "."): str(v) for k, v in conf.items()}}
+    settings = {**BATCH_CONF, **STREAM_CONF}
+    if shuffle_bytes is not None:
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(partitions_for(shuffle_bytes))
+    settings.update({k.replace("__", "."): str(v) for k, v in conf.items()})
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -75,7 +75,7 @@ class Subscription:
 
 
 def late_rows(query):
-    """Rows a query has dropped so far because their window was closed."""
+    """Rows dropped because their window was closed, over the micro-batches of the query's recent progress."""
     return sum(
         operator.get("numRowsDroppedByWatermark", 0)
         for progress in query.recentProgress
