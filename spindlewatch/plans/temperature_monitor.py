@@ -32,6 +32,7 @@ class MonitorOptions:
     refresh: str = "start"  # profiles as of the start, or of every "batch"
     trigger: tuple = (("processingTime", "10 seconds"),)
     state_partitions: int | None = None  # see stream_conf
+    files_per_batch: int = 32  # at most; one row per machine and window does not need a file per state partition
     compact_every: int = 50
     windows_per_slice: int = WINDOWS_PER_SLICE
 
@@ -40,6 +41,16 @@ class MonitorOptions:
         """Length of a slice of a machine's history, in ms."""
         return self.windows_per_slice * (pd.Timedelta(self.width) // pd.Timedelta(milliseconds=1))
 
+    def stream_conf(self, spark):
+        return stream_conf(spark, self.state_partitions)
+
+    def averages_table(self, spark, path, key, key_type):
+        """The keyed table of the averages of a stream."""
+        partitions = int(self.stream_conf(spark)["spark.sql.shuffle.partitions"])
+        files = self.files_per_batch if partitions > self.files_per_batch else None
+        schema = schemas.machine_average(key, key_type)
+        return KeyedTable(spark, path, schema, key, "windowEnd", self.compact_every, files)
+
 
 def label_averages(averages, profiles, on_missing="fail", key="serialNum"):
     """Averages with the label of their machine's limits."""
@@ -75,12 +86,9 @@ class TemperatureMonitor:
         self.publish = publish
         self.options = options
         self.key = key
-        every = options.compact_every
-        self.averages = KeyedTable(
-            spark, f"{self.root}/averages", schemas.machine_average(key, key_type), key, "windowEnd", every
-        )
+        self.averages = options.averages_table(spark, f"{self.root}/averages", key, key_type)
         self.changes = KeyedTable(
-            spark, f"{self.root}/changes", schemas.label_change(key, key_type), key, "windowEnd", every
+            spark, f"{self.root}/changes", schemas.label_change(key, key_type), key, "windowEnd", options.compact_every
         )
 
     def decode(self, messages):
@@ -96,7 +104,7 @@ class TemperatureMonitor:
             profiles = self.profiles() if started_with is None else started_with
             self.label_batch(profiles, batch_id)
 
-        with session_conf(self.spark, stream_conf(self.spark, self.options.state_partitions)):
+        with session_conf(self.spark, self.options.stream_conf(self.spark)):
             return (
                 averages.writeStream.queryName(JOB_NAME)
                 .option("checkpointLocation", f"{self.root}/checkpoint")
@@ -135,9 +143,8 @@ class TemperatureMonitor:
 
 def start_status_query(spark, events, root, options=MonitorOptions(), key="serialNum", key_type="string"):
     """The status branch as a query of its own. Returns (query, averages table)."""
-    schema = schemas.machine_average(key, key_type)
-    table = KeyedTable(spark, f"{root}/averages", schema, key, "windowEnd", options.compact_every)
-    with session_conf(spark, stream_conf(spark, options.state_partitions)):
+    table = options.averages_table(spark, f"{root}/averages", key, key_type)
+    with session_conf(spark, options.stream_conf(spark)):
         averages = tumbling_average(events, options.width, options.lag, key)
         query = put_batches(
             averages, table, f"{root}/checkpoint-status", f"{JOB_NAME} status", dict(options.trigger)
@@ -151,7 +158,7 @@ def start_label_query(spark, events, profiles, root, sink, options=MonitorOption
     say where to; with ``rows=True`` the changes are written as they are instead of as messages."""
     sink = dict(sink)
     as_rows = sink.pop("rows", False)
-    with session_conf(spark, stream_conf(spark, options.state_partitions)):
+    with session_conf(spark, options.stream_conf(spark)):
         averages = tumbling_average(events, options.width, options.lag, key)
         changes = stateful_changes(label_averages(averages, profiles, options.on_missing, key), key)
         out = changes if as_rows else to_messages(changes, key)

@@ -19,15 +19,18 @@ class KeyedTable:
     Batches are kept in groups of ``compact_every``. The last put of a group also writes the newest rows so
     far as a snapshot, so the newest rows before any batch are found in one snapshot and the batches of one
     group, however long the history is, and their paths follow from the batch's number without a listing.
+
+    A batch is written in as many files as it has partitions, or in ``files_per_batch``.
     """
 
-    def __init__(self, spark, path, schema, key, order, compact_every=50):
+    def __init__(self, spark, path, schema, key, order, compact_every=50, files_per_batch=None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
         self.key = key
         self.order = order
         self.compact_every = compact_every
+        self.files_per_batch = files_per_batch
 
     def _batch_path(self, batch_id):
         group = batch_id // self.compact_every
@@ -77,7 +80,12 @@ class KeyedTable:
             rows.write.format("noop").mode("overwrite").save()
         else:
             columns = [F.col(f.name).cast(f.dataType) for f in self.schema]
-            rows.select(*columns).write.mode("overwrite").parquet(path)
+            rows = rows.select(*columns)
+            if self.files_per_batch is not None:
+                # By key and order: one busy machine's rows do not all go into one file. Merging partitions
+                # without a shuffle would merge the tasks that compute them, too.
+                rows = rows.repartition(self.files_per_batch, self.key, self.order)
+            rows.write.mode("overwrite").parquet(path)
         if (batch_id + 1) % self.compact_every == 0:
             self._compact(batch_id)
 

@@ -276,6 +276,15 @@ def test_keyed_table(spark, folder):
     assert table.history().count() == 6
 
 
+def test_files_per_batch(spark, folder, feed):
+    options = MonitorOptions(trigger=OPTIONS.trigger, state_partitions=4, files_per_batch=1)
+    query, table = start_status_query(spark, feed.events(), folder, options)
+    query.awaitTermination()
+    assert rows_of(table.history()) == sorted(AVERAGES)
+    files = [f for path, _, names in os.walk(f"{folder}/averages") for f in names if f.endswith(".parquet")]
+    assert len(files) <= 4  # one per batch, where there would be up to four
+
+
 def test_replayed_batch_is_not_put_twice(spark, folder):
     table = table_of(spark, folder)
     table.put(labelled(spark, ("A", 1, "red")), 0)
