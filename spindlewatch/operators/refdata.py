@@ -63,10 +63,15 @@ def last_per_key(rows, key="serialNum", seq="seq"):
     return rows.groupBy(key).agg(last).select(*[key if c == key else F.col(f"_last.{c}").alias(c) for c in rows.columns])
 
 
-def replace_by_key(table, rows, key="serialNum"):
-    """The table after ``rows`` (one per key) have been put into it."""
-    kept = table.join(rows.select(key), key, "left_anti")
-    return kept.select(*table.columns).unionByName(rows.select(*table.columns))
+def put_rows(table, rows, key="serialNum", seq="seq"):
+    """The table after ``rows`` have been put into it in the order of ``seq``.
+
+    Stored rows count as put before all others, so that one pass resolves both copies among the new rows and
+    rows that replace stored ones.
+    """
+    stored = table.withColumn(seq, F.lit(-(2**63)).cast("bigint"))
+    new = rows.select(*table.columns, F.col(seq).cast("bigint").alias(seq))
+    return last_per_key(stored.unionByName(new), key, seq).select(*table.columns)
 
 
 def complete_profiles(rows):

@@ -2,12 +2,13 @@
 
 import uuid
 
+from pyspark.sql import functions as F
+
 from spindlewatch import names
 from spindlewatch.operators.refdata import (
     check_machine_count,
     complete_profiles,
-    last_per_key,
-    replace_by_key,
+    put_rows,
     round_robin,
     top_up,
 )
@@ -57,9 +58,8 @@ class ProfileStore:
         existing = stored.count()
         needed = max(0, target - existing)
         if needed:
-            chosen = round_robin(top_up(candidates, existing, target), templates)
-            rows = complete_profiles(last_per_key(chosen))
-            typed = rows.select(*[rows[f.name].cast(f.dataType).alias(f.name) for f in MACHINE_PROFILE])
-            self.replace(replace_by_key(stored, typed))
+            chosen = complete_profiles(round_robin(top_up(candidates, existing, target), templates))
+            typed = chosen.select("seq", *[F.col(f.name).cast(f.dataType).alias(f.name) for f in MACHINE_PROFILE])
+            self.replace(put_rows(stored, typed))
         note_activity(self.spark, self.ledger, names.LOADER_KEY, names.LOADER_FINISHED)
         return needed

@@ -7,7 +7,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from spindlewatch import schemas
+from spindlewatch import names, schemas
 from spindlewatch.functions.json_codec import decode_events, encode_events, malformed_events
 from spindlewatch.functions.labels import critical_limit
 from spindlewatch.functions.shared import map_with_resource
@@ -26,6 +26,7 @@ from spindlewatch.operators.monitor import (
 from spindlewatch.operators.refdata import last_per_key, round_robin, top_up
 from spindlewatch.operators.windows import status_rows, tumbling_average
 from spindlewatch.plans.controller import start_controller
+from spindlewatch.plans.profile_load import ProfileStore
 from spindlewatch.plans.shop_tables import (
     limits,
     messages,
@@ -56,7 +57,8 @@ from spindlewatch.sources.tables import (
 from spindlewatch.sources.templates import accepted_templates, rejected_lines
 from spindlewatch.sources.topics import file_messages
 from spindlewatch.streaming.feeds import Subscription, key_feed
-from spindlewatch.streaming.sinks import log_lines, message_batch_sink, write_messages
+from spindlewatch.streaming.keyed_table import KeyedTable
+from spindlewatch.streaming.sinks import log_lines, message_batch_sink, tee, write_messages
 
 DAILY = MonitorOptions(width="1 day", trigger=(("availableNow", True),))
 PLACE, BLOCK = "NATION_11", "MACHINERY"
@@ -148,7 +150,7 @@ def _sql_lines(table_name, key, place, block):
 
 
 _CUSTOMER_LINES = _sql_lines("customer", "c_custkey", "c_name", "c_mktsegment")
-_SUPPLIER_LINES = _sql_lines("supplier", "s_suppkey", "s_name", "'B' || s_nationkey")
+_SUPPLIER_LINES = _sql_lines("supplier", "s_suppkey", "'N' || s_nationkey", "s_name")
 _TEMPLATES = (
     f"{_SUPPLIER_LINES}, templates AS (SELECT location, block, faultyFraction, "
     "row_number() OVER (ORDER BY line) - 1 AS turn FROM accepted)"
@@ -386,8 +388,8 @@ def _customer_lines(spark, sf_dir):
 
 
 def _templates(spark, sf_dir):
-    block = F.concat(F.lit("B"), F.col("s_nationkey").cast("string"))
-    lines = template_lines(table(spark, sf_dir, "supplier"), "s_suppkey", F.col("s_name"), block)
+    place = F.concat(F.lit("N"), F.col("s_nationkey").cast("string"))
+    lines = template_lines(table(spark, sf_dir, "supplier"), "s_suppkey", place, F.col("s_name"))
     return accepted_templates(lines).withColumn("faultyFraction", F.col("faultyFraction").cast("double"))
 
 
@@ -429,6 +431,39 @@ def refdata_topup(spark, sf_dir):
     return last_per_key(round_robin(chosen, _templates(spark, sf_dir)))
 
 
+_LOAD = (
+    f"debt AS (SELECT {_PROFILE_COLUMNS} FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal < 0), "
+    "size AS (SELECT (SELECT count(*) FROM debt) AS e, (SELECT count(*) FROM orders) AS o), "
+    "chosen AS (SELECT * FROM orders QUALIFY row_number() OVER (ORDER BY o_orderkey) <= "
+    "(SELECT greatest(0, least(1000000, e + o // 2) - e) FROM size)), "
+    "placed AS (SELECT o_orderkey AS seq, CAST(o_custkey AS VARCHAR) AS serialNum, location, block, "
+    "CAST(faultyFraction AS FLOAT) AS faultyOdds, o_orderpriority AS manufacturer, "
+    "CAST(20 + 20 * (o_orderkey % 4) AS SMALLINT) AS warningTemp, CAST(80 + 20 * (o_orderkey % 4) AS SMALLINT) AS criticalTemp, "
+    "CAST(8000 AS INTEGER) AS maxRPM FROM chosen JOIN templates ON turn = o_orderkey % (SELECT count(*) FROM templates)), "
+    "loaded AS (SELECT * EXCLUDE (seq) FROM placed QUALIFY row_number() OVER (PARTITION BY serialNum ORDER BY seq DESC) = 1), "
+    "kept AS (SELECT CAST(serialNum AS VARCHAR) AS serialNum, * EXCLUDE (serialNum) FROM debt)"
+)
+
+
+@query(f"WITH {_TEMPLATES}, {_LOAD} SELECT * FROM loaded UNION ALL BY NAME SELECT * FROM kept ANTI JOIN loaded USING (serialNum)")
+def load_profiles(spark, sf_dir):
+    """The whole load into a store that has some profiles already: the store's content afterwards."""
+    store = ProfileStore(spark, run_dir(spark, "store"))
+    in_debt = profiles(spark, sf_dir, table(spark, sf_dir, "customer").where("c_acctbal < 0"))
+    store.replace(in_debt.withColumn("serialNum", F.col("serialNum").cast("string")))
+    orders = table(spark, sf_dir, "orders")
+    candidates = orders.select(
+        F.col("o_orderkey").alias("seq"),
+        F.col("o_custkey").cast("string").alias("serialNum"),
+        F.col("o_orderpriority").alias("manufacturer"),
+        (F.lit(20) + F.lit(20) * (F.col("o_orderkey") % 4)).cast("smallint").alias("warningTemp"),
+        F.lit(8000).alias("maxRPM"),
+    )
+    target = in_debt.count() + orders.count() // 2
+    store.load_once(candidates, _templates(spark, sf_dir), min(target, names.MAX_MACHINES))
+    return store.read()
+
+
 @query(
     f"WITH {_AVERAGES}, {_STATUS} SELECT 'MachineStatus{{serialNumber=''' || serialNumber || ''', averageBitTemp10s=' || "
     "averageBitTemp10s || ', eventTime=' || eventTime || '}' AS value FROM status"
@@ -455,6 +490,27 @@ def stream_tumbling_avg(spark, sf_dir):
     return read_table(spark, f"{root}/rows", averages.schema)
 
 
+@query(
+    f"WITH {_CLOSED}, {_STATUS} SELECT 'MachineStatus{{serialNumber=''' || serialNumber || ''', averageBitTemp10s=' || "
+    "averageBitTemp10s || ', eventTime=' || eventTime || '}' AS value FROM status"
+)
+def stream_logged_status(spark, sf_dir):
+    """Status rows on their way into the status table, as the tee before it has logged them."""
+    root = make_folder(spark, run_dir(spark, "tee"))
+    status = status_rows(tumbling_average(telemetry_stream(spark, sf_dir), DAILY.width, DAILY.lag))
+    text = status.withColumn("serialNumber", F.col("serialNumber").cast("string"))
+    into = KeyedTable(spark, f"{root}/table", schemas.MACHINE_STATUS, "serialNumber", "eventTime")
+    with session_conf(spark, DAILY.stream_conf(spark)):
+        query = (
+            text.writeStream.option("checkpointLocation", f"{root}/checkpoint")
+            .trigger(**dict(DAILY.trigger))
+            .foreachBatch(tee("status", root, status_line(), into.put))
+            .start()
+        )
+    query.awaitTermination()
+    return spark.read.text(f"{root}/status/batch=*")
+
+
 @query(f"WITH {_CLOSED_MONITOR} SELECT serialNum, windowEnd, label FROM changes")
 def stream_label_changes(spark, sf_dir):
     """Label changes with the labels in Spark's state store."""

@@ -29,6 +29,7 @@ def write_profiles(profiles, path, files_per_location=4):
 
     The rows of a location are spread over ``files_per_location`` tasks by key: a location with a third of
     the fleet is not written by one task, and a location with few machines does not leave a file per task.
+    Every location is a folder, so this is for hundreds of locations rather than for a million.
     """
     spread = F.pmod(F.xxhash64("serialNum"), F.lit(files_per_location))
     profiles.repartition("location", spread).write.partitionBy("location").parquet(path)

@@ -24,7 +24,7 @@ from spindlewatch.operators.numbering import dense_index
 from spindlewatch.operators.refdata import (
     check_machine_count,
     last_per_key,
-    replace_by_key,
+    put_rows,
     round_robin,
     top_up,
 )
@@ -248,10 +248,10 @@ def test_last_per_key(spark):
     assert sorted(map(tuple, last_per_key(rows).collect())) == [("A", 3, None), ("B", 1, "b")]
 
 
-def test_replace_by_key(spark):
+def test_put_rows(spark):
     table = spark.createDataFrame([("A", 1), ("B", 1)], "serialNum string, v int")
-    new = spark.createDataFrame([("B", 2), ("C", 2)], "serialNum string, v int")
-    assert tuples(replace_by_key(table, new)) == [("A", 1), ("B", 2), ("C", 2)]
+    new = spark.createDataFrame([("B", 2, 0), ("C", 2, 1), ("C", 3, 2)], "serialNum string, v int, seq int")
+    assert tuples(put_rows(table, new)) == [("A", 1), ("B", 2), ("C", 3)]
 
 
 LINES = ["Reno,A,.9", "Reno,B, .1", "Reno,C,.5,", "", "Reno,D", "Reno,D,.1,x", "Reno,E,abc", "Reno,F,", ",,", "Reno,G,inf"]
