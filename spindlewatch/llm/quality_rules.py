@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from spindlewatch.llm.common import SPACES, words_of
 
 BUCKETS = 1 << 16
+# Bound of the sample of trusted documents.
+TRUSTED_ROWS = 100_000
 PRIOR = 5.0
 THRESHOLD = -0.16
 SYMBOLS = "#*$%&|<>"
@@ -101,17 +103,26 @@ def text_counts(hashed):
     return _with_repeats(df)
 
 
-def bucket_weights(docs, trusted, text="text", id_column="doc_id", buckets=BUCKETS):
+def bucket_weights(docs, trusted, text="text", id_column="doc_id", buckets=BUCKETS, trusted_rows=TRUSTED_ROWS):
     """Log ratio of each bucket between trusted and all documents: one row (``weights``), an array by bucket.
 
     The corpus is scaled to the size of the trusted part, and each bucket of both has ``PRIOR`` added, so that a
-    bucket that is rare in the corpus tells little. ``trusted`` has the ids of trusted documents in its one column;
-    if none of them occurs, all weights are zero.
+    bucket that is rare in the corpus tells little. ``trusted`` has the ids of trusted documents in its one column,
+    of which at most ``trusted_rows``, those with the least hash, are learnt from: so many ids can go to every
+    task, and no text has to be shuffled to find out if it is trusted. The corpus is counted in full. If no
+    trusted document occurs, all weights are zero.
     """
-    ids = trusted.toDF("doc_id").where("doc_id is not null").distinct().withColumn("is_trusted", F.lit(True))
+    ids = (
+        trusted.toDF("doc_id")
+        .where("doc_id is not null")
+        .distinct()
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
+        .limit(trusted_rows)
+        .withColumn("is_trusted", F.lit(True))
+    )
     grams = (
         hashed_words(docs, text, id_column)
-        .join(ids, "doc_id", "left")
+        .join(F.broadcast(ids), "doc_id", "left")
         .select("is_trusted", F.explode(F.concat("hashes", "pairs")).alias("gram"))
         .select("is_trusted", F.pmod("gram", F.lit(buckets)).cast("int").alias("bucket"))
     )
