@@ -2,8 +2,11 @@
 
 import sys
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spindlewatch.session import run_dir
 
@@ -13,6 +16,10 @@ SPACES = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
+# On UTF-8 bytes: A-Z in lower case; and, for words of letters, digits and all beyond ASCII, the rest as spaces.
+LOWERED = bytes(range(256)).lower()
+WORDY = bytes(c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in LOWERED)
+
 
 def ship(module):
     """Send a module's functions to Python workers by value, so that the package need not be installed there."""
@@ -22,6 +29,18 @@ def ship(module):
 ship(__name__)
 
 
+class Shared:
+    """A value that goes to every task once, with the classes it is made of; its size must be bounded."""
+
+    def __init__(self, spark, value):
+        self.broadcast = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def value(self):
+        """A copy of the value, for a task to ask for once."""
+        return cloudpickle.loads(self.broadcast.value)
+
+
+
 def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -51,3 +70,55 @@ def crc_remainder(column, divisor):
 def words_of(column):
     """Words between white space, as an array; none for null."""
     return F.array_remove(F.split(F.coalesce(column, F.lit("")), f"{SPACE_CLASS}+"), "")
+
+
+# Rows and bytes of text that a worker looks at together.
+SLICE_ROWS = 512
+SLICE_BYTES = 8 * 1024 * 1024
+
+
+def _slices(batch, at):
+    """A batch in slices of bounded rows and text bytes (a row is never cut)."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_pylist()
+    start = total = 0
+    for i, size in enumerate(sizes):
+        if i > start and (i - start >= SLICE_ROWS or total + size > SLICE_BYTES):
+            yield batch.slice(start, i - start)
+            start, total = i, 0
+        total += size
+    if start < len(sizes):
+        yield batch.slice(start)
+
+
+def map_texts(docs, text, fields, make, keep=None):
+    """``docs`` with columns computed from texts in Arrow batches; columns of the same names are replaced.
+
+    ``make()`` is called once per task and gives a function from a list of UTF-8 texts (None for null) to one
+    Arrow array per field. ``fields`` is [(name, Arrow type, Spark type)], ``keep`` the columns to keep.
+    """
+    new = [name for name, _, _ in fields]
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in new]
+    source = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("binary").alias("__text"))
+    made = T.StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, _, kind in fields))
+    schema = T.StructType([*[docs.schema[c] for c in kept], *made])
+
+    def run(batches):
+        function = make()
+        for batch in batches:
+            at = batch.num_columns - 1
+            for part in _slices(batch, at):
+                made = function(part.column(at).to_pylist())
+                arrays = [*part.columns[:at], *made]
+                names = [*part.schema.names[:at], *new]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    return source.mapInArrow(run, schema)
+
+
+def list_array(lists, kind):
+    """A list array from one flat sequence per row."""
+    offsets = [0]
+    for one in lists:
+        offsets.append(offsets[-1] + len(one))
+    flat = [x for one in lists for x in one]
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, kind))

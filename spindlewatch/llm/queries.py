@@ -2,10 +2,21 @@
 
 from pyspark.sql import functions as F
 
-from spindlewatch.llm.common import table
+from spindlewatch.llm.byte_pairs import read_vocabulary, tokenize
+from spindlewatch.llm.common import crc_remainder, table
+from spindlewatch.llm.decontaminate import find_leaks, n_hit
+from spindlewatch.llm.language_id import fit, predict
+from spindlewatch.llm.language_model import score_texts
+from spindlewatch.llm.license_scan import find_licenses
+from spindlewatch.llm.passages import remove_repeats
 from spindlewatch.llm.quality_rules import judge_quality
+from spindlewatch.llm.quality_trees import fit_quality, score_quality
+from spindlewatch.llm.shingle_join import similar_components
 from spindlewatch.llm.url_rules import judge, rule_table
 
+# Where the vocabulary of the tokenizer is; read on the driver and sent to the tasks.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
+
 # The rules that pages are judged by.
 URL_RULES = [
     ("allow", "org", "/"),
@@ -21,17 +32,105 @@ def good_ids(spark, sf_dir):
     return table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
 
 
+def op1_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(crc_remainder("doc_id", 4) != 2)
+    scored = score_quality(docs, fit_quality(docs, labels), keep=["doc_id"])
+    return scored.select(
+        "doc_id",
+        (crc_remainder("doc_id", 4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 def op2_quality_rules(spark, sf_dir):
     return judge_quality(table(spark, sf_dir, "documents"), good_ids(spark, sf_dir))
 
 
+def op3_ngram_jaccard_join(spark, sf_dir):
+    return similar_components(table(spark, sf_dir, "documents"))
+
+
+def op4_lm_scoring(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return score_texts(docs, crc_remainder("doc_id", 7) == 2, read_vocabulary(VOCABULARY))
+
+
+def _labels(array):
+    return F.array_join(F.array_sort(F.array_distinct(array)), ",")
+
+
+def op5_license_scans(spark, sf_dir):
+    found = find_licenses(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    places, notices = F.col("places"), F.col("notices")
+    starts = F.transform(places, lambda p: p["start"].cast("bigint"))
+    base = F.transform(places, lambda p: p["label"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(places).cast("bigint").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        _labels(base).alias("base_labels"),
+        _labels(F.concat(base, F.transform(notices, lambda n: n["label"]))).alias("labels"),
+        "score",
+        notices,
+    )
+
+
+def op6_benchmark_decontamination(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    hit = n_hit(F.col("leaks")).cast("bigint")
+    return found.select(
+        "doc_id",
+        "n_words",
+        hit.alias("n_hit"),
+        F.size("leak_items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("leak_items"), ","), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"),
+    )
+
+
+def op7_substring_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs)
+
+
+def op8_bpe_round_trip(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = tokenize(docs, read_vocabulary(VOCABULARY), keep=["doc_id"])
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op9_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = fit(docs.where(crc_remainder("doc_id", 5) != 0))
+    held_out = (crc_remainder("doc_id", 5) == 0).alias("held_out")
+    return predict(docs, model, keep=["doc_id"]).select("doc_id", held_out, "lang_pred", "score")
+
+
 def op10_url_filters(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return judge(pages, rule_table(spark, URL_RULES)).drop("url")
 
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_quality_rules": op2_quality_rules,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_lm_scoring": op4_lm_scoring,
+    "op5_license_scans": op5_license_scans,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_substring_dedup": op7_substring_dedup,
+    "op8_bpe_round_trip": op8_bpe_round_trip,
+    "op9_language_id": op9_language_id,
     "op10_url_filters": op10_url_filters,
 }
 
