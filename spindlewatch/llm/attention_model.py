@@ -1,7 +1,8 @@
 """A small causal self-attention model over subword classes, in numpy.
 
 A token's probability is that of its class given the classes before it, times its share of the class. Frequent
-tokens are classes of their own. A text is cut into windows of ``CONTEXT`` inputs that overlap; of each window
+tokens are classes of their own. Classes come in groups of a fixed size: the model predicts the group, and then
+the class within it, so that a target costs two small softmaxes. A text is cut into windows of ``CONTEXT`` inputs that overlap; of each window
 the last ``STRIDE`` positions predict the token that follows, so every token is scored once, with at least
 ``CONTEXT - STRIDE`` tokens before it where there are that many.
 """
@@ -15,10 +16,10 @@ ship(__name__)
 CONTEXT = 32
 STRIDE = 16
 WIDTH = 16
-BATCH = 256
-
-LOG10 = float(np.log(10.0))
-
+GROUPS = 32
+GROUP = 32
+CLASSES = GROUPS * GROUP
+BATCH = 128
 
 def _hidden():
     """Which inputs each scored position may not look at."""
@@ -27,36 +28,39 @@ def _hidden():
 
 
 class Model:
-    """Parameters by name; ``classes`` classes, then the codes for the start of a text and for no input."""
+    """Parameters by name. Codes beyond the classes stand for the start of a text and for no input."""
+
+    START = CLASSES
+    NONE = CLASSES + 1
 
     SHAPES = {
-        "embed": ("c", WIDTH),
+        "embed": (CLASSES + 2, WIDTH),
         "place": (CONTEXT, WIDTH),
         "query": (WIDTH, WIDTH),
         "key": (WIDTH, WIDTH),
         "value": (WIDTH, WIDTH),
         "mix": (WIDTH, WIDTH),
-        "out": (WIDTH, "o"),
-        "bias": ("o",),
+        "group": (WIDTH, GROUPS),
+        "group_bias": (GROUPS,),
+        "member": (GROUPS, WIDTH, GROUP),
+        "member_bias": (GROUPS, GROUP),
     }
 
-    def __init__(self, classes, parameters):
-        self.classes = classes
-        self.start = classes
-        self.none = classes + 1
+    def __init__(self, parameters):
         self.parameters = parameters
 
     @classmethod
     def new(cls, frequencies, seed=0):
-        """Small weights, and a bias by which classes are as likely as they are frequent."""
-        classes = len(frequencies)
+        """Small weights, and biases by which classes are as likely as they are frequent."""
         rng = np.random.default_rng(seed)
         parameters = {}
         for name, shape in cls.SHAPES.items():
-            size = [classes + 2 if n == "c" else classes if n == "o" else n for n in shape]
-            parameters[name] = rng.normal(0.0, 0.3 if name in ("query", "key", "value", "mix") else 0.1, size).astype(np.float32)
-        parameters["bias"] = np.log(frequencies / frequencies.sum()).astype(np.float32)
-        return cls(classes, parameters)
+            scale = 0.3 if name in ("query", "key", "value", "mix") else 0.1
+            parameters[name] = rng.normal(0.0, scale, shape).astype(np.float32)
+        weights = np.asarray(frequencies, float).reshape(GROUPS, GROUP)
+        parameters["group_bias"] = np.log(weights.sum(axis=1) / weights.sum()).astype(np.float32)
+        parameters["member_bias"] = np.log(weights / weights.sum(axis=1, keepdims=True)).astype(np.float32)
+        return cls(parameters)
 
     def flat(self):
         return np.concatenate([self.parameters[n].ravel() for n in self.SHAPES]).astype(np.float64)
@@ -68,17 +72,17 @@ class Model:
             size = int(np.prod(shape))
             parameters[name] = np.asarray(values[at : at + size], np.float32).reshape(shape)
             at += size
-        return Model(self.classes, parameters)
+        return Model(parameters)
 
     def segments(self, codes):
         """Windows of a text's class codes: ``CONTEXT`` inputs and the token after the last one."""
         rest = -len(codes) % STRIDE
         padded = np.concatenate(
             [
-                np.full(CONTEXT - STRIDE, self.none, np.uint8),
-                np.array([self.start], np.uint8),
+                np.full(CONTEXT - STRIDE, self.NONE, np.uint16),
+                np.array([self.START], np.uint16),
                 codes,
-                np.full(rest, self.none, np.uint8),
+                np.full(rest, self.NONE, np.uint16),
             ]
         )
         return np.lib.stride_tricks.sliding_window_view(padded, CONTEXT + 1)[::STRIDE]
@@ -91,43 +95,73 @@ class Model:
         q = last @ p["query"] * np.float32(WIDTH**-0.5)
         k, v = x @ p["key"], x @ p["value"]
         scores = q @ k.transpose(0, 2, 1)
-        scores[np.broadcast_to(_hidden(), scores.shape) | (inputs == self.none)[:, None, :]] = -1e9
+        scores[np.broadcast_to(_hidden(), scores.shape) | (inputs == self.NONE)[:, None, :]] = -1e9
         scores -= scores.max(axis=2, keepdims=True)
         weights = np.exp(scores, out=scores)
         weights /= weights.sum(axis=2, keepdims=True)
         read = weights @ v
         hidden = last + read @ p["mix"]
-        logits = hidden @ p["out"] + p["bias"]
-        logits -= logits.max(axis=2, keepdims=True)
-        return inputs, x, last, q, k, v, weights, read, hidden, logits
+        return inputs, x, last, q, k, v, weights, read, hidden
+
+    @staticmethod
+    def _softmax(logits):
+        logits -= logits.max(axis=1, keepdims=True)
+        np.exp(logits, out=logits)
+        logits /= logits.sum(axis=1, keepdims=True)
+        return logits
+
+    def _by_group(self, hidden, targets):
+        """For the targets there are: their place, class and hidden row, in the order of their groups; the
+        probabilities of the groups; and (group, rows, probabilities of its members) of each group."""
+        p = self.parameters
+        real = np.flatnonzero(targets.ravel() != self.NONE)
+        codes = targets.ravel()[real]
+        order = np.argsort(codes, kind="stable")
+        real, codes = real[order], codes[order].astype(np.int64)
+        rows = hidden.reshape(-1, WIDTH)[real]
+        groups = self._softmax(rows @ p["group"] + p["group_bias"])
+        bounds = np.searchsorted(codes, np.arange(GROUPS + 1) * GROUP)
+        members = [
+            (g, slice(a, b), self._softmax(rows[a:b] @ p["member"][g] + p["member_bias"][g]))
+            for g, (a, b) in enumerate(zip(bounds.tolist(), bounds[1:].tolist()))
+            if b > a
+        ]
+        return real, codes, rows, groups, members
 
     def log10(self, segments):
         """Log probability of the classes that each window scores, as one sum per window."""
-        sums = np.empty(len(segments))
+        sums = np.zeros(len(segments))
         for at in range(0, len(segments), BATCH):
             part = segments[at : at + BATCH]
-            logits = self._forward(part)[-1]
-            targets = part[:, CONTEXT - STRIDE + 1 :]
-            real = targets != self.none
-            chosen = np.take_along_axis(logits, np.where(real, targets, 0)[:, :, None].astype(np.int64), 2)[:, :, 0]
-            logs = chosen - np.log(np.exp(logits).sum(axis=2))
-            sums[at : at + BATCH] = (logs.astype(np.float64) * real).sum(axis=1)
-        return sums / LOG10
+            hidden = self._forward(part)[-1]
+            real, codes, _, groups, members = self._by_group(hidden, part[:, CONTEXT - STRIDE + 1 :])
+            chosen = groups[np.arange(len(codes)), codes // GROUP]
+            for _, here, shares in members:
+                chosen[here] *= shares[np.arange(len(shares)), codes[here] % GROUP]
+            logs = np.log10(np.maximum(chosen, 1e-30).astype(np.float64))
+            sums[at : at + BATCH] += np.bincount(real // STRIDE, logs, len(part))
+        return sums
 
     def gradients(self, segments):
         """Gradients of the mean negative log probability over the windows' targets."""
         p = self.parameters
-        inputs, x, last, q, k, v, weights, read, hidden, logits = self._forward(segments)
-        targets = segments[:, CONTEXT - STRIDE + 1 :]
-        real = targets != self.none
-        shares = np.exp(logits)
-        shares /= shares.sum(axis=2, keepdims=True)
-        rows, columns = np.nonzero(real)
-        shares[rows, columns, targets[rows, columns]] -= 1.0
-        shares *= real[:, :, None] / np.float32(max(1, real.sum()))
+        inputs, x, last, q, k, v, weights, read, hidden = self._forward(segments)
+        real, codes, rows, groups, members = self._by_group(hidden, segments[:, CONTEXT - STRIDE + 1 :])
+        scale = np.float32(1.0 / max(1, len(codes)))
+        groups[np.arange(len(codes)), codes // GROUP] -= 1.0
+        groups *= scale
+        d_rows = groups @ p["group"].T
+        out = {"group": rows.T @ groups, "group_bias": groups.sum(axis=0)}
+        out["member"], out["member_bias"] = np.zeros_like(p["member"]), np.zeros_like(p["member_bias"])
+        for g, here, shares in members:
+            shares[np.arange(len(shares)), codes[here] % GROUP] -= 1.0
+            shares *= scale
+            d_rows[here] += shares @ p["member"][g].T
+            out["member"][g] = rows[here].T @ shares
+            out["member_bias"][g] = shares.sum(axis=0)
+        d_hidden = np.zeros_like(hidden)
+        d_hidden.reshape(-1, WIDTH)[real] = d_rows
         flat = lambda a: a.reshape(-1, a.shape[-1])
-        out = {"out": flat(hidden).T @ flat(shares), "bias": flat(shares).sum(axis=0)}
-        d_hidden = shares @ p["out"].T
         out["mix"] = flat(read).T @ flat(d_hidden)
         d_read = d_hidden @ p["mix"].T
         d_weights = d_read @ v.transpose(0, 2, 1)
@@ -149,7 +183,7 @@ class Model:
     def train(self, segments, rate, batch=64):
         """Parameters after one pass over the windows with Adam, from these ones."""
         p = {n: a.copy() for n, a in self.parameters.items()}
-        model = Model(self.classes, p)
+        model = Model(p)
         first = {n: np.zeros_like(a) for n, a in p.items()}
         second = {n: np.zeros_like(a) for n, a in p.items()}
         for step, at in enumerate(range(0, len(segments), batch), 1):

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from spindlewatch.llm.attention_model import CONTEXT, STRIDE, Model
+from spindlewatch.llm.attention_model import CLASSES, CONTEXT, STRIDE, Model
 from spindlewatch.llm.byte_pairs import BytePairs
 from spindlewatch.llm.common import LOWERED, Shared, list_array, map_texts, ship, written
 
@@ -28,11 +28,11 @@ COUNTED = 200_000
 
 # Classes: one each for the most frequent subwords, and bins of equal weight for the others, those that start a
 # word and those that do not apart; the last class is the end of a text.
-OWN_CLASSES = 47
-BINS = 8
+BINS = 16
+OWN_CLASSES = CLASSES - 2 * BINS - 1
 
 # Training: rounds, learning rates, and which blocks of a document's words are trained on, at least one of each.
-RATES = (0.01, 0.007, 0.004)
+RATES = (0.02, 0.01, 0.004)
 BLOCK_WORDS = 32
 BLOCK_EVERY = 16
 
@@ -98,7 +98,7 @@ class Classes:
         for i, c in counts:
             weight[i] += c
         order = np.lexsort((np.arange(n), -weight))
-        self.of = np.zeros(n, np.uint8)
+        self.of = np.zeros(n, np.uint16)
         self.of[order[:OWN_CLASSES]] = np.arange(min(OWN_CLASSES, n))
         at = OWN_CLASSES
         starts = np.array([t.startswith(b" ") for t in tokens])
@@ -106,7 +106,7 @@ class Classes:
         for group in (rest[starts[rest]], rest[~starts[rest]]):
             upto = np.cumsum(weight[group])
             bins = np.minimum(BINS - 1, (upto - weight[group]) * BINS // upto[-1]) if len(group) else upto
-            self.of[group] = at + bins.astype(np.uint8)
+            self.of[group] = at + bins.astype(np.uint16)
             at += BINS
         self.end = at
         total = np.bincount(self.of, weight, at + 1)
@@ -135,8 +135,8 @@ def _training_codes(words, model, known, end, phase):
     count = max(1, -(-len(words) // BLOCK_WORDS))
     for block in range(phase % min(BLOCK_EVERY, count), count, BLOCK_EVERY):
         here = words[block * BLOCK_WORDS : (block + 1) * BLOCK_WORDS]
-        codes = b"".join([known[w][0] for w in here]) + (bytes([end]) if block == count - 1 else b"")
-        segments = model.segments(np.frombuffer(codes, np.uint8))
+        codes = b"".join([known[w][0] for w in here]) + (end if block == count - 1 else b"")
+        segments = model.segments(np.frombuffer(codes, np.uint16))
         # Within a text nothing is known of what stands before the block, so its first windows are left out.
         skipped = 0 if block == 0 else -(-CONTEXT // STRIDE) - 1
         yield from segments[skipped:]
@@ -146,7 +146,7 @@ def train(training, model, shared, classes, text="text"):
     """The model after the rounds; each task trains on its own windows, and parameters are averaged by them."""
     def windows(batches):
         known = Words(shared.value(), classes.value())
-        end = known.classes.end
+        end = np.uint16(known.classes.end).tobytes()
         for batch in batches:
             found = []
             for content in batch.column(0).to_pylist():
@@ -164,7 +164,7 @@ def train(training, model, shared, classes, text="text"):
             local, seen = start.value(), 0
             for batch in batches:
                 for content in batch.column(0).to_pylist():
-                    segments = np.frombuffer(content, np.uint8).reshape(-1, CONTEXT + 1)
+                    segments = np.frombuffer(content, np.uint16).reshape(-1, CONTEXT + 1)
                     order = np.random.default_rng(len(segments)).permutation(len(segments))
                     local = local.train(segments[order], rate)
                     seen += len(segments)
@@ -218,7 +218,7 @@ def score_texts(docs, held_out, vocabulary, text="text", id_column="doc_id"):
 
     def make():
         known, logs, trained = Words(shared.value(), classes.value()), hot.value(), learnt.value()
-        end = bytes([known.classes.end])
+        end = np.uint16(known.classes.end).tobytes()
 
         def run(texts):
             counts, hits, bases, shares, rares, parts = [], [], [], [], [], []
@@ -233,7 +233,7 @@ def score_texts(docs, held_out, vocabulary, text="text", id_column="doc_id"):
                 bases.append(fsum(frequent) + end_log)
                 rares.append(rare)
                 shares.append(fsum(e[1] for e in entries))
-                parts.append(trained.segments(np.frombuffer(b"".join([e[0] for e in entries]) + end, np.uint8)))
+                parts.append(trained.segments(np.frombuffer(b"".join([e[0] for e in entries]) + end, np.uint16)))
             sizes = np.array([len(p) for p in parts])
             sums = trained.log10(np.concatenate(parts)) if parts else np.zeros(0)
             scores = np.add.reduceat(sums, np.concatenate(([0], np.cumsum(sizes)[:-1]))) if parts else sums
