@@ -122,3 +122,13 @@ def list_array(lists, kind):
         offsets.append(offsets[-1] + len(one))
     flat = [x for one in lists for x in one]
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, kind))
+
+
+# Up to this many ids are copied to all tasks.
+BROADCAST_IDS = 2_000_000
+
+
+def sized(ids, limit=BROADCAST_IDS):
+    """A table of ids, written, and marked to be copied to all tasks if it has at most ``limit`` rows."""
+    stored = written(ids, "ids")
+    return F.broadcast(stored) if stored.count() <= limit else stored

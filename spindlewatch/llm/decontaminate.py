@@ -159,26 +159,24 @@ def without_leaks(docs, benchmark, text="text"):
     A cut reaches from the first to the last leaked word; what stands between words outside of cuts is kept as
     it is. Documents without leaks are left alone, also those that have no words.
     """
-    found = find_leaks(docs, benchmark, text)
-
-    schema = docs.schema
+    # The rows go along as they are, whatever their columns are called.
+    rows = docs.select(F.col(f"`{text}`").alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    found = find_leaks(rows, benchmark, keep=["_row"]).select("_row", "text", "leaks")
+    names = docs.columns
 
     def cut(batches):
         for batch in batches:
-            at = batch.schema.names.index(text)
-            contents = batch.column(at).to_pylist()
-            spans = batch.column(batch.schema.names.index("leaks")).to_pylist()
             kept, texts = [], []
-            for i, (content, leaks) in enumerate(zip(contents, spans)):
+            for i, (content, leaks) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
                 rest = cut_text(content, leaks) if leaks else content
                 if not leaks or words_of_text(rest.encode()):
                     kept.append(i)
                     texts.append(rest)
-            rows = batch.take(pa.array(kept, pa.int64()))
-            arrays = [pa.array(texts, pa.string()) if n == text else rows.column(n) for n in schema.names]
-            yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+            row = batch.column(0).take(pa.array(kept, pa.int64()))
+            arrays = [pa.array(texts, pa.string()) if n == text else row.field(n) for n in names]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return found.mapInArrow(cut, schema)
+    return found.mapInArrow(cut, docs.schema)
 
 
 def cut_text(content, leaks):

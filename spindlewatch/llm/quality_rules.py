@@ -75,10 +75,10 @@ def _with_repeats(df):
     ).drop("fours", "windows", "ordered", "located", "starts")
 
 
-def hashed_words(docs, text="text", id_column="doc_id"):
-    """Per row ``doc_id``, the text, and the hashes of its words and of its pairs of neighbouring words."""
+def hashed_words(docs, text="text", **columns):
+    """Per row the ``columns`` named, the text, and the hashes of its words and of pairs of neighbouring words."""
     return (
-        docs.select(F.col(id_column).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+        docs.select(*[c.alias(n) for n, c in columns.items()], F.coalesce(F.col(text), F.lit("")).alias("text"))
         .withColumn("words", words_of(F.col("text")))
         .withColumn("hashes", _hashes(F.col("words")))
         .withColumn("pairs", _joined(F.col("hashes"), F.col("hashes"), 1))
@@ -121,7 +121,7 @@ def bucket_weights(docs, trusted, text="text", id_column="doc_id", buckets=BUCKE
         .withColumn("is_trusted", F.lit(True))
     )
     grams = (
-        hashed_words(docs, text, id_column)
+        hashed_words(docs, text, doc_id=F.col(id_column))
         .join(F.broadcast(ids), "doc_id", "left")
         .select("is_trusted", F.explode(F.concat("hashes", "pairs")).alias("gram"))
         .select("is_trusted", F.pmod("gram", F.lit(buckets)).cast("int").alias("bucket"))
@@ -147,7 +147,9 @@ def bucket_weights(docs, trusted, text="text", id_column="doc_id", buckets=BUCKE
 
 
 def judge_quality(docs, trusted, text="text", id_column="doc_id", buckets=BUCKETS, threshold=THRESHOLD):
-    """Counts, base rules and verdict of every document: (doc_id, the counts, base_failed, llr, kept).
+    """Counts, base rules and verdict of every document: (doc_id, row, the counts, base_failed, llr, kept).
+
+    ``row`` is the whole row that was judged, with all columns it has.
 
     ``llr`` is the mean log ratio over the text's words and neighbouring pairs. A document is kept if the base
     rules pass it (ten words or more, at most a fifth of them in repeated windows) and its ``llr`` reaches
@@ -155,7 +157,8 @@ def judge_quality(docs, trusted, text="text", id_column="doc_id", buckets=BUCKET
     documents every ``llr`` is 0 and only the base rules decide. Rows with equal ids are judged one by one.
     """
     weights = bucket_weights(docs, trusted, text, id_column, buckets).scalar()
-    counted = text_counts(hashed_words(docs, text, id_column))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    counted = text_counts(hashed_words(docs, text, doc_id=F.col(id_column), row=whole))
     grams = F.when(F.col("n_words") > 0, 2 * F.col("n_words") - 1)
     total = F.aggregate(
         F.concat("hashes", "pairs"),
@@ -169,6 +172,7 @@ def judge_quality(docs, trusted, text="text", id_column="doc_id", buckets=BUCKET
         .withColumn("llr", F.coalesce(total / grams, F.lit(0.0)))
         .select(
             "doc_id",
+            "row",
             "n_words",
             "word_chars",
             "n_symbols",

@@ -22,15 +22,12 @@ import xxhash
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from spindlewatch.llm.common import LOWERED, map_texts, ship, written
+from spindlewatch.llm.common import LOWERED, map_texts, ship, sized, written
 from spindlewatch.llm.components import components
 
 ship(__name__)
 
 BLOCK = 256
-# Up to this many ids are copied to all tasks.
-BROADCAST_IDS = 2_000_000
-
 REMEMBERED = 300_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 SIGN = np.uint64(1 << 63)
@@ -128,10 +125,8 @@ def _full_sets(docs, text, id_column, size, wanted):
 
         return run
 
-    wanted = written(wanted, "wanted")
-    small = wanted.count() <= BROADCAST_IDS
     named = docs.select(F.col(id_column).cast("bigint").alias("rep"), F.col(text).alias("_text"))
-    side = (F.broadcast(wanted) if small else wanted).withColumnRenamed("rep", "_rep")
+    side = sized(wanted.withColumnRenamed("rep", "_rep"))
     chosen = named.join(side, named["rep"].eqNullSafe(F.col("_rep"))).drop("_rep")
     fields = [("_found", pa.binary(), "binary"), ("tokens", pa.list_(pa.int64()), "array<bigint>")]
     found = map_texts(chosen, "_text", fields, make, ["node", "key"])
@@ -307,7 +302,7 @@ def similar_components(docs, text="text", id_column="doc_id", size=3, percent=90
     null if none of its rows has an id. ``share`` of the hash space is counted to order shingles by frequency.
     Sets are compared by 64-bit hashes of shingles.
     """
-    share = share or min(0.9, 1.5 * (1 - percent / 100))
+    share = share or min(0.9, max(0.05, 1.5 * (1 - percent / 100)))
     sets = written(_sets(docs, text, id_column, size, percent, share), "sets")
     classes = written(_classes(sets), "classes")
     prefixes = written(_prefixes(classes, percent, share), "prefixes")
