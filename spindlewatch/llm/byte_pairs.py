@@ -27,7 +27,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 REMEMBERED = 300_000
 
 NO_MERGE = 1 << 62
-LONG = 200
+SHORT, LONG = 40, 200
 ASCII_SPACES = b" \t\n\x0b\x0c\r"
 
 
@@ -74,17 +74,25 @@ class BytePairs:
             left, right = (bytes(byte_of[c] for c in part) for part in (left, right))
             # One number holds the rank and the id, so that the least number is the first merge.
             self.merges[vocabulary[left] << 32 | vocabulary[right]] = rank << 32 | vocabulary[left + right]
+        # The same for pairs of bytes, by which every piece begins.
+        self.first = {
+            (a, b): self.merges.get(self.single[a] << 32 | self.single[b], NO_MERGE)
+            for a in range(256)
+            for b in range(256)
+        }
         inside = np.zeros((256, 256), bool)
         for token in vocabulary:
             both = np.frombuffer(token, np.uint8)
             inside[both[:-1], both[1:]] = True
         self.inside = inside
-        # White space before which a cut is certain whatever else stands there.
-        others = [b for b in range(256) if b not in ASCII_SPACES]
-        cut = bytes(w for w in ASCII_SPACES if not inside[others, w].any())
-        space = b"[" + b"".join(b"\\x%02x" % w for w in cut) + b"]"
-        word = b"[^" + space[1:]
-        self.cut = re.compile(space + b"*" + word + b"+|" + space + b"+" if cut else b"(?s).+").findall
+        # Cuts are before white space, but for the few bytes that some token has before white space.
+        spaces = list(ASCII_SPACES)
+        others = [b for b in range(256) if b not in spaces]
+        glued = [b for b in others if inside[b, spaces].any()]
+        plain = [b for b in others if b not in glued]
+        gap, glue, rest = (b"[" + b"".join(b"\\x%02x" % b for b in some) + b"]" for some in (spaces, glued, plain))
+        more = b"(?:" + glue + gap + b"*" + rest + b"*)" if glued else b"(?!)"
+        self.cut = re.compile(gap + b"*(?:" + rest + b"+" + more + b"*|" + more + b"+)|" + gap + b"+").findall
         self.special_at = re.compile(b"(" + b"|".join(map(re.escape, self.special)) + b")") if self.special else None
         self.pieces = regex.compile(PATTERN).findall
         self.known = Fragments(self.encode_fragment)
@@ -100,32 +108,40 @@ class BytePairs:
         return list(chain.from_iterable(map(self.known.__getitem__, self.cut(text))))
 
     def encode_fragment(self, fragment):
-        ids = []
-        for piece in self.pieces(fragment.decode()):
-            data = piece.encode()
-            values = np.frombuffer(data, np.uint8)
-            start = 0
-            if len(data) > 1:
-                for end in np.flatnonzero(~self.inside[values[:-1], values[1:]]).tolist():
-                    ids += self.merge(data[start : end + 1])
-                    start = end + 1
-            ids += self.merge(data[start:])
+        text = fragment.decode()
+        # A word of Latin letters with a space before it is one piece; all else is split by the pattern.
+        if max(text) < "\u0250" and text[text[0] == " " :].isalpha():
+            ids = self.merge_cut(fragment)
+        else:
+            ids = [i for piece in self.pieces(text) for i in self.merge_cut(piece.encode())]
         return tuple(map(self.numbers.__getitem__, ids))
 
+    def merge_cut(self, data):
+        """Merges of one piece. Within a short one, no merge crosses a certain cut; a long one is cut first."""
+        if len(data) <= SHORT:
+            return self.merge(data)
+        values = np.frombuffer(data, np.uint8)
+        ids, start = [], 0
+        for end in np.flatnonzero(~self.inside[values[:-1], values[1:]]).tolist():
+            ids += self.merge(data[start : end + 1])
+            start = end + 1
+        return ids + self.merge(data[start:])
+
     def merge(self, data):
         """Merges within one cut piece, the first in rank first and of equals the leftmost."""
-        ids = [self.single[b] for b in data]
+        ids = list(map(self.single.__getitem__, data))
         if len(ids) > LONG:
             return self.merge_long(ids)
+        if len(ids) == 1:
+            return ids
         get = self.merges.get
-        ranks = [get(a << 32 | b, NO_MERGE) for a, b in zip(ids, ids[1:])]
-        while ranks:
-            best = min(ranks)
-            if best == NO_MERGE:
-                break
+        ranks = list(map(self.first.__getitem__, zip(data, data[1:])))
+        while (best := min(ranks)) != NO_MERGE:
             i, new = ranks.index(best), best & 0xFFFFFFFF
-            ids[i : i + 2] = [new]
-            del ranks[i]
+            ids[i] = new
+            del ids[i + 1], ranks[i]
+            if not ranks:
+                break
             if i < len(ranks):
                 ranks[i] = get(new << 32 | ids[i + 1], NO_MERGE)
             if i:
