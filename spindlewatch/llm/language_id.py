@@ -6,6 +6,7 @@ sample of the labelled rows and pruned to a bounded size, since every task gets
 """
 
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,7 @@ from spindlewatch.llm.common import Shared, map_texts, ship
 ship(__name__)
 
 # Bounds of the model: labelled rows it is fitted on, and entries kept per language and table.
-FIT_ROWS = 20_000
+FIT_ROWS = 8_000
 TABLE_ENTRIES = 20_000
 NGRAMS = (5, 4, 3, 2, 1)
 SMOOTHING = 0.5
@@ -44,19 +45,20 @@ def _counted(sample, text, language):
     """Counts per language, table (0: words, n: n-grams) and entry, the most frequent of each table."""
 
     def count(batches):
+        words, total = Counter(), Counter()
         for batch in batches:
-            total = Counter()
             for content, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for word, times in Counter(words_in(content)).items():
-                    total[lang, 0, word] += times
-                    for n in NGRAMS:
-                        for gram in ngrams_of(word, n):
-                            total[lang, n, gram] += times
-            langs, sizes, entries = zip(*total) if total else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(langs, pa.string()), pa.array(sizes, pa.int32()), pa.array(entries, pa.string()), pa.array(total.values(), pa.int64())],
-                names=["lang", "size", "entry", "n"],
-            )
+                words.update((lang, word) for word in words_in(content))
+        for (lang, word), times in words.items():
+            total[lang, 0, word] += times
+            for n in NGRAMS:
+                for gram in ngrams_of(word, n):
+                    total[lang, n, gram] += times
+        langs, sizes, entries = zip(*total) if total else ((), (), ())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(langs, pa.string()), pa.array(sizes, pa.int32()), pa.array(entries, pa.string()), pa.array(list(total.values()), pa.int64())],
+            names=["lang", "size", "entry", "n"],
+        )
 
     rows = sample.select(F.col(text).alias("text"), F.col(language).alias("lang"))
     counted = rows.mapInArrow(count, "lang string, size int, entry string, n bigint")
@@ -64,31 +66,53 @@ def _counted(sample, text, language):
 
 
 class Languages:
-    """Log frequencies per language: for each table a row per entry, and what an unseen entry has."""
+    """Log frequencies per language: one row per entry of any table, and the tables' rows by entry."""
 
     def __init__(self, counts):
         self.languages = sorted({lang for lang, _, _, _ in counts})
         column = {lang: i for i, lang in enumerate(self.languages)}
-        tables, self.tables = {}, {}
+        tables = {}
         for lang, size, entry, n in counts:
             tables.setdefault(size, {}).setdefault(entry, {})[column[lang]] = n
+        self.rows, parts, first = {}, [], 0
         for size, table in tables.items():
-            kept = sorted(table)
-            values = np.zeros((len(kept), len(self.languages)))
-            for i, entry in enumerate(kept):
+            values = np.zeros((len(table), len(self.languages)))
+            entries = sorted(table)
+            for i, entry in enumerate(entries):
                 for j, n in table[entry].items():
                     values[i, j] = n
-            totals = values.sum(axis=0) + SMOOTHING * len(kept)
-            self.tables[size] = ({e: i for i, e in enumerate(kept)}, np.log((values + SMOOTHING) / totals))
-
-    def score(self, word):
-        """Log frequency of a word in each language, by its word or else its longest known n-grams."""
-        for size in (0, *NGRAMS):
-            index, values = self.tables.get(size, ({}, None))
-            rows = [index[g] for g in ([word] if size == 0 else ngrams_of(word, size)) if g in index]
+            totals = values.sum(axis=0) + SMOOTHING * len(entries)
+            parts.append(np.log((values + SMOOTHING) / totals))
+            self.rows[size] = {entry: first + i for i, entry in enumerate(entries)}
+            first += len(entries)
+        # The last row is for words of which nothing is known.
+        self.values = np.concatenate([*parts, np.zeros((1, len(self.languages)))])
+
+    def rows_of(self, word):
+        """Rows that a word is scored by: its own, or those of its longest known n-grams."""
+        row = self.rows.get(0, {}).get(word)
+        if row is not None:
+            return (row,)
+        for size in NGRAMS:
+            index = self.rows.get(size, {})
+            rows = tuple([index[g] for g in ngrams_of(word, size) if g in index])
             if rows:
-                return values[rows].mean(axis=0)
-        return np.zeros(len(self.languages))
+                return rows
+        return (len(self.values) - 1,)
+
+
+class KnownWords(dict):
+    """Rows of words already seen."""
+
+    def __init__(self, languages):
+        super().__init__()
+        self.languages = languages
+
+    def __missing__(self, word):
+        if len(self) >= REMEMBERED:
+            self.clear()
+        rows = self[word] = self.languages.rows_of(word)
+        return rows
 
 
 def fit(labelled, text="text", language="lang", order="doc_id", rows=FIT_ROWS, entries=TABLE_ENTRIES):
@@ -123,27 +147,18 @@ def predict(docs, model, text="text", keep=None):
 
     def make():
         languages = shared.value()
-        names = languages.languages
-        rows, known = [], {}
-
-        def row_of(word):
-            if len(rows) >= REMEMBERED:
-                rows.clear()
-                known.clear()
-            known[word] = len(rows)
-            rows.append(languages.score(word))
-            return rows[-1]
+        names, known = languages.languages, KnownWords(languages)
 
         def one(content):
             if content is None:
                 return UNDETERMINED, 0.0
-            string = content.decode()
-            counts = Counter(words_in(string))
+            counts = Counter(words_in(content.decode()))
             if not counts or not names:
                 return UNDETERMINED, 0.0
-            scores = np.array([rows[known[w]] if w in known else row_of(w) for w in counts])
+            rows = list(map(known.__getitem__, counts))
+            sizes = np.fromiter(map(len, rows), int, len(rows))
             times = np.fromiter(counts.values(), float, len(counts))
-            total = times @ scores
+            total = np.repeat(times / sizes, sizes) @ languages.values[list(chain.from_iterable(rows))]
             share = np.exp((total - total.max()) / times.sum())
             best = int(np.argmax(total))
             return names[best], float(share[best] / share.sum())
