@@ -4,7 +4,7 @@
 2. Shingles have one order for all sets: those in a fixed share of the hash space first, rare ones before
    frequent ones. Sets as similar as asked share a shingle among their first ones, the prefix. Shingles that
    only one set has are counted, but no index list is made for them.
-3. Index lists with the same members are one list. A list is cut into blocks of similar set sizes; a pair of
+3. Index lists with the same leader, the member with most copies, are one list. A list is cut into blocks of similar set sizes; a pair of
    blocks is skipped when their sizes, or the positions of the shared shingle in their sets, leave too few
    shingles to share, and when all members are known to be connected.
 4. Members are compared with the leader of their block first, which connects most of a group of copies. What
@@ -168,20 +168,20 @@ def _prefixes(classes, percent, share):
 
 
 def _members(prefixes, classes):
-    """(list, node, pos, n, copies, band): index lists, those with the same members as one."""
-    lists = (
-        prefixes.groupBy("token")
-        .agg(
-            F.count(F.lit(1)).alias("size"),
-            F.bit_xor(F.xxhash64("node")).alias("x"),
-            F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
-        )
+    """(list, node, pos, n, copies): index lists by their leader, the member with most copies.
+
+    Lists of one leader are one list: the members of a group of copies share many shingles, and would
+    otherwise meet once for each.
+    """
+    rows = prefixes.join(classes.select("node", "copies"), "node")
+    leaders = (
+        rows.groupBy("token")
+        .agg(F.count(F.lit(1)).alias("size"), F.max(F.struct("copies", "node")).alias("lead"))
         .where("size > 1")
+        .select("token", F.col("lead.node").alias("list"))
     )
-    same = lists.groupBy("size", "x", "y").agg(F.min("token").alias("list"))
-    named = lists.join(same, ["size", "x", "y"]).select("token", "list")
-    rows = prefixes.join(named, "token").groupBy("list", "node").agg(F.min("pos").alias("pos"), F.first("n").alias("n"))
-    return rows.join(classes.select("node", "copies"), "node")
+    grouped = rows.join(leaders, "token").groupBy("list", "node")
+    return grouped.agg(F.min("pos").alias("pos"), F.first("n").alias("n"), F.first("copies").alias("copies"))
 
 
 def _enough(percent, shared, n, m):
