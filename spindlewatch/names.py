@@ -7,7 +7,6 @@ ACTIVITIES = "system_activities"
 
 # The loader's entry in the activities table.
 LOADER_KEY = "LOADER_STATUS"
-LOADER_STARTED = "STARTED"
 LOADER_FINISHED = "FINISHED"
 
 # Temperature labels, as published to the control topic.
@@ -28,7 +27,6 @@ HARVEST_INTERVAL = "2.5 seconds"
 
 # Machine profiles.
 MIN_MACHINES = 1
-MAX_MACHINES = 1_000_000
 CRITICAL_MARGIN = 60
 DEFAULT_FAULTY_ODDS = 0.1
 

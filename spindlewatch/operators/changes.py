@@ -12,7 +12,8 @@ def label_changes(df, key="serialNum", order="windowEnd", label="label", initial
     """Rows of ``df`` whose ``label`` is not the label of the previous row of the same ``key``.
 
     The first row of a key is compared with ``initial``, a text or a column. ``order`` is a number unique
-    within a key.
+    within a key. A row without a label says nothing: it is left out before rows are compared, so it is neither
+    a change itself nor does it make the next row one.
 
     The history of a key is cut into slices of ``slice_span`` (in units of ``order``), so that no task gets
     the whole history of a busy machine: rows are compared inside (key, slice), and only the one row that
@@ -23,6 +24,7 @@ def label_changes(df, key="serialNum", order="windowEnd", label="label", initial
     ``slice_span=None`` leaves histories whole, for rows known to span no more than a slice would.
     """
     first = initial if isinstance(initial, Column) else F.lit(initial)
+    df = df.where(F.col(label).isNotNull())
     if slice_span is None:
         previous = F.lag(label).over(Window.partitionBy(key).orderBy(order))
         compared = df.withColumn("_previous", F.coalesce(previous, first))

@@ -40,7 +40,8 @@ def with_faulty_odds(rows, profiles, default=names.DEFAULT_FAULTY_ODDS, key="ser
 def unmatched_keys(rows, profiles, key="serialNum"):
     """Keys of ``rows`` without a profile, with their row counts.
 
-    Rows are counted first, so the join sees each key once however often it occurs.
+    Where the profiles are shuffled, rows are counted before the join. Where they are small enough to go to
+    every task, Spark joins first and counts what is left, without a shuffle of the rows either way.
     """
     counted = rows.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
     return counted.join(profiles.select(key), key, "left_anti")

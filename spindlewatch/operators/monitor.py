@@ -29,11 +29,6 @@ def status_of(status, machines, status_key="serialNumber", key="serialNum"):
     return status.join(machines, status[status_key] == machines[key], "left_semi")
 
 
-def status_of_list(status, serials, status_key="serialNumber"):
-    """Status rows of a short literal list of machines."""
-    return status.where(F.col(status_key).isin(list(serials)))
-
-
 def monitor_rows(status):
     """Status rows in the monitor's columns and types."""
     return status.select(

@@ -29,6 +29,34 @@ def dense_index(df, order, index, bounds=None, bits=SLICE_BITS):
     )
 
 
+def nth_smallest(df, column, n, bits=SLICE_BITS):
+    """The ``n``-th smallest (from 1) of the values of ``column``, a unique 64-bit integer; None if there are fewer.
+
+    The values are counted in at most ``2**bits`` ranges; the range that holds the ``n``-th is counted in
+    ranges again, until a range is one value. Only those counts come to the driver, and each count reads only
+    the range it is about.
+    """
+    low, high = df.agg(F.min(column), F.max(column)).first()
+    if low is None:
+        return None
+    while True:
+        shift = max(0, (high - low).bit_length() - bits)
+        within = df.where(F.col(column).between(F.lit(low), F.lit(high)))
+        # The difference of two 64-bit numbers need not be one, the difference of halves is.
+        part = F.shiftright(F.col(column), shift) - F.lit(low >> shift)
+        counts = within.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("rows")).collect()
+        for row in sorted(counts):
+            if n <= row.rows:
+                break
+            n -= row.rows
+        else:
+            return None
+        start = ((low >> shift) + row.part) << shift
+        low, high = max(low, start), min(high, start + (1 << shift) - 1)
+        if low == high:
+            return low
+
+
 def _starts(counts, slice_column, width, bits):
     """Rows before each slice: (slice, _start). Slice numbers differ by less than ``2**width``."""
     before = Window.orderBy(slice_column).rowsBetween(Window.unboundedPreceding, -1)

@@ -4,35 +4,43 @@ from pyspark.sql import functions as F
 
 from spindlewatch import names
 from spindlewatch.functions.labels import critical_limit
-from spindlewatch.operators.numbering import dense_index
+from spindlewatch.operators.numbering import dense_index, nth_smallest
 
 # Up to this many template rows, and bytes of text, a copy goes to every task.
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 
-def check_machine_count(count):
-    """The fleet size as an integer in range."""
+def check_machine_count(count, most=None):
+    """The fleet size as an integer, at least one, and no more than ``most`` if that is given."""
     try:
         number = int(str(count), 10)
     except ValueError:
         raise ValueError(f"machine count {count!r} is not an integer") from None
-    if not names.MIN_MACHINES <= number <= names.MAX_MACHINES:
-        raise ValueError(
-            f"machine count must be between {names.MIN_MACHINES:,} and {names.MAX_MACHINES:,} inclusive"
-        )
+    if number < names.MIN_MACHINES:
+        raise ValueError(f"machine count must be at least {names.MIN_MACHINES:,}")
+    if most is not None and number > most:
+        raise ValueError(f"machine count must be between {names.MIN_MACHINES:,} and {most:,} inclusive")
     return number
 
 
 def top_up(candidates, existing, target, seq="seq"):
-    """The first candidates, by ``seq``, that bring ``existing`` rows to ``target``; none if there are enough.
+    """The first candidates, by the unique ``seq``, that bring ``existing`` rows to ``target``; none if there are
+    enough.
 
-    Candidates are numbered in slices: a sort with a limit would pass all of them through one task.
+    The last ``seq`` that is needed is found from counts, and the candidates are then read up to it: nothing is
+    sorted, and what is not taken need not be read.
     """
     needed = max(0, target - existing)
     if needed == 0:
         return candidates.limit(0)
-    return dense_index(candidates, seq, "_index").where(F.col("_index") < needed).drop("_index")
+    last = nth_smallest(candidates, seq, needed)
+    return candidates if last is None else candidates.where(F.col(seq) <= F.lit(last))
+
+
+def _bytes(column):
+    """About what a value takes in memory."""
+    return F.coalesce(F.octet_length(F.col(column).cast("string")), F.lit(0)) + 16
 
 
 def round_robin(candidates, templates, seq="seq", line="line"):
@@ -42,7 +50,7 @@ def round_robin(candidates, templates, seq="seq", line="line"):
         F.count(F.lit(1)).alias("rows"),
         F.min(line).alias("first"),
         F.max(line).alias("last"),
-        F.sum(F.coalesce(F.octet_length("location"), F.lit(0)) + F.coalesce(F.octet_length("block"), F.lit(0)) + 16).alias("bytes"),
+        F.sum(sum((_bytes(c) for c in templates.columns), F.lit(0))).alias("bytes"),
     ).first()
     if size.rows == 0:
         raise ValueError("there are no profile templates to hand out")

@@ -13,7 +13,7 @@ from spindlewatch.operators.refdata import (
     top_up,
 )
 from spindlewatch.schemas import MACHINE_PROFILE
-from spindlewatch.sources.tables import activity_value, note_activity, read_profiles, write_profiles
+from spindlewatch.sources.tables import activity_value, note_activities, read_profiles, write_profiles
 
 _VERSION_KEY = "PROFILES_VERSION"
 
@@ -21,8 +21,9 @@ _VERSION_KEY = "PROFILES_VERSION"
 class ProfileStore:
     """Machine profiles and the activities ledger under one folder.
 
-    A load writes a new version of the table beside the old one, and then notes it in the ledger: readers
-    see the old table or the new one, and a load that dies half-way can simply be run again.
+    A load writes a new version of the table beside the old one, and then notes in the ledger, in one entry of
+    several keys, the version and that the load is finished: readers see the old table or the new one, and a
+    load that dies anywhere is as if it had not begun.
     """
 
     def __init__(self, spark, root):
@@ -37,29 +38,32 @@ class ProfileStore:
         version = activity_value(self.spark, self.ledger, _VERSION_KEY)
         return read_profiles(self.spark, f"{self.root}/{names.PROFILES}/{version}")
 
-    def replace(self, profiles):
-        """Make ``profiles`` the table's content."""
+    def replace(self, profiles, notes=None):
+        """Make ``profiles`` the table's content, and note ``notes`` with it."""
         version = f"version-{uuid.uuid4().hex}"
         write_profiles(profiles, f"{self.root}/{names.PROFILES}/{version}")
-        note_activity(self.spark, self.ledger, _VERSION_KEY, version)
+        note_activities(self.spark, self.ledger, {_VERSION_KEY: version, **(notes or {})})
 
-    def load_once(self, candidates, templates, machine_count):
+    def load_once(self, candidates, templates, machine_count, most=None):
         """Bring the fleet up to ``machine_count`` and return how many candidates were loaded, or None if a
         load has finished before.
 
         ``candidates`` has the profile's own columns (serialNum, manufacturer, warningTemp, maxRPM) and
         ``seq``, their order; location, block and fault odds come from the templates in turn. A later
-        candidate replaces an earlier one, or a stored profile, with the same serial number.
+        candidate replaces an earlier one, or a stored profile, with the same serial number. A count above
+        ``most``, if that is given, is refused.
         """
-        target = check_machine_count(machine_count)
+        target = check_machine_count(machine_count, most)
         if self.status() == names.LOADER_FINISHED:
             return None
         stored = self.read()
         existing = stored.count()
         needed = max(0, target - existing)
+        finished = {names.LOADER_KEY: names.LOADER_FINISHED}
         if needed:
             chosen = complete_profiles(round_robin(top_up(candidates, existing, target), templates))
             typed = chosen.select("seq", *[F.col(f.name).cast(f.dataType).alias(f.name) for f in MACHINE_PROFILE])
-            self.replace(put_rows(stored, typed))
-        note_activity(self.spark, self.ledger, names.LOADER_KEY, names.LOADER_FINISHED)
+            self.replace(put_rows(stored, typed), finished)
+        else:
+            note_activities(self.spark, self.ledger, finished)
         return needed

@@ -7,9 +7,8 @@ import json
 
 from pyspark.sql import functions as F
 
-from spindlewatch import names, schemas
+from spindlewatch import schemas
 from spindlewatch.functions.json_codec import decode_events, encode_events, malformed_events
-from spindlewatch.functions.labels import critical_limit
 from spindlewatch.functions.shared import map_with_resource
 from spindlewatch.functions.text import status_line
 from spindlewatch.functions.times import to_epoch_ms, utc_timestamp
@@ -52,13 +51,14 @@ from spindlewatch.sources.tables import (
     point_lookup,
     read_profiles,
     read_table,
+    register_tables,
     write_profiles,
 )
-from spindlewatch.sources.templates import accepted_templates, rejected_lines
+from spindlewatch.sources.templates import accepted_templates, read_lines, rejected_lines
 from spindlewatch.sources.topics import file_messages
 from spindlewatch.streaming.feeds import Subscription, key_feed
 from spindlewatch.streaming.keyed_table import KeyedTable
-from spindlewatch.streaming.sinks import log_lines, message_batch_sink, tee, write_messages
+from spindlewatch.streaming.sinks import log_lines, logged, message_batch_sink, tee, write_messages
 
 DAILY = MonitorOptions(width="1 day", trigger=(("availableNow", True),))
 PLACE, BLOCK = "NATION_11", "MACHINERY"
@@ -192,16 +192,35 @@ def location_block_count(spark, sf_dir):
     return match_count(profiles(spark, sf_dir), PLACE, BLOCK)
 
 
-@query(f"WITH {_PROFILES} SELECT * FROM profiles WHERE location = '{PLACE}' AND block = '{BLOCK}'")
+@query(
+    f"WITH {_PROFILES}, placed AS (SELECT * REPLACE (CASE WHEN location = '{OTHER_PLACE}' THEN '' ELSE location END AS location) "
+    f"FROM profiles) SELECT * FROM placed WHERE location IN ('{PLACE}', '') AND block = '{BLOCK}'"
+)
 def stored_location_selection(spark, sf_dir):
-    """The selection on profiles stored by location: only that location's folder is read."""
+    """A selection on profiles stored by location, one of them without a name: only those folders are read."""
     path = run_dir(spark, "profiles")
-    write_profiles(profiles(spark, sf_dir).withColumn("serialNum", F.col("serialNum").cast("string")), path)
+    place = F.when(F.col("location") == OTHER_PLACE, "").otherwise(F.col("location"))
+    placed = profiles(spark, sf_dir).withColumns({"location": place, "serialNum": F.col("serialNum").cast("string")})
+    write_profiles(placed, path)
     stored = read_profiles(spark, path)
-    chosen = stored.join(matching_machines(stored, PLACE, BLOCK), "serialNum", "left_semi")
+    chosen = stored.where(F.col("location").isin(PLACE, "") & (F.col("block") == BLOCK))
     return chosen.withColumn("serialNum", F.col("serialNum").cast("bigint"))
 
 
+@query(
+    f"WITH {_AVERAGES}, {_STATUS}, {_PROFILES} SELECT serialNumber, averageBitTemp10s, eventTime FROM status JOIN profiles "
+    f"ON serialNumber = serialNum WHERE location = '{PLACE}'"
+)
+def sql_names(spark, sf_dir):
+    """The tables under their SQL names."""
+    register_tables(spark, profiles=profiles(spark, sf_dir), status=status_table_rows(spark, sf_dir))
+    return spark.sql(
+        "SELECT serialNumber, averageBitTemp10s, eventTime FROM machine_status JOIN machine_profiles "
+        "ON serialNumber = serialNum WHERE location = :place",
+        args={"place": PLACE},
+    )
+
+
 # ---- messages ---------------------------------------------------------------------------------------
 
 
@@ -327,6 +346,27 @@ def label_changes(spark, sf_dir):
     return monitored_changes(telemetry(spark, sf_dir), limits(spark, sf_dir), DAILY)
 
 
+# Temperatures that are missing, and the label of an average that is missing for it.
+_SPARSE = (
+    "telemetry AS (SELECT user_id AS serialNum, ts, CASE WHEN event_type = 'click' THEN CAST(floor(value) AS SMALLINT) END "
+    f"AS bitTemp FROM events), {_averages()}, {_PROFILES}, {_LABELLED.replace('CASE WHEN', 'CASE WHEN avgTemp IS NULL THEN NULL WHEN')}"
+)
+
+
+@query(
+    f"WITH {_SPARSE}, known AS (SELECT * FROM labelled WHERE label IS NOT NULL), "
+    f"{_CHANGES.replace('FROM labelled', 'FROM known')} SELECT * FROM changes"
+)
+def label_changes_missing(spark, sf_dir):
+    """Changes where some windows have no temperature at all: those are passed over."""
+    events = table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("serialNum"),
+        F.col("ts").alias("timestamp"),
+        F.when(F.col("event_type") == "click", F.floor("value").cast("smallint")).alias("bitTemp"),
+    )
+    return monitored_changes(events, limits(spark, sf_dir), DAILY)
+
+
 @query(
     f"WITH {_MONITOR} SELECT CAST(serialNum AS VARCHAR) AS key, windowEnd, label AS value, CASE label WHEN 'red' THEN "
     "'reduce speed' ELSE 'resume normal speed' END AS action, serialNum || CASE label WHEN 'red' THEN "
@@ -380,6 +420,15 @@ def monitor_union(spark, sf_dir):
     return accumulate(first, _monitored(spark, sf_dir, OTHER_PLACE, OTHER_BLOCK))
 
 
+@query(f"WITH {_AVERAGES}, {_STATUS}, {_PROFILES} {_MONITOR_COLUMNS} ({_selection(PLACE, BLOCK)})")
+def monitor_blank(spark, sf_dir):
+    """A blank location or block selects nothing and adds nothing."""
+    seen = _monitored(spark, sf_dir, PLACE, BLOCK)
+    for place, block in (("", BLOCK), (PLACE, None)):
+        seen = accumulate(seen, _monitored(spark, sf_dir, place, block))
+    return seen
+
+
 # ---- reference data ---------------------------------------------------------------------------------
 
 
@@ -407,6 +456,19 @@ def template_rejected(spark, sf_dir):
     return rejected_lines(_customer_lines(spark, sf_dir))
 
 
+@query(
+    f"WITH {_CUSTOMER_LINES}, numbered AS (SELECT line AS key, row_number() OVER (ORDER BY line) - 1 AS line FROM lines) "
+    "SELECT numbered.line, location, block, faultyFraction FROM accepted JOIN numbered ON accepted.line = key"
+)
+def template_files(spark, sf_dir):
+    """Templates from several files, whose lines are numbered through in the order of the files."""
+    folder = run_dir(spark, "templates")
+    lines = _customer_lines(spark, sf_dir).repartitionByRange(3, "line").sortWithinPartitions("line")
+    lines.select("value").write.text(folder)
+    accepted = accepted_templates(read_lines(spark, folder))
+    return accepted.withColumn("faultyFraction", F.col("faultyFraction").cast("double"))
+
+
 @query(
     f"WITH {_TEMPLATES} SELECT c_custkey AS seq, c_name AS serialNum, location, block, faultyFraction FROM customer "
     "JOIN templates ON turn = c_custkey % (SELECT count(*) FROM templates)"
@@ -433,9 +495,9 @@ def refdata_topup(spark, sf_dir):
 
 _LOAD = (
     f"debt AS (SELECT {_PROFILE_COLUMNS} FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal < 0), "
-    "size AS (SELECT (SELECT count(*) FROM debt) AS e, (SELECT count(*) FROM orders) AS o), "
+    "size AS (SELECT count(*) AS o FROM orders), "
     "chosen AS (SELECT * FROM orders QUALIFY row_number() OVER (ORDER BY o_orderkey) <= "
-    "(SELECT greatest(0, least(1000000, e + o // 2) - e) FROM size)), "
+    "(SELECT o // 2 FROM size)), "
     "placed AS (SELECT o_orderkey AS seq, CAST(o_custkey AS VARCHAR) AS serialNum, location, block, "
     "CAST(faultyFraction AS FLOAT) AS faultyOdds, o_orderpriority AS manufacturer, "
     "CAST(20 + 20 * (o_orderkey % 4) AS SMALLINT) AS warningTemp, CAST(80 + 20 * (o_orderkey % 4) AS SMALLINT) AS criticalTemp, "
@@ -445,9 +507,12 @@ _LOAD = (
 )
 
 
-@query(f"WITH {_TEMPLATES}, {_LOAD} SELECT * FROM loaded UNION ALL BY NAME SELECT * FROM kept ANTI JOIN loaded USING (serialNum)")
-def load_profiles(spark, sf_dir):
-    """The whole load into a store that has some profiles already: the store's content afterwards."""
+_LOADED = (
+    f"WITH {_TEMPLATES}, {_LOAD} SELECT * FROM loaded UNION ALL BY NAME SELECT * FROM kept ANTI JOIN loaded USING (serialNum)"
+)
+
+
+def _load(spark, sf_dir, times):
     store = ProfileStore(spark, run_dir(spark, "store"))
     in_debt = profiles(spark, sf_dir, table(spark, sf_dir, "customer").where("c_acctbal < 0"))
     store.replace(in_debt.withColumn("serialNum", F.col("serialNum").cast("string")))
@@ -460,10 +525,23 @@ def load_profiles(spark, sf_dir):
         F.lit(8000).alias("maxRPM"),
     )
     target = in_debt.count() + orders.count() // 2
-    store.load_once(candidates, _templates(spark, sf_dir), min(target, names.MAX_MACHINES))
+    for i in range(times):
+        store.load_once(candidates, _templates(spark, sf_dir), target + i)
     return store.read()
 
 
+@query(_LOADED)
+def load_profiles(spark, sf_dir):
+    """The whole load into a store that has some profiles already: the store's content afterwards."""
+    return _load(spark, sf_dir, 1)
+
+
+@query(_LOADED)
+def load_profiles_again(spark, sf_dir):
+    """A second load, of more machines, finds the first one finished and does nothing."""
+    return _load(spark, sf_dir, 2)
+
+
 @query(
     f"WITH {_AVERAGES}, {_STATUS} SELECT 'MachineStatus{{serialNumber=''' || serialNumber || ''', averageBitTemp10s=' || "
     "averageBitTemp10s || ', eventTime=' || eventTime || '}' AS value FROM status"
@@ -475,6 +553,15 @@ def log_status_lines(spark, sf_dir):
     return spark.read.text(f"{folder}/status")
 
 
+@query(f"WITH {_AVERAGES}, {_STATUS} SELECT serialNumber, averageBitTemp10s, eventTime FROM status")
+def logged_status(spark, sf_dir):
+    """Status rows that are logged on their way and come out as they went in."""
+    folder = make_folder(spark, run_dir(spark, "log"))
+    text = status_table_rows(spark, sf_dir).withColumn("serialNumber", F.col("serialNumber").cast("string"))
+    passed = logged(text, "status", folder, status_line())
+    return passed.withColumn("serialNumber", F.col("serialNumber").cast("bigint"))
+
+
 # ---- streams: run over the whole table, and stopped when all of it has been read ------------------------
 
 
@@ -513,12 +600,12 @@ def stream_logged_status(spark, sf_dir):
 
 @query(f"WITH {_CLOSED_MONITOR} SELECT serialNum, windowEnd, label FROM changes")
 def stream_label_changes(spark, sf_dir):
-    """Label changes with the labels in Spark's state store."""
+    """The label branch as a query of its own."""
     root = run_dir(spark, "labels")
-    sink = {"fmt": "parquet", "path": f"{root}/rows", "rows": True}
-    query = start_label_query(spark, telemetry_stream(spark, sf_dir), limits(spark, sf_dir), root, sink, DAILY)
+    events = telemetry_stream(spark, sf_dir)
+    query, changes = start_label_query(spark, events, limits(spark, sf_dir), root, DAILY, key_type="bigint")
     query.awaitTermination()
-    return read_table(spark, f"{root}/rows", schemas.label_change(key_type="bigint"))
+    return changes.history()
 
 
 @query(f"WITH {_CLOSED}, {_STATUS} SELECT * FROM status QUALIFY row_number() OVER (PARTITION BY serialNumber ORDER BY eventTime DESC) = 1")
@@ -529,12 +616,14 @@ def stream_latest_status(spark, sf_dir):
     return status_rows(averages.latest())
 
 
-def _run_monitor(spark, sf_dir):
+def _monitor(spark, sf_dir):
     root = run_dir(spark, "monitor")
     publish = message_batch_sink("parquet", path=f"{root}/controls")
-    monitor = TemperatureMonitor(
-        spark, root, lambda: limits(spark, sf_dir), publish, DAILY, key_type="bigint"
-    )
+    return TemperatureMonitor(spark, root, lambda: limits(spark, sf_dir), publish, DAILY, key_type="bigint")
+
+
+def _run_monitor(spark, sf_dir):
+    monitor = _monitor(spark, sf_dir)
     monitor.start(telemetry_stream(spark, sf_dir)).awaitTermination()
     return monitor
 
@@ -581,12 +670,35 @@ def stream_control_actions(spark, sf_dir):
 
 @query(f"WITH {_CLOSED}, {_STATUS}, {_PROFILES} {_MONITOR_COLUMNS} ({_selection(PLACE, BLOCK)})")
 def stream_monitor(spark, sf_dir):
-    """A subscription to one location and block, fed by the status table of a running monitor."""
+    """Two selections, one after the other, on the status table of a monitor: the first is made before the
+    monitor has put anything and sees all of it, the second afterwards and sees nothing."""
+    monitor = _monitor(spark, sf_dir)
+    subscription = Subscription(
+        spark, monitor.averages, lambda: profiles(spark, sf_dir), {"processingTime": "1 second"}, status_rows
+    )
+    first = subscription.select(PLACE, BLOCK)
+    monitor.start(telemetry_stream(spark, sf_dir)).awaitTermination()
+    seen = _harvested(subscription, first)
+    then = subscription.select(OTHER_PLACE, OTHER_BLOCK)
+    seen = accumulate(seen, _harvested(subscription, then))
+    subscription.stop()
+    return seen
+
+
+def _harvested(subscription, machines):
+    if machines:
+        subscription.query.processAllAvailable()
+    return subscription.results().withColumn("event_time", to_epoch_ms(F.col("event_time")))
+
+
+@query(f"WITH {_CLOSED}, {_STATUS}, {_PROFILES} {_MONITOR_COLUMNS} ({_selection(OTHER_PLACE, OTHER_BLOCK)})")
+def stream_monitor_earliest(spark, sf_dir):
+    """A selection made after all rows were put, from the earliest one on."""
     monitor = _run_monitor(spark, sf_dir)
     subscription = Subscription(
-        spark, monitor.status_stream, lambda: profiles(spark, sf_dir), trigger=dict(DAILY.trigger)
+        spark, monitor.averages, lambda: profiles(spark, sf_dir), dict(DAILY.trigger), status_rows, "earliest"
     )
-    if subscription.select(PLACE, BLOCK):
+    if subscription.select(OTHER_PLACE, OTHER_BLOCK):
         subscription.query.awaitTermination()
     return subscription.results().withColumn("event_time", to_epoch_ms(F.col("event_time")))
 

@@ -12,6 +12,10 @@ from spindlewatch.functions.times import to_epoch_ms, utc_timestamp
 from spindlewatch.sources.topics import stream_table
 
 
+# Bounds a micro-batch, and with it the state that it touches.
+FILES_PER_BATCH = 64
+
+
 def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -29,9 +33,13 @@ def telemetry(spark, sf_dir):
     return _telemetry(table(spark, sf_dir, "events"))
 
 
-def telemetry_stream(spark, sf_dir):
-    """The same as a stream."""
-    return _telemetry(stream_table(spark, f"{sf_dir}/events.parquet"))
+def telemetry_stream(spark, sf_dir, files=FILES_PER_BATCH):
+    """The same as a stream of at most ``files`` files a micro-batch, the oldest files first.
+
+    A window is closed by the newest event seen, so files must have become older in the order of their events:
+    rows of a file that comes too late are dropped as late.
+    """
+    return _telemetry(stream_table(spark, f"{sf_dir}/events.parquet", maxFilesPerTrigger=files))
 
 
 def limits(spark, sf_dir):

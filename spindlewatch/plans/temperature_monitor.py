@@ -6,16 +6,15 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from spindlewatch import names, schemas
-from spindlewatch.functions.json_codec import decode_events
+from spindlewatch.functions.json_codec import decode_events, malformed_events
 from spindlewatch.functions.labels import threshold_label
 from spindlewatch.operators.changes import WINDOWS_PER_SLICE, label_changes
 from spindlewatch.operators.controls import to_messages
 from spindlewatch.operators.lookup import with_limits
 from spindlewatch.operators.windows import status_rows, tumbling_average
 from spindlewatch.session import session_conf, stream_conf
-from spindlewatch.streaming.change_filter import changes_since, stateful_changes
+from spindlewatch.streaming.change_filter import changes_since
 from spindlewatch.streaming.keyed_table import KeyedTable, put_batches
-from spindlewatch.streaming.sinks import write_messages
 
 JOB_NAME = "Temperature Monitor"
 
@@ -29,10 +28,10 @@ class MonitorOptions:
     on_malformed: str = "fail"
     missing: str = "zero"
     on_missing: str = "fail"  # or "drop", or "unknown"
-    refresh: str = "start"  # profiles as of the start, or of every "batch"
+    refresh: str = "batch"  # profiles as of every micro-batch, or of the "start"
     trigger: tuple = (("processingTime", "10 seconds"),)
     state_partitions: int | None = None  # see stream_conf
-    files_per_batch: int = 32  # at most; one row per machine and window does not need a file per state partition
+    rows_per_file: int = 1_000_000
     compact_every: int = 50
     windows_per_slice: int = WINDOWS_PER_SLICE
 
@@ -46,10 +45,13 @@ class MonitorOptions:
 
     def averages_table(self, spark, path, key, key_type):
         """The keyed table of the averages of a stream."""
-        partitions = int(self.stream_conf(spark)["spark.sql.shuffle.partitions"])
-        files = self.files_per_batch if partitions > self.files_per_batch else None
         schema = schemas.machine_average(key, key_type)
-        return KeyedTable(spark, path, schema, key, "windowEnd", self.compact_every, files)
+        return KeyedTable(spark, path, schema, key, "windowEnd", self.compact_every, self.rows_per_file)
+
+    def changes_table(self, spark, path, key, key_type):
+        """The keyed table of the label changes of a stream."""
+        schema = schemas.label_change(key, key_type)
+        return KeyedTable(spark, path, schema, key, "windowEnd", self.compact_every, self.rows_per_file)
 
 
 def label_averages(averages, profiles, on_missing="fail", key="serialNum"):
@@ -87,11 +89,15 @@ class TemperatureMonitor:
         self.options = options
         self.key = key
         self.averages = options.averages_table(spark, f"{self.root}/averages", key, key_type)
-        self.changes = KeyedTable(
-            spark, f"{self.root}/changes", schemas.label_change(key, key_type), key, "windowEnd", options.compact_every
-        )
-
-    def decode(self, messages):
+        self.changes = options.changes_table(spark, f"{self.root}/changes", key, key_type)
+
+    def decode(self, messages, quarantine=None):
+        """Events of a stream of messages. Where malformed ones are left out, ``quarantine`` is called with the
+        stream of them, and has to start a query that keeps them."""
+        if self.options.on_malformed == "quarantine":
+            if quarantine is None:
+                raise ValueError("malformed messages are left out, so there must be a quarantine that keeps them")
+            quarantine(malformed_events(messages))
         return decode_events(messages, self.options.on_malformed, self.options.missing)
 
     def start(self, events):
@@ -115,17 +121,8 @@ class TemperatureMonitor:
 
     def label_batch(self, profiles, batch_id):
         """Label one written micro-batch, and note and publish the changes."""
-        averages = self.averages.batch(batch_id)
-        first, last = averages.agg(F.min("windowEnd"), F.max("windowEnd")).first()
-        if first is None:
-            self.changes.put(self.changes.empty(), batch_id)
-            return
-        span = self.options.slice_span
-        labelled = label_averages(averages, profiles, self.options.on_missing, self.key)
-        changed = changes_since(
-            self.changes.latest(before=batch_id), labelled, self.key, slice_span=span if last - first > span else None
-        )
-        self.changes.put(changed, batch_id)
+        labelled = label_averages(self.averages.batch(batch_id), profiles, self.options.on_missing, self.key)
+        put_changes(self.changes, labelled, batch_id, self.options)
         self.publish(to_messages(self.changes.batch(batch_id), self.key), batch_id)
 
     def status(self):
@@ -141,6 +138,12 @@ class TemperatureMonitor:
         return status_rows(self.averages.stream(**options), self.key)
 
 
+def put_changes(changes, labelled, batch_id, options):
+    """Put the label changes of one micro-batch of labelled averages into the table of changes."""
+    last = changes.latest(before=batch_id)
+    changes.put(changes_since(last, labelled, changes.key, slice_span=options.slice_span), batch_id)
+
+
 def start_status_query(spark, events, root, options=MonitorOptions(), key="serialNum", key_type="string"):
     """The status branch as a query of its own. Returns (query, averages table)."""
     table = options.averages_table(spark, f"{root}/averages", key, key_type)
@@ -152,14 +155,28 @@ def start_status_query(spark, events, root, options=MonitorOptions(), key="seria
     return query, table
 
 
-def start_label_query(spark, events, profiles, root, sink, options=MonitorOptions(), key="serialNum"):
-    """The label branch as a query of its own, with the labels in Spark's state store and the profiles as
-    of now. ``sink`` has the keyword arguments of :func:`spindlewatch.streaming.sinks.write_messages` that
-    say where to; with ``rows=True`` the changes are written as they are instead of as messages."""
-    sink = dict(sink)
-    as_rows = sink.pop("rows", False)
+def start_label_query(
+    spark, events, profiles, root, options=MonitorOptions(), key="serialNum", key_type="string", publish=None
+):
+    """The label branch as a query of its own, with the profiles as of now. Returns (query, table of changes).
+
+    ``publish``, if given, is called with every micro-batch of control messages and its id, at least once.
+    """
+    table = options.changes_table(spark, f"{root}/changes", key, key_type)
+
+    def step(rows, batch_id):
+        put_changes(table, rows, batch_id, options)
+        if publish:
+            publish(to_messages(table.batch(batch_id), key), batch_id)
+
     with session_conf(spark, options.stream_conf(spark)):
         averages = tumbling_average(events, options.width, options.lag, key)
-        changes = stateful_changes(label_averages(averages, profiles, options.on_missing, key), key)
-        out = changes if as_rows else to_messages(changes, key)
-        return write_messages(out, f"{root}/checkpoint-labels", f"{JOB_NAME} labels", dict(options.trigger), **sink)
+        query = (
+            label_averages(averages, profiles, options.on_missing, key)
+            .writeStream.queryName(f"{JOB_NAME} labels")
+            .option("checkpointLocation", f"{root}/checkpoint-labels")
+            .trigger(**dict(options.trigger))
+            .foreachBatch(step)
+            .start()
+        )
+    return query, table

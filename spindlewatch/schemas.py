@@ -49,8 +49,6 @@ def label_change(key="serialNum", key_type="string"):
 
 CONTROL_MESSAGE = _struct("key string, value string")
 
-PROFILE_TEMPLATE = _struct("location string, block string, faultyFraction float")
-
 # Append-only: the newest row of a key (by loggedAt) is its value.
 ACTIVITY = _struct("key string, value string, loggedAt timestamp")
 

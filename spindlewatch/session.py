@@ -1,6 +1,7 @@
 """Session settings and the shared folder for checkpoints and written tables."""
 
-import tempfile
+import atexit
+import shutil
 import uuid
 from contextlib import contextmanager
 
@@ -24,6 +25,8 @@ STREAM_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
 }
 
+STATE_PARTITIONS = "spark.spindlewatch.statePartitions"
+
 
 def partitions_for(shuffle_bytes):
     """Shuffle partitions that leave each one about 128 MiB, which a task sorts and aggregates in memory."""
@@ -52,13 +55,13 @@ def build_session(app_name="spindlewatch", master=None, shuffle_bytes=None, **co
 def stream_conf(spark, state_partitions=None):
     """Settings to start a stateful query under.
 
-    Every state partition is a store that each micro-batch opens and commits, so unless told otherwise there
-    are no more than two per core, or than the session's shuffle partitions. The number stays with a
-    checkpoint: a restarted query keeps the one it began with.
+    Every state partition is a store that each micro-batch opens and commits, so unless told otherwise, here or
+    by the session's ``spark.spindlewatch.statePartitions``, there is one per core of the cluster as it is now.
+    The number stays with a checkpoint: a restarted query keeps the one it began with, so a query that is to
+    outgrow its cluster should be told a larger one.
     """
     if state_partitions is None:
-        shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        state_partitions = min(shuffle, 2 * spark.sparkContext.defaultParallelism)
+        state_partitions = spark.conf.get(STATE_PARTITIONS, None) or spark.sparkContext.defaultParallelism
     return {**STREAM_CONF, "spark.sql.shuffle.partitions": str(state_partitions)}
 
 
@@ -81,14 +84,17 @@ def session_conf(spark, conf):
 def shared_dir(spark):
     """The cluster's shared folder, from ``spark.checkpoint.dir``.
 
-    Only a local session may go without the setting; it then gets one temporary folder of its own.
+    Only a local session may go without the setting; it then gets a folder of its own beside its warehouse,
+    which is removed when the process ends.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="spindlewatch-")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:")
+    folder = f"{warehouse.rstrip('/')}/shared-{uuid.uuid4().hex}"
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 

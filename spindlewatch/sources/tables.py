@@ -1,6 +1,7 @@
 """Stored tables: profiles by location, and the activities ledger."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spindlewatch import names, schemas
 
@@ -17,6 +18,28 @@ def make_folder(spark, path):
     return path
 
 
+def write_note(spark, path, text):
+    """Write a small text file; one that is there already is replaced."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).create(hadoop_path, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def read_note(spark, path):
+    """The text of a small file, or None if there is none."""
+    if not path_exists(spark, path):
+        return None
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).open(hadoop_path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def read_table(spark, path, schema):
     """A parquet table with its declared schema; without rows if it was never written."""
     if not path_exists(spark, path):
@@ -24,19 +47,27 @@ def read_table(spark, path, schema):
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
-def write_profiles(profiles, path, files_per_location=4):
+# The folder's name is the location behind a mark, since a folder cannot stand for an empty text.
+_PLACE, _MARK = "place", "="
+
+
+def write_profiles(profiles, path):
     """Write profiles partitioned by location, so that a selection reads only its own location.
 
-    The rows of a location are spread over ``files_per_location`` tasks by key: a location with a third of
-    the fleet is not written by one task, and a location with few machines does not leave a file per task.
-    Every location is a folder, so this is for hundreds of locations rather than for a million.
+    Rows are brought together by location and, by their measured size, spread again: a location with a third
+    of the fleet is written by many tasks, and locations with few machines leave one file each. Every location
+    is a folder, so this is for hundreds of locations rather than for a million.
     """
-    spread = F.pmod(F.xxhash64("serialNum"), F.lit(files_per_location))
-    profiles.repartition("location", spread).write.partitionBy("location").parquet(path)
+    placed = profiles.withColumn(_PLACE, F.concat(F.lit(_MARK), "location")).drop("location")
+    placed.hint("rebalance", _PLACE).write.partitionBy(_PLACE).parquet(path)
 
 
 def read_profiles(spark, path):
-    return read_table(spark, path, schemas.MACHINE_PROFILE)
+    """Stored profiles; a condition on the location is one on folders."""
+    fields = [f for f in schemas.MACHINE_PROFILE if f.name != "location"]
+    stored = read_table(spark, path, T.StructType([*fields, T.StructField(_PLACE, T.StringType())]))
+    located = stored.withColumn("location", F.substring(_PLACE, len(_MARK) + 1, 1 << 30))
+    return located.select(*schemas.MACHINE_PROFILE.names)
 
 
 def register_tables(spark, profiles=None, status=None, activities=None):
@@ -66,7 +97,8 @@ def activity_value(spark, path, key):
     return row.v
 
 
-def note_activity(spark, path, key, value):
-    """Append one entry to the activities ledger."""
-    entry = spark.range(1).select(F.lit(key).alias("key"), F.lit(value).alias("value"), F.current_timestamp().alias("loggedAt"))
-    entry.write.mode("append").parquet(path)
+def note_activities(spark, path, values):
+    """Append entries, given as a dict, to the activities ledger: all of them in one file, or none."""
+    entries = F.create_map(*[F.lit(x) for entry in values.items() for x in entry])
+    noted = spark.range(1, numPartitions=1).select(F.explode(entries), F.current_timestamp().alias("loggedAt"))
+    noted.write.mode("append").parquet(path)

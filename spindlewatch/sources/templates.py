@@ -1,5 +1,6 @@
 """Profile templates: lines of ``location,block,faulty fraction``, without header or quoting."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from spindlewatch.functions.text import comma_fields, float_or_null
@@ -9,8 +10,20 @@ WRONG_NUMBER = "number"
 
 
 def read_lines(spark, path):
-    """Lines of text files, with ``line``, a number that increases in file order but has gaps."""
-    return spark.read.text(path).select("value", F.monotonically_increasing_id().alias("line"))
+    """Lines of text files, with ``line``, their number from 0: files in the order of their paths, lines in file
+    order. Files are read in parts wherever Spark splits them; only the parts are put in order in one place.
+    """
+    rows = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_part"),
+        F.monotonically_increasing_id().alias("_id"),
+    )
+    parts = rows.groupBy("_file", "_part").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_lines"))
+    before = Window.orderBy("_file", "_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.withColumn("_start", F.coalesce(F.sum("_lines").over(before), F.lit(0))).drop("_lines")
+    line = (F.col("_start") + F.col("_id") - F.col("_first")).alias("line")
+    return rows.join(starts, ["_file", "_part"]).select("value", line)
 
 
 def _checked(lines):

@@ -1,88 +1,17 @@
-"""Label changes on a stream, in two forms.
+"""Label changes on a stream: one micro-batch is compared with the last change of every machine."""
 
-:func:`changes_since` works on one micro-batch and the last change of every machine; it stays in the JVM
-and is what the monitor uses. :func:`stateful_changes` keeps the label of a machine in Spark's state store;
-it needs no table of its own, and passes the labelled rows through Python workers.
-"""
-
-import sys
-from array import array
-
-import numpy as np
-from pyspark import cloudpickle
-from pyspark.sql import Row
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor
 
 from spindlewatch.operators.changes import SLICE_SPAN, label_changes
 
-# Python workers get the processor itself, so this package need not be installed where they run.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 
 def changes_since(last, rows, key="serialNum", order="windowEnd", label="label", slice_span=SLICE_SPAN):
     """Rows of one micro-batch whose label is new, given ``last``, the newest change per key so far.
 
-    With ``slice_span=None`` the look-up, the comparison and the last labels all use one partitioning by key.
+    Rows without a label are left out, as everywhere. ``slice_span`` is as in
+    :func:`spindlewatch.operators.changes.label_changes`, and has no influence on the result.
     """
     known = last.select(key, F.col(label).alias("_known"))
     joined = rows.select(key, order, label).join(known, key, "left")
     first = F.coalesce(F.col("_known"), F.lit(""))
     return label_changes(joined, key, order, label, first, slice_span).drop("_known")
-
-
-class LastLabels(StatefulProcessor):
-    """Passes a row when its label is not the label of the key's row before, for a bucket of keys at a time.
-
-    The state of a bucket is a list of (key, label). It is read and written in one piece: a call to the state
-    store costs far more than a label, and one per key and micro-batch would be most of the work.
-    """
-
-    def __init__(self, key, key_type, order, label):
-        self._columns = (key, order, label)
-        self._schema = f"`{key}` {key_type}, label string"
-
-    def init(self, handle):
-        self._state = handle.getListState("labels", self._schema)
-
-    def handleInputRows(self, bucket, rows, timerValues):
-        key, order, label = self._columns
-        # One row per key and window that closed in this batch, in no particular order. They are held for
-        # sorting in eighteen bytes each, which also lets a long backfill of one machine through.
-        keys, ends, codes, key_of, code_of = array("q"), array("q"), array("h"), {}, {}
-        for row in rows:
-            keys.append(key_of.setdefault(row[key], len(key_of)))
-            ends.append(row[order])
-            codes.append(code_of.setdefault(row[label], len(code_of)))
-        names, labels = list(key_of), list(code_of)
-        current = dict(self._state.get())
-        changed = False
-        for i in np.argsort(ends):
-            name, value = names[keys[i]], labels[codes[i]]
-            if current.get(name, "") != value:
-                current[name] = value
-                changed = True
-                yield Row(**{key: name, order: ends[i], label: value})
-        if changed:
-            self._state.put(list(current.items()))
-
-    def close(self):
-        pass
-
-
-def stateful_changes(labels, key="serialNum", order="windowEnd", label="label", buckets=4096):
-    """Label changes of a stream of labelled averages, kept in Spark's state store (RocksDB is needed).
-
-    ``buckets`` is how many pieces the labels of all machines are kept in; a checkpoint is bound to it. A
-    piece should hold some thousand machines at most.
-    """
-    selected = labels.select(key, order, label)
-    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).alias("_bucket")
-    key_type = selected.schema[key].dataType.simpleString()
-    return (
-        selected.select(bucket, "*")
-        .groupBy("_bucket")
-        .transformWithState(
-            LastLabels(key, key_type, order, label), selected.schema, outputMode="Append", timeMode="None"
-        )
-    )

@@ -24,14 +24,20 @@ def key_feed(status_stream, key, key_column="serialNumber"):
 class Subscription:
     """Follows the machines of one location and block; a new selection replaces the one before.
 
-    ``status_stream`` and ``profiles`` are functions without arguments that give the stream of status rows
-    and the current profiles. The set of machines is fixed when a selection is made. Results go to a new
-    folder with every selection, so they start empty.
+    ``status`` is the keyed table that status rows are put into, and ``as_status`` turns its rows into status
+    rows, if they are not; ``profiles`` is a function without arguments that gives the current profiles. The
+    set of machines is fixed when a selection is made. Results go to a new folder with every selection, so
+    they start empty, and by default only what is put after the selection shows; with ``start="earliest"``
+    all that was put before does, too.
     """
 
-    def __init__(self, spark, status_stream, profiles, trigger=None):
+    def __init__(self, spark, status, profiles, trigger=None, as_status=None, start="now"):
+        if start not in ("now", "earliest"):
+            raise ValueError(f"start must be 'now' or 'earliest', not {start!r}")
         self.spark = spark
-        self.status_stream = status_stream
+        self.status = status
+        self.as_status = as_status or (lambda rows: rows)
+        self.start = start
         self.profiles = profiles
         self.trigger = trigger or {"processingTime": names.HARVEST_INTERVAL}
         self.query = None
@@ -45,13 +51,18 @@ class Subscription:
         if is_blank(location) or is_blank(block):
             return 0
         self.stop()
+        since = None
+        if self.start == "now":
+            last = self.status.last_batch()
+            since = -1 if last is None else last
         folder = run_dir(self.spark, "subscription")
         matching_machines(self.profiles(), location, block).write.parquet(f"{folder}/machines")
         machines = self.spark.read.parquet(f"{folder}/machines")
         count = machines.count()
         self._results = f"{folder}/rows"
         if count:
-            rows = monitor_rows(status_feed(self.status_stream(), machines))
+            feed = self.as_status(self.status.stream(since=since))
+            rows = monitor_rows(status_feed(feed, machines))
             self.query = (
                 rows.writeStream.queryName(f"monitor-{location}-{block}")
                 .option("checkpointLocation", f"{folder}/checkpoint")

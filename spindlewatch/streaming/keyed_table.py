@@ -1,36 +1,57 @@
 """A table that micro-batches put rows into: the whole history, and the newest row per key."""
 
+import json
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spindlewatch.operators.latest import latest_per_key
-from spindlewatch.sources.tables import path_exists
+from spindlewatch.sources.tables import path_exists, read_note, write_note
+
+# Marks a folder as completely written. Spark's own mark can be switched off, and then tells nothing.
+MARK = "_put"
+ABOUT = "_about"
 
 
 class KeyedTable:
-    """Rows (``key``, ``order``, ...) under ``path``, put there by micro-batches 0, 1, 2, ...
+    """Rows (``key``, ``order``, ...) under ``path``, put there by micro-batches 0, 1, 2, ... of one query.
 
     A put is an append, so several rows of a key in one batch, late rows and replays need no care: the row
     that counts is the one with the greatest ``order``. A batch that was written already is not written
-    again, which makes replays after a failure harmless.
+    again, which makes replays after a failure harmless. As another query counts its batches from 0 again,
+    the table keeps the id of the first query that puts into it and refuses every other.
 
-    Batches are kept in groups of ``compact_every``. The last put of a group also writes the newest rows so
-    far as a snapshot, so the newest rows before any batch are found in one snapshot and the batches of one
-    group, however long the history is, and their paths follow from the batch's number without a listing.
+    Batches are kept in groups of ``compact_every``, which stays as it was when the table was made. The last
+    put of a group also writes the newest rows so far as a snapshot, so the newest rows before any batch are
+    found in one snapshot and the batches of one group, however long the history is, and their paths follow
+    from the batch's number without a listing.
 
-    A batch is written in as many files as it has partitions, or in ``files_per_batch``.
+    A batch is written in files of about ``rows_per_file`` rows, each with the rows of some keys in order.
     """
 
-    def __init__(self, spark, path, schema, key, order, compact_every=50, files_per_batch=None):
+    def __init__(self, spark, path, schema, key, order, compact_every=50, rows_per_file=1_000_000):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
         self.key = key
         self.order = order
-        self.compact_every = compact_every
-        self.files_per_batch = files_per_batch
+        self.rows_per_file = rows_per_file
+        about = self._about()
+        self.compact_every = about["compact_every"] if about else compact_every
+
+    def _about(self):
+        note = read_note(self.spark, f"{self.path}/{ABOUT}")
+        return json.loads(note) if note else None
+
+    def _check_owner(self):
+        """Note the running query as the table's, or refuse it if there is another."""
+        query = self.spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        about = self._about()
+        if about is None:
+            write_note(self.spark, f"{self.path}/{ABOUT}", json.dumps({"compact_every": self.compact_every, "query": query}))
+        elif about["query"] != query:
+            raise ValueError(f"{self.path} was written by query {about['query']}, and not by {query}; use a new table")
 
     def _batch_path(self, batch_id):
         group = batch_id // self.compact_every
@@ -40,7 +61,11 @@ class KeyedTable:
         return f"{self.path}/snapshot/group={group:010d}"
 
     def _complete(self, path):
-        return path_exists(self.spark, f"{path}/_SUCCESS")
+        return path_exists(self.spark, f"{path}/{MARK}")
+
+    def _write(self, rows, path):
+        rows.write.mode("overwrite").parquet(path)
+        write_note(self.spark, f"{path}/{MARK}", "")
 
     def _last_number(self, pattern, depth):
         """Greatest number in the names matching ``pattern``; ``depth`` is how far up the name is."""
@@ -58,7 +83,7 @@ class KeyedTable:
         """The newest completely written batch, or None."""
         group = self._last_number(f"{self.path}/history/group=*", 0)
         while group is not None and group >= 0:
-            batch = self._last_number(f"{self.path}/history/group={group:010d}/batch=*/_SUCCESS", 1)
+            batch = self._last_number(f"{self.path}/history/group={group:010d}/batch=*/{MARK}", 1)
             if batch is not None:
                 return batch
             group -= 1
@@ -74,25 +99,25 @@ class KeyedTable:
 
     def put(self, rows, batch_id):
         """Add the rows of micro-batch ``batch_id``."""
+        self._check_owner()
         path = self._batch_path(batch_id)
         if self._complete(path):
             # Computed all the same: the query the rows come from has to bring its state up to this batch.
             rows.write.format("noop").mode("overwrite").save()
         else:
-            columns = [F.col(f.name).cast(f.dataType) for f in self.schema]
-            rows = rows.select(*columns)
-            if self.files_per_batch is not None:
-                # By key and order: one busy machine's rows do not all go into one file. Merging partitions
-                # without a shuffle would merge the tasks that compute them, too.
-                rows = rows.repartition(self.files_per_batch, self.key, self.order)
-            rows.write.mode("overwrite").parquet(path)
+            kept = rows.select(*[F.col(f.name).cast(f.dataType) for f in self.schema]).persist()
+            try:
+                files = max(1, -(-kept.count() // self.rows_per_file))
+                self._write(kept.repartition(files, self.key).sortWithinPartitions(self.key, self.order), path)
+            finally:
+                kept.unpersist()
         if (batch_id + 1) % self.compact_every == 0:
             self._compact(batch_id)
 
     def _compact(self, batch_id):
         path = self._snapshot_path(batch_id // self.compact_every)
         if not self._complete(path):
-            latest_per_key(self._since_snapshot(batch_id), self.key, self.order).write.mode("overwrite").parquet(path)
+            self._write(latest_per_key(self._since_snapshot(batch_id), self.key, self.order), path)
 
     def batch(self, batch_id):
         """The rows of one micro-batch."""
@@ -124,10 +149,17 @@ class KeyedTable:
             parts.append(self._read(self._snapshot_path(group - 1)))
         return reduce(DataFrame.unionByName, parts)
 
-    def stream(self, **options):
-        """Every put from the first one on, as a stream."""
-        pattern = f"{self.path}/history/group=*/batch=*"
-        return self.spark.readStream.schema(self.schema).options(**options).parquet(pattern)
+    def stream(self, since=None, **options):
+        """Puts as a stream: every one, or only those after batch ``since`` (-1 if there is none yet).
+
+        Earlier batches are left out by the names of their files. All files are listed either way.
+        """
+        rows = self.spark.readStream.schema(self.schema).options(**options)
+        rows = rows.parquet(f"{self.path}/history/group=*/batch=*")
+        if since is None:
+            return rows
+        batch = F.regexp_extract("_metadata.file_path", r"/batch=(\d+)/", 1).cast("bigint")
+        return rows.where(batch > since).select(*self.schema.names)
 
 
 def put_batches(stream, table, checkpoint, name, trigger, transform=None):

@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
         "local[8]",
         spark__sql__shuffle__partitions=2,
         spark__ui__enabled="false",
+        spark__spindlewatch__statePartitions=2,
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
     session.sparkContext.setLogLevel("ERROR")

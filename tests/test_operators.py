@@ -18,9 +18,8 @@ from spindlewatch.operators.monitor import (
     matching_machines,
     monitor_rows,
     status_of,
-    status_of_list,
 )
-from spindlewatch.operators.numbering import dense_index
+from spindlewatch.operators.numbering import dense_index, nth_smallest
 from spindlewatch.operators.refdata import (
     check_machine_count,
     last_per_key,
@@ -114,17 +113,17 @@ def test_latest_keeps_all_columns_in_order(spark):
 
 def brute_changes(rows, initial=""):
     out, last = [], {}
-    for key, order, label in sorted(rows):
-        if last.get(key, initial) != label:
+    for key, order, label in sorted(rows, key=lambda r: r[:2]):
+        if label is not None and last.get(key, initial) != label:
             out.append((key, order, label))
-        last[key] = label
+            last[key] = label
     return out
 
 
 @settings(max_examples=8, deadline=None)
 @given(
     st.dictionaries(
-        st.tuples(st.sampled_from("AB"), st.integers(-40, 40)), st.sampled_from(["green", "orange", "red"]), min_size=1
+        st.tuples(st.sampled_from("AB"), st.integers(-40, 40)), st.sampled_from(["green", "orange", "red", None]), min_size=1
     ),
     st.sampled_from([1, 3, 7, 1000, None]),
 )
@@ -210,10 +209,29 @@ def test_dense_index(spark, values, bits):
 
 
 def test_machine_count():
-    assert check_machine_count("10") == 10 and check_machine_count(1_000_000) == 1_000_000
-    for bad in ("ten", "0", 1_000_001, "", "1.5", -3):
+    assert check_machine_count("10") == 10 and check_machine_count(10**12) == 10**12
+    assert check_machine_count(5, most=5) == 5
+    for bad in ("ten", "0", "", "1.5", -3):
         with pytest.raises(ValueError):
             check_machine_count(bad)
+    with pytest.raises(ValueError, match="between 1 and 5"):
+        check_machine_count(6, most=5)
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.sets(st.integers(-(2**63), 2**63 - 1) | st.integers(-300, 300), min_size=1, max_size=40), st.data())
+def test_nth_smallest(spark, values, data):
+    df = spark.createDataFrame([(v,) for v in values], "o bigint")
+    n = data.draw(st.integers(1, len(values) + 1))
+    expected = sorted(values)[n - 1] if n <= len(values) else None
+    assert nth_smallest(df, "o", n, bits=data.draw(st.sampled_from([2, 16]))) == expected
+
+
+def test_top_up_reads_up_to_the_last_candidate(spark, folder, capsys):
+    spark.range(1000).selectExpr("id as seq").write.parquet(f"{folder}/candidates")
+    top_up(spark.read.parquet(f"{folder}/candidates"), 5, 305).explain()
+    plan = capsys.readouterr().out
+    assert "LessThanOrEqual(seq,299)" in plan and "Exchange" not in plan
 
 
 @pytest.mark.parametrize("existing, target, chosen", [(0, 3, 3), (2, 3, 1), (3, 3, 0), (5, 3, 0), (0, 99, 6)])
@@ -257,6 +275,19 @@ def test_put_rows(spark):
 LINES = ["Reno,A,.9", "Reno,B, .1", "Reno,C,.5,", "", "Reno,D", "Reno,D,.1,x", "Reno,E,abc", "Reno,F,", ",,", "Reno,G,inf"]
 
 
+def test_lines_of_several_files_are_in_the_order_of_the_files(spark, folder):
+    texts = {"a.csv": ["first", ""], "b.csv": [f"line {i}" for i in range(5000)], "c.csv": ["last"]}
+    for name, lines in texts.items():
+        with open(f"{folder}/{name}", "w") as f:
+            f.write("\n".join(lines) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    try:
+        found = [tuple(r) for r in read_lines(spark, folder).orderBy("line").collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found == [(value, i) for i, value in enumerate(line for lines in texts.values() for line in lines)]
+
+
 def test_template_lines(spark, folder):
     with open(f"{folder}/lines.csv", "w") as f:
         f.write("\n".join(LINES) + "\n")
@@ -292,7 +323,6 @@ def test_status_of_a_selection(spark):
     assert rows.schema.names == schemas.MONITOR_ROW.names
     assert [r.average_bit_temp_10s for r in rows.orderBy("event_time").collect()] == [5, 6]
     assert rows.select(F.unix_millis(F.min("event_time"))).collect()[0][0] == 1000
-    assert status_of_list(status, ["Z"]).count() == 1
     assert accumulate(rows, rows).count() == 4
 
 

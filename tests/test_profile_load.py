@@ -2,12 +2,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from spindlewatch import names, schemas
+from spindlewatch.plans import profile_load
 from spindlewatch.operators.monitor import matching_machines
 from spindlewatch.plans.profile_load import ProfileStore
 from spindlewatch.sources.tables import (
     activity_value,
     key_set,
-    note_activity,
+    note_activities,
     point_lookup,
     read_profiles,
     register_tables,
@@ -65,33 +66,61 @@ def test_failed_load_can_be_run_again(spark, folder):
     with pytest.raises(ValueError, match="templates"):
         store.load_once(candidates(spark, "m0"), templates(spark, "bad"), 1)
     assert store.status() is None
-    with pytest.raises(ValueError, match="between 1 and 1,000,000"):
+    with pytest.raises(ValueError, match="at least 1"):
         store.load_once(candidates(spark, "m0"), templates(spark, "Reno,A,.9"), 0)
+    with pytest.raises(ValueError, match="between 1 and 3 inclusive"):
+        store.load_once(candidates(spark, "m0"), templates(spark, "Reno,A,.9"), 4, most=3)
     assert store.load_once(candidates(spark, "m0"), templates(spark, "Reno,A,.9"), 1) == 1
 
 
 def test_ledger_keeps_the_newest_value(spark, folder):
     path = f"{folder}/ledger"
     assert activity_value(spark, path, "k") is None
-    note_activity(spark, path, "k", names.LOADER_STARTED)
-    note_activity(spark, path, "k", names.LOADER_FINISHED)
-    note_activity(spark, path, "other", "x")
+    note_activities(spark, path, {"k": "STARTED"})
+    note_activities(spark, path, {"k": names.LOADER_FINISHED, "j": "1"})
+    note_activities(spark, path, {"other": "x"})
     assert activity_value(spark, path, "k") == names.LOADER_FINISHED
+    assert activity_value(spark, path, "j") == "1"
+
+
+@pytest.mark.parametrize("fails_in", ["write_profiles", "note_activities"])
+@pytest.mark.parametrize("after", [False, True])
+def test_a_load_that_died_is_as_if_it_had_not_begun(spark, folder, monkeypatch, fails_in, after):
+    """Candidates with duplicates, a crash before or after each write, and a second run."""
+    plain = getattr(profile_load, fails_in)
+    lines, crashes = templates(spark, "Reno,A,.9", "Ely,B,0", "Ely,C,0"), [1]
+
+    def crash(*args):
+        if after:
+            plain(*args)
+        if crashes.pop():
+            raise RuntimeError("lost")
+
+    store = ProfileStore(spark, folder)
+    monkeypatch.setattr(profile_load, fails_in, crash)
+    with pytest.raises(RuntimeError):
+        store.load_once(candidates(spark, "A", "B", "A"), lines, 3)
+    monkeypatch.undo()
+    store.load_once(candidates(spark, "A", "B", "A"), lines, 3)
+    assert content(store) == [("A", "Ely", "C"), ("B", "Ely", "B")]
+    assert store.status() == names.LOADER_FINISHED
 
 
 def test_profiles_are_stored_by_location(spark, folder, capsys):
-    rows = [(f"m{i}", f"place {i % 3}", "A", 0.1, "Maker", 100, 160, 8000) for i in range(300)]
+    places = ["place 0", "place 1", "", None, "=", "a/b=c"]
+    rows = [(f"m{i}", places[i % 6], "A", 0.1, "Maker", 100, 160, 8000) for i in range(600)]
     path = f"{folder}/profiles"
-    write_profiles(spark.createDataFrame(rows, schemas.MACHINE_PROFILE), path, files_per_location=2)
+    write_profiles(spark.createDataFrame(rows, schemas.MACHINE_PROFILE), path)
     table = read_profiles(spark, path)
     assert table.columns == schemas.MACHINE_PROFILE.names
     chosen = matching_machines(table, "place 1", "A")
     assert chosen.count() == 100
     files = spark.read.schema(schemas.MACHINE_PROFILE).parquet(path).select(F.input_file_name()).distinct().count()
-    assert 3 <= files <= 6  # one or two per location
+    assert files == 6  # one per location
+    assert {r.location: r["count"] for r in table.groupBy("location").count().collect()} == dict.fromkeys(places, 100)
     chosen.explain()
     plan = capsys.readouterr().out
-    assert "PartitionFilters: [isnotnull(location" in plan and "PushedFilters: [IsNotNull(block), EqualTo(block,A)]" in plan
+    assert "PartitionFilters: [isnotnull(place" in plan and "PushedFilters: [IsNotNull(block), EqualTo(block,A)]" in plan
 
 
 def test_tables_have_sql_names(spark, folder):

@@ -5,6 +5,7 @@ import json
 import os
 
 import pytest
+from oracle import duck, duck_rows, spark_rows
 from pyspark.sql import functions as F
 
 from spindlewatch import schemas
@@ -12,18 +13,20 @@ from spindlewatch.functions.json_codec import decode_events
 from spindlewatch.functions.text import received_line
 from spindlewatch.operators.changes import label_changes
 from spindlewatch.operators.windows import tumbling_average
+from spindlewatch.plans import shop_tables
 from spindlewatch.plans.controller import start_controller
+from spindlewatch.plans.queries import ORACLES, QUERIES
 from spindlewatch.plans.temperature_monitor import (
     MonitorOptions,
     TemperatureMonitor,
     label_averages,
+    monitored_changes,
     start_label_query,
     start_status_query,
 )
-from spindlewatch.session import session_conf, stream_conf
 from spindlewatch.sources.tables import make_folder
 from spindlewatch.sources.topics import file_messages, kafka_messages, kafka_options, stream_table
-from spindlewatch.streaming.change_filter import changes_since, stateful_changes
+from spindlewatch.streaming.change_filter import changes_since
 from spindlewatch.streaming.feeds import Subscription, key_feed, late_rows
 from spindlewatch.streaming.keyed_table import KeyedTable
 from spindlewatch.streaming.sinks import (
@@ -139,42 +142,40 @@ def test_stream_equals_batch_on_closed_windows(spark, folder, feed):
     assert rows_of(label_changes(closed).select("serialNum", "windowEnd", "label")) == CHANGES
 
 
-def test_stateful_changes(spark, folder, feed):
-    sink = {"fmt": "parquet", "path": f"{folder}/out", "rows": True}
-    query = start_label_query(spark, feed.events(), profile_table(spark, "A", "B"), folder, sink, OPTIONS)
+def test_label_query(spark, folder, feed):
+    query, changes = start_label_query(spark, feed.events(), profile_table(spark, "A", "B"), folder, OPTIONS)
     query.awaitTermination()
     assert query.name == "Temperature Monitor labels"
-    assert rows_of(spark.read.parquet(f"{folder}/out")) == CHANGES
+    assert rows_of(changes.history()) == CHANGES
 
 
-def test_stateful_changes_published_as_messages(spark, folder):
-    feed = Feed(spark, folder).add([("A", 1, 100), ("A", 30, 300), ("A", 60, 1)])
-    sink = {"fmt": "json", "path": f"{folder}/out"}
-    start_label_query(spark, feed.events(), profile_table(spark, "A"), folder, sink, OPTIONS).awaitTermination()
-    out = spark.read.schema(schemas.CONTROL_MESSAGE).json(f"{folder}/out")
-    assert rows_of(out) == [("A", "green"), ("A", "red")]
+def test_label_query_publishes_messages(spark, folder):
+    feed, seen = Feed(spark, folder).add([("A", 1, 100), ("A", 30, 300), ("A", 60, 1)]), {}
+    limits = profile_table(spark, "A")
+    query, _ = start_label_query(spark, feed.events(), limits, folder, OPTIONS, publish=collector(seen))
+    query.awaitTermination()
+    assert sorted(m for messages in seen.values() for m in messages) == [("A", "green"), ("A", "red")]
 
 
-@pytest.mark.parametrize("form", ["table", "state"])
+@pytest.mark.parametrize("form", ["monitor", "labels"])
 def test_restart_does_not_repeat_labels(spark, folder, form):
     feed, emitted = Feed(spark, folder), []
     steps = [[("A", 1, 300), ("A", 15, 300)], [("A", 17, 310), ("A", 30, 1)], [("A", 31, 1), ("A", 60, 1)]]
     for rows in steps:
         feed.add(rows)
-        if form == "table":
+        if form == "monitor":
             seen = {}
             table = lambda: profile_table(spark, "A")
             monitor = TemperatureMonitor(spark, f"{folder}/m", table, collector(seen), OPTIONS)
             monitor.start(feed.events()).awaitTermination()
             emitted.append([m for messages in seen.values() for m in messages])
         else:
-            sink = {"fmt": "parquet", "path": f"{folder}/out", "rows": True}
-            start_label_query(spark, feed.events(), profile_table(spark, "A"), folder, sink, OPTIONS).awaitTermination()
-            emitted.append([(s, v) for s, _, v in rows_of(spark.read.parquet(f"{folder}/out"))])
-    if form == "table":
-        assert emitted == [[("A", "red")], [], [("A", "green")]]
-    else:
-        assert emitted[0] == emitted[1] == [("A", "red")] and emitted[2] == [("A", "red"), ("A", "green")]
+            seen = {}
+            limits = profile_table(spark, "A")
+            query, _ = start_label_query(spark, feed.events(), limits, folder, OPTIONS, publish=collector(seen))
+            query.awaitTermination()
+            emitted.append([m for messages in seen.values() for m in messages])
+    assert emitted == [[("A", "red")], [], [("A", "green")]]
 
 
 def test_late_rows(spark, folder):
@@ -276,13 +277,33 @@ def test_keyed_table(spark, folder):
     assert table.history().count() == 6
 
 
-def test_files_per_batch(spark, folder, feed):
-    options = MonitorOptions(trigger=OPTIONS.trigger, state_partitions=4, files_per_batch=1)
-    query, table = start_status_query(spark, feed.events(), folder, options)
-    query.awaitTermination()
-    assert rows_of(table.history()) == sorted(AVERAGES)
-    files = [f for path, _, names in os.walk(f"{folder}/averages") for f in names if f.endswith(".parquet")]
-    assert len(files) <= 4  # one per batch, where there would be up to four
+def test_files_follow_the_rows(spark, folder):
+    table = table_of(spark, folder, rows_per_file=10)
+    rows = [(f"m{i % 12}", i, "red") for i in range(35)]
+    table.put(labelled(spark, *rows), 0)
+    assert rows_of(table.history()) == sorted(rows)
+    stored = table.batch(0).select("serialNum", F.input_file_name().alias("file")).distinct()
+    assert stored.count() == 12 and 2 <= stored.select("file").distinct().count() <= 4
+
+
+def test_null_labels_are_passed_over_whatever_the_slices_and_batches(spark, folder):
+    """The three ways to find changes agree where averages are missing."""
+    times = [("A", 1, 300), ("A", 11, None), ("A", 21, 300), ("A", 31, None), ("A", 41, 1), ("B", 11, None), ("B", 41, 300)]
+    rows = [(k, dt.datetime.fromtimestamp(s, dt.UTC), v) for k, s, v in times]
+    events = spark.createDataFrame(rows, "serialNum string, timestamp timestamp, bitTemp smallint")
+    profiles = profile_table(spark, "A", "B")
+    expected = [("A", 10000, "red"), ("A", 50000, "green"), ("B", 50000, "red")]
+    for slices in (1, 2, 50_000):
+        options = MonitorOptions(windows_per_slice=slices)
+        found = monitored_changes(events, profiles, options)
+        assert rows_of(found.select("serialNum", "windowEnd", "label")) == expected
+    labels = label_averages(tumbling_average(events), profiles).select("serialNum", "windowEnd", "label")
+    for i, span in enumerate((None, 10_000, 10**9)):
+        table = table_of(spark, f"{folder}/{i}")
+        for batch_id, end in enumerate((10000, 20000, 30000, 40000, 50000)):
+            batch = labels.where(F.col("windowEnd") == end)
+            table.put(changes_since(table.latest(before=batch_id), batch, slice_span=span), batch_id)
+        assert rows_of(table.history()) == expected
 
 
 def test_replayed_batch_is_not_put_twice(spark, folder):
@@ -295,14 +316,41 @@ def test_replayed_batch_is_not_put_twice(spark, folder):
 def test_half_written_batch_is_ignored_and_replaced(spark, folder):
     table = table_of(spark, folder)
     table.put(labelled(spark, ("A", 1, "red")), 0)
-    labelled(spark, ("A", 2, "lost")).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
-        f"{folder}/t/history/group={0:010d}/batch={1:012d}"
-    )
+    labelled(spark, ("A", 2, "lost")).write.parquet(f"{folder}/t/history/group={0:010d}/batch={1:012d}")
     assert rows_of(table.latest()) == [("A", 1, "red")]
     table.put(labelled(spark, ("A", 2, "green")), 1)
     assert rows_of(table.latest()) == [("A", 2, "green")]
 
 
+def test_tables_do_not_need_sparks_own_marks(spark, folder):
+    hadoop = spark._jsc.hadoopConfiguration()
+    hadoop.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        table = table_of(spark, folder, compact_every=1)
+        table.put(labelled(spark, ("A", 1, "red")), 0)
+        table.put(labelled(spark, ("A", 9, "lost")), 0)
+    finally:
+        hadoop.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert rows_of(table.latest()) == rows_of(table.history()) == [("A", 1, "red")]
+
+
+def test_another_query_is_refused(spark, folder, feed):
+    start_status_query(spark, feed.events(), folder, OPTIONS)[0].awaitTermination()
+    os.rename(f"{folder}/checkpoint-status", f"{folder}/old-checkpoint")
+    query, table = start_status_query(spark, feed.events(), folder, OPTIONS)
+    with pytest.raises(Exception, match="was written by query"):
+        query.awaitTermination()
+    assert rows_of(table.history()) == sorted(AVERAGES)
+
+
+def test_groups_stay_as_they_were(spark, folder):
+    table_of(spark, folder, compact_every=2).put(labelled(spark, ("A", 1, "red")), 0)
+    table = table_of(spark, folder, compact_every=7)
+    assert table.compact_every == 2
+    table.put(labelled(spark, ("A", 2, "green")), 1)
+    assert rows_of(table.latest()) == [("A", 2, "green")]
+
+
 def test_changes_since(spark):
     last = labelled(spark, ("A", 10, "red"), ("B", 10, "green"), ("Z", 10, "red"))
     new = labelled(spark, ("A", 20, "red"), ("A", 30, "green"), ("B", 20, "green"), ("C", 20, "orange"))
@@ -317,43 +365,62 @@ def status_table(spark, folder):
     return KeyedTable(spark, f"{folder}/status", schemas.MACHINE_STATUS, "serialNumber", "eventTime")
 
 
+def values(subscription):
+    return sorted(r.average_bit_temp_10s for r in subscription.results().collect())
+
+
 def test_subscription(spark, folder):
     status = status_table(spark, folder)
     put = lambda batch, *rows: status.put(spark.createDataFrame(list(rows), schemas.MACHINE_STATUS), batch)
     put(0, ("A", 5, 1000), ("Z", 9, 1000))
     fleet = [profile_table(spark, "A", "B")]
-    subscription = Subscription(spark, status.stream, lambda: fleet[0], trigger=NOW)
+    subscription = Subscription(spark, status, lambda: fleet[0], trigger={"processingTime": "200 milliseconds"})
     assert subscription.results().count() == 0
     assert subscription.select("Reno", "") == 0 and subscription.query is None
     assert subscription.select("Reno", "A") == 2
-    subscription.query.awaitTermination()
-    expected = [("A", 5)]
-    assert [(r.serial_number, r.average_bit_temp_10s) for r in subscription.results().collect()] == expected
+    put(1, ("A", 6, 2000), ("B", 7, 2000))
+    subscription.query.processAllAvailable()
+    got = subscription.results().select("serial_number", "average_bit_temp_10s", F.unix_millis("event_time"))
+    assert rows_of(got) == [("A", 6, 2000), ("B", 7, 2000)]
 
     first = subscription.query
     assert subscription.select(None, "A") == 0 and subscription.query is first
     assert subscription.select("Ely", "A") == 0
     assert subscription.query is None and subscription.results().count() == 0
 
-    put(1, ("A", 5, 2000), ("B", 7, 2000))
     assert subscription.select("Reno", "A") == 2
-    subscription.query.awaitTermination()
-    got = subscription.results().select("serial_number", "average_bit_temp_10s", F.unix_millis("event_time"))
-    assert rows_of(got) == [("A", 5, 1000), ("A", 5, 2000), ("B", 7, 2000)]
+    put(2, ("A", 6, 3000))
+    subscription.query.processAllAvailable()
+    assert values(subscription) == [6]
     subscription.stop()
 
 
+def test_subscription_before_the_first_row_and_from_the_earliest(spark, folder):
+    status = status_table(spark, folder)
+    fleet = profile_table(spark, "A")
+    live = Subscription(spark, status, lambda: fleet, trigger={"processingTime": "200 milliseconds"})
+    assert live.select("Reno", "A") == 1
+    status.put(spark.createDataFrame([("A", 5, 1000), ("Z", 6, 1000)], schemas.MACHINE_STATUS), 0)
+    live.query.processAllAvailable()
+    assert values(live) == [5]
+    live.stop()
+    all_of_it = Subscription(spark, status, lambda: fleet, trigger=NOW, start="earliest")
+    assert all_of_it.select("Reno", "A") == 1
+    all_of_it.query.awaitTermination()
+    assert values(all_of_it) == [5]
+    with pytest.raises(ValueError, match="start"):
+        Subscription(spark, status, lambda: fleet, start="later")
+
+
 def test_machines_are_fixed_when_subscribing(spark, folder):
     status = status_table(spark, folder)
-    status.put(spark.createDataFrame([("A", 5, 1000)], schemas.MACHINE_STATUS), 0)
     fleet = [profile_table(spark, "A")]
-    subscription = Subscription(spark, status.stream, lambda: fleet[0], trigger={"processingTime": "200 milliseconds"})
+    subscription = Subscription(spark, status, lambda: fleet[0], trigger={"processingTime": "200 milliseconds"})
     assert subscription.select("Reno", "A") == 1
-    subscription.query.processAllAvailable()
     fleet[0] = profile_table(spark, "A", "B")
-    status.put(spark.createDataFrame([("A", 6, 2000), ("B", 7, 2000)], schemas.MACHINE_STATUS), 1)
+    status.put(spark.createDataFrame([("A", 6, 2000), ("B", 7, 2000)], schemas.MACHINE_STATUS), 0)
     subscription.query.processAllAvailable()
-    assert sorted(r.average_bit_temp_10s for r in subscription.results().collect()) == [5, 6]
+    assert values(subscription) == [6]
     subscription.stop()
 
 
@@ -446,13 +513,44 @@ def test_kafka_needs_its_connector(spark):
         kafka_messages(spark, "h:1", "events")
 
 
-def test_stateful_changes_of_a_plain_stream(spark, folder):
-    labelled(spark, ("A", 2, "red"), ("A", 1, "red"), ("A", 3, "green")).write.parquet(f"{folder}/in")
-    stream = spark.readStream.schema(schemas.label_change()).parquet(f"{folder}/in")
-    with session_conf(spark, stream_conf(spark)):
-        out = stateful_changes(stream)
-        write_messages(out, f"{folder}/cp", "plain", NOW, "parquet", path=f"{folder}/out").awaitTermination()
-    assert rows_of(spark.read.parquet(f"{folder}/out")) == [("A", 1, "red"), ("A", 3, "green")]
+def test_malformed_messages_need_a_place(spark, folder):
+    options = MonitorOptions(on_malformed="quarantine", trigger=OPTIONS.trigger)
+    monitor = TemperatureMonitor(spark, f"{folder}/m", None, None, options)
+    feed = Feed(spark, folder).add([("A", 1, 5), (None, 1, 5)])
+    messages = file_messages(spark, feed.path, "json", pathGlobFilter="*.json")
+    with pytest.raises(ValueError, match="quarantine"):
+        monitor.decode(messages)
+    kept = []
+
+    def quarantine(bad):
+        kept.append(write_messages(bad, f"{folder}/cp", "bad", NOW, "parquet", path=f"{folder}/bad"))
+
+    events = monitor.decode(messages, quarantine)
+    kept[0].awaitTermination()
+    assert spark.read.parquet(f"{folder}/bad").count() == 1
+    write_messages(events, f"{folder}/cp2", "good", NOW, "parquet", path=f"{folder}/good").awaitTermination()
+    assert [r.serialNum for r in spark.read.parquet(f"{folder}/good").collect()] == ["A"]
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if n.startswith("stream_")])
+def test_queries_on_several_files_of_events(spark, tmp_path_factory, monkeypatch, name):
+    """The registered streams, with the events in four files in the order of time and one file a micro-batch."""
+    source = "/root/testdata/sf0.001"
+    folder = str(tmp_path_factory.mktemp("tables"))
+    for table in ("customer", "nation"):
+        os.symlink(f"{source}/{table}.parquet", f"{folder}/{table}.parquet")
+    events = spark.read.parquet(f"{source}/events.parquet").orderBy("ts").collect()
+    schema = spark.read.parquet(f"{source}/events.parquet").schema
+    os.mkdir(f"{folder}/events.parquet")
+    for i in range(4):
+        part = spark.createDataFrame(events[i * 250 : (i + 1) * 250], schema)
+        part.coalesce(1).write.parquet(f"{folder}/part{i}")
+        file = next(f for f in os.listdir(f"{folder}/part{i}") if f.endswith(".parquet"))
+        os.link(f"{folder}/part{i}/{file}", f"{folder}/events.parquet/events-{i}.parquet")
+        os.utime(f"{folder}/events.parquet/events-{i}.parquet", (1_700_000_000 + 10 * i,) * 2)
+    monkeypatch.setattr(shop_tables.telemetry_stream, "__defaults__", (1,))
+    found = spark_rows(QUERIES[name](spark, folder))
+    assert found == duck_rows(duck(source), ORACLES[name])
 
 
 def test_controller(spark, folder):
