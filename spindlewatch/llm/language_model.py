@@ -8,6 +8,7 @@ task; the rest of a text's words is joined with the counts, which is the smaller
 hot key.
 """
 
+import os
 from collections import Counter
 from math import fsum, log10
 from zlib import crc32
@@ -15,6 +16,7 @@ from zlib import crc32
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from spindlewatch.llm.attention_model import CLASSES, CONTEXT, STRIDE, Model
 from spindlewatch.llm.byte_pairs import BytePairs
@@ -63,15 +65,22 @@ def count_words(training, text="text"):
     return counted.groupBy("word").agg(F.sum("c").alias("c"))
 
 
-class Subwords(dict):
-    """Ids of a word's subwords, with the space before it."""
+class Subwords:
+    """Ids of words' subwords, with the space before them; texts of special tokens are ordinary words here."""
 
     def __init__(self, vocabulary):
-        super().__init__()
-        self.pairs = BytePairs(vocabulary)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.tokenizer = Tokenizer.from_str(vocabulary)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.tokenizer.encode_special_tokens = True
 
     def __call__(self, word):
-        return self.pairs.encode_fragment(b" " + word)
+        return self.tokenizer.encode(f" {word.decode()}", add_special_tokens=False).ids
+
+    def many(self, words):
+        texts = [f" {w.decode()}" for w in words]
+        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
 def count_subwords(words, shared):
@@ -81,8 +90,8 @@ def count_subwords(words, shared):
         encode = Subwords(shared.value())
         for batch in batches:
             total = Counter()
-            for word, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for i in encode(word):
+            for ids, c in zip(encode.many(batch.column(0).to_pylist()), batch.column(1).to_pylist()):
+                for i in ids:
                     total[i] += c
             yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(list(total.values()), pa.int64())], names=["id", "n"])
 
@@ -125,7 +134,7 @@ class Words(dict):
     def __missing__(self, word):
         if len(self) >= self.remembered:
             self.clear()
-        ids = list(self.encode(word))
+        ids = self.encode(word)
         entry = self[word] = (self.classes.of[ids].tobytes(), float(self.classes.logs[ids].sum()))
         return entry
 
