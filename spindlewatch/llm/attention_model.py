@@ -175,9 +175,9 @@ class Model:
         d_x = d_k @ p["key"].T + d_v @ p["value"].T
         d_x[:, CONTEXT - STRIDE :] += d_hidden + d_q @ p["query"].T
         out["place"] = d_x.sum(axis=0)
-        embed = np.zeros_like(p["embed"])
-        np.add.at(embed, inputs, d_x)
-        out["embed"] = embed
+        places = inputs.reshape(-1, 1).astype(np.int64) * WIDTH + np.arange(WIDTH)
+        embed = np.bincount(places.ravel(), d_x.ravel(), p["embed"].size)
+        out["embed"] = embed.astype(np.float32).reshape(p["embed"].shape)
         return out
 
     def train(self, segments, rate, batch=64):

@@ -1,6 +1,6 @@
 """Scoring of texts with a language model learnt from the corpus.
 
-Spark counts the training words, and from them the subwords; tasks train the attention model on windows of
+Spark counts the training words, and from them the subwords; tasks train the attention model on all windows of
 their own training documents, and its parameters are averaged after every round. Scoring takes each text once.
 
 The base score needs the count of every word of a text. The most frequent words, a bounded number, go to every
@@ -11,16 +11,15 @@ hot key.
 import os
 from collections import Counter
 from math import fsum, log10
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from spindlewatch.llm.attention_model import CLASSES, CONTEXT, STRIDE, Model
+from spindlewatch.llm.attention_model import CLASSES, Model
 from spindlewatch.llm.byte_pairs import BytePairs
-from spindlewatch.llm.common import LOWERED, Shared, list_array, map_texts, ship, written
+from spindlewatch.llm.common import LOWERED, Shared, _slices, list_array, map_texts, ship, written
 
 ship(__name__)
 
@@ -33,10 +32,11 @@ COUNTED = 200_000
 BINS = 16
 OWN_CLASSES = CLASSES - 2 * BINS - 1
 
-# Training: rounds, learning rates, and which blocks of a document's words are trained on, at least one of each.
+# Training: the learning rate of each round. Every window is trained on once, in one of the rounds; a task shuffles
+# this many windows at a time.
 RATES = (0.02, 0.01, 0.004)
-BLOCK_WORDS = 32
-BLOCK_EVERY = 16
+GATHERED = 49_152
+STEP = 256
 
 
 def words_of_text(text):
@@ -139,44 +139,49 @@ class Words(dict):
         return entry
 
 
-def _training_codes(words, model, known, end, phase):
-    """Windows of the chosen blocks of one document."""
-    count = max(1, -(-len(words) // BLOCK_WORDS))
-    for block in range(phase % min(BLOCK_EVERY, count), count, BLOCK_EVERY):
-        here = words[block * BLOCK_WORDS : (block + 1) * BLOCK_WORDS]
-        codes = b"".join([known[w][0] for w in here]) + (end if block == count - 1 else b"")
-        segments = model.segments(np.frombuffer(codes, np.uint16))
-        # Within a text nothing is known of what stands before the block, so its first windows are left out.
-        skipped = 0 if block == 0 else -(-CONTEXT // STRIDE) - 1
-        yield from segments[skipped:]
+def _gathered(batches, model):
+    """The windows of whole texts, given as one row of class codes each, in arrays of a bounded number of rows."""
+    found, n = [], 0
+    for batch in batches:
+        for content in batch.column(0).to_pylist():
+            segments = model.segments(np.frombuffer(content, np.uint16))
+            for at in range(0, len(segments), GATHERED):
+                part = segments[at : at + GATHERED]
+                found.append(part)
+                n += len(part)
+                if n >= GATHERED:
+                    yield np.concatenate(found)
+                    found, n = [], 0
+    if found:
+        yield np.concatenate(found)
 
 
 def train(training, model, shared, classes, text="text"):
-    """The model after the rounds; each task trains on its own windows, and parameters are averaged by them."""
-    def windows(batches):
+    """The model after the rounds; each task trains on its own windows, and parameters are averaged by them.
+
+    Every token of every training text, its end included, is the target of one step in one of the rounds.
+    """
+
+    def coded(batches):
         known = Words(shared.value(), classes.value())
         end = np.uint16(known.classes.end).tobytes()
         for batch in batches:
-            found = []
-            for content in batch.column(0).to_pylist():
-                words = words_of_text(content)
-                found += [s.tobytes() for s in _training_codes(words, model, known, end, crc32(content or b""))]
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array([b"".join(found)], pa.binary())], names=["segments"])
+            for part in _slices(batch, 0):
+                codes = [b"".join([known[w][0] for w in words_of_text(t)]) + end for t in part.column(0).to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array(codes, pa.binary())], names=["codes"])
 
     source = training.select(F.col(text).cast("binary").alias("text"))
-    stored = written(source.mapInArrow(windows, "segments binary"), "windows")
-    for rate in RATES:
+    stored = written(source.mapInArrow(coded, "codes binary"), "codes")
+    for turn, rate in enumerate(RATES):
         start = Shared(training.sparkSession, model)
 
-        def learn(batches, start=start, rate=rate):
+        def learn(batches, start=start, turn=turn, rate=rate):
             local, seen = start.value(), 0
-            for batch in batches:
-                for content in batch.column(0).to_pylist():
-                    segments = np.frombuffer(content, np.uint16).reshape(-1, CONTEXT + 1)
-                    order = np.random.default_rng(len(segments)).permutation(len(segments))
-                    local = local.train(segments[order], rate)
-                    seen += len(segments)
+            for segments in _gathered(batches, local):
+                order = np.random.default_rng(len(segments)).permutation(len(segments))[turn :: len(RATES)]
+                if len(order):
+                    local = local.train(segments[order], rate, STEP)
+                    seen += len(order)
             if seen:
                 values = local.flat() * seen
                 yield pa.RecordBatch.from_arrays(

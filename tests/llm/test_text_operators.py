@@ -10,10 +10,10 @@ from brute import LOWER, lettered, leaks, quality, remainder, spaced, text_count
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from spindlewatch.llm import quality_rules, queries
+from spindlewatch.llm import language_model, quality_rules, queries
 from spindlewatch.llm.attention_model import CLASSES, CONTEXT, GROUP, STRIDE, Model
 from spindlewatch.llm.byte_pairs import BytePairs, read_vocabulary, tokenize
-from spindlewatch.llm.common import crc_remainder
+from spindlewatch.llm.common import Shared, crc_remainder
 from spindlewatch.llm.decontaminate import find_leaks, n_hit, without_leaks
 from spindlewatch.llm.language_id import fit, predict
 from spindlewatch.llm.language_model import score_texts
@@ -286,3 +286,34 @@ def test_sha_columns_of_the_token_query(spark):
         assert found[row.doc_id].n_tokens == len(ids)
         assert found[row.doc_id].ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert found[row.doc_id].decoded_sha256 == hashlib.sha256(row.text.encode()).hexdigest()
+
+
+def test_attention_trains_on_every_token_once(spark):
+    """A model that counts its targets instead of learning: all subwords of all texts, and their ends."""
+
+    class Counting(Model):
+        def __init__(self, counts):
+            self.counts = np.asarray(counts, float)
+
+        def flat(self):
+            return self.counts
+
+        def with_flat(self, values):
+            return Counting(np.round(values))
+
+        def train(self, segments, rate, *step):
+            targets = segments[:, CONTEXT - STRIDE + 1 :].ravel()
+            return Counting(self.counts + np.bincount(targets[targets != self.NONE], minlength=CLASSES))
+
+    texts = [" ".join(f"w{i % 97} some{i * j}" for i in range(n)) for j, n in enumerate((0, 1, 40, 700, 3000))] + [None]
+    vocabulary = read_vocabulary(queries.VOCABULARY)
+    classes = language_model.Classes(BytePairs(vocabulary).tokens, [], 1)
+    training = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    model = language_model.train(training, Counting(np.zeros(CLASSES)), Shared(spark, vocabulary), Shared(spark, classes))
+    expected = np.zeros(CLASSES)
+    encode = language_model.Subwords(vocabulary)
+    for text in texts:
+        expected[classes.end] += 1
+        for word in (text or "").encode().split():
+            np.add.at(expected, classes.of[encode(word)], 1)
+    assert (model.counts == expected).all()
