@@ -5,6 +5,11 @@ says so: that cuts unpunctuated text at the same words wherever it stands. From
 run of at least three sentences and twelve words is hashed. Equal runs are found by one aggregation over all
 documents and a join on the hash, both of which Spark can split however often a run occurs. All sentences that
 a run covers are removed, but where it stands first: in the document with the smallest id, at its first place.
+
+A passage that holds no whole run, for want of sentence ends, is found by windows: where any stretch of
+``STRETCH`` words has no run inside, ``WINDOW`` words are hashed from every word on that has the least hash in some
+neighbourhood of ``NEAR`` words. That is decided by the words of the stretch alone, so copies share windows
+wherever they are spliced. Repeated windows go word by word, but those that touch a sentence removed by a run.
 """
 
 import re
@@ -24,6 +29,11 @@ SENTENCES = 3
 WORDS = 12
 CUT_EVERY = 16
 
+# Repeats of this many words are found for certain; a window and a neighbourhood at each side fit in.
+STRETCH = 50
+WINDOW = 25
+NEAR = 8
+
 ENDS = (b".", b"!", b"?")
 WORD_AT = re.compile(rb"[^\x20\x09-\x0D]+").finditer
 REMEMBERED = 300_000
@@ -72,8 +82,38 @@ def runs_of(words, bounds):
     return out
 
 
+def windows_of(words, ends):
+    """(first word, hash as two numbers) of the windows in stretches that hold no run, by the words alone."""
+    n = len(words)
+    if n < STRETCH:
+        return []
+    flags = np.fromiter(map(ends.__getitem__, words), bool, n)
+    cuts = np.append(np.flatnonzero(flags), n)
+    before = np.concatenate(([0], np.cumsum(flags)))
+    low, high = before[: n - STRETCH + 1], before[STRETCH:]
+    sparse = (high - low <= SENTENCES) | (cuts[high - 1] - cuts[low] < WORDS)
+    if not sparse.any():
+        return []
+    # Which starts of windows lie in a sparse stretch.
+    marks = np.zeros(n + 1, np.int64)
+    at = np.flatnonzero(sparse)
+    np.add.at(marks, at, 1)
+    np.add.at(marks, at + STRETCH - WINDOW + 1, -1)
+    inside = np.cumsum(marks[:n]) > 0
+    hashes = np.fromiter(map(crc32, words), np.uint32, n)
+    least = np.lib.stride_tricks.sliding_window_view(hashes, NEAR).argmin(axis=1) + np.arange(n - NEAR + 1)
+    chosen = np.zeros(n, bool)
+    chosen[least] = True
+    out = []
+    for first in np.flatnonzero(chosen & inside).tolist():
+        digest = xxhash.xxh3_128_digest(b"\n" + b" ".join(words[first : first + WINDOW]))
+        high = int.from_bytes(digest[:8], "big", signed=True)
+        out.append((first, high, int.from_bytes(digest[8:12], "big", signed=True)))
+    return out
+
+
 def runs(docs, text="text", id_column="doc_id"):
-    """One row per document and different run: (doc_id, high, low)."""
+    """One row per document and different run or window: (doc_id, high, low)."""
 
     def run(batches):
         ends = SentenceEnds()
@@ -81,7 +121,9 @@ def runs(docs, text="text", id_column="doc_id"):
             for ids, content in zip(batch.column(0), batch.column(1).to_pylist()):
                 if not content:
                     continue
-                found = {r[2:] for r in runs_of(*sentences_of(content, ends))}
+                words, bounds = sentences_of(content, ends)
+                found = {r[2:] for r in runs_of(words, bounds)}
+                found.update(w[1:] for w in windows_of(words, ends))
                 if found:
                     highs, lows = zip(*found)
                     yield pa.RecordBatch.from_arrays(
@@ -115,8 +157,30 @@ def covered(all_runs, known):
     return out
 
 
+def with_windows(bounds, gone, all_windows, known):
+    """Bounds and numbers of the parts that go, and how many sentences these touch: the sentences in ``gone``, and
+    the words of windows that are known, or stand in the same text before, and touch none of those sentences."""
+    taken, seen = set(), set()
+    for first, high, low in all_windows:
+        if (high, low) in known or (high, low) in seen:
+            taken.add(first)
+        seen.add((high, low))
+    if not taken:
+        return bounds, gone, len(gone)
+    removed = np.zeros(bounds[-1], bool)
+    for i in gone:
+        removed[bounds[i] : bounds[i + 1]] = True
+    cut = removed.copy()
+    for first in taken:
+        if not removed[first : first + WINDOW].any():
+            cut[first : first + WINDOW] = True
+    touched = int((np.add.reduceat(cut, bounds[:-1], dtype=np.int64) > 0).sum())
+    parts = [0, *(np.flatnonzero(cut[1:] != cut[:-1]) + 1).tolist(), len(cut)]
+    return parts, {i for i, at in enumerate(parts[:-1]) if cut[at]}, touched
+
+
 def without(text, bounds, gone):
-    """A text without the given sentences, up to the word after each."""
+    """A text without the given sentences, or parts, up to the word after each."""
     spans = [m.span() for m in WORD_AT(text)]
     starts = [spans[b][0] for b in bounds[:-1]] + [len(text)]
     out, at = [], 0
@@ -131,7 +195,8 @@ def remove_repeats(docs, text="text", id_column="doc_id"):
     """``docs`` with repeated sentences cut from the texts, and the counts n_sentences and n_removed.
 
     Null and empty texts stay as they are, with counts of zero. Texts too short for a run lose nothing. Rows
-    with equal ids count as one document; a null id sorts before all others. A text may end up empty.
+    with equal ids count as one document; a null id sorts before all others. A text may end up empty. A sentence
+    of which only a window's words go counts as removed, too.
     """
     kept = [c for c in docs.columns if c not in ("n_sentences", "n_removed")]
     found = written(runs(docs, text, id_column), "runs")
@@ -162,10 +227,12 @@ def remove_repeats(docs, text="text", id_column="doc_id"):
             texts, counts, removed = [], [], []
             for content, repeated in zip(contents, known):
                 words, bounds = sentences_of(content.encode(), ends) if content else ([], [0])
-                gone = covered(runs_of(words, bounds), {(r["high"], r["low"]) for r in repeated or ()})
-                texts.append(without(content.encode(), bounds, gone).decode() if gone else content)
+                here = {(r["high"], r["low"]) for r in repeated or ()}
+                gone = covered(runs_of(words, bounds), here)
+                parts, parts_gone, touched = with_windows(bounds, gone, windows_of(words, ends), here)
+                texts.append(without(content.encode(), parts, parts_gone).decode() if parts_gone else content)
                 counts.append(len(bounds) - 1)
-                removed.append(len(gone))
+                removed.append(touched)
             arrays = [pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(len(kept))]
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(counts, pa.int64()), pa.array(removed, pa.int64())], names=names)
 

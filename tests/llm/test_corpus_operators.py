@@ -79,6 +79,35 @@ def test_passages(docs, no_docs, all_rows):
     assert remove_repeats(no_docs).collect() == []
 
 
+def test_passages_spliced_anywhere(make_docs):
+    """Passages of 51 words without sentence ends, or with clustered ones, inside sentences of other texts."""
+    rng = np.random.default_rng(5)
+    ends = passages_module.SentenceEnds()
+    plain = [w for w in (f"q{i}" for i in range(40_000)) if not ends[w.encode()]]
+    rows = []
+    for k in range(60):
+        passage = [str(w) for w in rng.choice(plain, 51)]
+        for at in range(k % 4 * 2):
+            passage[(10 + at) if k % 8 < 4 else 8 * at] += "."
+        for copy in range(2):
+            words = [str(w) for w in rng.choice(plain, 140)]
+            at = int(rng.integers(0, 141))
+            rows.append((2 * k + copy, " ".join([*words[:at], *passage, *words[at:]]), " ".join(passage), at, None))
+    docs = make_docs([(i, t, None, None, None) for i, t, *_ in rows])
+    found = {r.doc_id: r for r in remove_repeats(docs).collect()}
+    for i, text, passage, at, _ in rows:
+        left, words = found[i].text.split(), text.split()
+        if i % 2 == 0:
+            assert found[i].text == text and found[i].n_removed == 0
+            continue
+        gone = len(words) - len(left)
+        assert found[i].n_removed > 0 and gone >= 12
+        if passage.count(".") < 4:
+            assert gone >= 25
+        # All that stands around the passage stays.
+        assert left[:at] == words[:at] and left[len(left) - 140 + at :] == words[at + 51 :]
+
+
 URLS = [
     None,
     "",
