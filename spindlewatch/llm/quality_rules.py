@@ -3,18 +3,19 @@
 Words and pairs of neighbouring words are hashed into a fixed number of buckets. Two multinomials over the
 buckets are counted, one over the trusted documents and one over the whole corpus. A document's verdict is the
 mean, over its n-grams, of the logarithm of their ratio, held against a fixed threshold. Every step is a
-DataFrame expression; texts are never shuffled, only bucket counts are.
+DataFrame expression; texts are never shuffled, only bucket counts are, and the documents' bucket numbers where
+trusted ids are too many to be copied to all tasks.
 """
 
 from functools import reduce
 
 from pyspark.sql import functions as F
 
-from spindlewatch.llm.common import SPACES, words_of
+from spindlewatch.llm.common import BROADCAST_IDS, SPACES, words_of, written
 
 BUCKETS = 1 << 16
-# Bound of the sample of trusted documents.
-TRUSTED_ROWS = 100_000
+# Parts that rows of one id are dealt over when trusted ids are joined by shuffling.
+SALTS = 16
 PRIOR = 5.0
 THRESHOLD = -0.16
 SYMBOLS = "#*$%&|<>"
@@ -103,29 +104,27 @@ def text_counts(hashed):
     return _with_repeats(df)
 
 
-def bucket_weights(docs, trusted, text="text", id_column="doc_id", buckets=BUCKETS, trusted_rows=TRUSTED_ROWS):
+def bucket_weights(docs, trusted, text="text", id_column="doc_id", buckets=BUCKETS, copied=BROADCAST_IDS):
     """Log ratio of each bucket between trusted and all documents: one row (``weights``), an array by bucket.
 
     The corpus is scaled to the size of the trusted part, and each bucket of both has ``PRIOR`` added, so that a
     bucket that is rare in the corpus tells little. ``trusted`` has the ids of trusted documents in its one column,
-    of which at most ``trusted_rows``, those with the least hash, are learnt from: so many ids can go to every
-    task, and no text has to be shuffled to find out if it is trusted. The corpus is counted in full. If no
-    trusted document occurs, all weights are zero.
+    and every one of them is learnt from. Up to ``copied`` ids go to every task; more are joined with the documents'
+    ids and bucket numbers. If no trusted document occurs, all weights are zero.
     """
-    ids = (
-        trusted.toDF("doc_id")
-        .where("doc_id is not null")
-        .distinct()
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(trusted_rows)
-        .withColumn("is_trusted", F.lit(True))
-    )
-    grams = (
-        hashed_words(docs, text, doc_id=F.col(id_column))
-        .join(F.broadcast(ids), "doc_id", "left")
-        .select("is_trusted", F.explode(F.concat("hashes", "pairs")).alias("gram"))
-        .select("is_trusted", F.pmod("gram", F.lit(buckets)).cast("int").alias("bucket"))
+    ids = written(trusted.toDF("doc_id").where("doc_id is not null").distinct(), "trusted")
+    ids = ids.withColumn("is_trusted", F.lit(True))
+    found = hashed_words(docs, text, doc_id=F.col(id_column)).select(
+        "doc_id", F.transform(F.concat("hashes", "pairs"), lambda x: F.pmod(x, F.lit(buckets)).cast("int")).alias("found")
     )
+    if ids.count() <= copied:
+        marked = found.join(F.broadcast(ids), "doc_id", "left")
+    else:
+        # Rows of one id, or of none, are not all in one task.
+        salted = found.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+        each = ids.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        marked = salted.join(each, ["doc_id", "salt"], "left")
+    grams = marked.select("is_trusted", F.explode("found").alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.count("is_trusted").alias("t"))
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
     full = every.join(counts, "bucket", "left").select(

@@ -47,6 +47,18 @@ def test_quality_rules_without_trusted_or_documents(spark, docs, no_docs):
     assert judge_quality(no_docs, none).collect() == []
 
 
+@pytest.mark.parametrize("copied", [quality_rules.BROADCAST_IDS, 10])
+def test_quality_rules_learn_from_every_trusted_document(spark, copied):
+    """Where all documents are trusted, trusted text is like all text: every weight is zero."""
+    ids = spark.range(100_400).toDF("doc_id")
+    docs = ids.select("doc_id", F.concat_ws(" ", F.lit("all"), F.col("doc_id") % 5000).alias("text"))
+    weights = quality_rules.bucket_weights(docs, ids, copied=copied).first().weights
+    assert len(weights) == quality_rules.BUCKETS and not any(weights)
+    half = quality_rules.bucket_weights(docs, ids.where("doc_id % 2 = 0"), copied=copied).first().weights
+    assert any(half)
+    assert half == quality_rules.bucket_weights(docs, ids.where("doc_id % 2 = 0")).first().weights
+
+
 def test_quality_rules_are_native(spark, docs, capsys):
     judge_quality(docs, spark.range(3).toDF("doc_id")).explain()
     plan = capsys.readouterr().out
