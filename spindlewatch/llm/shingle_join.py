@@ -2,7 +2,7 @@
 
 1. Every text becomes the set of its shingles' hashes. Equal sets are one class.
 2. Shingles have one order for all sets: those in a fixed share of the hash space first, rare ones before
-   frequent ones. Sets as similar as asked share a shingle among their first ones, the prefix. Shingles that
+   frequent ones, and then the others by hash. Sets as similar as asked share a shingle among their first ones, the prefix. Shingles that
    only one set has are counted, but no index list is made for them.
 3. Index lists with the same leader, the member with most copies, are one list. A list is cut into blocks of similar set sizes; a pair of
    blocks is skipped when their sizes, or the positions of the shared shingle in their sets, leave too few
@@ -160,7 +160,8 @@ def _prefixes(classes, percent, share):
     counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
     shared = tokens.join(counts, "token").withColumn("late", (F.col("token") > limit).cast("int"))
     sized = shared.join(classes.select("node", "n", "n_first"), "node")
-    rank = F.row_number().over(Window.partitionBy("node").orderBy("late", "sets", "token"))
+    # Late ones were cut off by hash, so they are in that order; by another, a set's first ones might be cut off.
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("late", F.when(F.col("late") == 0, F.col("sets")), "token"))
     first_shared = F.sum(1 - F.col("late")).over(Window.partitionBy("node"))
     alone = F.col("n_first") - first_shared
     reach = F.expr(f"n - ({percent} * n + 99) div 100 + 1")

@@ -46,6 +46,31 @@ def test_shingle_components_of_many_near_copies(make_docs, monkeypatch):
         assert ordered(map(tuple, found.collect())) == ordered(expected)
 
 
+def test_positions_follow_the_order_by_which_sets_were_cut(spark):
+    """Sets of 20 inside 22, of whose shared shingles, all beyond the counted share, the smaller one has a rarer one."""
+    y, a, b, c = range(10, 14)
+    sets = [(1, 20, [a, b, c]), (2, 22, [y, a, b]), (3, 20, [c, 50, 51]), (4, 20, [y, 60, 61])]
+    sets += [(i, 20, [a, b, 100 + i]) for i in range(5, 9)]
+    classes = spark.createDataFrame([(*s, 0) for s in sets], "node bigint, n bigint, low array<bigint>, n_first int")
+    at = {(r.node, r.token): r.n - r.pos for r in shingle_join._prefixes(classes, 90, 0.05).collect()}
+    # 20 of 22 are shared; a is the first shared one of both.
+    assert 1 + min(at[1, a], at[2, a]) >= 20
+
+
+def test_shingle_components_of_short_sets_of_unequal_size(make_docs, monkeypatch):
+    monkeypatch.setattr(shingle_join, "BLOCK", 2)
+    rng = np.random.default_rng(7)
+    rows = []
+    for _ in range(40):
+        common = [f"f{i}" for i in rng.choice(60, int(rng.integers(16, 24)), replace=False)]
+        for _ in range(6):
+            words = [w for w in common if rng.random() > 0.03] + [f"f{i}" for i in rng.choice(60, int(rng.integers(0, 4)))]
+            rows.append((len(rows), " ".join(words), None, None, None))
+    expected = [(i, *c) for (i, *_), c in zip(rows, plain_components([r[:2] for r in rows], 1, 90))]
+    found = similar_components(make_docs(rows), size=1, percent=90)
+    assert ordered(map(tuple, found.collect())) == ordered(expected)
+
+
 def test_shingle_components_of_nothing(no_docs):
     assert similar_components(no_docs).collect() == []
 
