@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from spindlewatch.functions.labels import critical_limit
 from spindlewatch.functions.times import to_epoch_ms, utc_timestamp
+from spindlewatch.session import run_dir
 from spindlewatch.sources.topics import stream_table
 
-
 # Bounds a micro-batch, and with it the state that it touches.
 FILES_PER_BATCH = 64
 
@@ -33,13 +33,42 @@ def telemetry(spark, sf_dir):
     return _telemetry(table(spark, sf_dir, "events"))
 
 
+def _in_order(spark, events, files):
+    """Path of a copy of the events in ``files`` files by ranges of time, whose age is in the order of their events."""
+    path = run_dir(spark, "events")
+    events.select("user_id", "ts", "value").repartitionByRange(files, "ts").write.parquet(path)
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def parts():
+        # Names begin with the number of the range.
+        found = [(s.getPath().getName(), s) for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-")]
+        return [s for _, s in sorted(found, key=lambda x: int(x[0].split("-")[1]))]
+
+    # Tasks end in any order; a file stream goes by the time of files, which some stores keep to the second.
+    stored = parts()
+    newest = max((s.getModificationTime() for s in stored), default=0)
+    for i, status in enumerate(stored, 1):
+        fs.setTimes(status.getPath(), newest - 1000 * (len(stored) - i), -1)
+    times = [s.getModificationTime() for s in parts()]
+    if any(a >= b for a, b in zip(times, times[1:])):
+        raise RuntimeError(f"the store of {path} does not keep the times of files, by which a stream orders them")
+    return path
+
+
 def telemetry_stream(spark, sf_dir, files=FILES_PER_BATCH):
-    """The same as a stream of at most ``files`` files a micro-batch, the oldest files first.
+    """The same as a stream of at most ``files`` files a micro-batch.
 
-    A window is closed by the newest event seen, so files must have become older in the order of their events:
-    rows of a file that comes too late are dropped as late.
+    A window is closed by the newest event seen, and rows that come later are dropped. So a table of more files
+    than one micro-batch takes is first rewritten in the order of time, whatever the order of its files.
     """
-    return _telemetry(stream_table(spark, f"{sf_dir}/events.parquet", maxFilesPerTrigger=files))
+    path = f"{sf_dir}/events.parquet"
+    events = table(spark, sf_dir, "events")
+    count = len(events.inputFiles())
+    if count > files:
+        path = _in_order(spark, events, count)
+    return _telemetry(stream_table(spark, path, maxFilesPerTrigger=files))
 
 
 def limits(spark, sf_dir):

@@ -553,6 +553,20 @@ def test_queries_on_several_files_of_events(spark, tmp_path_factory, monkeypatch
     assert found == duck_rows(duck(source), ORACLES[name])
 
 
+@pytest.mark.parametrize("name", [n for n in QUERIES if n.startswith("stream_")])
+def test_queries_on_many_files_in_no_order(spark, tmp_path_factory, name):
+    """The registered streams, with the events dealt at random over more files than a micro-batch takes."""
+    source = "/root/testdata/sf0.001"
+    folder = str(tmp_path_factory.mktemp("tables"))
+    for table in ("customer", "nation"):
+        os.symlink(f"{source}/{table}.parquet", f"{folder}/{table}.parquet")
+    files = shop_tables.FILES_PER_BATCH + 16
+    spark.read.parquet(f"{source}/events.parquet").repartition(files).write.parquet(f"{folder}/events.parquet")
+    assert len(spark.read.parquet(f"{folder}/events.parquet").inputFiles()) == files
+    found = spark_rows(QUERIES[name](spark, folder))
+    assert found == duck_rows(duck(source), ORACLES[name])
+
+
 def test_controller(spark, folder):
     publish = message_batch_sink("parquet", path=f"{folder}/topic")
     publish(controls(spark, ("A", "red"), ("A", "orange"), ("Z", "green"), ("Z", "orange")), 0)
