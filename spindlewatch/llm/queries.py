@@ -1,5 +1,6 @@
 """The operators of this package as queries on whole tables, and their results in DuckDB's SQL."""
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from spindlewatch.llm.byte_pairs import read_vocabulary, tokenize
@@ -9,13 +10,16 @@ from spindlewatch.llm.language_id import fit, predict
 from spindlewatch.llm.language_model import score_texts
 from spindlewatch.llm.license_scan import find_licenses
 from spindlewatch.llm.passages import remove_repeats
+from spindlewatch.llm.piece_agenda import encode_pieces, read_model
 from spindlewatch.llm.quality_rules import judge_quality
 from spindlewatch.llm.quality_trees import fit_quality, score_quality
 from spindlewatch.llm.shingle_join import similar_components
 from spindlewatch.llm.url_rules import judge, rule_table
+from spindlewatch.llm.whitening import fit_whitening, whiten
 
-# Where the vocabulary of the tokenizer is; read on the driver and sent to the tasks.
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
+# Where the vocabularies of the tokenizers are; read on the driver and sent to the tasks.
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 # The rules that pages are judged by.
 URL_RULES = [
@@ -122,6 +126,35 @@ def op10_url_filters(spark, sf_dir):
     return judge(pages, rule_table(spark, URL_RULES)).drop("url")
 
 
+def op12_embedding_whitening(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = fit_whitening(rows, components=8)
+    white = whiten(rows, model, keep=["vec_id"]).select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    n, explained, error = (model.n, model.explained.tolist(), model.identity_error) if model else (0, [], 0.0)
+    return white.select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(n).cast("bigint").alias("n"),
+        # Null where 64 bits do not hold it; the operator's own column does.
+        F.col("deviation").try_cast("bigint").alias("deviation"),
+        "whitened",
+        F.get(F.array(*map(F.lit, explained)).cast("array<double>"), F.col("at")).alias("explained"),
+        F.lit(error).alias("identity_error"),
+    )
+
+
+def op13_piece_round_trip(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = encode_pieces(docs, read_model(PIECES), keep=["doc_id"])
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        "agrees",
+    )
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_quality_rules": op2_quality_rules,
@@ -133,6 +166,8 @@ QUERIES = {
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_language_id": op9_language_id,
     "op10_url_filters": op10_url_filters,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_piece_round_trip": op13_piece_round_trip,
 }
 
 _ADDRESS = """
