@@ -4,6 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from spindlewatch.llm.byte_pairs import read_vocabulary, tokenize
+from spindlewatch.llm.collocations import collocations
 from spindlewatch.llm.common import crc_remainder, table
 from spindlewatch.llm.decontaminate import find_leaks, n_hit
 from spindlewatch.llm.language_id import fit, predict
@@ -126,6 +127,10 @@ def op10_url_filters(spark, sf_dir):
     return judge(pages, rule_table(spark, URL_RULES)).drop("url")
 
 
+def op11_phrase_collocations(spark, sf_dir):
+    return collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 def op12_embedding_whitening(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     model = fit_whitening(rows, components=8)
@@ -166,6 +171,7 @@ QUERIES = {
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_language_id": op9_language_id,
     "op10_url_filters": op10_url_filters,
+    "op11_phrase_collocations": op11_phrase_collocations,
     "op12_embedding_whitening": op12_embedding_whitening,
     "op13_piece_round_trip": op13_piece_round_trip,
 }
@@ -191,4 +197,34 @@ best AS (
     GROUP BY page_id)
 SELECT a.page_id, a.host, a.path, b.rule, coalesce(b.verdict, 'allow') AS verdict
 FROM address a LEFT JOIN best b USING (page_id)""",
+    "op11_phrase_collocations": r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents),
+rows_of_words AS (
+    SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM rows_of_words),
+counts AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS n
+    FROM places, (VALUES (1), (2), (3)) sizes(k) WHERE i + k - 1 <= len(w) GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS w FROM counts WHERE k > 1 AND n >= 10),
+inside AS (
+    SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a
+    FROM candidates WHERE k = 3),
+covers AS (SELECT lang, phrase, max(a) AS most FROM inside GROUP BY ALL),
+cuts AS (
+    SELECT c.*, cut, array_to_string(w[1:cut], ' ') AS first_part, array_to_string(w[cut + 1:k], ' ') AS rest
+    FROM (SELECT c.*, unnest(range(1, k)) AS cut FROM candidates c) c LEFT JOIN covers USING (lang, phrase)
+    WHERE most IS NULL OR 100 * most < 50 * a),
+scores AS (
+    SELECT cuts.lang, cuts.phrase, a, cut, x.n AS l, y.n AS r,
+        CAST(1000000::HUGEINT * a * a // (x.n::HUGEINT * y.n) AS BIGINT) AS score
+    FROM cuts JOIN counts x ON cuts.lang = x.lang AND first_part = x.phrase
+    JOIN counts y ON cuts.lang = y.lang AND rest = y.phrase),
+best AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""",
 }
