@@ -145,10 +145,12 @@ def bucket_weights(docs, trusted, text="text", id_column="doc_id", buckets=BUCKE
     return listed.select(ratio.alias("weights"))
 
 
-def judge_quality(docs, trusted, text="text", id_column="doc_id", buckets=BUCKETS, threshold=THRESHOLD):
+def judge_quality(docs, trusted, text="text", id_column="doc_id", buckets=BUCKETS, threshold=THRESHOLD, keep=None):
     """Counts, base rules and verdict of every document: (doc_id, row, the counts, base_failed, llr, kept).
 
-    ``row`` is the whole row that was judged, with all columns it has.
+    ``row`` is the row that was judged with the columns ``keep``, all if it is not given; with none there is no
+    ``row``. The result is written once and read again: a filter on it would otherwise be merged with the long chain
+    of projections behind it, each mention of a column writing out the whole chain.
 
     ``llr`` is the mean log ratio over the text's words and neighbouring pairs. A document is kept if the base
     rules pass it (ten words or more, at most a fifth of them in repeated windows) and its ``llr`` reaches
@@ -156,8 +158,9 @@ def judge_quality(docs, trusted, text="text", id_column="doc_id", buckets=BUCKET
     documents every ``llr`` is 0 and only the base rules decide. Rows with equal ids are judged one by one.
     """
     weights = bucket_weights(docs, trusted, text, id_column, buckets).scalar()
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    counted = text_counts(hashed_words(docs, text, doc_id=F.col(id_column), row=whole))
+    kept = docs.columns if keep is None else keep
+    whole = {"row": F.struct(*[F.col(f"`{c}`") for c in kept])} if kept else {}
+    counted = text_counts(hashed_words(docs, text, doc_id=F.col(id_column), **whole))
     grams = F.when(F.col("n_words") > 0, 2 * F.col("n_words") - 1)
     total = F.aggregate(
         F.concat("hashes", "pairs"),
@@ -165,13 +168,13 @@ def judge_quality(docs, trusted, text="text", id_column="doc_id", buckets=BUCKET
         lambda a, x: a + F.get(F.col("_weights"), F.pmod(x, F.lit(buckets)).cast("int")),
     )
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return (
+    judged = (
         counted.withColumn("_weights", weights)
         .withColumn("base_failed", failed)
         .withColumn("llr", F.coalesce(total / grams, F.lit(0.0)))
         .select(
             "doc_id",
-            "row",
+            *whole,
             "n_words",
             "word_chars",
             "n_symbols",
@@ -182,3 +185,4 @@ def judge_quality(docs, trusted, text="text", id_column="doc_id", buckets=BUCKET
             (~F.col("base_failed") & (F.col("llr") >= threshold)).alias("kept"),
         )
     )
+    return written(judged, "judged")

@@ -51,7 +51,7 @@ def op1_quality_classifier(spark, sf_dir):
 
 def op2_quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return judge_quality(docs, good_ids(spark, sf_dir)).drop("row")
+    return judge_quality(docs, good_ids(spark, sf_dir), keep=[])
 
 
 def op3_ngram_jaccard_join(spark, sf_dir):

@@ -59,10 +59,29 @@ def test_quality_rules_learn_from_every_trusted_document(spark, copied):
     assert half == quality_rules.bucket_weights(docs, ids.where("doc_id % 2 = 0")).first().weights
 
 
-def test_quality_rules_are_native(spark, docs, capsys):
-    judge_quality(docs, spark.range(3).toDF("doc_id")).explain()
-    plan = capsys.readouterr().out
-    assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+@pytest.mark.parametrize("column", ["kept", "base_failed"])
+def test_a_filter_on_verdicts_leaves_the_plan_small(spark, docs, column):
+    judged = judge_quality(docs, spark.range(3).toDF("doc_id"))
+    filtered = judged.where(column).select("row.*")
+    assert len(filtered._jdf.queryExecution().optimizedPlan().toString()) < 5000
+    assert filtered.count() == sum(r[column] for r in judged.collect())
+
+
+def test_quality_rules_without_rows_of_their_own(spark, docs):
+    judged = judge_quality(docs, spark.range(3).toDF("doc_id"), keep=[])
+    assert "row" not in judged.columns and judged.count() == docs.count()
+    assert judge_quality(docs, spark.range(3).toDF("doc_id"), keep=["lang"]).select("row.*").columns == ["lang"]
+
+
+def test_quality_rules_are_native(spark, docs, capsys, monkeypatch):
+    plans = []
+    monkeypatch.setattr(quality_rules, "written", lambda df, name: plans.append(df) or df)
+    judge_quality(docs, spark.range(3).toDF("doc_id"))
+    assert len(plans) == 2
+    for plan in plans:
+        plan.explain()
+    shown = capsys.readouterr().out
+    assert not any(word in shown for word in ("Python", "Pandas", "Arrow"))
 
 
 def test_trees_walk_like_a_recursion():
