@@ -4,7 +4,9 @@ Windows are one day long, since the test events are minutes apart; the width is
 """
 
 import json
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spindlewatch import schemas
@@ -22,6 +24,7 @@ from spindlewatch.operators.monitor import (
     monitor_rows,
     status_of,
 )
+from spindlewatch.operators.numbering import nth_smallest
 from spindlewatch.operators.refdata import last_per_key, round_robin, top_up
 from spindlewatch.operators.windows import status_rows, tumbling_average
 from spindlewatch.plans.controller import start_controller
@@ -56,7 +59,7 @@ from spindlewatch.sources.tables import (
 )
 from spindlewatch.sources.templates import accepted_templates, read_lines, rejected_lines
 from spindlewatch.sources.topics import file_messages
-from spindlewatch.streaming.feeds import Subscription, key_feed
+from spindlewatch.streaming.feeds import Harvest, Subscription
 from spindlewatch.streaming.keyed_table import KeyedTable
 from spindlewatch.streaming.sinks import log_lines, logged, message_batch_sink, tee, write_messages
 
@@ -708,7 +711,52 @@ def stream_key_feed(spark, sf_dir):
     """Every put of one machine's status."""
     monitor = _run_monitor(spark, sf_dir)
     root = run_dir(spark, "feed")
-    feed = key_feed(monitor.status_stream(), 8)
-    query = write_messages(feed, f"{root}/checkpoint", "feed", dict(DAILY.trigger), "parquet", path=f"{root}/rows")
-    query.awaitTermination()
-    return read_table(spark, f"{root}/rows", feed.schema)
+    rows = Harvest(spark, f"{root}/rows", schemas.machine_status("bigint"))
+    monitor.follow_status(rows.put, f"{root}/feed", dict(DAILY.trigger), key=8).awaitTermination()
+    return rows.all()
+
+
+# Three harvests of a feed, and which windows each of them has.
+_HARVESTS = (
+    "SELECT serialNumber, averageBitTemp10s, eventTime, CASE WHEN rank <= total // 3 THEN 1 WHEN rank <= total // 3 * 2 THEN 2 "
+    "ELSE 3 END AS harvest FROM (SELECT *, dense_rank() OVER (ORDER BY eventTime) AS rank FROM status), "
+    "(SELECT count(DISTINCT eventTime) AS total FROM status)"
+)
+
+
+@query(f"WITH {_AVERAGES}, {_STATUS} {_HARVESTS}")
+def stream_harvest(spark, sf_dir):
+    """Status rows put in three parts by time, each harvested when it is there: no row comes twice or not at all.
+    The subscription is stopped after the first part, and another one goes on with its folder."""
+    status = status_table_rows(spark, sf_dir).withColumn("serialNumber", F.col("serialNumber").cast("string"))
+    root = run_dir(spark, "harvest")
+    status.write.parquet(f"{root}/status")
+    status = spark.read.parquet(f"{root}/status")
+    ends = status.select("eventTime").distinct()
+    count = ends.count()
+    # The last windows of the first and the second third.
+    first, second = (nth_smallest(ends, "eventTime", n) if n else -1 for n in (count // 3, count // 3 * 2))
+    machines = status.select(F.col("serialNumber").alias("serialNum"), F.lit("all").alias("location"), F.lit("all").alias("block")).distinct()
+    into = KeyedTable(spark, f"{root}/table", schemas.MACHINE_STATUS, "serialNumber", "eventTime", compact_every=2)
+    every = {"processingTime": "200 milliseconds"}
+    subscription = Subscription(spark, into, lambda: machines, every)
+    subscription.select("all", "all")
+    end = F.col("eventTime")
+    harvests = []
+    for i, part in enumerate((end <= first, (end > first) & (end <= second), end > second)):
+        if i == 1:
+            subscription.stop()
+            resumed = Subscription(spark, into, lambda: machines.limit(0), every)
+            resumed.resume(subscription.folder)
+            subscription = resumed
+        into.put(status.where(part), i)
+        if subscription.query:
+            subscription.query.processAllAvailable()
+        harvests.append(subscription.harvest().withColumn("harvest", F.lit(i + 1)))
+    subscription.stop()
+    return reduce(DataFrame.unionByName, harvests).select(
+        F.col("serial_number").cast("bigint").alias("serialNumber"),
+        F.col("average_bit_temp_10s").cast("smallint").alias("averageBitTemp10s"),
+        F.unix_millis("event_time").alias("eventTime"),
+        "harvest",
+    )

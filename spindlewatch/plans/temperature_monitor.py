@@ -14,6 +14,7 @@ from spindlewatch.operators.lookup import with_limits
 from spindlewatch.operators.windows import status_rows, tumbling_average
 from spindlewatch.session import session_conf, stream_conf
 from spindlewatch.streaming.change_filter import changes_since
+from spindlewatch.streaming.feeds import follow
 from spindlewatch.streaming.keyed_table import KeyedTable, put_batches
 
 JOB_NAME = "Temperature Monitor"
@@ -121,8 +122,9 @@ class TemperatureMonitor:
 
     def label_batch(self, profiles, batch_id):
         """Label one written micro-batch, and note and publish the changes."""
-        labelled = label_averages(self.averages.batch(batch_id), profiles, self.options.on_missing, self.key)
-        put_changes(self.changes, labelled, batch_id, self.options)
+        averages = self.averages.batch(batch_id)
+        labelled = label_averages(averages, profiles, self.options.on_missing, self.key)
+        put_changes(self.changes, labelled, batch_id, self.options, keys=averages)
         self.publish(to_messages(self.changes.batch(batch_id), self.key), batch_id)
 
     def status(self):
@@ -133,14 +135,19 @@ class TemperatureMonitor:
         """Every status row ever put."""
         return status_rows(self.averages.history(), self.key)
 
-    def status_stream(self, **options):
-        """Every put into the status table, as a stream."""
-        return status_rows(self.averages.stream(**options), self.key)
+    def follow_status(self, then, root, trigger, key=None, since=-1):
+        """Start a query that calls ``then`` with the status rows that are put, of all machines or of one, and a
+        number; see :func:`spindlewatch.streaming.feeds.follow`."""
+        hand_on = lambda rows, number: then(status_rows(rows, self.key), number)
+        return follow(self.averages, hand_on, root, f"{JOB_NAME} feed", trigger, since, key)
 
 
-def put_changes(changes, labelled, batch_id, options):
-    """Put the label changes of one micro-batch of labelled averages into the table of changes."""
-    last = changes.latest(before=batch_id)
+def put_changes(changes, labelled, batch_id, options, keys=None):
+    """Put the label changes of one micro-batch of labelled averages into the table of changes.
+
+    ``keys``, stored rows with the machines of the batch, keeps the part of the table that is read to theirs.
+    """
+    last = changes.latest(before=batch_id, keys=keys)
     changes.put(changes_since(last, labelled, changes.key, slice_span=options.slice_span), batch_id)
 
 

@@ -35,7 +35,11 @@ MACHINE_PROFILE = _struct(
 )
 
 # eventTime is the end of the window, in ms since the epoch.
-MACHINE_STATUS = _struct("serialNumber string, averageBitTemp10s smallint, eventTime bigint")
+def machine_status(key_type="string"):
+    return _struct(f"serialNumber {key_type}, averageBitTemp10s smallint, eventTime bigint")
+
+
+MACHINE_STATUS = machine_status()
 
 
 def machine_average(key="serialNum", key_type="string"):

@@ -1,5 +1,6 @@
 """Stored tables: profiles by location, and the activities ledger."""
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,16 +19,48 @@ def make_folder(spark, path):
     return path
 
 
-def write_note(spark, path, text):
-    """Write a small text file; one that is there already is replaced."""
+def write_note(spark, path, text, replace=True):
+    """Write a small text file. One that is there already is replaced, or, if it may not be, FileExistsError is raised:
+    of several writers at once one succeeds, on stores that create files exclusively."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    stream = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).create(hadoop_path, True)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        stream = fs.create(hadoop_path, replace)
+    except Py4JJavaError as error:
+        if not replace and fs.exists(hadoop_path):
+            raise FileExistsError(path) from error
+        raise
     try:
         stream.write(bytearray(text.encode()))
     finally:
         stream.close()
 
 
+def publish_note(spark, folder, name, text):
+    """Write a small text file that is there as a whole or not at all; one that is there already stays."""
+    path = f"{folder}/{name}"
+    if path_exists(spark, path):
+        return
+    write_note(spark, f"{folder}/_{name}", text)
+    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (f"{folder}/_{name}", path))
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.rename(source, target) and not fs.exists(target):
+        raise OSError(f"cannot write {path}")
+
+
+def names_in(spark, path):
+    """Names of what is in a folder, in order; none if it is not there."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path)) if fs.exists(hadoop_path) else []
+
+
+def remove(spark, path):
+    """Remove a file or folder, if it is there."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def read_note(spark, path):
     """The text of a small file, or None if there is none."""
     if not path_exists(spark, path):

@@ -26,8 +26,9 @@ from spindlewatch.plans.temperature_monitor import (
 )
 from spindlewatch.sources.tables import make_folder
 from spindlewatch.sources.topics import file_messages, kafka_messages, kafka_options, stream_table
+from spindlewatch.streaming import keyed_table
 from spindlewatch.streaming.change_filter import changes_since
-from spindlewatch.streaming.feeds import Subscription, key_feed, late_rows
+from spindlewatch.streaming.feeds import Harvest, Subscription, follow, late_rows
 from spindlewatch.streaming.keyed_table import KeyedTable
 from spindlewatch.streaming.sinks import (
     console_lines,
@@ -283,7 +284,7 @@ def test_files_follow_the_rows(spark, folder):
     table.put(labelled(spark, *rows), 0)
     assert rows_of(table.history()) == sorted(rows)
     stored = table.batch(0).select("serialNum", F.input_file_name().alias("file")).distinct()
-    assert stored.count() == 12 and 2 <= stored.select("file").distinct().count() <= 4
+    assert stored.select("file").distinct().count() == 4 and stored.count() <= 15
 
 
 def test_null_labels_are_passed_over_whatever_the_slices_and_batches(spark, folder):
@@ -428,9 +429,156 @@ def test_key_feed(spark, folder):
     status = status_table(spark, folder)
     rows = [("A", 5, 1000), ("A", 5, 2000), ("B", 5, 1000)]
     status.put(spark.createDataFrame(rows, schemas.MACHINE_STATUS), 0)
-    feed = key_feed(status.stream(), "A")
-    write_messages(feed, f"{folder}/cp", "feed", NOW, "parquet", path=f"{folder}/out").awaitTermination()
-    assert rows_of(spark.read.parquet(f"{folder}/out")) == rows[:2]
+    out = Harvest(spark, f"{folder}/out", schemas.MACHINE_STATUS)
+    follow(status, out.put, f"{folder}/feed", "feed", NOW, key="A").awaitTermination()
+    assert rows_of(out.all()) == rows[:2]
+
+
+def numbers(spark, *values):
+    return spark.createDataFrame([(f"m{v}", v, v) for v in values], schemas.MACHINE_STATUS)
+
+
+def test_feed_reads_what_is_found_by_number(spark, folder):
+    """However the batches are grouped and wherever a feed starts, it gets every row behind its start once."""
+    table = KeyedTable(spark, f"{folder}/t", schemas.MACHINE_STATUS, "serialNumber", "eventTime", compact_every=3, buckets=4)
+    out = {s: Harvest(spark, f"{folder}/{s}", schemas.MACHINE_STATUS) for s in (-1, 4, 6)}
+
+    def catch_up():
+        for since, harvest in out.items():
+            follow(table, harvest.put, f"{folder}/feed{since}", f"feed{since}", NOW, since).awaitTermination()
+
+    for batch in range(11):
+        table.put(numbers(spark, *range(10 * batch, 10 * batch + batch)), batch)
+        if batch in (0, 1, 7):
+            catch_up()
+    catch_up()
+    everything = [10 * b + i for b in range(11) for i in range(b)]
+    for since, harvest in out.items():
+        assert sorted(r.eventTime for r in harvest.all().collect()) == [v for v in everything if v // 10 > since]
+    # Two groups of batches and of marks are left; the rest is merged.
+    assert sorted(os.listdir(f"{folder}/t/history")) == [f"group={g:010d}" for g in (2, 3)]
+    assert len([n for n in os.listdir(f"{folder}/t/marks") if n.startswith("batch")]) == 5
+    assert rows_of(table.history()) == rows_of(numbers(spark, *everything))
+    for after, upto in ((-1, 10), (1, 7), (4, 4), (5, 9), (8, 10)):
+        found = table.rows_between(after, upto)
+        assert sorted(r.eventTime for r in found.collect()) == [v for v in everything if after < v // 10 <= upto]
+
+
+def test_a_reader_of_one_key_reads_its_bucket(spark, folder):
+    table = KeyedTable(spark, f"{folder}/t", schemas.MACHINE_STATUS, "serialNumber", "eventTime", compact_every=2, buckets=8)
+    for batch in range(5):
+        table.put(numbers(spark, *range(40)), batch)
+    of_one = table.rows_between(-1, 4, key="m7")
+    assert rows_of(of_one) == [("m7", 7, 7)] * 5
+    scanned = lambda df: [r.f for r in df.select(F.input_file_name().alias("f")).distinct().collect()]
+    assert len({f.split("bucket=")[1].split("/")[0] for f in scanned(of_one) if "merged" in f}) == 1
+    assert len({f.split("bucket=")[1].split("/")[0] for f in scanned(table.history()) if "merged" in f}) == 8
+
+
+def test_newest_rows_of_some_keys_are_read_from_their_buckets(spark, folder):
+    table = KeyedTable(spark, f"{folder}/t", schemas.MACHINE_STATUS, "serialNumber", "eventTime", compact_every=1, buckets=64)
+    table.put(numbers(spark, *range(400)), 0)
+    keys = numbers(spark, *range(10))
+    newest = table.latest(keys=keys).join(keys.select("serialNumber"), "serialNumber", "left_semi")
+    assert rows_of(newest) == rows_of(keys)
+    read = table._since_snapshot(0, keys)
+    table.put(numbers(spark), 1)
+    read = table._since_snapshot(1, keys)
+    files = {r.f for r in read.select(F.input_file_name().alias("f")).collect()}
+    assert 1 <= len(files) <= 10 < len({r.f for r in table._since_snapshot(1).select(F.input_file_name().alias("f")).collect()})
+
+
+def test_a_put_that_died_before_its_mark_reaches_a_feed_once(spark, folder, monkeypatch):
+    table = status_table(spark, folder)
+    out = Harvest(spark, f"{folder}/out", schemas.MACHINE_STATUS)
+    catch_up = lambda: follow(table, out.put, f"{folder}/feed", "feed", NOW).awaitTermination()
+    table.put(numbers(spark, 1), 0)
+    for lost in ("write_note", "publish_note"):
+        with monkeypatch.context() as patch:
+
+            def die(*args, **kwargs):
+                raise RuntimeError("died")
+
+            patch.setattr(keyed_table, lost, die)
+            batch = 1 + table.last_batch()
+            with pytest.raises(RuntimeError, match="died"):
+                table.put(numbers(spark, 10 + batch), batch)
+            catch_up()
+        table.put(numbers(spark, 10 + batch), batch)
+        catch_up()
+    assert sorted(r.eventTime for r in out.all().collect()) == [1, 11, 12]
+
+
+@pytest.mark.parametrize("fails", ["before", "after"])
+def test_a_feed_that_fails_is_called_again_with_the_same_rows(spark, folder, fails):
+    table = status_table(spark, folder)
+    out = Harvest(spark, f"{folder}/out", schemas.MACHINE_STATUS)
+    calls = []
+
+    def fragile(rows, number):
+        calls.append((number, rows.count()))
+        if fails == "after":
+            out.put(rows, number)
+        if len(calls) == 1:
+            raise RuntimeError("died")
+        out.put(rows, number)
+
+    table.put(numbers(spark, 1, 2), 0)
+    with pytest.raises(Exception, match="died"):
+        follow(table, fragile, f"{folder}/feed", "feed", NOW).awaitTermination()
+    table.put(numbers(spark, 3), 1)
+    follow(table, fragile, f"{folder}/feed", "feed", NOW).awaitTermination()
+    assert calls == [(0, 2), (0, 2), (1, 1)]
+    assert sorted(r.eventTime for r in out.all().collect()) == [1, 2, 3]
+
+
+def test_harvests_take_every_row_once(spark, folder):
+    """Over restarts, and by two objects at once that share a position; readers of other names have their own."""
+    schema = schemas.MACHINE_STATUS
+    new = lambda *reader: Harvest(spark, f"{folder}/h", schema, *reader)
+    times = lambda rows: sorted(r.eventTime for r in rows.collect())
+    first = new()
+    assert times(first.take()) == [] and times(first.again()) == []
+    first.put(numbers(spark, 1, 2), 0)
+    first.put(numbers(spark, 9, 9), 0)
+    assert times(first.take()) == [1, 2] and times(first.take()) == []
+    for number in (1, 2):
+        first.put(numbers(spark, 10 + number), number)
+    again = new()
+    assert times(again.take()) == [11, 12] and times(first.take()) == [] and times(first.again()) == [11, 12]
+    first.put(numbers(spark, 20), 3)
+    # Both have looked at the position before either notes the next one.
+    stale = new()
+    seen = stale.taken.last()
+    stale.taken.last = iter([seen, seen + 1, seen + 1, seen + 1]).__next__
+    assert times(first.take()) == [20] and times(stale.take()) == []
+    assert times(new("other").take()) == [1, 2, 11, 12, 20]
+    assert times(new().all()) == [1, 2, 11, 12, 20]
+    assert len(os.listdir(f"{folder}/h/taken/default")) <= 4
+
+
+def test_subscription_is_harvested_over_a_restart(spark, folder):
+    status = status_table(spark, folder)
+    put = lambda batch, *rows: status.put(spark.createDataFrame(list(rows), schemas.MACHINE_STATUS), batch)
+    fleet = profile_table(spark, "A", "B")
+    every = {"processingTime": "200 milliseconds"}
+    first = Subscription(spark, status, lambda: fleet, every)
+    assert first.harvest().count() == 0
+    first.select("Reno", "A")
+    put(0, ("A", 1, 1000), ("Z", 2, 1000))
+    first.query.processAllAvailable()
+    harvest = lambda s: sorted(r.average_bit_temp_10s for r in s.harvest().collect())
+    assert harvest(first) == [1] and harvest(first) == []
+    put(1, ("B", 3, 1000))
+    first.query.processAllAvailable()
+    first.stop()
+    put(2, ("B", 4, 2000))
+    second = Subscription(spark, status, lambda: profile_table(spark), every)
+    assert second.resume(first.folder) == 2
+    second.query.processAllAvailable()
+    assert harvest(second) == [3, 4] and harvest(second) == []
+    assert sorted(r.average_bit_temp_10s for r in second.results().collect()) == [1, 3, 4]
+    second.stop()
 
 
 # ---- logs and sinks ----
