@@ -61,6 +61,8 @@ from spindlewatch.sources.templates import accepted_templates, read_lines, rejec
 from spindlewatch.sources.topics import file_messages
 from spindlewatch.streaming.feeds import Harvest, Subscription
 from spindlewatch.streaming.keyed_table import KeyedTable
+from spindlewatch.streaming.label_state import state_conf, stateful_label_changes
+from spindlewatch.streaming.late_rows import count_late_rows
 from spindlewatch.streaming.sinks import log_lines, logged, message_batch_sink, tee, write_messages
 
 DAILY = MonitorOptions(width="1 day", trigger=(("availableNow", True),))
@@ -210,6 +212,16 @@ def stored_location_selection(spark, sf_dir):
     return chosen.withColumn("serialNum", F.col("serialNum").cast("bigint"))
 
 
+@query(f"WITH {_PROFILES} SELECT * FROM profiles WHERE serialNum IN (42, 777)")
+def stored_profile_lookup(spark, sf_dir):
+    """Look-ups of two serial numbers in stored profiles, by the Bloom filters of their row groups."""
+    path = run_dir(spark, "profiles")
+    write_profiles(profiles(spark, sf_dir).withColumn("serialNum", F.col("serialNum").cast("string")), path)
+    stored = read_profiles(spark, path)
+    found = point_lookup(stored, "serialNum", "42").unionByName(point_lookup(stored, "serialNum", "777"))
+    return found.withColumn("serialNum", F.col("serialNum").cast("bigint"))
+
+
 @query(
     f"WITH {_AVERAGES}, {_STATUS}, {_PROFILES} SELECT serialNumber, averageBitTemp10s, eventTime FROM status JOIN profiles "
     f"ON serialNumber = serialNum WHERE location = '{PLACE}'"
@@ -569,8 +581,8 @@ def logged_status(spark, sf_dir):
 
 
 @query(f"WITH {_CLOSED} SELECT * FROM averages")
-def stream_tumbling_avg(spark, sf_dir):
-    root = run_dir(spark, "averages")
+def stream_tumbling_avg(spark, sf_dir, root=None):
+    root = root or run_dir(spark, "averages")
     averages = tumbling_average(telemetry_stream(spark, sf_dir), DAILY.width, DAILY.lag)
     with session_conf(spark, stream_conf(spark)):
         query = write_messages(
@@ -611,6 +623,51 @@ def stream_label_changes(spark, sf_dir):
     return changes.history()
 
 
+@query(f"WITH {_CLOSED_MONITOR} SELECT serialNum, windowEnd, label FROM changes")
+def stream_label_state(spark, sf_dir):
+    """The same by Spark's keyed state, on the stream of averages that another query has written."""
+    root = run_dir(spark, "state")
+    averages = stream_tumbling_avg(spark, sf_dir, f"{root}/averages")
+    written = spark.readStream.schema(averages.schema).parquet(f"{root}/averages/rows")
+    changes = stateful_label_changes(label_averages(written, limits(spark, sf_dir)))
+    with session_conf(spark, state_conf(spark)):
+        query = write_messages(changes, f"{root}/checkpoint", "state", dict(DAILY.trigger), "parquet", path=f"{root}/rows")
+    query.awaitTermination()
+    return read_table(spark, f"{root}/rows", changes.schema)
+
+
+# What is left out as late when the events before the last two days come after those: one row per machine and day.
+_LATE = (
+    "latest AS (SELECT date_trunc('day', max(ts)) - INTERVAL 1 DAY AS since FROM events) "
+    "SELECT count(*) AS late FROM (SELECT DISTINCT user_id, date_trunc('day', ts) FROM events, latest WHERE ts < since)"
+)
+
+
+@query(f"WITH {_LATE}")
+def stream_late_rows(spark, sf_dir):
+    """Averages of the newest events first; those of every earlier day come too late, one row per machine and day."""
+    root = run_dir(spark, "late")
+    events = telemetry(spark, sf_dir)
+    since = events.agg((F.date_trunc("day", F.max("timestamp")) - F.expr("interval 1 day")).cast("timestamp_ntz").alias("t")).first().t
+    newest = events.where(F.col("timestamp") >= F.lit(since))
+    day = F.date_trunc("day", "timestamp").cast("timestamp_ntz")
+    earlier = events.where(F.col("timestamp") < F.lit(since)).groupBy("serialNum", day.alias("timestamp"))
+    counter = count_late_rows(spark, "late", f"{root}/late")
+    try:
+        # The second part is put when the first has closed its windows; the query is started again for it.
+        for part in (newest, earlier.agg(F.max("bitTemp").alias("bitTemp"))):
+            part.select("serialNum", "timestamp", "bitTemp").write.mode("append").parquet(f"{root}/events")
+            stream = spark.readStream.schema(events.select("serialNum", "timestamp", "bitTemp").schema).parquet(f"{root}/events")
+            with session_conf(spark, stream_conf(spark)):
+                averages = tumbling_average(stream, DAILY.width, DAILY.lag)
+                query = write_messages(averages, f"{root}/checkpoint", "late", dict(DAILY.trigger), "parquet", path=f"{root}/rows")
+            query.awaitTermination()
+            counter.await_batch(query.lastProgress["batchId"])
+        return spark.range(1).select(F.lit(counter.total()).cast("bigint").alias("late"))
+    finally:
+        spark.streams.removeListener(counter)
+
+
 @query(f"WITH {_CLOSED}, {_STATUS} SELECT * FROM status QUALIFY row_number() OVER (PARTITION BY serialNumber ORDER BY eventTime DESC) = 1")
 def stream_latest_status(spark, sf_dir):
     root = run_dir(spark, "status")

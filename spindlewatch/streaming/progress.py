@@ -1,32 +1,25 @@
 """How far a reader of numbered batches has come."""
 
-from spindlewatch.sources.tables import names_in, read_note, remove, write_note
+from spindlewatch.sources.notes import Notes
 
 
 class Progress:
-    """Steps 0, 1, 2, ... under ``path``, each with the last batch that belongs to it.
+    """Steps 0, 1, 2, ... under ``path``, each with the last batch that belongs to it; the last two steps stay.
 
-    A step is noted once and for all: of two readers that note the same one, one gets FileExistsError. The last two
-    steps stay, so looking for them lists a handful of names however many there were.
+    A step is noted once and for all: of two readers that note the same one, one gets FileExistsError.
     """
 
     def __init__(self, spark, path):
-        self.spark = spark
-        self.path = path.rstrip("/")
-
-    def _note(self, step):
-        return f"{self.path}/step={step:012d}"
+        self.notes = Notes(spark, path, keep=2)
 
     def last(self):
         """The last step, or -1."""
-        names = names_in(self.spark, self.path)
-        return max((int(n.split("=")[1]) for n in names if n.startswith("step=")), default=-1)
+        return self.notes.last()
 
     def upto(self, step):
         """The last batch of a step, or None if the step was not noted; before the first one it is None, too."""
-        text = read_note(self.spark, self._note(step)) if step >= 0 else None
+        text = self.notes.text(step)
         return int(text) if text else None
 
     def note(self, step, upto):
-        write_note(self.spark, self._note(step), str(upto), replace=False)
-        remove(self.spark, self._note(step - 2))
+        self.notes.add(step, str(upto))

@@ -106,6 +106,80 @@ def test_a_load_that_died_is_as_if_it_had_not_begun(spark, folder, monkeypatch,
     assert store.status() == names.LOADER_FINISHED
 
 
+def test_of_two_loaders_at_once_one_loads(spark, folder, monkeypatch):
+    """The second one begins while the first is at work."""
+    store, other, lines = ProfileStore(spark, folder), ProfileStore(spark, folder), templates(spark, "Reno,A,.9")
+    plain, seen = profile_load.write_profiles, []
+
+    def interleaved(profiles, path):
+        plain(profiles, path)
+        with pytest.raises(profile_load.LoadInProgress):
+            other.load_once(candidates(spark, "B"), lines, 1)
+        seen.append(1)
+
+    monkeypatch.setattr(profile_load, "write_profiles", interleaved)
+    assert store.load_once(candidates(spark, "A"), lines, 1) == 1
+    monkeypatch.undo()
+    assert seen == [1] and content(store) == content(other) == [("A", "Reno", "A")]
+    assert other.load_once(candidates(spark, "B"), lines, 1) is None
+
+
+def test_a_loader_taken_for_dead_does_no_harm_when_it_comes_back(spark, folder, monkeypatch):
+    store, other, lines = ProfileStore(spark, folder), ProfileStore(spark, folder), templates(spark, "Reno,A,.9")
+    plain, done = profile_load.write_profiles, []
+
+    def slow(profiles, path):
+        if not done:
+            # The lease of the first has run out; another one takes over and finishes.
+            done.append(1)
+            assert other.load_once(candidates(spark, "B"), lines, 1) == 1
+        plain(profiles, path)
+
+    monkeypatch.setattr(profile_load, "write_profiles", slow)
+    with pytest.raises(profile_load.LoadInProgress, match="in the meantime"):
+        store.load_once(candidates(spark, "A"), lines, 1, lease=0)
+    assert content(store) == [("B", "Reno", "A")]
+    assert store.load_once(candidates(spark, "A"), lines, 1) is None
+
+
+def test_versions_are_told_by_number_and_a_failed_load_leaves_no_claim(spark, folder, monkeypatch):
+    store = ProfileStore(spark, folder)
+    rows = lambda name: spark.createDataFrame([(name, "Ely", "Z", 0.5, "Maker", 100, 160, 8000)], schemas.MACHINE_PROFILE)
+    for name in "ab":
+        store.replace(rows(name))
+    assert content(store) == [("b", "Ely", "Z")]
+    with pytest.raises(ValueError, match="templates"):
+        store.load_once(candidates(spark, "m0"), templates(spark, "bad"), 2)
+    assert store.load_once(candidates(spark, "m0"), templates(spark, "Reno,A,.9"), 2) == 1
+    # A clock that goes back changes nothing.
+    store.replace(rows("c"))
+    assert content(store) == [("c", "Ely", "Z")] and store.load_once(candidates(spark, "x"), templates(spark), 9) is None
+
+
+def rows_read(df):
+    """Rows that come out of the scans of a plan, which leave out row groups before they are read."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return [leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size())]
+
+
+def test_a_lookup_reads_one_row_group(spark, folder):
+    many = spark.range(300_000).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("serialNum"), F.lit("Reno").alias("location"), F.lit("A").alias("block"),
+        F.lit(0.1).cast("float").alias("faultyOdds"), F.sha2(F.col("id").cast("string"), 512).alias("manufacturer"),
+        F.lit(1).cast("smallint").alias("warningTemp"), F.lit(2).cast("smallint").alias("criticalTemp"), F.lit(3).alias("maxRPM"),
+    )
+    write_profiles(many, f"{folder}/p", row_group_bytes=1024 * 1024)
+    stored = read_profiles(spark, f"{folder}/p")
+    serial = many.where("id = 4321") if "id" in many.columns else many.limit(1)
+    name = serial.first().serialNum
+    (read,) = rows_read(point_lookup(stored, "serialNum", name))
+    assert 0 < read < 30_000
+    # By its range a row group might hold this one, by its Bloom filter none does.
+    (read,) = rows_read(point_lookup(stored, "serialNum", name[:-1] + ("0" if name[-1] != "0" else "1")))
+    assert read < 30_000
+
+
 def test_profiles_are_stored_by_location(spark, folder, capsys):
     places = ["place 0", "place 1", "", None, "=", "a/b=c"]
     rows = [(f"m{i}", places[i % 6], "A", 0.1, "Maker", 100, 160, 8000) for i in range(600)]

@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import os
+import random
 
 import pytest
 from oracle import duck, duck_rows, spark_rows
@@ -24,12 +25,15 @@ from spindlewatch.plans.temperature_monitor import (
     start_label_query,
     start_status_query,
 )
+from spindlewatch.session import session_conf
 from spindlewatch.sources.tables import make_folder
 from spindlewatch.sources.topics import file_messages, kafka_messages, kafka_options, stream_table
 from spindlewatch.streaming import keyed_table
 from spindlewatch.streaming.change_filter import changes_since
 from spindlewatch.streaming.feeds import Harvest, Subscription, follow, late_rows
 from spindlewatch.streaming.keyed_table import KeyedTable
+from spindlewatch.streaming.label_state import state_conf, stateful_label_changes
+from spindlewatch.streaming.late_rows import count_late_rows
 from spindlewatch.streaming.sinks import (
     console_lines,
     key_line,
@@ -189,6 +193,73 @@ def test_late_rows(spark, folder):
     assert ("A", 10000, 1.0) in rows_of(table.history())
 
 
+def test_late_rows_of_a_whole_life(spark, folder):
+    """More batches than a query's own progress keeps, over two starts, and a batch that is run again."""
+    kept = "spark.sql.streaming.numRecentProgressUpdates"
+    feed = Feed(spark, folder)
+    counter = count_late_rows(spark, "Temperature Monitor status", f"{folder}/late")
+    try:
+        with session_conf(spark, {kept: "2"}):
+            expected = 0
+            for start in range(2):
+                feed.add([("A", 100 * start + 50, 1)])
+                for i in range(3):
+                    feed.add([("A", 100 * start + 60 + i, 1), *[(f"L{j}", 1, 1) for j in range(i + 1)]])
+                    # Spark goes by the watermark of the batch before the last one, so the first rows are not yet late.
+                    expected += i + 1 if start or i else 0
+                query, _ = start_status_query(spark, feed.events(), folder, OPTIONS)
+                query.awaitTermination()
+                counter.await_batch(query.lastProgress["batchId"])
+                assert counter.total() == expected
+                if start == 1:
+                    assert late_rows(query) < expected
+    finally:
+        spark.streams.removeListener(counter)
+    batch = json.loads(counter.notes.text(counter.notes.last()))["batch"]
+    before = counter.total()
+    counter.add(batch, 100)
+    counter.add(batch, 3)
+    assert counter.total() == before - 3 + 3
+    counter.add(batch + 1, 0)
+    counter.add(batch + 2, 5)
+    assert counter.total() == before + 5
+    other = count_late_rows(spark, "Temperature Monitor status", f"{folder}/late")
+    spark.streams.removeListener(other)
+    assert other.total() == before + 5
+
+
+def run_state(spark, folder, ttl=None):
+    rows = spark.readStream.schema(schemas.label_change()).parquet(f"{folder}/in")
+    changes = stateful_label_changes(rows, ttl=ttl)
+    with session_conf(spark, state_conf(spark, 2)):
+        write_messages(changes, f"{folder}/cp", "state", NOW, "parquet", path=f"{folder}/out").awaitTermination()
+    return rows_of(spark.read.parquet(f"{folder}/out"))
+
+
+def test_label_state_equals_label_changes(spark, folder):
+    """Random histories with missing labels, put in several micro-batches with a restart behind each."""
+    rng = random.Random(8)
+    rows = [(f"m{k}", end, rng.choice(["red", "green", "orange", None])) for end in range(40) for k in range(6) if rng.random() < 0.8]
+    for low, high in ((0, 7), (7, 8), (8, 25), (25, 40)):
+        part = [r for r in rows if low <= r[1] < high]
+        rng.shuffle(part)
+        labelled(spark, *part).repartition(2).write.mode("append").parquet(f"{folder}/in")
+        found = run_state(spark, folder)
+        assert found == rows_of(label_changes(labelled(spark, *[r for r in rows if r[1] < high])))
+
+
+def test_label_state_expires(spark, folder):
+    labelled(spark, ("A", 1, "red")).write.mode("append").parquet(f"{folder}/in")
+    assert run_state(spark, folder, ttl=60_000) == [("A", 1, "red")]
+    labelled(spark, ("A", 2, "red")).write.mode("append").parquet(f"{folder}/in")
+    assert run_state(spark, folder, ttl=60_000) == [("A", 1, "red")]
+
+    labelled(spark, ("A", 1, "red")).write.mode("append").parquet(f"{folder}/x/in")
+    assert run_state(spark, f"{folder}/x", ttl=1) == [("A", 1, "red")]
+    labelled(spark, ("A", 2, "red")).write.mode("append").parquet(f"{folder}/x/in")
+    assert run_state(spark, f"{folder}/x", ttl=1) == [("A", 1, "red"), ("A", 2, "red")]
+
+
 def test_profiles_as_of_the_start_or_of_every_batch(spark, folder):
     rows = [[("A", 1, 1), ("B", 1, 1)], [("A", 30, 1), ("B", 30, 300)], [("A", 90, 1), ("B", 90, 1)]]
     for refresh, last in (("start", "unknown"), ("batch", "red")):
