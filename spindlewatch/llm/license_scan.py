@@ -84,13 +84,22 @@ def candidates(text, search):
 
 
 def notices_in(text, search):
-    """(start, end, errors) in ``text`` of every notice that matches within its errors, none overlapping."""
-    for start, end in candidates(text, search):
-        for found in search.match.finditer(text, start, end):
-            # No part of a word left over, and no space taken for a letter at either end.
-            a, b = found.span()
-            if b > a and text[a] != 0x20 and text[b - 1] != 0x20:
-                yield a, b, sum(found.fuzzy_counts)
+    """(start, end, errors) in ``text`` of every notice that matches within its errors, none overlapping.
+
+    Of a range the best match comes first, wherever it is; what is before and behind it is searched in turn.
+    """
+    ranges, out = list(map(tuple, candidates(text, search))), []
+    while ranges:
+        start, end = ranges.pop()
+        found = search.match.search(text, start, end)
+        if found is None or found.start() == found.end():
+            continue
+        a, b = found.span()
+        ranges += [(start, a), (b, end)]
+        # No part of a word left over, and no space taken for a letter at either end.
+        if text[a] != 0x20 and text[b - 1] != 0x20:
+            out.append((a, b, sum(found.fuzzy_counts)))
+    return sorted(out)
 
 
 def scan_text(words, base, patterns):

@@ -348,3 +348,19 @@ def test_attention_trains_on_every_token_once(spark):
         for word in (text or "").encode().split():
             np.add.at(expected, classes.of[encode(word)], 1)
     assert (model.counts == expected).all()
+
+
+@pytest.mark.parametrize(
+    ("text", "errors"),
+    [
+        (b" under the mot license under the mit license x ", [1, 0]),
+        (b" under the mit license under the mot license x ", [0, 1]),
+        (b" under the mot license under the mit license under the mxt license ", [1, 0, 1]),
+        (b" under the mot license and so on under the mit license x ", [1, 0]),
+    ],
+)
+def test_notices_before_a_better_one_are_found(text, errors):
+    (search,) = (s for s in searches([("mit", "under the mit license")]))
+    found = notices_in(text, search)
+    assert [e for _, _, e in found] == errors
+    assert all(text[a:b].startswith(b"under the m") and text[a:b].endswith(b"t license") for a, b, _ in found)
