@@ -2,18 +2,18 @@
 
 A pair of neighbouring bytes that no token of the vocabulary holds inside is a certain cut: no merge ever
 crosses it. Such a pair before white space is also a boundary of the vocabulary's splitting pattern, so a whole
-text is cut there first. The fragments repeat, and each is encoded once: it is split by the pattern, cut again
-at certain cuts, and merged. Its ids are then looked up wherever it stands, and concatenated.
+text is cut there first. The fragments repeat: those of a batch of texts that are new are encoded together. They
+are split by the pattern, cut at all certain cuts, and what is left is merged for all of them at the same time,
+in numpy, one merge of each per round. A fragment's ids are looked up wherever it stands, and concatenated.
 """
 
 import heapq
 import json
-from array import array
+import re
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import re
 import regex
 
 from spindlewatch.llm.common import Shared, map_texts, ship
@@ -23,11 +23,12 @@ ship(__name__)
 # Fixed value: the pattern by which texts are split before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-# Fragments a worker remembers; it forgets all and goes on when there are more.
+# Fragments a worker remembers for certain; of older ones it remembers those that it has met again since.
 REMEMBERED = 300_000
 
-NO_MERGE = 1 << 62
-SHORT, LONG = 40, 200
+# Pieces without a certain cut inside are merged together up to the last of these lengths, in rows of one width each.
+WIDTHS = (2, 4, 8, 16, 32, 64)
+NO_MERGE = (1 << 31) - 1
 ASCII_SPACES = b" \t\n\x0b\x0c\r"
 
 
@@ -40,20 +41,6 @@ def byte_letters():
     return letters
 
 
-class Fragments(dict):
-    """Ids by fragment, encoded when first asked for."""
-
-    def __init__(self, encode):
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, fragment):
-        if len(self) >= REMEMBERED:
-            self.clear()
-        ids = self[fragment] = self.encode(fragment)
-        return ids
-
-
 class BytePairs:
     """Encoder and decoder of a byte-level vocabulary, given as the JSON text of its file."""
 
@@ -64,22 +51,25 @@ class BytePairs:
         self.special = {t["content"].encode(): t["id"] for t in file["added_tokens"]}
         size = 1 + max(chain(vocabulary.values(), self.special.values()))
         self.tokens = [b""] * size
-        self.numbers = list(range(size))
         for token, i in chain(vocabulary.items(), self.special.items()):
             self.tokens[i] = token
-        self.single = [vocabulary.get(bytes([b])) for b in range(256)]
-        self.merges = {}
-        for rank, merge in enumerate(file["model"]["merges"]):
+        self.single = [vocabulary.get(bytes([b]), 0) for b in range(256)]
+        self.singles = np.array(self.single, np.int32)
+        made, keys = [], []
+        for merge in file["model"]["merges"]:
             left, right = merge.split(" ") if isinstance(merge, str) else merge
             left, right = (bytes(byte_of[c] for c in part) for part in (left, right))
-            # One number holds the rank and the id, so that the least number is the first merge.
-            self.merges[vocabulary[left] << 32 | vocabulary[right]] = rank << 32 | vocabulary[left + right]
+            keys.append(vocabulary[left] << 32 | vocabulary[right])
+            made.append(vocabulary[left + right])
+        self.merges = {key: rank for rank, key in enumerate(keys)}
+        # What a merge makes, by rank; and the ranks by pair, in the order of the pairs, with one that no pair reaches.
+        self.made = np.array(made, np.int32)
+        order = np.argsort(np.array(keys, np.int64))
+        self.keys = np.append(np.array(keys, np.int64)[order], np.iinfo(np.int64).max)
+        self.ranks = np.append(order, NO_MERGE).astype(np.int32)
         # The same for pairs of bytes, by which every piece begins.
-        self.first = {
-            (a, b): self.merges.get(self.single[a] << 32 | self.single[b], NO_MERGE)
-            for a in range(256)
-            for b in range(256)
-        }
+        both = np.arange(256)
+        self.first = self.ranks_of(*(self.singles[x] for x in np.meshgrid(both, both, indexing="ij")))
         inside = np.zeros((256, 256), bool)
         for token in vocabulary:
             both = np.frombuffer(token, np.uint8)
@@ -95,61 +85,127 @@ class BytePairs:
         self.cut = re.compile(gap + b"*(?:" + rest + b"+" + more + b"*|" + more + b"+)|" + gap + b"+").findall
         self.special_at = re.compile(b"(" + b"|".join(map(re.escape, self.special)) + b")") if self.special else None
         self.pieces = regex.compile(PATTERN).findall
-        self.known = Fragments(self.encode_fragment)
+        self.recent, self.former = {}, {}
 
     def encode(self, text):
-        """Ids of a whole UTF-8 text. The texts of special tokens are those tokens."""
+        """Ids of a whole UTF-8 text."""
+        return np.frombuffer(self.encode_all([text])[0], np.int32).tolist()
+
+    def encode_all(self, texts):
+        """Ids of whole UTF-8 texts, each as the bytes of 32-bit numbers. The texts of special tokens are those tokens."""
+        cut = [self.fragments_of(text) for text in texts]
+        self.remember(set(chain.from_iterable(cut)))
+        return [b"".join(map(self.recent.__getitem__, fragments)) for fragments in cut]
+
+    def fragments_of(self, text):
         if self.special_at is not None and any(s in text for s in self.special):
             parts = self.special_at.split(text)
-            return [i for part in parts for i in ([self.special[part]] if part in self.special else self.encode_plain(part))]
-        return self.encode_plain(text)
-
-    def encode_plain(self, text):
-        return list(chain.from_iterable(map(self.known.__getitem__, self.cut(text))))
-
-    def encode_fragment(self, fragment):
-        text = fragment.decode()
-        # A word of Latin letters with a space before it is one piece; all else is split by the pattern.
-        if max(text) < "\u0250" and text[text[0] == " " :].isalpha():
-            ids = self.merge_cut(fragment)
-        else:
-            ids = [i for piece in self.pieces(text) for i in self.merge_cut(piece.encode())]
-        return tuple(map(self.numbers.__getitem__, ids))
-
-    def merge_cut(self, data):
-        """Merges of one piece. Within a short one, no merge crosses a certain cut; a long one is cut first."""
-        if len(data) <= SHORT:
-            return self.merge(data)
-        values = np.frombuffer(data, np.uint8)
-        ids, start = [], 0
-        for end in np.flatnonzero(~self.inside[values[:-1], values[1:]]).tolist():
-            ids += self.merge(data[start : end + 1])
-            start = end + 1
-        return ids + self.merge(data[start:])
+            return [f for part in parts for f in ([part] if part in self.special else self.cut(part))]
+        return self.cut(text)
+
+    def remember(self, wanted):
+        """Have the ids of all these fragments in ``recent``."""
+        absent = wanted - self.recent.keys()
+        if self.recent and len(self.recent) + len(absent) > REMEMBERED:
+            self.recent, self.former, absent = {}, self.recent, wanted
+        new = []
+        for fragment in absent:
+            ids = self.former.get(fragment)
+            if ids is not None:
+                self.recent[fragment] = ids
+            elif fragment in self.special:
+                self.recent[fragment] = np.int32(self.special[fragment]).tobytes()
+            else:
+                new.append(fragment)
+        if new:
+            self.recent.update(zip(new, self.encode_fragments(new)))
+
+    def encode_fragments(self, fragments):
+        """Ids of fragments of text, each as bytes."""
+        pieces = []
+        for fragment in fragments:
+            text = fragment.decode()
+            # A word of Latin letters with a space before it is one piece; all else is split by the pattern.
+            if max(text) < "\u0250" and text[text[0] == " " :].isalpha():
+                pieces.append(fragment)
+            else:
+                pieces += [piece.encode() for piece in self.pieces(text)]
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        begins = np.zeros(len(data), bool)
+        begins[np.cumsum([0, *map(len, pieces[:-1])])] = True
+        begins[1:] |= ~self.inside[data[:-1], data[1:]]
+        ids = self.merge_all(data, np.flatnonzero(begins))
+        # Where each fragment's ids end, once those that were merged away are left out.
+        ends = np.cumsum(ids >= 0)[np.cumsum([*map(len, fragments)]) - 1] * 4
+        flat = ids[ids >= 0].tobytes()
+        return [flat[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
     def merge(self, data):
-        """Merges within one cut piece, the first in rank first and of equals the leftmost."""
-        ids = list(map(self.single.__getitem__, data))
-        if len(ids) > LONG:
-            return self.merge_long(ids)
-        if len(ids) == 1:
-            return ids
-        get = self.merges.get
-        ranks = list(map(self.first.__getitem__, zip(data, data[1:])))
-        while (best := min(ranks)) != NO_MERGE:
-            i, new = ranks.index(best), best & 0xFFFFFFFF
-            ids[i] = new
-            del ids[i + 1], ranks[i]
-            if not ranks:
-                break
-            if i < len(ranks):
-                ranks[i] = get(new << 32 | ids[i + 1], NO_MERGE)
-            if i:
-                ranks[i - 1] = get(ids[i - 1] << 32 | new, NO_MERGE)
+        """Merges within one piece, the first in rank first and of equals the leftmost."""
+        ids = self.merge_all(np.frombuffer(data, np.uint8), np.zeros(1, np.int64))
+        return ids[ids >= 0].tolist()
+
+    def merge_all(self, data, starts):
+        """Merges within each of the pieces of ``data``: an id, or -1, in the place of each byte."""
+        lengths = np.diff(np.append(starts, len(data)))
+        ids = self.singles[data]
+        least = 1
+        for width in WIDTHS:
+            some = np.flatnonzero((lengths > least) & (lengths <= width))
+            least = width
+            if some.size:
+                self.merge_rows(data, ids, starts[some], lengths[some], width)
+        for i in np.flatnonzero(lengths > least).tolist():
+            start, end = int(starts[i]), int(starts[i] + lengths[i])
+            merged = self.merge_long(ids[start:end].tolist())
+            ids[start:end] = -1
+            ids[start : start + len(merged)] = merged
         return ids
 
+    def ranks_of(self, left, right):
+        """Ranks of the merges of pairs of ids."""
+        keys = left.astype(np.int64) << 32 | right
+        at = np.searchsorted(self.keys, keys)
+        return np.where(self.keys[at] == keys, self.ranks[at], np.int32(NO_MERGE))
+
+    def merge_rows(self, data, ids, starts, lengths, width):
+        """Merges within pieces of at most ``width`` bytes: a row of ranks for each, one merge in every row per round."""
+        n = len(starts)
+        places = np.arange(width)
+        # Where each row's bytes are; the last ones are repeated, and have no rank.
+        where = starts[:, None] + np.minimum(places, lengths[:, None] - 1)
+        values = data[where]
+        ranks = np.full((n, width), NO_MERGE, np.int32)
+        ranks[:, :-1] = np.where(places[:-1] < lengths[:, None] - 1, self.first[values[:, :-1], values[:, 1:]], NO_MERGE)
+        after = np.tile((places + 1).astype(np.int8), n)
+        before = np.tile((places - 1).astype(np.int8), n)
+        flat = ranks.reshape(-1)
+        rows = np.arange(n)
+        while True:
+            at = ranks[rows].argmin(axis=1)
+            best = flat[rows * width + at]
+            live = best != NO_MERGE
+            rows, at, best = rows[live], at[live], best[live]
+            if not rows.size:
+                return
+            base, origin = rows * width, starts[rows]
+            here = base + at
+            gone = after[here].astype(np.int64)
+            behind = after[base + gone].astype(np.int64)
+            ahead = before[here].astype(np.int64)
+            new = self.made[best]
+            ids[origin + at] = new
+            ids[origin + gone] = -1
+            after[here] = behind
+            flat[here] = flat[base + gone] = NO_MERGE
+            more = np.flatnonzero(behind < lengths[rows])
+            before[(base + behind)[more]] = at[more]
+            flat[here[more]] = self.ranks_of(new[more], ids[(origin + behind)[more]])
+            more = np.flatnonzero(ahead >= 0)
+            flat[(base + ahead)[more]] = self.ranks_of(ids[(origin + ahead)[more]], new[more])
+
     def merge_long(self, ids):
-        """The same for long pieces: a heap of merges over a linked list."""
+        """The same for one long piece: a heap of merges over a linked list."""
         get, n = self.merges.get, len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(rank, i, ids[i], ids[i + 1]) for i in range(n - 1) if (rank := get(ids[i] << 32 | ids[i + 1])) is not None]
@@ -159,7 +215,7 @@ class BytePairs:
             j = after[i]
             if ids[i] != a or j >= n or ids[j] != b:
                 continue
-            ids[i], ids[j] = rank & 0xFFFFFFFF, -1
+            ids[i], ids[j] = int(self.made[rank]), -1
             after[i] = after[j]
             if after[j] < n:
                 before[after[j]] = i
@@ -183,12 +239,10 @@ def read_vocabulary(path):
         return file.read()
 
 
-def _ids_array(lists):
-    offsets, flat = np.zeros(len(lists) + 1, np.int32), array("i")
-    for i, ids in enumerate(lists):
-        flat.extend(ids)
-        offsets[i + 1] = len(flat)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(flat, np.int32)))
+def _ids_array(coded):
+    """A list array of ids, from each text's ids as bytes."""
+    offsets = np.cumsum([0, *map(len, coded)]) // 4
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(coded), np.int32)))
 
 
 def tokenize(docs, vocabulary, text="text", keep=None, decoded=True):
@@ -206,10 +260,11 @@ def tokenize(docs, vocabulary, text="text", keep=None, decoded=True):
         pairs = BytePairs(shared.value())
 
         def run(texts):
-            ids = [pairs.encode(t) if t else [] for t in texts]
-            out = [_ids_array(ids)]
+            coded = pairs.encode_all([t or b"" for t in texts])
+            out = [_ids_array(coded)]
             if decoded:
-                out.append(pa.array([pairs.decode(i) for i in ids], pa.binary()).cast(pa.string()))
+                ids = (np.frombuffer(c, np.int32).tolist() for c in coded)
+                out.append(pa.array(map(pairs.decode, ids), pa.binary()).cast(pa.string()))
             return out
 
         return run

@@ -12,6 +12,7 @@ from tokenizers import Tokenizer
 
 from spindlewatch.llm import language_model, quality_rules, queries
 from spindlewatch.llm.attention_model import CLASSES, CONTEXT, GROUP, STRIDE, Model
+from spindlewatch.llm import byte_pairs
 from spindlewatch.llm.byte_pairs import BytePairs, read_vocabulary, tokenize
 from spindlewatch.llm.common import Shared, crc_remainder
 from spindlewatch.llm.decontaminate import find_leaks, n_hit, without_leaks
@@ -219,6 +220,18 @@ def test_merging_long_pieces_is_the_same():
         assert pairs.merge(data) == pairs.merge_long([pairs.single[b] for b in data])
 
 
+def test_byte_pairs_forget_only_what_is_not_met_again(monkeypatch):
+    monkeypatch.setattr(byte_pairs, "REMEMBERED", 20)
+    pairs, tokenizer = BytePairs(read_vocabulary(queries.VOCABULARY)), library()
+    rng = np.random.default_rng(11)
+    for _ in range(40):
+        texts = [" ".join(["the", *("".join(rng.choice(list("abcdez1-"), 5)) for _ in range(6))]) for _ in range(3)]
+        coded = [np.frombuffer(c, np.int32).tolist() for c in pairs.encode_all([t.encode() for t in texts])]
+        assert coded == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(pairs.recent) <= 40 and len(pairs.former) <= 40
+    assert b"the" in pairs.recent
+
+
 def test_languages(docs, no_docs, all_rows):
     model = fit(docs, rows=100)
     found = predict(docs, model).collect()
