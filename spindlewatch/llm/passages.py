@@ -10,6 +10,10 @@ A passage that holds no whole run, for want of sentence ends, is found by window
 ``STRETCH`` words has no run inside, ``WINDOW`` words are hashed from every word on that has the least hash in some
 neighbourhood of ``NEAR`` words. That is decided by the words of the stretch alone, so copies share windows
 wherever they are spliced. Repeated windows go word by word, but those that touch a sentence removed by a run.
+
+Each row is written once, with the hashes of its runs and windows; only rows that hold a repeat are cut into
+sentences again. A hash is a polynomial in the words' own hashes, modulo 2**64, twice over: by sums of its terms,
+all runs and windows of a text are hashed at the same time.
 """
 
 import re
@@ -17,11 +21,12 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spindlewatch.llm.common import ship, written
+from spindlewatch.llm.common import map_texts, ship, written
 
 ship(__name__)
 
@@ -39,112 +44,146 @@ WORD_AT = re.compile(rb"[^\x20\x09-\x0D]+").finditer
 REMEMBERED = 300_000
 
 
-class SentenceEnds(dict):
-    """Whether a word ends a sentence, by the (lower-cased) word alone."""
+# Odd numbers whose powers the words of a run are multiplied by, one for each half of its hash.
+BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+# Tells the hashes of windows from those of runs.
+OF_WINDOWS = np.uint64(0x165667B19E3779F9)
 
-    def __missing__(self, word):
-        if len(self) >= REMEMBERED:
-            self.clear()
-        ends = self[word] = word.rstrip(b"\"')]").endswith(ENDS) or crc32(word) % CUT_EVERY == 0
-        return ends
-
-
-def sentences_of(text, ends):
-    """Lower-cased words of a UTF-8 text, and the bounds of its sentences: the numbers of their first words,
-    and the number of all words."""
-    words, flags = [], []
-    for line in text.lower().split(b"\n"):
-        here = line.split()
-        if here:
-            words += here
-            flags += map(ends.__getitem__, here)
-            flags[-1] = True
-    if not words:
-        return words, [0]
-    return words, [0, *(np.flatnonzero(flags) + 1).tolist()]
-
-
-def runs_of(words, bounds):
-    """(first sentence, one past the last, hash as two numbers) of the shortest long enough run from each
-    sentence on, where there is one."""
-    out = []
-    last = len(bounds) - 1
-    stop = 0
-    for first in range(last - SENTENCES + 1):
-        stop = max(stop, first + SENTENCES)
-        while stop < last and bounds[stop] - bounds[first] < WORDS:
-            stop += 1
-        if bounds[stop] - bounds[first] < WORDS:
-            break
-        digest = xxhash.xxh3_128_digest(b" ".join(words[bounds[first] : bounds[stop]]))
-        high = int.from_bytes(digest[:8], "big", signed=True)
-        out.append((first, stop, high, int.from_bytes(digest[8:12], "big", signed=True)))
-    return out
+HASH = pa.struct([("high", pa.int64()), ("low", pa.int64())])
 
 
-def windows_of(words, ends):
-    """(first word, hash as two numbers) of the windows in stretches that hold no run, by the words alone."""
-    n = len(words)
-    if n < STRETCH:
-        return []
-    flags = np.fromiter(map(ends.__getitem__, words), bool, n)
-    cuts = np.append(np.flatnonzero(flags), n)
-    before = np.concatenate(([0], np.cumsum(flags)))
-    low, high = before[: n - STRETCH + 1], before[STRETCH:]
-    sparse = (high - low <= SENTENCES) | (cuts[high - 1] - cuts[low] < WORDS)
-    if not sparse.any():
-        return []
-    # Which starts of windows lie in a sparse stretch.
-    marks = np.zeros(n + 1, np.int64)
-    at = np.flatnonzero(sparse)
-    np.add.at(marks, at, 1)
-    np.add.at(marks, at + STRETCH - WINDOW + 1, -1)
-    inside = np.cumsum(marks[:n]) > 0
-    hashes = np.fromiter(map(crc32, words), np.uint32, n)
-    least = np.lib.stride_tricks.sliding_window_view(hashes, NEAR).argmin(axis=1) + np.arange(n - NEAR + 1)
-    chosen = np.zeros(n, bool)
-    chosen[least] = True
-    out = []
-    for first in np.flatnonzero(chosen & inside).tolist():
-        digest = xxhash.xxh3_128_digest(b"\n" + b" ".join(words[first : first + WINDOW]))
-        high = int.from_bytes(digest[:8], "big", signed=True)
-        out.append((first, high, int.from_bytes(digest[8:12], "big", signed=True)))
-    return out
+def ends_sentence(word):
+    """Whether a (lower-cased) word ends a sentence, by the word alone."""
+    return word.rstrip(b"\"')]").endswith(ENDS) or crc32(word) % CUT_EVERY == 0
 
 
-def runs(docs, text="text", id_column="doc_id"):
-    """One row per document and different run or window: (doc_id, high, low)."""
+class Words(dict):
+    """Numbers of words, and by number whether a word ends a sentence, its CRC, and its two hashes."""
 
-    def run(batches):
-        ends = SentenceEnds()
-        for batch in batches:
-            for ids, content in zip(batch.column(0), batch.column(1).to_pylist()):
+    def __init__(self):
+        super().__init__()
+        self.ends, self.crcs = np.zeros(1024, bool), np.zeros(1024, np.uint32)
+        self.hashes = np.zeros((2, 1024), np.uint64)
+        self.up = self.down = np.ones((2, 1), np.uint64)
+
+    def __missing__(self, word):
+        number = len(self)
+        if number == len(self.ends):
+            self.ends, self.crcs = np.resize(self.ends, 2 * number), np.resize(self.crcs, 2 * number)
+            self.hashes = np.concatenate([self.hashes, self.hashes], axis=1)
+        self[word] = number
+        self.ends[number], self.crcs[number] = ends_sentence(word), crc32(word)
+        self.hashes[:, number] = np.frombuffer(xxhash.xxh3_128_digest(word), np.uint64)
+        return number
+
+    def numbers(self, words):
+        """Numbers of the words of one text, good until the next one."""
+        if len(self) > REMEMBERED:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+
+    def powers(self, n):
+        """At least ``n`` powers of each base, and of its inverse."""
+        if self.up.shape[1] < n:
+            for name, exponent in (("up", 1), ("down", -1)):
+                steps = np.ones((2, 2 * n), np.uint64)
+                steps[:, 1:] = [[pow(base, exponent, 1 << 64)] for base in BASES]
+                setattr(self, name, np.cumprod(steps, axis=1, dtype=np.uint64))
+        return self.up, self.down
+
+
+class Text:
+    """A text's sentences, runs and windows. ``bounds`` are the numbers of the sentences' first words, and the
+    number of all words."""
+
+    def __init__(self, text, known):
+        words, lines = [], []
+        for line in text.lower().split(b"\n"):
+            here = line.split()
+            if here:
+                words += here
+                lines.append(len(words) - 1)
+        numbers = known.numbers(words)
+        self.n = len(words)
+        self.flags, self.crcs = known.ends[numbers], known.crcs[numbers]
+        flags = self.flags.copy()
+        flags[lines] = True
+        self.bounds = np.append(0, np.flatnonzero(flags) + 1)
+        up, self.down = known.powers(self.n + 1)
+        self.sums = np.zeros((2, self.n + 1), np.uint64)
+        np.cumsum(known.hashes[:, numbers] * up[:, : self.n], axis=1, out=self.sums[:, 1:])
+
+    def hashes(self, first, stop, more=np.uint64(0)):
+        """Hashes, as two signed numbers each, of the words from ``first`` up to ``stop``."""
+        return ((self.sums[:, stop] - self.sums[:, first]) * self.down[:, first] + more).view(np.int64)
+
+    def runs(self):
+        """First sentence, one past the last, and the hashes of the shortest long enough run from each sentence on,
+        where there is one."""
+        count = len(self.bounds) - 1
+        first = np.arange(max(0, count - SENTENCES + 1))
+        stop = np.maximum(first + SENTENCES, np.searchsorted(self.bounds, self.bounds[first] + WORDS))
+        first, stop = first[stop <= count], stop[stop <= count]
+        return first, stop, self.hashes(self.bounds[first], self.bounds[stop])
+
+    def windows(self):
+        """First words and hashes of the windows in stretches that hold no run, by the words alone."""
+        n = self.n
+        nothing = np.zeros(0, np.int64)
+        if n < STRETCH:
+            return nothing, np.zeros((2, 0), np.int64)
+        cuts = np.append(np.flatnonzero(self.flags), n)
+        before = np.concatenate(([0], np.cumsum(self.flags)))
+        low, high = before[: n - STRETCH + 1], before[STRETCH:]
+        sparse = (high - low <= SENTENCES) | (cuts[high - 1] - cuts[low] < WORDS)
+        if not sparse.any():
+            return nothing, np.zeros((2, 0), np.int64)
+        # Which starts of windows lie in a sparse stretch.
+        marks = np.zeros(n + 1, np.int64)
+        at = np.flatnonzero(sparse)
+        np.add.at(marks, at, 1)
+        np.add.at(marks, at + STRETCH - WINDOW + 1, -1)
+        inside = np.cumsum(marks[:n]) > 0
+        least = np.lib.stride_tricks.sliding_window_view(self.crcs, NEAR).argmin(axis=1) + np.arange(n - NEAR + 1)
+        chosen = np.zeros(n, bool)
+        chosen[least] = True
+        first = np.flatnonzero(chosen & inside)
+        return first, self.hashes(first, first + WINDOW, OF_WINDOWS)
+
+
+def with_runs(docs, text="text", keep=None):
+    """``docs`` with ``n_sentences``, ``runs``, the different hashes of a text's runs and windows, and ``itself``,
+    whether one of them stands in it twice."""
+
+    def make():
+        known = Words()
+
+        def run(texts):
+            counts, lists, twice = [], [], []
+            for content in texts:
                 if not content:
+                    counts.append(0), lists.append([]), twice.append(False)
                     continue
-                words, bounds = sentences_of(content, ends)
-                found = {r[2:] for r in runs_of(words, bounds)}
-                found.update(w[1:] for w in windows_of(words, ends))
-                if found:
-                    highs, lows = zip(*found)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([ids.as_py()] * len(found), ids.type), pa.array(highs, pa.int64()), pa.array(lows, pa.int32())],
-                        names=["doc_id", "high", "low"],
-                    )
-
-    def gathered(batches, rows=20_000):
-        waiting, n = [], 0
-        for batch in run(batches):
-            waiting.append(batch)
-            n += batch.num_rows
-            if n >= rows:
-                yield from pa.Table.from_batches(waiting).combine_chunks().to_batches()
-                waiting, n = [], 0
-        if waiting:
-            yield from pa.Table.from_batches(waiting).combine_chunks().to_batches()
-
-    source = docs.select(F.col(id_column).alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(gathered, f"doc_id {kind}, high bigint, low int")
+                cut = Text(content, known)
+                hashes = np.concatenate([cut.runs()[2], cut.windows()[1]], axis=1)
+                several = set(zip(*hashes.tolist()))
+                counts.append(len(cut.bounds) - 1)
+                twice.append(len(several) < hashes.shape[1])
+                lists.append(np.array(list(several), np.int64).reshape(-1, 2))
+            offsets = np.cumsum([0, *map(len, lists)]).astype(np.int32)
+            flat = np.concatenate([np.zeros((0, 2), np.int64), *[x for x in lists if len(x)]])
+            pairs = pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], fields=list(HASH))
+            runs = pa.ListArray.from_arrays(pa.array(offsets), pairs)
+            return [pa.array(counts, pa.int64()), runs, pa.array(twice, pa.bool_())]
+
+        return run
+
+    fields = [
+        ("n_sentences", pa.int64(), "bigint"),
+        ("runs", pa.list_(HASH), "array<struct<high:bigint,low:bigint>>"),
+        ("itself", pa.bool_(), "boolean"),
+    ]
+    return map_texts(docs, text, fields, make, keep)
 
 
 def covered(all_runs, known):
@@ -199,41 +238,63 @@ def remove_repeats(docs, text="text", id_column="doc_id"):
     of which only a window's words go counts as removed, too.
     """
     kept = [c for c in docs.columns if c not in ("n_sentences", "n_removed")]
-    found = written(runs(docs, text, id_column), "runs")
+    # The rows go along as they are, whatever their columns are called.
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(id_column).alias("doc_id"), F.col(text).alias("text")
+    )
+    found = written(with_runs(rows, keep=["row", "doc_id"]), "runs")
+    each = found.select("doc_id", F.explode("runs").alias("run")).select("doc_id", "run.high", "run.low")
     firsts = (
-        found.groupBy("high", "low")
+        each.groupBy("high", "low")
         .agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"), F.count("doc_id").alias("with_id"))
         .where("n > 1")
         .select("high", "low", F.when(F.col("n") == F.col("with_id"), F.col("first")).alias("first"))
     )
+    # Rows without an id are first wherever they hold a run, so that none has a repeat of another row's.
     repeats = (
-        found.join(firsts, ["high", "low"])
+        each.where("doc_id is not null")
+        .join(firsts, ["high", "low"])
         .where(~F.col("doc_id").eqNullSafe(F.col("first")))
-        .groupBy(F.col("doc_id").alias("_id"))
-        .agg(F.collect_list(F.struct("high", "low")).alias("_runs"))
+        .groupBy("doc_id")
+        .agg(F.collect_set(F.struct("high", "low")).alias("known"))
     )
-    named = docs.select(*[F.col(f"`{c}`") for c in kept])
-    joined = named.join(repeats, named[id_column].eqNullSafe(repeats["_id"]), "left").drop("_id")
-    schema = docs.select(*[F.col(f"`{c}`") for c in kept]).schema
-    schema = T.StructType([*schema, T.StructField("n_sentences", T.LongType()), T.StructField("n_removed", T.LongType())])
+    facts = found.drop("runs")
+    joined = facts.where("doc_id is not null").join(repeats, "doc_id", "left").select("row", "n_sentences", "itself", "known")
+    no_runs = F.lit(None).cast(joined.schema["known"].dataType).alias("known")
+    nameless = facts.where("doc_id is null").select("row", "n_sentences", "itself", no_runs)
+    fields = [docs.schema[c] for c in kept]
+    schema = T.StructType([*fields, T.StructField("n_sentences", T.LongType()), T.StructField("n_removed", T.LongType())])
     names = schema.names
     at = kept.index(text)
 
+    def cleaned(content, here, words):
+        cut = Text(content, words)
+        first, stop, hashes = cut.runs()
+        runs = list(zip(first.tolist(), stop.tolist(), *hashes.tolist()))
+        starts, hashes = cut.windows()
+        windows = list(zip(starts.tolist(), *hashes.tolist()))
+        bounds = cut.bounds.tolist()
+        parts, gone, touched = with_windows(bounds, covered(runs, here), windows, here)
+        return without(content, parts, gone) if gone else content, touched
+
     def clean(batches):
-        ends = SentenceEnds()
+        words = Words()
         for batch in batches:
-            contents = batch.column(at).to_pylist()
-            known = batch.column(len(kept)).to_pylist()
-            texts, counts, removed = [], [], []
-            for content, repeated in zip(contents, known):
-                words, bounds = sentences_of(content.encode(), ends) if content else ([], [0])
-                here = {(r["high"], r["low"]) for r in repeated or ()}
-                gone = covered(runs_of(words, bounds), here)
-                parts, parts_gone, touched = with_windows(bounds, gone, windows_of(words, ends), here)
-                texts.append(without(content.encode(), parts, parts_gone).decode() if parts_gone else content)
-                counts.append(len(bounds) - 1)
-                removed.append(touched)
-            arrays = [pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(len(kept))]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(counts, pa.int64()), pa.array(removed, pa.int64())], names=names)
-
-    return joined.mapInArrow(clean, schema)
+            row = batch.column(0)
+            columns = [row.field(i) for i in range(len(kept))]
+            texts, removed = columns[at], [0] * batch.num_rows
+            some = pc.or_(batch.column(2), batch.column(3).is_valid())
+            changed = {}
+            for i in np.flatnonzero(some.to_numpy(zero_copy_only=False)).tolist():
+                here = {(r["high"], r["low"]) for r in batch.column(3)[i].as_py() or ()}
+                content = texts[i].as_py().encode()
+                rest, removed[i] = cleaned(content, here, words)
+                if rest is not content:
+                    changed[i] = rest.decode()
+            if changed:
+                mask = np.zeros(batch.num_rows, bool)
+                mask[list(changed)] = True
+                columns[at] = pc.replace_with_mask(texts, pa.array(mask), pa.array(list(changed.values()), texts.type))
+            yield pa.RecordBatch.from_arrays([*columns, batch.column(1), pa.array(removed, pa.int64())], names=names)
+
+    return joined.unionByName(nameless).mapInArrow(clean, schema)

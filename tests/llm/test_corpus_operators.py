@@ -104,11 +104,40 @@ def test_passages(docs, no_docs, all_rows):
     assert remove_repeats(no_docs).collect() == []
 
 
+def test_passages_of_rows_without_ids_and_with_clashing_columns(spark):
+    """Rows without an id keep theirs; the columns that the operator works with may be in the table, too."""
+    passage = "One two three four. Five six seven eight. Nine ten eleven twelve. "
+    rows = [(None, passage, "a", [1], True, 7)] * 40 + [(i, passage + f"Own words of {i}.", "b", [i], None, i) for i in range(3)]
+    rows.append((9, None, None, None, None, None))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, row string, runs array<int>, itself boolean, n_removed int")
+    found = remove_repeats(docs)
+    assert set(found.columns) == {*docs.columns, "n_sentences"}
+    for r in found.collect():
+        if r.doc_id is None:
+            assert (r.text, r.n_removed, r.runs, r.itself, r.row) == (passage, 0, [1], True, "a")
+        elif r.text is None:
+            assert r.doc_id == 9 and r.n_sentences == r.n_removed == 0
+        else:
+            assert r.n_removed >= 3 and "two" not in r.text and r.text.endswith(f"of {r.doc_id}.") and r.runs == [r.doc_id]
+
+
+def test_hashes_of_runs_tell_words_and_their_order(spark):
+    known = passages_module.Words()
+    words = [f"w{i}" for i in range(2_000)]
+    a = passages_module.Text(" ".join(words).encode(), known)
+    b = passages_module.Text(" ".join(words[700:] + words[:700]).encode(), known)
+    first = np.arange(600)
+    assert (a.hashes(first + 700, first + 725) == b.hashes(first, first + 25)).all()
+    c = passages_module.Text(b"x y x y y x", known)
+    at = np.array([0, 1, 2, 3, 4])
+    assert len(set(zip(*c.hashes(at, at + 2).tolist()))) == 3
+    assert (c.hashes(at, at + 2) != c.hashes(at, at + 2, passages_module.OF_WINDOWS)).any(axis=0).all()
+
+
 def test_passages_spliced_anywhere(make_docs):
     """Passages of 51 words without sentence ends, or with clustered ones, inside sentences of other texts."""
     rng = np.random.default_rng(5)
-    ends = passages_module.SentenceEnds()
-    plain = [w for w in (f"q{i}" for i in range(40_000)) if not ends[w.encode()]]
+    plain = [w for w in (f"q{i}" for i in range(40_000)) if not passages_module.ends_sentence(w.encode())]
     rows = []
     for k in range(60):
         passage = [str(w) for w in rng.choice(plain, 51)]
