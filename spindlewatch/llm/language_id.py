@@ -2,7 +2,7 @@
 
 A language's words have their log frequency in it. A word that no language knows is scored by its longest
 character n-grams that are known, and by shorter ones if none is. The tables are counted by Spark on a bounded
-sample of the labelled rows and pruned to a bounded size, since every task gets them.
+sample of each language's labelled rows and pruned to a bounded size, since every task gets them.
 """
 
 from collections import Counter
@@ -18,8 +18,8 @@ from spindlewatch.llm.common import Shared, map_texts, ship
 
 ship(__name__)
 
-# Bounds of the model: labelled rows it is fitted on, and entries kept per language and table.
-FIT_ROWS = 8_000
+# Bounds of the model: labelled rows of one language it is fitted on, and entries kept per language and table.
+FIT_ROWS = 4_000
 TABLE_ENTRIES = 20_000
 NGRAMS = (5, 4, 3, 2, 1)
 SMOOTHING = 0.5
@@ -116,20 +116,33 @@ class KnownWords(dict):
 
 
 def fit(labelled, text="text", language="lang", order="doc_id", rows=FIT_ROWS, entries=TABLE_ENTRIES):
-    """The model, from at most ``rows`` labelled rows (those with the least hash of ``order``, whole texts) and
-    with at most ``entries`` entries per language and table (the most frequent ones).
+    """The model, from at most ``rows`` labelled rows of each language (those with the least hash of ``order``, whole
+    texts; of a rarer language all rows) and with at most ``entries`` entries per language and table (the most
+    frequent ones).
 
-    Rows without text or language are not used. Without any row there is no language, and every text is
-    undetermined.
+    Rows without text or language are not used; rows with one ``order`` are taken together, if the first is. Without
+    any row there is no language, and every text is undetermined.
     """
     usable = labelled.where(F.col(text).isNotNull() & F.col(language).isNotNull())
-    ids = usable.select(F.col(order).alias("_order")).orderBy(F.xxhash64("_order"), "_order").limit(rows)
-    sample = usable.join(ids.distinct(), usable[order] == F.col("_order"), "left_semi")
+    # In three steps, so that no task gets all rows of a language, whatever its share of them.
+    ids = usable.select(F.col(language).alias("_lang"), F.col(order).alias("_order"))
+    mixed = ids.withColumn("_hash", F.xxhash64("_order")).withColumn("_task", F.spark_partition_id())
+    few = _least(_least(mixed, rows, "_lang", "_task").withColumn("_task", F.col("_task") % 64), rows, "_lang", "_task")
+    some = _least(few, rows, "_lang").select("_lang", "_order").distinct()
+    sample = usable.join(
+        some, usable[order].eqNullSafe(F.col("_order")) & (usable[language] == F.col("_lang")), "left_semi"
+    )
     counted = _counted(sample, text, language)
     ranked = _most_frequent(counted, entries)
     return Languages([(r.lang, r.size, r.entry, r.n) for r in ranked.collect()])
 
 
+def _least(ids, rows, *groups):
+    """The ``rows`` ids with the least hash in each group."""
+    order = Window.partitionBy(*groups).orderBy("_hash", "_order")
+    return ids.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= rows).drop("_rank")
+
+
 def _most_frequent(counted, entries):
     """The ``entries`` most frequent entries per language and table, ties in the order of the entry."""
     best = Window.partitionBy("lang", "size").orderBy(F.desc("n"), "entry")

@@ -10,9 +10,8 @@ from brute import LOWER, lettered, leaks, quality, remainder, spaced, text_count
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from spindlewatch.llm import language_model, quality_rules, queries
+from spindlewatch.llm import byte_pairs, language_id, language_model, quality_rules, queries
 from spindlewatch.llm.attention_model import CLASSES, CONTEXT, GROUP, STRIDE, Model
-from spindlewatch.llm import byte_pairs
 from spindlewatch.llm.byte_pairs import BytePairs, read_vocabulary, tokenize
 from spindlewatch.llm.common import Shared, crc_remainder
 from spindlewatch.llm.decontaminate import find_leaks, n_hit, without_leaks
@@ -246,6 +245,57 @@ def test_languages(docs, no_docs, all_rows):
     assert predict(no_docs, model).collect() == []
 
 
+def test_a_rare_language_is_learnt(spark):
+    """Three rows of one language among 10,000 of another, fitted on a hundred rows of each."""
+    common = spark.range(10_000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("the house number "), F.col("id") % 7, F.lit(" and a tree")).alias("text")
+    ).withColumn("lang", F.lit("en"))
+    rare = [(20_000, "kala vesi talo", "fi"), (20_001, "talo kala", "fi"), (None, "vesi metsassa", "fi"), (20_002, None, "fi")]
+    docs = common.unionByName(spark.createDataFrame(rare, docs_ddl := "doc_id bigint, text string, lang string"))
+    model = fit(docs.repartition(8), rows=100)
+    asked = spark.createDataFrame([(1, "vesi ja talo", None), (2, "a tree and a house", None), (3, "metsassa", None)], docs_ddl)
+    assert {r.doc_id: r.lang_pred for r in predict(asked, model).collect()} == {1: "fi", 2: "en", 3: "fi"}
+
+
+def plain_language(text, sample):
+    """Language of a text and its share, from (text, lang) rows so few that no table is cut."""
+    tables = {}
+    for content, lang in sample:
+        for word in language_id.words_in(content):
+            tables.setdefault(0, {}).setdefault(word, Counter())[lang] += 1
+            for n in language_id.NGRAMS:
+                for gram in language_id.ngrams_of(word, n):
+                    tables.setdefault(n, {}).setdefault(gram, Counter())[lang] += 1
+    langs = sorted({lang for _, lang in sample})
+    half = language_id.SMOOTHING
+
+    def entry(n, key, lang):
+        table = tables[n]
+        return np.log((table[key][lang] + half) / (sum(c[lang] for c in table.values()) + half * len(table)))
+
+    totals, words = dict.fromkeys(langs, 0.0), language_id.words_in(text)
+    for word in words:
+        found = [(0, word)] if word in tables[0] else []
+        for n in language_id.NGRAMS:
+            found = found or [(n, g) for g in language_id.ngrams_of(word, n) if g in tables[n]]
+        for lang in langs:
+            totals[lang] += np.mean([entry(n, key, lang) for n, key in found]) if found else 0.0
+    likely = {lang: np.exp((t - max(totals.values())) / len(words)) for lang, t in totals.items()}
+    best = min(langs, key=lambda lang: (-totals[lang], lang))
+    return best, likely[best] / sum(likely.values())
+
+
+def test_languages_against_a_plain_version(spark):
+    sample = [("The tree and the house", "en"), ("a house, a tree!", "en"), ("der Baum und das Haus", "de"), ("la casa es grande", "es")]
+    asked = ["the Haus", "treehouse", "casas grandes", "zzz", "und", "Baum baum the la qq", "\u4e2d\u6587", "d'un arbre " * 50]
+    ddl = "doc_id bigint, text string, lang string"
+    model = fit(spark.createDataFrame([(i, *r) for i, r in enumerate(sample)], ddl))
+    found = {r.text: r for r in predict(spark.createDataFrame([(1, t, None) for t in asked], ddl), model).collect()}
+    for text in asked:
+        lang, share = plain_language(text, sample)
+        assert found[text].lang_pred == lang and found[text].score == pytest.approx(share)
+
+
 def test_languages_on_held_out_rows(spark):
     small = "/root/testdata/sf0.01"
     found = queries.op9_language_id(spark, small).join(spark.read.parquet(f"{small}/documents.parquet"), "doc_id")
