@@ -11,8 +11,7 @@ A passage that holds no whole run, for want of sentence ends, is found by window
 neighbourhood of ``NEAR`` words. That is decided by the words of the stretch alone, so copies share windows
 wherever they are spliced. Repeated windows go word by word, but those that touch a sentence removed by a run.
 
-Each row is written once, with the hashes of its runs and windows; only rows that hold a repeat are cut into
-sentences again. A hash is a polynomial in the words' own hashes, modulo 2**64, twice over: by sums of its terms,
+A hash is a polynomial in the words' own hashes, modulo 2**64, twice over: by sums of its terms,
 all runs and windows of a text are hashed at the same time.
 """
 
@@ -49,7 +48,7 @@ BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 # Tells the hashes of windows from those of runs.
 OF_WINDOWS = np.uint64(0x165667B19E3779F9)
 
-HASH = pa.struct([("high", pa.int64()), ("low", pa.int64())])
+HASH = pa.struct([("high", pa.int64()), ("low", pa.int32())])
 
 
 def ends_sentence(word):
@@ -114,8 +113,12 @@ class Text:
         np.cumsum(known.hashes[:, numbers] * up[:, : self.n], axis=1, out=self.sums[:, 1:])
 
     def hashes(self, first, stop, more=np.uint64(0)):
-        """Hashes, as two signed numbers each, of the words from ``first`` up to ``stop``."""
-        return ((self.sums[:, stop] - self.sums[:, first]) * self.down[:, first] + more).view(np.int64)
+        """Hashes, as a number of 64 and one of 32 bits each, of the words from ``first`` up to ``stop``."""
+        both = (self.sums[:, stop] - self.sums[:, first]) * self.down[:, first] + more
+        # Of the second one the upper half, into which all bits of the words' hashes go.
+        both[1] >>= np.uint64(32)
+        high, low = both.view(np.int64)
+        return np.stack([high, low - (1 << 31)])
 
     def runs(self):
         """First sentence, one past the last, and the hashes of the shortest long enough run from each sentence on,
@@ -151,38 +154,35 @@ class Text:
         return first, self.hashes(first, first + WINDOW, OF_WINDOWS)
 
 
+    def repeats_itself(self, hashes):
+        """Whether a run or window may stand in the text twice."""
+        return len(np.unique(hashes[0])) < hashes.shape[1]
+
+
 def with_runs(docs, text="text", keep=None):
-    """``docs`` with ``n_sentences``, ``runs``, the different hashes of a text's runs and windows, and ``itself``,
-    whether one of them stands in it twice."""
+    """``docs`` with ``runs``, the different hashes of a text's runs and windows."""
 
     def make():
         known = Words()
 
         def run(texts):
-            counts, lists, twice = [], [], []
+            lists = []
             for content in texts:
-                if not content:
-                    counts.append(0), lists.append([]), twice.append(False)
-                    continue
-                cut = Text(content, known)
-                hashes = np.concatenate([cut.runs()[2], cut.windows()[1]], axis=1)
-                several = set(zip(*hashes.tolist()))
-                counts.append(len(cut.bounds) - 1)
-                twice.append(len(several) < hashes.shape[1])
-                lists.append(np.array(list(several), np.int64).reshape(-1, 2))
-            offsets = np.cumsum([0, *map(len, lists)]).astype(np.int32)
-            flat = np.concatenate([np.zeros((0, 2), np.int64), *[x for x in lists if len(x)]])
-            pairs = pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], fields=list(HASH))
-            runs = pa.ListArray.from_arrays(pa.array(offsets), pairs)
-            return [pa.array(counts, pa.int64()), runs, pa.array(twice, pa.bool_())]
+                hashes = np.zeros((2, 0), np.int64)
+                if content:
+                    cut = Text(content, known)
+                    hashes = np.concatenate([cut.runs()[2], cut.windows()[1]], axis=1)
+                    if cut.repeats_itself(hashes):
+                        hashes = np.unique(hashes, axis=1)
+                lists.append(hashes)
+            offsets = np.cumsum([0, *(x.shape[1] for x in lists)]).astype(np.int32)
+            high, low = np.concatenate(lists, axis=1)
+            pairs = pa.StructArray.from_arrays([pa.array(high), pa.array(low.astype(np.int32))], fields=list(HASH))
+            return [pa.ListArray.from_arrays(pa.array(offsets), pairs)]
 
         return run
 
-    fields = [
-        ("n_sentences", pa.int64(), "bigint"),
-        ("runs", pa.list_(HASH), "array<struct<high:bigint,low:bigint>>"),
-        ("itself", pa.bool_(), "boolean"),
-    ]
+    fields = [("runs", pa.list_(HASH), "array<struct<high:bigint,low:int>>")]
     return map_texts(docs, text, fields, make, keep)
 
 
@@ -239,10 +239,9 @@ def remove_repeats(docs, text="text", id_column="doc_id"):
     """
     kept = [c for c in docs.columns if c not in ("n_sentences", "n_removed")]
     # The rows go along as they are, whatever their columns are called.
-    rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(id_column).alias("doc_id"), F.col(text).alias("text")
-    )
-    found = written(with_runs(rows, keep=["row", "doc_id"]), "runs")
+    row = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row")
+    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text"))
+    found = written(with_runs(rows, keep=["doc_id"]), "runs")
     each = found.select("doc_id", F.explode("runs").alias("run")).select("doc_id", "run.high", "run.low")
     firsts = (
         each.groupBy("high", "low")
@@ -258,43 +257,44 @@ def remove_repeats(docs, text="text", id_column="doc_id"):
         .groupBy("doc_id")
         .agg(F.collect_set(F.struct("high", "low")).alias("known"))
     )
-    facts = found.drop("runs")
-    joined = facts.where("doc_id is not null").join(repeats, "doc_id", "left").select("row", "n_sentences", "itself", "known")
+    rows = docs.select(row, F.col(id_column).alias("doc_id"))
+    joined = rows.where("doc_id is not null").join(repeats, "doc_id", "left").select("row", "known")
     no_runs = F.lit(None).cast(joined.schema["known"].dataType).alias("known")
-    nameless = facts.where("doc_id is null").select("row", "n_sentences", "itself", no_runs)
+    nameless = rows.where("doc_id is null").select("row", no_runs)
     fields = [docs.schema[c] for c in kept]
     schema = T.StructType([*fields, T.StructField("n_sentences", T.LongType()), T.StructField("n_removed", T.LongType())])
     names = schema.names
     at = kept.index(text)
 
-    def cleaned(content, here, words):
+    def cleaned(content, known, words):
+        """A text without its repeats, the number of its sentences, and of those that went."""
         cut = Text(content, words)
-        first, stop, hashes = cut.runs()
-        runs = list(zip(first.tolist(), stop.tolist(), *hashes.tolist()))
-        starts, hashes = cut.windows()
-        windows = list(zip(starts.tolist(), *hashes.tolist()))
+        (first, stop, of_runs), (starts, of_windows) = cut.runs(), cut.windows()
+        if known is None and not cut.repeats_itself(np.concatenate([of_runs, of_windows], axis=1)):
+            return content, len(cut.bounds) - 1, 0
+        here = {(r["high"], r["low"]) for r in known or ()}
         bounds = cut.bounds.tolist()
-        parts, gone, touched = with_windows(bounds, covered(runs, here), windows, here)
-        return without(content, parts, gone) if gone else content, touched
+        gone = covered(zip(first.tolist(), stop.tolist(), *of_runs.tolist()), here)
+        parts, gone, touched = with_windows(bounds, gone, zip(starts.tolist(), *of_windows.tolist()), here)
+        return without(content, parts, gone) if gone else content, len(bounds) - 1, touched
 
     def clean(batches):
         words = Words()
         for batch in batches:
-            row = batch.column(0)
-            columns = [row.field(i) for i in range(len(kept))]
-            texts, removed = columns[at], [0] * batch.num_rows
-            some = pc.or_(batch.column(2), batch.column(3).is_valid())
-            changed = {}
-            for i in np.flatnonzero(some.to_numpy(zero_copy_only=False)).tolist():
-                here = {(r["high"], r["low"]) for r in batch.column(3)[i].as_py() or ()}
-                content = texts[i].as_py().encode()
-                rest, removed[i] = cleaned(content, here, words)
+            columns = [batch.column(0).field(i) for i in range(len(kept))]
+            counts, removed, changed = [], [], {}
+            for i, (content, known) in enumerate(zip(columns[at].cast(pa.binary()).to_pylist(), batch.column(1))):
+                rest, sentences, gone = cleaned(content, known.as_py(), words) if content else (content, 0, 0)
+                counts.append(sentences)
+                removed.append(gone)
                 if rest is not content:
                     changed[i] = rest.decode()
             if changed:
                 mask = np.zeros(batch.num_rows, bool)
                 mask[list(changed)] = True
-                columns[at] = pc.replace_with_mask(texts, pa.array(mask), pa.array(list(changed.values()), texts.type))
-            yield pa.RecordBatch.from_arrays([*columns, batch.column(1), pa.array(removed, pa.int64())], names=names)
+                new = pa.array(list(changed.values()), columns[at].type)
+                columns[at] = pc.replace_with_mask(columns[at], pa.array(mask), new)
+            arrays = [*columns, pa.array(counts, pa.int64()), pa.array(removed, pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return joined.unionByName(nameless).mapInArrow(clean, schema)
