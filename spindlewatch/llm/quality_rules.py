@@ -7,8 +7,6 @@ DataFrame expression; texts are never shuffled, only bucket counts are, and the
 trusted ids are too many to be copied to all tasks.
 """
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from spindlewatch.llm.common import BROADCAST_IDS, SPACES, words_of, written
@@ -27,26 +25,30 @@ def _hashes(words):
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
+def _bucket(gram, buckets):
+    return F.pmod(gram, F.lit(buckets)).cast("int")
+
+
 def _joined(array, others, apart):
     """Hashes of the elements of ``array`` with those of ``others`` that stand ``apart`` places later."""
     n = F.least(F.size(array), F.greatest(F.size(others) - apart, F.lit(0)))
     return F.zip_with(F.slice(array, F.lit(1), n), F.slice(others, F.lit(1 + apart), n), lambda x, y: F.xxhash64(x, y))
 
 
+def _some_equal(array):
+    return F.size(F.array_distinct(array)) < F.size(array)
+
+
 def _with_repeats(df):
     """Adds ``n_repeat_words``: words in windows that occur twice or more in the same text.
 
-    Windows are compared by their 64-bit hash. Only texts that have an equal pair are sorted.
+    Windows are compared by their 64-bit hash. They are made only where four of their five words stand twice, and
+    sorted only where two are equal.
     """
     hashed = df.withColumn("fours", _joined(F.col("pairs"), F.col("pairs"), 2)).withColumn(
-        "windows", _joined(F.col("fours"), F.col("hashes"), 4)
-    )
-    m = F.greatest(F.size("windows") - 1, F.lit(0))
-    neighbours = F.zip_with(
-        F.slice("ordered", F.lit(1), m), F.slice("ordered", F.lit(2), m), lambda x, y: x == y
+        "windows", F.when(_some_equal("fours"), _joined(F.col("fours"), F.col("hashes"), 4))
     )
-    hashed = hashed.withColumn("ordered", F.sort_array("windows"))
-    repeated = F.array_contains(neighbours, True)
+    repeated = _some_equal("windows")
     located = F.when(
         repeated, F.sort_array(F.transform("windows", lambda x, i: F.struct(x.alias("w"), i.alias("i"))))
     )
@@ -73,7 +75,7 @@ def _with_repeats(df):
     reach = F.aggregate(new_words, F.lit(0).cast("bigint"), lambda a, x: a + x) + WINDOW
     return placed.withColumn(
         "n_repeat_words", F.when(F.size("starts") > 0, reach).otherwise(F.lit(0)).cast("bigint")
-    ).drop("fours", "windows", "ordered", "located", "starts")
+    ).drop("fours", "windows", "located", "starts")
 
 
 def hashed_words(docs, text="text", **columns):
@@ -92,12 +94,11 @@ def text_counts(hashed):
     A null text has no words, and all its counts are zero.
     """
     lines = F.filter(F.split("text", "\n"), lambda line: F.btrim(line, F.lit(SPACES)) != "")
-    without = reduce(lambda t, symbol: F.replace(t, F.lit(symbol), F.lit("")), SYMBOLS, F.col("text"))
     df = (
         hashed.withColumn("lines", lines)
         .withColumn("n_words", F.size("hashes").cast("bigint"))
         .withColumn("word_chars", F.length(F.array_join("words", "")).cast("bigint"))
-        .withColumn("n_symbols", (F.length("text") - F.length(without)).cast("bigint"))
+        .withColumn("n_symbols", (F.size(F.split("text", f"[{SYMBOLS}]")) - 1).cast("bigint"))
         .withColumn("n_dup_lines", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint"))
         .drop("text", "lines", "words")
     )
@@ -114,17 +115,21 @@ def bucket_weights(docs, trusted, text="text", id_column="doc_id", buckets=BUCKE
     """
     ids = written(trusted.toDF("doc_id").where("doc_id is not null").distinct(), "trusted")
     ids = ids.withColumn("is_trusted", F.lit(True))
-    found = hashed_words(docs, text, doc_id=F.col(id_column)).select(
-        "doc_id", F.transform(F.concat("hashes", "pairs"), lambda x: F.pmod(x, F.lit(buckets)).cast("int")).alias("found")
-    )
+    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text"))
     if ids.count() <= copied:
-        marked = found.join(F.broadcast(ids), "doc_id", "left")
+        # Ids meet before the texts are cut, so that no arrays go through the join.
+        marked = hashed_words(rows.join(F.broadcast(ids), "doc_id", "left"), is_trusted=F.col("is_trusted"))
+        grams = marked.select("is_trusted", F.explode(F.concat("hashes", "pairs")).alias("gram"))
+        grams = grams.select("is_trusted", _bucket(F.col("gram"), buckets).alias("bucket"))
     else:
+        found = hashed_words(rows, doc_id=F.col("doc_id")).select(
+            "doc_id", F.transform(F.concat("hashes", "pairs"), lambda x: _bucket(x, buckets)).alias("found")
+        )
         # Rows of one id, or of none, are not all in one task.
         salted = found.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
         each = ids.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         marked = salted.join(each, ["doc_id", "salt"], "left")
-    grams = marked.select("is_trusted", F.explode("found").alias("bucket"))
+        grams = marked.select("is_trusted", F.explode("found").alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.count("is_trusted").alias("t"))
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
     full = every.join(counts, "bucket", "left").select(
@@ -165,7 +170,7 @@ def judge_quality(docs, trusted, text="text", id_column="doc_id", buckets=BUCKET
     total = F.aggregate(
         F.concat("hashes", "pairs"),
         F.lit(0.0),
-        lambda a, x: a + F.get(F.col("_weights"), F.pmod(x, F.lit(buckets)).cast("int")),
+        lambda a, x: a + F.get(F.col("_weights"), _bucket(x, buckets)),
     )
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     judged = (
