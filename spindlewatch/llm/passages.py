@@ -61,25 +61,35 @@ class Words(dict):
 
     def __init__(self):
         super().__init__()
+        self.new = []
         self.ends, self.crcs = np.zeros(1024, bool), np.zeros(1024, np.uint32)
         self.hashes = np.zeros((2, 1024), np.uint64)
         self.up = self.down = np.ones((2, 1), np.uint64)
 
     def __missing__(self, word):
-        number = len(self)
-        if number == len(self.ends):
-            self.ends, self.crcs = np.resize(self.ends, 2 * number), np.resize(self.crcs, 2 * number)
-            self.hashes = np.concatenate([self.hashes, self.hashes], axis=1)
-        self[word] = number
-        self.ends[number], self.crcs[number] = ends_sentence(word), crc32(word)
-        self.hashes[:, number] = np.frombuffer(xxhash.xxh3_128_digest(word), np.uint64)
+        self[word] = number = len(self)
+        self.new.append(word)
         return number
 
     def numbers(self, words):
         """Numbers of the words of one text, good until the next one."""
         if len(self) > REMEMBERED:
             self.clear()
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        numbers = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        if self.new:
+            self.learn()
+        return numbers
+
+    def learn(self):
+        """Fill in what is known of the new words, all at the same time."""
+        new, self.new = self.new, []
+        here = slice(len(self) - len(new), len(self))
+        while len(self.ends) < len(self):
+            self.ends, self.crcs = np.tile(self.ends, 2), np.tile(self.crcs, 2)
+            self.hashes = np.tile(self.hashes, 2)
+        self.ends[here] = np.fromiter(map(ends_sentence, new), bool, len(new))
+        self.crcs[here] = np.fromiter(map(crc32, new), np.uint32, len(new))
+        self.hashes[:, here] = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, new)), np.uint64).reshape(-1, 2).T
 
     def powers(self, n):
         """At least ``n`` powers of each base, and of its inverse."""
