@@ -8,10 +8,10 @@ pass the stage that looks for near duplicates as they are.
 from pyspark.sql import functions as F
 
 from spindlewatch.llm.byte_pairs import read_vocabulary, tokenize
-from spindlewatch.llm.common import sized, table, written
+from spindlewatch.llm.common import distilled, sized, table, written
 from spindlewatch.llm.decontaminate import without_leaks
 from spindlewatch.llm.passages import remove_repeats
-from spindlewatch.llm.quality_rules import judge_quality
+from spindlewatch.llm.quality_rules import good_rows
 from spindlewatch.llm.queries import VOCABULARY, good_ids
 from spindlewatch.llm.shingle_join import similar_components
 
@@ -25,7 +25,7 @@ def _counted(docs):
 
 def quality_rules(spark, docs, sf_dir):
     """Documents that the rules on quality keep."""
-    return judge_quality(docs, good_ids(spark, sf_dir)).where("kept").select("row.*").select(*docs.columns)
+    return good_rows(docs, good_ids(spark, sf_dir)).select(*docs.columns)
 
 
 def near_duplicates(spark, docs, sf_dir):
@@ -34,9 +34,14 @@ def near_duplicates(spark, docs, sf_dir):
     Of several equal rows one stays; rows with one id and different texts stay or go together, as the one that
     is first in its group.
     """
-    linked = similar_components(docs, size=5, percent=80).where("doc_id is not null")
-    first = linked.groupBy("doc_id").agg(F.min("component_id").alias("first"))
-    gone = sized(first.where("first < doc_id").select("doc_id"))
+
+    def later():
+        linked = similar_components(docs, size=5, percent=80).where("doc_id is not null")
+        first = linked.groupBy("doc_id").agg(F.min("component_id").alias("first"))
+        return first.where("first < doc_id").select("doc_id")
+
+    # Only these ids are needed of all that the join writes, which is more than the documents themselves.
+    gone = sized(distilled(spark, "gone", later))
     kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     twice = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     if twice.isEmpty():

@@ -1,6 +1,8 @@
 """What the operators of this package share: reading tables, written tables, and shipping code to workers."""
 
 import sys
+import uuid
+from contextvars import ContextVar
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spindlewatch.session import run_dir
+from spindlewatch.sources.tables import remove
 
 # What separates words.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -45,6 +48,10 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Where tables go that are removed before the session ends, if anywhere.
+_SCRATCH = ContextVar("scratch", default=None)
+
+
 def written(df, name):
     """``df`` computed once, kept as Parquet in the cluster's shared folder and read again.
 
@@ -52,11 +59,26 @@ def written(df, name):
     long as its owner, the shared folder of the session, since results are read from it lazily.
     """
     spark = df.sparkSession
-    path = run_dir(spark, name)
+    scratch = _SCRATCH.get()
+    path = f"{scratch}/{name}-{uuid.uuid4().hex}" if scratch else run_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def distilled(spark, name, make):
+    """The table that ``make()`` gives, written; all that is written on the way to it is removed."""
+    scratch = run_dir(spark, "scratch")
+    before = _SCRATCH.set(scratch)
+    try:
+        df = make()
+        path = run_dir(spark, name)
+        df.write.parquet(path)
+    finally:
+        _SCRATCH.reset(before)
+        remove(spark, scratch)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def lower_ascii(column):
     """A-Z in lower case, all else as it is."""
     return F.translate(column, UPPER, LOWER)

@@ -155,13 +155,28 @@ def judge_quality(docs, trusted, text="text", id_column="doc_id", buckets=BUCKET
 
     ``row`` is the row that was judged with the columns ``keep``, all if it is not given; with none there is no
     ``row``. The result is written once and read again: a filter on it would otherwise be merged with the long chain
-    of projections behind it, each mention of a column writing out the whole chain.
+    of projections behind it, each mention of a column writing out the whole chain. For the rows kept, and nothing
+    else, there is :func:`good_rows`, which writes none.
 
     ``llr`` is the mean log ratio over the text's words and neighbouring pairs. A document is kept if the base
     rules pass it (ten words or more, at most a fifth of them in repeated windows) and its ``llr`` reaches
     ``threshold``. Texts without words, and null ones, fail the base rules; their ``llr`` is 0. Without trusted
     documents every ``llr`` is 0 and only the base rules decide. Rows with equal ids are judged one by one.
     """
+    return written(_judged(docs, trusted, text, id_column, buckets, threshold, keep), "judged")
+
+
+def good_rows(docs, trusted, text="text", id_column="doc_id", buckets=BUCKETS, threshold=THRESHOLD):
+    """The rows of ``docs`` that :func:`judge_quality` keeps.
+
+    They come out of a generator, as Spark takes no filter past one into the projections behind it.
+    """
+    judged = _judged(docs, trusted, text, id_column, buckets, threshold)
+    each = judged.select(F.explode_outer(F.when(F.col("kept"), F.array("row"))).alias("row"))
+    return each.where(F.col("row").isNotNull()).select("row.*")
+
+
+def _judged(docs, trusted, text, id_column, buckets, threshold, keep=None):
     weights = bucket_weights(docs, trusted, text, id_column, buckets).scalar()
     kept = docs.columns if keep is None else keep
     whole = {"row": F.struct(*[F.col(f"`{c}`") for c in kept])} if kept else {}
@@ -173,7 +188,7 @@ def judge_quality(docs, trusted, text="text", id_column="doc_id", buckets=BUCKET
         lambda a, x: a + F.get(F.col("_weights"), _bucket(x, buckets)),
     )
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    judged = (
+    return (
         counted.withColumn("_weights", weights)
         .withColumn("base_failed", failed)
         .withColumn("llr", F.coalesce(total / grams, F.lit(0.0)))
@@ -190,4 +205,3 @@ def judge_quality(docs, trusted, text="text", id_column="doc_id", buckets=BUCKET
             (~F.col("base_failed") & (F.col("llr") >= threshold)).alias("kept"),
         )
     )
-    return written(judged, "judged")

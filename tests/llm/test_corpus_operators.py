@@ -1,5 +1,7 @@
 """Operators that compare texts with one another, URL rules, and the pipeline, against plain versions."""
 
+import os
+
 import corpus_pipeline
 import numpy as np
 import pytest
@@ -14,6 +16,7 @@ from spindlewatch.llm.components import components
 from spindlewatch.llm.passages import remove_repeats
 from spindlewatch.llm.shingle_join import similar_components
 from spindlewatch.llm.url_rules import judge, rule_table
+from spindlewatch.session import shared_dir
 
 
 def ordered(rows):
@@ -262,6 +265,24 @@ def test_pipeline(spark, folder, make_docs, all_rows, items, benchmark, trusted_
     assert 20 < len(found) < len(all_rows)
 
 
+def test_pipeline_leaves_no_texts_or_sets_behind(spark, folder, docs, trusted_ids):
+    """Of the first two stages only ids stay in the shared folder, and the plan of the first is not blown up."""
+    labels = spark.createDataFrame([(i, 1, 0) for i in trusted_ids], "doc_id bigint, quality int, toxic int")
+    labels.write.parquet(f"{folder}/labels.parquet")
+    shared = shared_dir(spark)
+    before = set(os.listdir(shared)) if os.path.isdir(shared) else set()
+    for stage in (corpus_pipeline.quality_rules, corpus_pipeline.near_duplicates):
+        assert stage(spark, docs, folder).count()
+    left = set(os.listdir(shared)) - before
+    assert {c for n in left for c in spark.read.parquet(f"{shared}/{n}").columns} == {"doc_id"}
+    plan = corpus_pipeline.quality_rules(spark, docs, folder)._jdf.queryExecution().optimizedPlan().toString()
+    judged = quality_rules.judge_quality
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(quality_rules, "written", lambda df, name: df)
+        whole = judged(docs, corpus_pipeline.good_ids(spark, folder))._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 2 * len(whole)
+
+
 def test_pipeline_stages_keep_the_columns(spark, folder, docs, benchmark, trusted_ids):
     benchmark.write.parquet(f"{folder}/benchmark.parquet")
     spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
