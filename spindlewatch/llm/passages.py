@@ -170,29 +170,38 @@ class Text:
 
 
 def with_runs(docs, text="text", keep=None):
-    """``docs`` with ``runs``, the different hashes of a text's runs and windows."""
+    """``docs`` with ``runs``, the different hashes of a text's runs and windows; ``n_sentences``; and ``itself``,
+    whether one of the runs or windows may stand in the text twice."""
 
     def make():
         known = Words()
 
         def run(texts):
-            lists = []
+            lists, counts, twice = [], [], []
             for content in texts:
-                hashes = np.zeros((2, 0), np.int64)
+                hashes, sentences, itself = np.zeros((2, 0), np.int64), 0, False
                 if content:
                     cut = Text(content, known)
                     hashes = np.concatenate([cut.runs()[2], cut.windows()[1]], axis=1)
-                    if cut.repeats_itself(hashes):
+                    sentences, itself = len(cut.bounds) - 1, cut.repeats_itself(hashes)
+                    if itself:
                         hashes = np.unique(hashes, axis=1)
                 lists.append(hashes)
+                counts.append(sentences)
+                twice.append(itself)
             offsets = np.cumsum([0, *(x.shape[1] for x in lists)]).astype(np.int32)
             high, low = np.concatenate(lists, axis=1)
             pairs = pa.StructArray.from_arrays([pa.array(high), pa.array(low.astype(np.int32))], fields=list(HASH))
-            return [pa.ListArray.from_arrays(pa.array(offsets), pairs)]
+            runs = pa.ListArray.from_arrays(pa.array(offsets), pairs)
+            return [runs, pa.array(counts, pa.int64()), pa.array(twice, pa.bool_())]
 
         return run
 
-    fields = [("runs", pa.list_(HASH), "array<struct<high:bigint,low:int>>")]
+    fields = [
+        ("runs", pa.list_(HASH), "array<struct<high:bigint,low:int>>"),
+        ("n_sentences", pa.int64(), "bigint"),
+        ("itself", pa.bool_(), "boolean"),
+    ]
     return map_texts(docs, text, fields, make, keep)
 
 
@@ -267,10 +276,20 @@ def remove_repeats(docs, text="text", id_column="doc_id"):
         .groupBy("doc_id")
         .agg(F.collect_set(F.struct("high", "low")).alias("known"))
     )
+    # What the hashing has shown of a text is known by its id where no other row has it: without repeats of any
+    # kind such a text stays, with this many sentences, and need not be cut again.
+    shown = (
+        found.where("doc_id is not null")
+        .groupBy("doc_id")
+        .agg(F.count(F.lit(1)).alias("n"), F.first("n_sentences").alias("n_sentences"), F.max("itself").alias("itself"))
+        .join(repeats, "doc_id", "left")
+    )
+    stays = (F.col("n") == 1) & ~F.col("itself") & F.col("known").isNull()
     rows = docs.select(row, F.col(id_column).alias("doc_id"))
-    joined = rows.where("doc_id is not null").join(repeats, "doc_id", "left").select("row", "known")
-    no_runs = F.lit(None).cast(joined.schema["known"].dataType).alias("known")
-    nameless = rows.where("doc_id is null").select("row", no_runs)
+    joined = rows.where("doc_id is not null").join(shown, "doc_id", "left")
+    joined = joined.select("row", "known", F.when(stays, F.col("n_sentences")).alias("stays"))
+    no_runs, not_shown = (F.lit(None).cast(joined.schema[c].dataType).alias(c) for c in ("known", "stays"))
+    nameless = rows.where("doc_id is null").select("row", no_runs, not_shown)
     fields = [docs.schema[c] for c in kept]
     schema = T.StructType([*fields, T.StructField("n_sentences", T.LongType()), T.StructField("n_removed", T.LongType())])
     names = schema.names
@@ -292,13 +311,15 @@ def remove_repeats(docs, text="text", id_column="doc_id"):
         words = Words()
         for batch in batches:
             columns = [batch.column(0).field(i) for i in range(len(kept))]
-            counts, removed, changed = [], [], {}
-            for i, (content, known) in enumerate(zip(columns[at].cast(pa.binary()).to_pylist(), batch.column(1))):
-                rest, sentences, gone = cleaned(content, known.as_py(), words) if content else (content, 0, 0)
-                counts.append(sentences)
-                removed.append(gone)
-                if rest is not content:
-                    changed[i] = rest.decode()
+            counts = pc.fill_null(batch.column(2), 0).to_numpy(zero_copy_only=False).copy()
+            removed, changed = np.zeros(batch.num_rows, np.int64), {}
+            open_ = np.flatnonzero(batch.column(2).is_null().to_numpy(zero_copy_only=False))
+            texts = columns[at].take(pa.array(open_)).cast(pa.binary()).to_pylist()
+            for i, content, known in zip(open_.tolist(), texts, batch.column(1).take(pa.array(open_))):
+                if content:
+                    rest, counts[i], removed[i] = cleaned(content, known.as_py(), words)
+                    if rest is not content:
+                        changed[i] = rest.decode()
             if changed:
                 mask = np.zeros(batch.num_rows, bool)
                 mask[list(changed)] = True

@@ -1,6 +1,7 @@
 """Operators that compare texts with one another, URL rules, and the pipeline, against plain versions."""
 
 import os
+from collections import Counter
 
 import corpus_pipeline
 import numpy as np
@@ -124,6 +125,27 @@ def test_passages_of_rows_without_ids_and_with_clashing_columns(spark):
             assert r.n_removed >= 3 and "two" not in r.text and r.text.endswith(f"of {r.doc_id}.") and r.runs == [r.doc_id]
 
 
+def test_texts_without_repeats_are_cut_once(make_docs, monkeypatch, tmp_path):
+    cuts = tmp_path / "cuts"
+
+    class Noted(passages_module.Text):
+        def __init__(self, text, known):
+            super().__init__(text, known)
+            with open(cuts, "ab") as file:
+                file.write(text + b"\n")
+
+    monkeypatch.setattr(passages_module, "Text", Noted)
+    passage = "One two three four. Five six seven eight. Nine ten eleven twelve."
+    texts = [passage, f"{passage} And more.", *(f"Only {i} has this. It is short. That is it." for i in range(6))]
+    rows = [*enumerate(texts), (7, "The id of another. A row of its own. Still, it counts.")]
+    expected = [(i, *p) for (i, _), p in zip(rows, plain_passages(rows))]
+    found = remove_repeats(make_docs([(i, t, None, None, None) for i, t in rows]))
+    assert ordered((r.doc_id, r.n_sentences, r.n_removed, r.text) for r in found.collect()) == ordered(expected)
+    counts = Counter(cuts.read_text().splitlines())
+    assert set(counts) == set(texts) | {rows[-1][1]}
+    assert {t for t, n in counts.items() if n > 1} == {texts[1], texts[7], rows[-1][1]}
+
+
 def test_hashes_of_runs_tell_words_and_their_order(spark):
     known = passages_module.Words()
     words = [f"w{i}" for i in range(2_000)]
