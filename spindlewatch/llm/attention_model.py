@@ -19,12 +19,31 @@ WIDTH = 16
 GROUPS = 32
 GROUP = 32
 CLASSES = GROUPS * GROUP
-BATCH = 128
+BATCH = 512
 
-def _hidden():
-    """Which inputs each scored position may not look at."""
+# Logits are held within these bounds, so that sums of their exponentials neither overflow nor vanish.
+MOST = np.float32(60.0)
+SCALE = np.float32(WIDTH**-0.5)
+
+
+def _seen():
+    """One for the inputs that each scored position may look at, zero for those behind it."""
     at = np.arange(CONTEXT - STRIDE, CONTEXT)
-    return np.arange(CONTEXT)[None, :] > at[:, None]
+    return (np.arange(CONTEXT)[None, :] <= at[:, None]).astype(np.float32)
+
+
+def _flat(a):
+    return a.reshape(-1, a.shape[-1])
+
+
+def _times(a, matrix):
+    """Every row of ``a`` times the matrix, as one product."""
+    return (_flat(a) @ matrix).reshape(*a.shape[:-1], matrix.shape[1])
+
+
+def _sums(a):
+    """Sums along the last axis, which is short: a product is faster than a reduction."""
+    return _flat(a) @ np.ones(a.shape[-1], a.dtype)
 
 
 class Model:
@@ -90,24 +109,29 @@ class Model:
     def _forward(self, segments):
         p = self.parameters
         inputs = segments[:, :CONTEXT]
-        x = p["embed"][inputs] + p["place"]
-        last = x[:, CONTEXT - STRIDE :]
-        q = last @ p["query"] * np.float32(WIDTH**-0.5)
-        k, v = x @ p["key"], x @ p["value"]
-        scores = q @ k.transpose(0, 2, 1)
-        scores[np.broadcast_to(_hidden(), scores.shape) | (inputs == self.NONE)[:, None, :]] = -1e9
-        scores -= scores.max(axis=2, keepdims=True)
-        weights = np.exp(scores, out=scores)
-        weights /= weights.sum(axis=2, keepdims=True)
+        x = np.take(p["embed"], inputs, axis=0)
+        x += p["place"]
+        last = np.ascontiguousarray(x[:, CONTEXT - STRIDE :])
+        q = _times(last, p["query"] * SCALE)
+        both = _times(x, np.concatenate([p["key"], p["value"]], axis=1))
+        k, v = both[..., :WIDTH], both[..., WIDTH:]
+        weights = q @ k.transpose(0, 2, 1)
+        np.clip(weights, -MOST, MOST, out=weights)
+        np.exp(weights, out=weights)
+        weights *= _seen()
+        none = inputs == self.NONE
+        short = np.flatnonzero(none.any(axis=1))
+        weights[short] *= ~none[short, None, :]
+        weights /= _sums(weights).reshape(-1, STRIDE, 1)
         read = weights @ v
-        hidden = last + read @ p["mix"]
+        hidden = last + _times(read, p["mix"])
         return inputs, x, last, q, k, v, weights, read, hidden
 
     @staticmethod
     def _softmax(logits):
-        logits -= logits.max(axis=1, keepdims=True)
+        np.clip(logits, -MOST, MOST, out=logits)
         np.exp(logits, out=logits)
-        logits /= logits.sum(axis=1, keepdims=True)
+        logits /= _sums(logits)[:, None]
         return logits
 
     def _by_group(self, hidden, targets):
@@ -118,7 +142,7 @@ class Model:
         codes = targets.ravel()[real]
         order = np.argsort(codes, kind="stable")
         real, codes = real[order], codes[order].astype(np.int64)
-        rows = hidden.reshape(-1, WIDTH)[real]
+        rows = np.take(_flat(hidden), real, axis=0)
         groups = self._softmax(rows @ p["group"] + p["group_bias"])
         bounds = np.searchsorted(codes, np.arange(GROUPS + 1) * GROUP)
         members = [
@@ -160,24 +184,24 @@ class Model:
             out["member"][g] = rows[here].T @ shares
             out["member_bias"][g] = shares.sum(axis=0)
         d_hidden = np.zeros_like(hidden)
-        d_hidden.reshape(-1, WIDTH)[real] = d_rows
-        flat = lambda a: a.reshape(-1, a.shape[-1])
-        out["mix"] = flat(read).T @ flat(d_hidden)
-        d_read = d_hidden @ p["mix"].T
-        d_weights = d_read @ v.transpose(0, 2, 1)
-        d_v = weights.transpose(0, 2, 1) @ d_read
-        d_scores = weights * (d_weights - (d_weights * weights).sum(axis=2, keepdims=True))
-        d_q = d_scores @ k * np.float32(WIDTH**-0.5)
-        d_k = d_scores.transpose(0, 2, 1) @ q
-        out["query"] = flat(last).T @ flat(d_q)
-        out["key"] = flat(x).T @ flat(d_k)
-        out["value"] = flat(x).T @ flat(d_v)
-        d_x = d_k @ p["key"].T + d_v @ p["value"].T
-        d_x[:, CONTEXT - STRIDE :] += d_hidden + d_q @ p["query"].T
+        _flat(d_hidden)[real] = d_rows
+        out["mix"] = _flat(read).T @ _flat(d_hidden)
+        d_read = _times(d_hidden, p["mix"].T)
+        d_scores = d_read @ v.transpose(0, 2, 1)
+        d_scores -= _sums(d_read * read).reshape(-1, STRIDE, 1)
+        d_scores *= weights
+        d_q = (d_scores @ k) * SCALE
+        d_both = np.concatenate([d_scores.transpose(0, 2, 1) @ q, weights.transpose(0, 2, 1) @ d_read], axis=2)
+        out["query"] = _flat(last).T @ _flat(d_q)
+        pair = _flat(x).T @ _flat(d_both)
+        out["key"], out["value"] = pair[:, :WIDTH], pair[:, WIDTH:]
+        d_x = _times(d_both, np.concatenate([p["key"], p["value"]], axis=1).T)
+        d_x[:, CONTEXT - STRIDE :] += d_hidden + _times(d_q, p["query"].T)
         out["place"] = d_x.sum(axis=0)
-        places = inputs.reshape(-1, 1).astype(np.int64) * WIDTH + np.arange(WIDTH)
-        embed = np.bincount(places.ravel(), d_x.ravel(), p["embed"].size)
-        out["embed"] = embed.astype(np.float32).reshape(p["embed"].shape)
+        order = np.argsort(inputs, axis=None, kind="stable")
+        found, starts = np.unique(inputs.ravel()[order], return_index=True)
+        out["embed"] = np.zeros_like(p["embed"])
+        out["embed"][found] = np.add.reduceat(np.take(_flat(d_x), order, axis=0), starts, axis=0)
         return out
 
     def train(self, segments, rate, batch=64):
@@ -190,6 +214,7 @@ class Model:
             for name, g in model.gradients(segments[at : at + batch]).items():
                 first[name] += np.float32(0.1) * (g - first[name])
                 second[name] += np.float32(0.01) * (g * g - second[name])
-                size = np.sqrt(second[name] / (1 - 0.99**step)) + 1e-6
-                p[name] -= (rate * first[name] / (1 - 0.9**step) / size).astype(np.float32)
+                size = np.sqrt(second[name] * np.float32(1 / (1 - 0.99**step)))
+                size += np.float32(1e-6)
+                p[name] -= np.float32(rate / (1 - 0.9**step)) * first[name] / size
         return model

@@ -1,7 +1,8 @@
 """Scoring of texts with a language model learnt from the corpus.
 
-Spark counts the training words, and from them the subwords; tasks train the attention model on all windows of
-their own training documents, and its parameters are averaged after every round. Scoring takes each text once.
+Spark counts the training words, and from them the subwords. Every text is then coded once, as the classes of its
+subwords. Tasks train the attention model on all windows of their own training documents, and its parameters are
+averaged after every round; scoring reads the same codes.
 
 The base score needs the count of every word of a text. The most frequent words, a bounded number, go to every
 task; the rest of a text's words is joined with the counts, which is the smaller part of the work and has no
@@ -10,6 +11,7 @@ hot key.
 
 import os
 from collections import Counter
+from itertools import chain
 from math import fsum, log10
 
 import numpy as np
@@ -19,7 +21,7 @@ from tokenizers import Tokenizer
 
 from spindlewatch.llm.attention_model import CLASSES, Model
 from spindlewatch.llm.byte_pairs import BytePairs
-from spindlewatch.llm.common import LOWERED, Shared, _slices, list_array, map_texts, ship, written
+from spindlewatch.llm.common import LOWERED, Shared, list_array, map_texts, ship, written
 
 ship(__name__)
 
@@ -125,18 +127,34 @@ class Classes:
 
 
 class Words(dict):
-    """Class codes and the log share of the classes of a word's subwords."""
+    """Class codes of words' subwords, and the log share of these classes."""
 
     def __init__(self, vocabulary, classes, remembered=200_000):
         super().__init__()
         self.encode, self.classes, self.remembered = Subwords(vocabulary), classes, remembered
+        self.end = np.uint16(classes.end).tobytes()
 
-    def __missing__(self, word):
-        if len(self) >= self.remembered:
+    def learn(self, words):
+        """Take up the words that are not known, all at the same time; good until the next call."""
+        words = dict.fromkeys(words)
+        new = [w for w in words if w not in self]
+        if len(self) + len(new) > self.remembered:
             self.clear()
-        ids = self.encode(word)
-        entry = self[word] = (self.classes.of[ids].tobytes(), float(self.classes.logs[ids].sum()))
-        return entry
+            new = list(words)
+        ids = self.encode.many(new)
+        sizes = np.fromiter(map(len, ids), np.int64, len(new))
+        flat = np.fromiter(chain.from_iterable(ids), np.int64, int(sizes.sum()))
+        codes = self.classes.of[flat].tobytes()
+        shares = np.bincount(np.repeat(np.arange(len(new)), sizes), self.classes.logs[flat], len(new)).tolist()
+        bounds = [0, *(2 * np.cumsum(sizes)).tolist()]
+        self.update((w, (codes[i:j], x)) for w, i, j, x in zip(new, bounds, bounds[1:], shares))
+
+    def coded(self, lists):
+        """Codes of each text, its end included, and the log share of its classes, from the texts' words."""
+        self.learn(chain.from_iterable(lists))
+        for words in lists:
+            entries = [self[w] for w in words]
+            yield b"".join([e[0] for e in entries]) + self.end, fsum([e[1] for e in entries])
 
 
 def _gathered(batches, model):
@@ -157,23 +175,23 @@ def _gathered(batches, model):
 
 
 def train(training, model, shared, classes, text="text"):
-    """The model after the rounds; each task trains on its own windows, and parameters are averaged by them.
-
-    Every token of every training text, its end included, is the target of one step in one of the rounds.
-    """
+    """The model after the rounds on the training texts, see :func:`learn_from`."""
 
-    def coded(batches):
+    def make():
         known = Words(shared.value(), classes.value())
-        end = np.uint16(known.classes.end).tobytes()
-        for batch in batches:
-            for part in _slices(batch, 0):
-                codes = [b"".join([known[w][0] for w in words_of_text(t)]) + end for t in part.column(0).to_pylist()]
-                yield pa.RecordBatch.from_arrays([pa.array(codes, pa.binary())], names=["codes"])
+        return lambda texts: [pa.array([c for c, _ in known.coded([words_of_text(t) for t in texts])], pa.binary())]
+
+    return learn_from(written(map_texts(training, text, [("codes", pa.binary(), "binary")], make, []), "codes"), model)
+
+
+def learn_from(codes, model):
+    """The model after the rounds; each task trains on its own windows, and parameters are averaged by them.
 
-    source = training.select(F.col(text).cast("binary").alias("text"))
-    stored = written(source.mapInArrow(coded, "codes binary"), "codes")
+    Every token of every training text, its end included, is the target of one step in one of the rounds. ``codes``
+    is a stored table of one column, the texts' class codes.
+    """
     for turn, rate in enumerate(RATES):
-        start = Shared(training.sparkSession, model)
+        start = Shared(codes.sparkSession, model)
 
         def learn(batches, start=start, turn=turn, rate=rate):
             local, seen = start.value(), 0
@@ -189,7 +207,7 @@ def train(training, model, shared, classes, text="text"):
                     names=["at", "value", "seen"],
                 )
 
-        learnt = stored.mapInArrow(learn, "at int, value double, seen bigint")
+        learnt = codes.mapInArrow(learn, "at int, value double, seen bigint")
         rows = learnt.groupBy("at").agg((F.sum("value") / F.sum("seen")).alias("value")).collect()
         if rows:
             model = model.with_flat(np.array([r.value for r in sorted(rows)]))
@@ -216,54 +234,63 @@ def score_texts(docs, held_out, vocabulary, text="text", id_column="doc_id"):
     tokens = BytePairs(vocabulary).tokens
     kinds = Classes(tokens, [(r.id, r.n) for r in count_subwords(words, shared).collect()], ends)
     classes = Shared(spark, kinds)
-    model = train(training, Model.new(kinds.frequencies), shared, classes)
     hot = words.orderBy(F.desc("c"), "word").limit(HOT_WORDS).collect()
     hot = Shared(spark, {bytes(r.word): log10((r.c + 1) / base) for r in hot})
-    learnt = Shared(spark, model)
     end_log = log10((ends + 1) / base)
 
     fields = [
         ("n_tokens", pa.int64(), "bigint"),
         ("hot_known", pa.int64(), "bigint"),
         ("hot_score", pa.float64(), "double"),
-        ("score", pa.float64(), "double"),
+        ("share", pa.float64(), "double"),
+        ("codes", pa.binary(), "binary"),
         ("rare", pa.list_(pa.binary()), "array<binary>"),
     ]
 
     def make():
-        known, logs, trained = Words(shared.value(), classes.value()), hot.value(), learnt.value()
-        end = np.uint16(known.classes.end).tobytes()
+        known, logs = Words(shared.value(), classes.value()), hot.value()
 
         def run(texts):
-            counts, hits, bases, shares, rares, parts = [], [], [], [], [], []
-            for content in texts:
-                here = words_of_text(content)
+            counts, hits, bases, shares, codes, rares = [], [], [], [], [], []
+            lists = [words_of_text(t) for t in texts]
+            for here, (code, share) in zip(lists, known.coded(lists)):
                 found = [logs.get(w) for w in here]
-                rare = [w for w, x in zip(here, found) if x is None]
                 frequent = [x for x in found if x is not None]
-                entries = [known[w] for w in here]
                 counts.append(len(here) + 1)
                 hits.append(len(frequent) + (1 if ends else 0))
                 bases.append(fsum(frequent) + end_log)
-                rares.append(rare)
-                shares.append(fsum(e[1] for e in entries))
-                parts.append(trained.segments(np.frombuffer(b"".join([e[0] for e in entries]) + end, np.uint16)))
-            sizes = np.array([len(p) for p in parts])
-            sums = trained.log10(np.concatenate(parts)) if parts else np.zeros(0)
-            scores = np.add.reduceat(sums, np.concatenate(([0], np.cumsum(sizes)[:-1]))) if parts else sums
+                shares.append(share)
+                codes.append(code)
+                rares.append([w for w, x in zip(here, found) if x is None])
             return [
                 pa.array(counts, pa.int64()),
                 pa.array(hits, pa.int64()),
                 pa.array(bases, pa.float64()),
-                pa.array(scores + np.array(shares), pa.float64()),
+                pa.array(shares, pa.float64()),
+                pa.array(codes, pa.binary()),
                 list_array(rares, pa.binary()),
             ]
 
         return run
 
-    scored = map_texts(named, "text", fields, make, ["doc_id", "held_out"])
-    scored = written(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
-    rare = scored.select("row", F.explode("rare").alias("word")).groupBy("row", "word").agg(F.count(F.lit(1)).alias("k"))
+    coded = map_texts(named, "text", fields, make, ["doc_id", "held_out"])
+    coded = written(coded.withColumn("row", F.monotonically_increasing_id()), "coded")
+    model = learn_from(coded.where(~F.col("held_out")).select("codes"), Model.new(kinds.frequencies))
+    learnt = Shared(spark, model)
+
+    def make_scores():
+        trained = learnt.value()
+
+        def run(codes):
+            parts = [trained.segments(np.frombuffer(c, np.uint16)) for c in codes]
+            starts = np.cumsum([0, *map(len, parts)])[:-1]
+            return [pa.array(np.add.reduceat(trained.log10(np.concatenate(parts)), starts))]
+
+        return run
+
+    kept = ["row", "doc_id", "held_out", "n_tokens", "hot_known", "hot_score", "share"]
+    scored = map_texts(coded, "codes", [("score", pa.float64(), "double")], make_scores, kept)
+    rare = coded.select("row", F.explode("rare").alias("word")).groupBy("row", "word").agg(F.count(F.lit(1)).alias("k"))
     # Words are counted per row in a fixed order, so the sum does not depend on how rows were dealt.
     joined = rare.join(words, "word", "left").groupBy("row", F.coalesce("c", F.lit(0)).alias("c")).agg(F.sum("k").alias("k"))
     listed = joined.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("c", "k"))).alias("counts"))
@@ -279,5 +306,5 @@ def score_texts(docs, held_out, vocabulary, text="text", id_column="doc_id"):
         (F.col("hot_known") + F.coalesce("rest_known", F.lit(0))).alias("n_known"),
         F.lit(total).cast("bigint").alias("train_tokens"),
         (F.col("hot_score") + F.coalesce("rest_score", F.lit(0.0))).alias("base_score"),
-        "score",
+        (F.col("score") + F.col("share")).alias("score"),
     )

@@ -372,6 +372,34 @@ def test_language_model(docs, no_docs, all_rows):
     assert all(r.train_tokens == 0 and r.n_known == 0 for r in nothing)
 
 
+def test_language_model_codes_every_text_once_and_every_new_word_in_one_go(spark, make_docs, monkeypatch, tmp_path):
+    """The words of texts, to be trained on or held out, go to the tokenizer once in a slice, besides being counted."""
+    texts = ["alpha beta alpha", "gamma <|endoftext|> beta \u00c9t\u00e9", None, "delta " * 40]
+    seen = tmp_path / "seen"
+
+    class Noted(language_model.Subwords):
+        def many(self, words):
+            with open(seen, "ab") as file:
+                file.write(b"".join(w + b"\n" for w in words))
+            return super().many(words)
+
+    monkeypatch.setattr(language_model, "Subwords", Noted)
+    docs = make_docs([(i, t, None, None, None) for i, t in enumerate(texts)]).coalesce(1)
+    scored = score_texts(docs, F.col("doc_id") == 3, read_vocabulary(queries.VOCABULARY)).collect()
+    assert len(scored) == len(texts) and all(r.score < 0 for r in scored)
+    words = Counter(seen.read_text().splitlines())
+    assert words == {"alpha": 2, "beta": 2, "gamma": 2, "<|endoftext|>": 2, "\u00c9t\u00e9": 2, "delta": 1}
+    monkeypatch.undo()
+    classes = language_model.Classes(BytePairs(read_vocabulary(queries.VOCABULARY)).tokens, [], 1)
+    known = language_model.Words(read_vocabulary(queries.VOCABULARY), classes, remembered=3)
+    lists = [[b"alpha", b"beta"], [], [b"<|endoftext|>", b"beta", b"gamma", b"."]]
+    for here in (lists, lists[::-1]):
+        for words, (codes, share) in zip(here, known.coded(here)):
+            ids = [i for w in words for i in known.encode(w)]
+            assert codes == classes.of[ids].tobytes() + np.uint16(classes.end).tobytes()
+            assert share == pytest.approx(classes.logs[ids].sum())
+
+
 def test_sha_columns_of_the_token_query(spark):
     found = {r.doc_id: r for r in queries.op8_bpe_round_trip(spark, "/root/testdata/sf0.001").collect()}
     tokenizer = library()
