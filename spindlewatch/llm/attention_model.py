@@ -26,10 +26,8 @@ MOST = np.float32(60.0)
 SCALE = np.float32(WIDTH**-0.5)
 
 
-def _seen():
-    """One for the inputs that each scored position may look at, zero for those behind it."""
-    at = np.arange(CONTEXT - STRIDE, CONTEXT)
-    return (np.arange(CONTEXT)[None, :] <= at[:, None]).astype(np.float32)
+# One for the inputs that each scored position may look at, zero for those behind it.
+SEEN = (np.arange(CONTEXT)[None, :] <= np.arange(CONTEXT - STRIDE, CONTEXT)[:, None]).astype(np.float32)
 
 
 def _flat(a):
@@ -85,13 +83,17 @@ class Model:
         return np.concatenate([self.parameters[n].ravel() for n in self.SHAPES]).astype(np.float64)
 
     def with_flat(self, values):
+        return Model(self._named(np.array(values, np.float32)))
+
+    @classmethod
+    def _named(cls, values):
+        """The parameters by name, as parts of one row of values."""
         parameters, at = {}, 0
-        for name in self.SHAPES:
-            shape = self.parameters[name].shape
+        for name, shape in cls.SHAPES.items():
             size = int(np.prod(shape))
-            parameters[name] = np.asarray(values[at : at + size], np.float32).reshape(shape)
+            parameters[name] = values[at : at + size].reshape(shape)
             at += size
-        return Model(parameters)
+        return parameters
 
     def segments(self, codes):
         """Windows of a text's class codes: ``CONTEXT`` inputs and the token after the last one."""
@@ -106,7 +108,25 @@ class Model:
         )
         return np.lib.stride_tricks.sliding_window_view(padded, CONTEXT + 1)[::STRIDE]
 
+    def windows(self, texts):
+        """The :meth:`segments` of several texts in one array, and how many there are of each."""
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        counts = -(-sizes // STRIDE)
+        lead = CONTEXT - STRIDE + 1
+        spans = lead + STRIDE * counts
+        begins = np.cumsum(spans) - spans
+        padded = np.full(int(spans.sum()), self.NONE, np.uint16)
+        padded[begins + lead - 1] = self.START
+        if sizes.any():
+            padded[np.arange(sizes.sum()) + np.repeat(begins + lead - np.cumsum(sizes) + sizes, sizes)] = np.concatenate(texts)
+        if not counts.any():
+            return np.zeros((0, CONTEXT + 1), np.uint16), counts
+        starts = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        starts = starts * STRIDE + np.repeat(begins, counts)
+        return np.lib.stride_tricks.sliding_window_view(padded, CONTEXT + 1)[starts], counts
+
     def _forward(self, segments):
+        """What the gradients need, last the hidden rows. Weights are not divided by their sums, ``read`` is."""
         p = self.parameters
         inputs = segments[:, :CONTEXT]
         x = np.take(p["embed"], inputs, axis=0)
@@ -118,39 +138,38 @@ class Model:
         weights = q @ k.transpose(0, 2, 1)
         np.clip(weights, -MOST, MOST, out=weights)
         np.exp(weights, out=weights)
-        weights *= _seen()
+        weights *= SEEN
         none = inputs == self.NONE
         short = np.flatnonzero(none.any(axis=1))
         weights[short] *= ~none[short, None, :]
-        weights /= _sums(weights).reshape(-1, STRIDE, 1)
+        sums = _sums(weights).reshape(-1, STRIDE, 1)
         read = weights @ v
-        hidden = last + _times(read, p["mix"])
-        return inputs, x, last, q, k, v, weights, read, hidden
-
-    @staticmethod
-    def _softmax(logits):
-        np.clip(logits, -MOST, MOST, out=logits)
-        np.exp(logits, out=logits)
-        logits /= _sums(logits)[:, None]
-        return logits
-
-    def _by_group(self, hidden, targets):
-        """For the targets there are: their place, class and hidden row, in the order of their groups; the
-        probabilities of the groups; and (group, rows, probabilities of its members) of each group."""
+        read /= sums
+        hidden = _times(read, p["mix"])
+        hidden += last
+        return inputs, x, last, q, k, v, weights, sums, read, hidden
+
+    def _logits(self, hidden, targets):
+        """For the targets there are, in the order of their classes: their places, classes, hidden rows with a
+        one behind, the rows of each group, and the logits of the groups and of the members of their group."""
         p = self.parameters
-        real = np.flatnonzero(targets.ravel() != self.NONE)
-        codes = targets.ravel()[real]
-        order = np.argsort(codes, kind="stable")
-        real, codes = real[order], codes[order].astype(np.int64)
-        rows = np.take(_flat(hidden), real, axis=0)
-        groups = self._softmax(rows @ p["group"] + p["group_bias"])
-        bounds = np.searchsorted(codes, np.arange(GROUPS + 1) * GROUP)
-        members = [
-            (g, slice(a, b), self._softmax(rows[a:b] @ p["member"][g] + p["member_bias"][g]))
-            for g, (a, b) in enumerate(zip(bounds.tolist(), bounds[1:].tolist()))
-            if b > a
-        ]
-        return real, codes, rows, groups, members
+        targets = targets.ravel()
+        order = np.argsort(targets, kind="stable")
+        codes = targets[order]
+        bounds = np.searchsorted(codes, np.arange(GROUPS + 1) * GROUP).tolist()
+        n = bounds[-1]
+        real, codes = order[:n], codes[:n].astype(np.int64)
+        rows = np.empty((n, WIDTH + 1), np.float32)
+        rows[:, :WIDTH] = np.take(_flat(hidden), real, axis=0)
+        rows[:, WIDTH] = 1.0
+        logits = np.empty((2, n, GROUP), np.float32)
+        np.matmul(rows, np.vstack([p["group"], p["group_bias"]]), out=logits[0])
+        members = np.concatenate([p["member"], p["member_bias"][:, None]], axis=1)
+        parts = [(g, a, b) for g, (a, b) in enumerate(zip(bounds, bounds[1:])) if b > a]
+        for g, a, b in parts:
+            np.matmul(rows[a:b], members[g], out=logits[1, a:b])
+        np.clip(logits, -MOST, MOST, out=logits)
+        return real, codes, rows, parts, logits
 
     def log10(self, segments):
         """Log probability of the classes that each window scores, as one sum per window."""
@@ -158,63 +177,79 @@ class Model:
         for at in range(0, len(segments), BATCH):
             part = segments[at : at + BATCH]
             hidden = self._forward(part)[-1]
-            real, codes, _, groups, members = self._by_group(hidden, part[:, CONTEXT - STRIDE + 1 :])
-            chosen = groups[np.arange(len(codes)), codes // GROUP]
-            for _, here, shares in members:
-                chosen[here] *= shares[np.arange(len(shares)), codes[here] % GROUP]
-            logs = np.log10(np.maximum(chosen, 1e-30).astype(np.float64))
-            sums[at : at + BATCH] += np.bincount(real // STRIDE, logs, len(part))
+            real, codes, _, _, logits = self._logits(hidden, part[:, CONTEXT - STRIDE + 1 :])
+            here = np.arange(len(codes))
+            chosen = logits[0, here, codes // GROUP] + logits[1, here, codes % GROUP]
+            np.exp(logits, out=logits)
+            totals = np.log(_sums(logits)).reshape(2, -1)
+            logs = (chosen - totals[0] - totals[1]).astype(np.float64) / np.log(10.0)
+            sums[at : at + BATCH] += np.bincount(real // STRIDE, np.maximum(logs, -30.0), len(part))
         return sums
 
     def gradients(self, segments):
         """Gradients of the mean negative log probability over the windows' targets."""
         p = self.parameters
-        inputs, x, last, q, k, v, weights, read, hidden = self._forward(segments)
-        real, codes, rows, groups, members = self._by_group(hidden, segments[:, CONTEXT - STRIDE + 1 :])
+        inputs, x, last, q, k, v, weights, sums, read, hidden = self._forward(segments)
+        real, codes, rows, parts, logits = self._logits(hidden, segments[:, CONTEXT - STRIDE + 1 :])
         scale = np.float32(1.0 / max(1, len(codes)))
-        groups[np.arange(len(codes)), codes // GROUP] -= 1.0
-        groups *= scale
-        d_rows = groups @ p["group"].T
-        out = {"group": rows.T @ groups, "group_bias": groups.sum(axis=0)}
-        out["member"], out["member_bias"] = np.zeros_like(p["member"]), np.zeros_like(p["member_bias"])
-        for g, here, shares in members:
-            shares[np.arange(len(shares)), codes[here] % GROUP] -= 1.0
-            shares *= scale
-            d_rows[here] += shares @ p["member"][g].T
-            out["member"][g] = rows[here].T @ shares
-            out["member_bias"][g] = shares.sum(axis=0)
+        np.exp(logits, out=logits)
+        logits *= (scale / _sums(logits)).reshape(2, -1, 1)
+        here = np.arange(len(codes))
+        logits[0, here, codes // GROUP] -= scale
+        logits[1, here, codes % GROUP] -= scale
+        d_rows = logits[0] @ p["group"].T
+        group = rows.T @ logits[0]
+        out = {"group": group[:WIDTH], "group_bias": group[WIDTH]}
+        members = np.zeros((GROUPS, WIDTH + 1, GROUP), np.float32)
+        for g, a, b in parts:
+            shares = logits[1, a:b]
+            d_rows[a:b] += shares @ p["member"][g].T
+            np.matmul(rows[a:b].T, shares, out=members[g])
+        out["member"], out["member_bias"] = members[:, :WIDTH], members[:, WIDTH]
         d_hidden = np.zeros_like(hidden)
         _flat(d_hidden)[real] = d_rows
         out["mix"] = _flat(read).T @ _flat(d_hidden)
         d_read = _times(d_hidden, p["mix"].T)
+        d_read /= sums
         d_scores = d_read @ v.transpose(0, 2, 1)
         d_scores -= _sums(d_read * read).reshape(-1, STRIDE, 1)
         d_scores *= weights
-        d_q = (d_scores @ k) * SCALE
-        d_both = np.concatenate([d_scores.transpose(0, 2, 1) @ q, weights.transpose(0, 2, 1) @ d_read], axis=2)
+        d_q = d_scores @ k
+        d_q *= SCALE
+        d_both = np.empty((len(inputs), CONTEXT, 2 * WIDTH), np.float32)
+        np.matmul(d_scores.transpose(0, 2, 1), q, out=d_both[..., :WIDTH])
+        np.matmul(weights.transpose(0, 2, 1), d_read, out=d_both[..., WIDTH:])
         out["query"] = _flat(last).T @ _flat(d_q)
         pair = _flat(x).T @ _flat(d_both)
         out["key"], out["value"] = pair[:, :WIDTH], pair[:, WIDTH:]
         d_x = _times(d_both, np.concatenate([p["key"], p["value"]], axis=1).T)
-        d_x[:, CONTEXT - STRIDE :] += d_hidden + _times(d_q, p["query"].T)
+        d_hidden += _times(d_q, p["query"].T)
+        d_x[:, CONTEXT - STRIDE :] += d_hidden
         out["place"] = d_x.sum(axis=0)
         order = np.argsort(inputs, axis=None, kind="stable")
-        found, starts = np.unique(inputs.ravel()[order], return_index=True)
+        found = inputs.ravel()[order]
+        starts = np.flatnonzero(np.append(True, found[1:] != found[:-1]))
         out["embed"] = np.zeros_like(p["embed"])
-        out["embed"][found] = np.add.reduceat(np.take(_flat(d_x), order, axis=0), starts, axis=0)
+        out["embed"][found[starts]] = np.add.reduceat(np.take(_flat(d_x), order, axis=0), starts, axis=0)
         return out
 
     def train(self, segments, rate, batch=64):
         """Parameters after one pass over the windows with Adam, from these ones."""
-        p = {n: a.copy() for n, a in self.parameters.items()}
-        model = Model(p)
-        first = {n: np.zeros_like(a) for n, a in p.items()}
-        second = {n: np.zeros_like(a) for n, a in p.items()}
+        values = self.flat().astype(np.float32)
+        model = Model(self._named(values))
+        first, second = np.zeros_like(values), np.zeros_like(values)
         for step, at in enumerate(range(0, len(segments), batch), 1):
-            for name, g in model.gradients(segments[at : at + batch]).items():
-                first[name] += np.float32(0.1) * (g - first[name])
-                second[name] += np.float32(0.01) * (g * g - second[name])
-                size = np.sqrt(second[name] * np.float32(1 / (1 - 0.99**step)))
-                size += np.float32(1e-6)
-                p[name] -= np.float32(rate / (1 - 0.9**step)) * first[name] / size
+            found = model.gradients(segments[at : at + batch])
+            g = np.concatenate([found[name].ravel() for name in self.SHAPES])
+            first += np.float32(0.1) * (g - first)
+            g *= g
+            g -= second
+            g *= np.float32(0.01)
+            second += g
+            np.multiply(second, np.float32(1 / (1 - 0.99**step)), out=g)
+            np.sqrt(g, out=g)
+            g += np.float32(1e-6)
+            np.divide(first, g, out=g)
+            g *= np.float32(rate / (1 - 0.9**step))
+            values -= g
         return model

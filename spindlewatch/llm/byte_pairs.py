@@ -122,10 +122,20 @@ class BytePairs:
 
     def encode_fragments(self, fragments):
         """Ids of fragments of text, each as bytes."""
+        ids, sizes = self.encode_together(fragments)
+        ends = (np.cumsum(sizes) * 4).tolist()
+        flat = ids.tobytes()
+        return [flat[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+
+    def encode_together(self, fragments):
+        """Ids of fragments of text in a row, and how many each has."""
         pieces = []
         for fragment in fragments:
-            text = fragment.decode()
             # A word of Latin letters with a space before it is one piece; all else is split by the pattern.
+            if fragment[fragment[:1] == b" " :].isalpha():
+                pieces.append(fragment)
+                continue
+            text = fragment.decode()
             if max(text) < "\u0250" and text[text[0] == " " :].isalpha():
                 pieces.append(fragment)
             else:
@@ -136,9 +146,8 @@ class BytePairs:
         begins[1:] |= ~self.inside[data[:-1], data[1:]]
         ids = self.merge_all(data, np.flatnonzero(begins))
         # Where each fragment's ids end, once those that were merged away are left out.
-        ends = np.cumsum(ids >= 0)[np.cumsum([*map(len, fragments)]) - 1] * 4
-        flat = ids[ids >= 0].tobytes()
-        return [flat[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+        ends = np.cumsum(ids >= 0)[np.cumsum([*map(len, fragments)]) - 1]
+        return ids[ids >= 0], np.diff(ends, prepend=0)
 
     def merge(self, data):
         """Merges within one piece, the first in rank first and of equals the leftmost."""

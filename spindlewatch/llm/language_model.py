@@ -9,19 +9,17 @@ task; the rest of a text's words is joined with the counts, which is the smaller
 hot key.
 """
 
-import os
 from collections import Counter
-from itertools import chain
-from math import fsum, log10
+from itertools import chain, repeat
+from math import log10
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
-from spindlewatch.llm.attention_model import CLASSES, Model
+from spindlewatch.llm.attention_model import CLASSES, STRIDE, Model
 from spindlewatch.llm.byte_pairs import BytePairs
-from spindlewatch.llm.common import LOWERED, Shared, list_array, map_texts, ship, written
+from spindlewatch.llm.common import LOWERED, Shared, map_texts, ship, written
 
 ship(__name__)
 
@@ -29,6 +27,9 @@ ship(__name__)
 HOT_WORDS = 100_000
 COUNTED = 200_000
 
+# Words whose subwords are merged at the same time.
+MERGED = 20_000
+
 # Classes: one each for the most frequent subwords, and bins of equal weight for the others, those that start a
 # word and those that do not apart; the last class is the end of a text.
 BINS = 16
@@ -40,6 +41,9 @@ RATES = (0.02, 0.01, 0.004)
 GATHERED = 49_152
 STEP = 256
 
+# The words of a text that are counted by a join, with how often they are there.
+RARE = pa.list_(pa.struct([("word", pa.binary()), ("k", pa.int64())]))
+
 
 def words_of_text(text):
     return text.translate(LOWERED).split() if text else []
@@ -71,18 +75,17 @@ class Subwords:
     """Ids of words' subwords, with the space before them; texts of special tokens are ordinary words here."""
 
     def __init__(self, vocabulary):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.tokenizer.encode_special_tokens = True
+        self.pairs = BytePairs(vocabulary)
 
     def __call__(self, word):
-        return self.tokenizer.encode(f" {word.decode()}", add_special_tokens=False).ids
+        return self.many([word])[0].tolist()
 
     def many(self, words):
-        texts = [f" {w.decode()}" for w in words]
-        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        """The words' ids in a row, and how many each has; the words are merged together."""
+        found = [(np.zeros(0, np.int32), np.zeros(0, np.int64))]
+        for at in range(0, len(words), MERGED):
+            found.append(self.pairs.encode_together([b" " + w for w in words[at : at + MERGED]]))
+        return tuple(map(np.concatenate, zip(*found)))
 
 
 def count_subwords(words, shared):
@@ -90,12 +93,12 @@ def count_subwords(words, shared):
 
     def count(batches):
         encode = Subwords(shared.value())
+        total = np.zeros(len(encode.pairs.tokens), np.int64)
         for batch in batches:
-            total = Counter()
-            for ids, c in zip(encode.many(batch.column(0).to_pylist()), batch.column(1).to_pylist()):
-                for i in ids:
-                    total[i] += c
-            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(list(total.values()), pa.int64())], names=["id", "n"])
+            ids, sizes = encode.many(batch.column(0).to_pylist())
+            np.add.at(total, ids, np.repeat(batch.column(1).to_numpy(), sizes))
+        found = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(total[found])], names=["id", "n"])
 
     return words.select("word", "c").mapInArrow(count, "id int, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
 
@@ -127,34 +130,70 @@ class Classes:
 
 
 class Words(dict):
-    """Class codes of words' subwords, and the log share of these classes."""
+    """Numbers of words, and by number the class codes of their subwords, the log share of these classes, and
+    the log frequency from ``logs``, nan for words that are not there. The empty word is the end of a text."""
 
-    def __init__(self, vocabulary, classes, remembered=200_000):
+    def __init__(self, vocabulary, classes, remembered=500_000, logs=None):
         super().__init__()
-        self.encode, self.classes, self.remembered = Subwords(vocabulary), classes, remembered
-        self.end = np.uint16(classes.end).tobytes()
+        self.encode, self.classes, self.remembered, self.known = Subwords(vocabulary), classes, remembered, logs or {}
+        self.forget()
+
+    def forget(self):
+        self.clear()
+        self[b""] = 0
+        self.words = [b""]
+        self.codes = np.array([self.classes.end], np.uint16)
+        self.sizes, self.shares = np.ones(1, np.int64), np.zeros(1)
+        self.logs = np.array([self.known.get(b"", np.nan)])
 
     def learn(self, words):
-        """Take up the words that are not known, all at the same time; good until the next call."""
-        words = dict.fromkeys(words)
-        new = [w for w in words if w not in self]
+        """Take up words that are not known, all at the same time."""
+        ids, sizes = self.encode.many(words)
+        shares = np.bincount(np.repeat(np.arange(len(words)), sizes), self.classes.logs[ids], len(words))
+        logs = np.fromiter(map(self.known.get, words, repeat(np.nan)), float, len(words))
+        self.update(zip(words, range(len(self), len(self) + len(words))))
+        self.words += words
+        self.codes = np.concatenate([self.codes, self.classes.of[ids]])
+        self.sizes, self.shares = np.concatenate([self.sizes, sizes]), np.concatenate([self.shares, shares])
+        self.logs = np.concatenate([self.logs, logs])
+
+    def numbers(self, lists):
+        """Numbers of the texts' words in a row, an end after each text, and where each text starts. Numbers are
+        good until the next call."""
+        row = list(chain.from_iterable(chain(words, (b"",)) for words in lists))
+        different = set(row)
+        new = different - self.keys()
         if len(self) + len(new) > self.remembered:
-            self.clear()
-            new = list(words)
-        ids = self.encode.many(new)
-        sizes = np.fromiter(map(len, ids), np.int64, len(new))
-        flat = np.fromiter(chain.from_iterable(ids), np.int64, int(sizes.sum()))
-        codes = self.classes.of[flat].tobytes()
-        shares = np.bincount(np.repeat(np.arange(len(new)), sizes), self.classes.logs[flat], len(new)).tolist()
-        bounds = [0, *(2 * np.cumsum(sizes)).tolist()]
-        self.update((w, (codes[i:j], x)) for w, i, j, x in zip(new, bounds, bounds[1:], shares))
+            self.forget()
+            new = different - self.keys()
+        if new:
+            self.learn(list(new))
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists)) + 1
+        return np.fromiter(map(self.__getitem__, row), np.int64, len(row)), np.cumsum(sizes) - sizes
+
+    def coded_numbers(self, numbers, starts):
+        """Codes of each text, and the log share of its classes, from :meth:`numbers`."""
+        sizes = self.sizes[numbers]
+        ends = np.cumsum(sizes)
+        begins = (np.cumsum(self.sizes) - self.sizes)[numbers]
+        codes = self.codes[np.arange(sizes.sum()) + np.repeat(begins - ends + sizes, sizes)].tobytes()
+        bounds = [*(2 * (ends - sizes)[starts]).tolist(), len(codes)]
+        return [codes[a:b] for a, b in zip(bounds, bounds[1:])], np.add.reduceat(self.shares[numbers], starts)
+
+    def rare(self, numbers, starts):
+        """Words of each text whose log frequency is not known, each with how often it is there, as an Arrow array."""
+        at = np.flatnonzero(np.isnan(self.logs[numbers]) & (numbers > 0))
+        texts = np.searchsorted(starts, at, "right") - 1
+        pairs, k = np.unique(texts << 32 | numbers[at], return_counts=True)
+        words = pa.array([self.words[i] for i in (pairs & 0xFFFFFFFF).tolist()], pa.binary())
+        offsets = np.searchsorted(pairs, np.arange(len(starts) + 1) << 32)
+        entries = pa.StructArray.from_arrays([words, pa.array(k, pa.int64())], fields=list(RARE.value_type))
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), entries)
 
     def coded(self, lists):
         """Codes of each text, its end included, and the log share of its classes, from the texts' words."""
-        self.learn(chain.from_iterable(lists))
-        for words in lists:
-            entries = [self[w] for w in words]
-            yield b"".join([e[0] for e in entries]) + self.end, fsum([e[1] for e in entries])
+        if lists:
+            yield from zip(*self.coded_numbers(*self.numbers(lists)))
 
 
 def _gathered(batches, model):
@@ -162,16 +201,18 @@ def _gathered(batches, model):
     found, n = [], 0
     for batch in batches:
         for content in batch.column(0).to_pylist():
-            segments = model.segments(np.frombuffer(content, np.uint16))
-            for at in range(0, len(segments), GATHERED):
-                part = segments[at : at + GATHERED]
-                found.append(part)
-                n += len(part)
-                if n >= GATHERED:
-                    yield np.concatenate(found)
-                    found, n = [], 0
+            codes = np.frombuffer(content, np.uint16)
+            if len(codes) > GATHERED * STRIDE:
+                segments = model.segments(codes)
+                yield from (segments[at : at + GATHERED] for at in range(0, len(segments), GATHERED))
+                continue
+            found.append(codes)
+            n += -(-len(codes) // STRIDE)
+            if n >= GATHERED:
+                yield model.windows(found)[0]
+                found, n = [], 0
     if found:
-        yield np.concatenate(found)
+        yield model.windows(found)[0]
 
 
 def train(training, model, shared, classes, text="text"):
@@ -235,8 +276,9 @@ def score_texts(docs, held_out, vocabulary, text="text", id_column="doc_id"):
     kinds = Classes(tokens, [(r.id, r.n) for r in count_subwords(words, shared).collect()], ends)
     classes = Shared(spark, kinds)
     hot = words.orderBy(F.desc("c"), "word").limit(HOT_WORDS).collect()
-    hot = Shared(spark, {bytes(r.word): log10((r.c + 1) / base) for r in hot})
-    end_log = log10((ends + 1) / base)
+    logs = {bytes(r.word): log10((r.c + 1) / base) for r in hot}
+    logs[b""] = log10((ends + 1) / base)
+    hot = Shared(spark, logs)
 
     fields = [
         ("n_tokens", pa.int64(), "bigint"),
@@ -244,31 +286,26 @@ def score_texts(docs, held_out, vocabulary, text="text", id_column="doc_id"):
         ("hot_score", pa.float64(), "double"),
         ("share", pa.float64(), "double"),
         ("codes", pa.binary(), "binary"),
-        ("rare", pa.list_(pa.binary()), "array<binary>"),
+        ("rare", RARE, "array<struct<word:binary,k:bigint>>"),
     ]
 
     def make():
-        known, logs = Words(shared.value(), classes.value()), hot.value()
+        known = Words(shared.value(), classes.value(), logs=hot.value())
 
         def run(texts):
-            counts, hits, bases, shares, codes, rares = [], [], [], [], [], []
-            lists = [words_of_text(t) for t in texts]
-            for here, (code, share) in zip(lists, known.coded(lists)):
-                found = [logs.get(w) for w in here]
-                frequent = [x for x in found if x is not None]
-                counts.append(len(here) + 1)
-                hits.append(len(frequent) + (1 if ends else 0))
-                bases.append(fsum(frequent) + end_log)
-                shares.append(share)
-                codes.append(code)
-                rares.append([w for w, x in zip(here, found) if x is None])
+            numbers, starts = known.numbers([words_of_text(t) for t in texts])
+            codes, shares = known.coded_numbers(numbers, starts)
+            logs = known.logs[numbers]
+            hits = (~np.isnan(logs)).astype(np.int64)
+            if not ends:
+                hits[numbers == 0] = 0
             return [
-                pa.array(counts, pa.int64()),
-                pa.array(hits, pa.int64()),
-                pa.array(bases, pa.float64()),
-                pa.array(shares, pa.float64()),
+                pa.array(np.diff(np.append(starts, len(numbers)))),
+                pa.array(np.add.reduceat(hits, starts)),
+                pa.array(np.add.reduceat(np.nan_to_num(logs), starts)),
+                pa.array(shares),
                 pa.array(codes, pa.binary()),
-                list_array(rares, pa.binary()),
+                known.rare(numbers, starts),
             ]
 
         return run
@@ -282,17 +319,17 @@ def score_texts(docs, held_out, vocabulary, text="text", id_column="doc_id"):
         trained = learnt.value()
 
         def run(codes):
-            parts = [trained.segments(np.frombuffer(c, np.uint16)) for c in codes]
-            starts = np.cumsum([0, *map(len, parts)])[:-1]
-            return [pa.array(np.add.reduceat(trained.log10(np.concatenate(parts)), starts))]
+            windows, counts = trained.windows([np.frombuffer(c, np.uint16) for c in codes])
+            return [pa.array(np.add.reduceat(trained.log10(windows), np.cumsum(counts) - counts))]
 
         return run
 
     kept = ["row", "doc_id", "held_out", "n_tokens", "hot_known", "hot_score", "share"]
     scored = map_texts(coded, "codes", [("score", pa.float64(), "double")], make_scores, kept)
-    rare = coded.select("row", F.explode("rare").alias("word")).groupBy("row", "word").agg(F.count(F.lit(1)).alias("k"))
+    rare = coded.select("row", F.inline("rare"))
     # Words are counted per row in a fixed order, so the sum does not depend on how rows were dealt.
-    joined = rare.join(words, "word", "left").groupBy("row", F.coalesce("c", F.lit(0)).alias("c")).agg(F.sum("k").alias("k"))
+    joined = rare.join(words, "word", "left").select("row", F.coalesce("c", F.lit(0)).alias("c"), "k")
+    joined = joined.groupBy("row", "c").agg(F.sum("k").alias("k"))
     listed = joined.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("c", "k"))).alias("counts"))
     logs = F.aggregate(
         "counts", F.lit(0.0), lambda a, x: a + x["k"] * F.log10((x["c"] + 1) / F.lit(base).cast("double"))

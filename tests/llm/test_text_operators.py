@@ -1,6 +1,7 @@
 """Operators that look at each text by itself, against plain versions."""
 
 import hashlib
+import random
 from collections import Counter
 from math import log10
 
@@ -400,6 +401,43 @@ def test_language_model_codes_every_text_once_and_every_new_word_in_one_go(spark
             assert share == pytest.approx(classes.logs[ids].sum())
 
 
+def test_subwords_of_words_merged_together():
+    """The ids of the library, whatever is in a word and however many words are given at a time."""
+    rng = random.Random(8)
+    parts = ["a", "Bee", "'s", "'", "\x00", "\x1c", "\x85", "\u00a0", "\u3000", "\u0308", "\u00fc", "\u4e2d", "1", "!", "<|endoftext|>", "\U0001f600"]
+    words = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 7))).encode() for _ in range(3000)]
+    encode, whole = language_model.Subwords(read_vocabulary(queries.VOCABULARY)), library()
+    whole.encode_special_tokens = True
+    expected = [whole.encode(f" {w.decode()}", add_special_tokens=False).ids for w in words]
+    ids, sizes = encode.many(words)
+    assert ids.tolist() == [i for one in expected for i in one] and sizes.tolist() == [*map(len, expected)]
+    assert [encode(w) for w in words[:50]] == expected[:50]
+    assert [len(x) for x in encode.many([])] == [0, 0]
+
+
+def test_words_of_texts_by_number():
+    """Codes, log frequencies and rare words of several texts at the same time, forgotten words included."""
+    vocabulary = read_vocabulary(queries.VOCABULARY)
+    classes = language_model.Classes(BytePairs(vocabulary).tokens, [], 1)
+    known = language_model.Words(vocabulary, classes, remembered=4, logs={b"hot": -1.0, b"warm": -2.0, b"": -0.5})
+    first = [[b"hot", b"cold", b"hot", b"cold"], [], [b"warm", b"cool", b"cold"]]
+    for lists in (first, [[b"new"], [b"cold", b"hot", b"colder"]], first):
+        numbers, starts = known.numbers(lists)
+        logs = np.add.reduceat(np.nan_to_num(known.logs[numbers]), starts)
+        assert logs.tolist() == [sum({b"hot": -1.0, b"warm": -2.0}.get(w, 0.0) for w in words) - 0.5 for words in lists]
+        found = [{r["word"]: r["k"] for r in rows} for rows in known.rare(numbers, starts).to_pylist()]
+        assert found == [Counter(w for w in words if w not in (b"hot", b"warm")) for words in lists]
+
+
+def test_windows_of_texts_together():
+    model = Model.new(some_frequencies(7))
+    texts = [np.arange(n, dtype=np.uint16) for n in (1, STRIDE - 1, STRIDE, STRIDE + 1, 1, 7 * STRIDE, 300)]
+    windows, counts = model.windows(texts)
+    alone = [model.segments(t) for t in texts]
+    assert counts.tolist() == [*map(len, alone)]
+    assert (windows == np.concatenate(alone)).all()
+
+
 def test_sha_columns_of_the_token_query(spark):
     found = {r.doc_id: r for r in queries.op8_bpe_round_trip(spark, "/root/testdata/sf0.001").collect()}
     tokenizer = library()
