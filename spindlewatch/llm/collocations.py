@@ -11,6 +11,7 @@ merged in the partition of that prefix.
 """
 
 from functools import reduce
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,7 @@ BURST = 4096  # phrases in a leaf
 HELD = 1_000_000  # phrases in all tries of a task; half of them stay when it spills
 TOKENS = 1 << 20  # words that are brought into order before they enter a trie
 PART = 1 << 20  # bytes of a long text that are split at a time
+GATHERED = 4  # parts that are split and numbered together
 FILTER_BITS = 1 << 26  # bits of a bitmap: 8 MiB
 
 SALTS = 64
@@ -59,8 +61,11 @@ class Subtree:
         before = self.size
         if self.children is None:
             entries, get = self.entries, self.entries.get
-            for key, count in zip(keys, counts):
-                entries[key] = get(key, 0) + count
+            if entries:
+                for key, count in zip(keys, counts):
+                    entries[key] = get(key, 0) + count
+            else:
+                entries.update(zip(keys, counts))
             self.size = len(entries)
             if self.size > BURST and self.shift > 0:
                 self.burst()
@@ -102,15 +107,26 @@ class Words(dict):
         self[BREAK] = 0
 
     def __missing__(self, word):
-        digest = xxhash.xxh64_intdigest(word, self.seed)
-        number = 0
-        place = 0 if self.wanted is None else digest & 8 * len(self.wanted) - 1
-        if self.wanted is None or self.wanted[place >> 3] >> (place & 7) & 1:
-            number = len(self.texts)
-            self.texts.append(word)
-            self.hashes.append(digest)
-        self[word] = number
-        return number
+        self.learn([word])
+        return self[word]
+
+    def learn(self, words):
+        """Numbers of words that have none yet, as an array."""
+        digests = np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(self.seed)), np.uint64, len(words))
+        chosen = np.ones(len(words), bool) if self.wanted is None else is_set(self.wanted, digests)
+        numbers = np.where(chosen, np.cumsum(chosen) + len(self.texts) - 1, 0)
+        self.texts += compress(words, chosen.tolist())
+        self.hashes += digests[chosen].tolist()
+        self.update(zip(words, numbers.tolist()))
+        return numbers
+
+    def numbers(self, words):
+        """Numbers of different words, as an array; those that are new are taken up together."""
+        numbers = np.fromiter(map(self.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(numbers < 0)
+        if new.size:
+            numbers[new] = self.learn([words[i] for i in new.tolist()])
+        return numbers
 
 
 def is_set(bitmap, digests):
@@ -125,17 +141,28 @@ def chained(digests, following):
     return mixed ^ (mixed >> np.uint64(29))
 
 
-def split_words(text):
-    """Words of a lower-cased text in order, with a ``BREAK`` wherever a piece ends, for a part of it at a time."""
+def parts_of(text):
+    """A lower-cased text in parts, with spaces between words and a ``BREAK`` wherever a piece ends."""
     text = text.translate(PREPARED)
     start = 0
     while start < len(text):
         end = text.find(b" ", start + PART)
         end = len(text) if end < 0 else end
-        yield text[start:end].replace(BREAK, b" \xff ").split()
+        yield text[start:end]
         start = end
 
 
+def words_in(content):
+    """Words in the order in which they stand, and each ``BREAK`` as one, as an Arrow array."""
+    data = np.frombuffer(content, np.uint8)
+    breaks = data == BREAK[0]
+    filled = data != 0x20
+    begins = filled.copy()
+    begins[1:] &= ~filled[:-1] | breaks[1:] | breaks[:-1]
+    offsets = np.append(np.flatnonzero(begins[filled]), np.count_nonzero(filled)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data[filled])])
+
+
 class Counter:
     """Counts the phrases of ``length`` words in texts of one task, and gives away sorted runs."""
 
@@ -143,21 +170,32 @@ class Counter:
         self.length, self.wanted = length, wanted
         self.held, self.most_words, self.most_tokens = held, words, tokens
         self.langs, self.waiting = {}, 0
+        # Texts that are not yet split, by language.
+        self.unsplit, self.bytes = {}, 0
 
     def add(self, lang, text):
         """Count a text; yields what has to be spilled."""
         if lang not in self.langs:
-            # Words are told apart by themselves only where there is no bitmap of longer phrases.
-            words = Words(lang.encode(), self.wanted if self.length == 2 else None)
-            self.langs[lang] = [words, [], Subtree(BITS * (self.length - 1)), 0]
-        state = self.langs[lang]
-        for words in split_words(text):
-            state[1].append(np.fromiter(map(state[0].__getitem__, words), np.int64, len(words)))
-            self.waiting += len(words)
-            if self.waiting >= self.most_tokens:
-                yield from self.settle_all()
+            self.langs[lang] = [Words(lang.encode(), self.wanted), [], Subtree(BITS * (self.length - 1)), 0]
+        for part in parts_of(text):
+            self.unsplit.setdefault(lang, []).append(part)
+            self.bytes += len(part)
+            if self.bytes >= GATHERED * PART:
+                yield from self.number_all()
         # Phrases do not go on from one text to the next.
-        state[1].append(np.zeros(1, np.int64))
+        self.unsplit.setdefault(lang, []).append(BREAK)
+        self.bytes += 1
+
+    def number_all(self):
+        """Split what is not yet, and number its words."""
+        unsplit, self.unsplit, self.bytes = self.unsplit, {}, 0
+        for lang, parts in unsplit.items():
+            state = self.langs[lang]
+            words = words_in(b"".join(parts)).dictionary_encode()
+            state[1].append(state[0].numbers(words.dictionary.to_pylist())[words.indices.to_numpy()])
+            self.waiting += len(words)
+        if self.waiting >= self.most_tokens:
+            yield from self.settle_all()
 
     def settle_all(self):
         """Bring the words seen into the tries, and keep those within their bounds."""
@@ -227,15 +265,17 @@ class Counter:
 
     def runs(self, lang, entries):
         """Sorted runs of phrases and counts."""
-        keys = np.fromiter((k for e in entries for k in e), np.int64)
-        counts = np.fromiter((c for e in entries for c in e.values()), np.int64)
+        n = sum(map(len, entries))
+        keys = np.fromiter(chain.from_iterable(entries), np.int64, n)
+        counts = np.fromiter(chain.from_iterable(e.values() for e in entries), np.int64, n)
         if not len(keys):
             return
         texts = pa.array(self.langs[lang][0].texts, pa.binary())
         ranks = np.empty(len(texts), np.int64)
         ranks[pc.array_sort_indices(texts).to_numpy()] = np.arange(len(texts))
         columns = [keys >> BITS * i & MASK for i in reversed(range(self.length))]
-        order = np.lexsort([ranks[c] for c in reversed(columns)])
+        # Ranks take no more bits than word numbers do.
+        order = np.argsort(reduce(lambda key, c: key << BITS | ranks[c], columns, np.int64(0)))
         for start in range(0, len(order), 1 << 16):
             some = order[start : start + (1 << 16)]
             words = [texts.take(pa.array(c[some])) for c in columns]
@@ -254,6 +294,7 @@ class Counter:
         state[1] = [np.array([words[old[i]] if i else 0 for i in part.tolist()], np.int64) for part in state[1]]
 
     def finish(self):
+        yield from self.number_all()
         yield from self.settle_all()
         yield from self.spill(0)
         for lang, (*_, words) in self.langs.items():
@@ -329,7 +370,8 @@ def phrase_counts(docs, text="text", lang="lang", least=10, longest=3, filter_bi
         counts = _merged(_runs(docs, text, lang, length, wanted), length)
         levels.append(written(counts.where((F.col("n") >= least) | (F.col("phrase") == "")), f"phrases-{length}"))
         if length < longest:
-            wanted = _bitmap(levels[-1].where("phrase <> ''"), filter_bits)
+            # Words by themselves, too: one that is rare is in no phrase that is wanted.
+            wanted = _bitmap(reduce(DataFrame.unionByName, levels).where("phrase <> ''"), filter_bits)
     return levels
 
 

@@ -131,3 +131,36 @@ def test_bitmap_keeps_every_frequent_phrase(spark):
         hashes = [np.array([words.hashes[words[w.encode()]]], np.uint64) for w in phrase.split(" ")]
         assert module.is_set(bitmap, module.chained(*hashes))[0]
     assert np.unpackbits(bitmap).sum() <= len(pairs)
+
+
+def test_words_are_split_and_numbered_together(monkeypatch):
+    """Words of all texts of a batch in order, pieces apart, each different word numbered in one go."""
+    text = b" A b,,C\t\xc3\xa9. a\x00 \nb;b "
+    expected = [b"a", b"b", b"\xff", b"\xff", b"c", b"\xc3\xa9", b"\xff", b"a\x00", b"\xff", b"b", b"\xff", b"b"]
+    assert module.words_in(b"".join(module.parts_of(text))).to_pylist() == expected
+    assert module.words_in(b"").to_pylist() == module.words_in(b"  ").to_pylist() == []
+    asked = []
+
+    class Noted(module.Words):
+        def learn(self, words):
+            asked.append(sorted(words))
+            return super().learn(words)
+
+    monkeypatch.setattr(module, "Words", Noted)
+    counter = module.Counter(1, None)
+    runs = [run for text in (b"one two one", b"Two three", b"one") for run in counter.add("en", text)] + [*counter.finish()]
+    assert asked == [[b"one", b"three", b"two"]]
+    assert {p: n for _, phrases, counts in runs for p, n in zip(phrases.to_pylist(), counts.to_pylist())} == {b"one": 3, b"two": 2, b"three": 1, b"": 6}
+
+
+def test_words_that_are_rare_are_in_no_triple_that_is_counted():
+    """A bitmap that has only one word's bit: other words get no number, whatever the length of phrases."""
+    bitmap = np.zeros(8, np.uint8)
+    place = module.xxhash.xxh64_intdigest(b"often", module.xxhash.xxh64_intdigest(b"en")) & 63
+    bitmap[place >> 3] = 1 << (place & 7)
+    for length in (2, 3):
+        counter = module.Counter(length, bitmap)
+        assert [*counter.add("en", b"often " * 3 + b"rare often")] == []
+        [*counter.number_all()]
+        words = counter.langs["en"][0]
+        assert words[b"often"] == 1 and (words[b"rare"] == 0) == (module.xxhash.xxh64_intdigest(b"rare", words.seed) & 63 != place)
