@@ -21,6 +21,10 @@ GROUP = 32
 CLASSES = GROUPS * GROUP
 BATCH = 512
 
+# Bytes that a worker takes and gives back before it works on the model: from then on the C library's allocator keeps
+# memory of this order for reuse, and every step's arrays need no new pages.
+KEPT = 30 << 20
+
 # Logits are held within these bounds, so that sums of their exponentials neither overflow nor vanish.
 MOST = np.float32(60.0)
 SCALE = np.float32(WIDTH**-0.5)
@@ -30,6 +34,10 @@ SCALE = np.float32(WIDTH**-0.5)
 SEEN = (np.arange(CONTEXT)[None, :] <= np.arange(CONTEXT - STRIDE, CONTEXT)[:, None]).astype(np.float32)
 
 
+def _keep_memory():
+    np.empty(KEPT, np.uint8)
+
+
 def _flat(a):
     return a.reshape(-1, a.shape[-1])
 
@@ -173,6 +181,7 @@ class Model:
 
     def log10(self, segments):
         """Log probability of the classes that each window scores, as one sum per window."""
+        _keep_memory()
         sums = np.zeros(len(segments))
         for at in range(0, len(segments), BATCH):
             part = segments[at : at + BATCH]
@@ -235,6 +244,7 @@ class Model:
 
     def train(self, segments, rate, batch=64):
         """Parameters after one pass over the windows with Adam, from these ones."""
+        _keep_memory()
         values = self.flat().astype(np.float32)
         model = Model(self._named(values))
         first, second = np.zeros_like(values), np.zeros_like(values)

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spindlewatch.llm.common import LOWERED, Shared, ship, written
+from spindlewatch.llm.common import BREAK, LOWERED, Shared, ship, words_in, written
 
 ship(__name__)
 
@@ -29,8 +29,7 @@ UNDETERMINED = "und"
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 WORD_ENDS = b" \t"
 
-# A byte that no UTF-8 text has, in place of whatever ends a piece.
-BREAK = b"\xff"
+# In place of whatever ends a piece there is a ``BREAK``.
 PREPARED = bytes(0xFF if b in PIECE_ENDS else 0x20 if b in WORD_ENDS else b for b in LOWERED)
 
 # Word numbers have 21 bits, so three of them make a key. A task forgets its words when there are this many.
@@ -152,17 +151,6 @@ def parts_of(text):
         start = end
 
 
-def words_in(content):
-    """Words in the order in which they stand, and each ``BREAK`` as one, as an Arrow array."""
-    data = np.frombuffer(content, np.uint8)
-    breaks = data == BREAK[0]
-    filled = data != 0x20
-    begins = filled.copy()
-    begins[1:] &= ~filled[:-1] | breaks[1:] | breaks[:-1]
-    offsets = np.append(np.flatnonzero(begins[filled]), np.count_nonzero(filled)).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data[filled])])
-
-
 class Counter:
     """Counts the phrases of ``length`` words in texts of one task, and gives away sorted runs."""
 

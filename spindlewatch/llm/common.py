@@ -4,6 +4,7 @@ import sys
 import uuid
 from contextvars import ContextVar
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
@@ -21,6 +22,9 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 # On UTF-8 bytes: A-Z in lower case; and, for words of letters, digits and all beyond ASCII, the rest as spaces.
 LOWERED = bytes(range(256)).lower()
+
+# A byte that no UTF-8 text has.
+BREAK = b"\xff"
 WORDY = bytes(c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in LOWERED)
 
 
@@ -137,6 +141,17 @@ def map_texts(docs, text, fields, make, keep=None):
     return source.mapInArrow(run, schema)
 
 
+def words_in(content):
+    """Words between spaces in the order in which they stand, and each ``BREAK`` as one, as an Arrow array."""
+    data = np.frombuffer(content, np.uint8)
+    breaks = data == BREAK[0]
+    filled = data != 0x20
+    begins = filled.copy()
+    begins[1:] &= ~filled[:-1] | breaks[1:] | breaks[:-1]
+    offsets = np.append(np.flatnonzero(begins[filled]), np.count_nonzero(filled)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data[filled])])
+
+
 def list_array(lists, kind):
     """A list array from one flat sequence per row."""
     offsets = [0]

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from spindlewatch.llm.attention_model import CLASSES, STRIDE, Model
 from spindlewatch.llm.byte_pairs import BytePairs
-from spindlewatch.llm.common import LOWERED, Shared, map_texts, ship, written
+from spindlewatch.llm.common import BREAK, LOWERED, SPACES, Shared, map_texts, ship, words_in, written
 
 ship(__name__)
 
@@ -45,6 +45,10 @@ STEP = 256
 RARE = pa.list_(pa.struct([("word", pa.binary()), ("k", pa.int64())]))
 
 
+# A-Z in lower case, and a space for whatever separates words.
+SPACED = bytes(0x20 if b in SPACES.encode() else b for b in LOWERED)
+
+
 def words_of_text(text):
     return text.translate(LOWERED).split() if text else []
 
@@ -140,7 +144,7 @@ class Words(dict):
 
     def forget(self):
         self.clear()
-        self[b""] = 0
+        self[b""] = self[BREAK] = 0
         self.words = [b""]
         self.codes = np.array([self.classes.end], np.uint16)
         self.sizes, self.shares = np.ones(1, np.int64), np.zeros(1)
@@ -151,25 +155,31 @@ class Words(dict):
         ids, sizes = self.encode.many(words)
         shares = np.bincount(np.repeat(np.arange(len(words)), sizes), self.classes.logs[ids], len(words))
         logs = np.fromiter(map(self.known.get, words, repeat(np.nan)), float, len(words))
-        self.update(zip(words, range(len(self), len(self) + len(words))))
+        self.update(zip(words, range(len(self.words), len(self.words) + len(words))))
         self.words += words
         self.codes = np.concatenate([self.codes, self.classes.of[ids]])
         self.sizes, self.shares = np.concatenate([self.sizes, sizes]), np.concatenate([self.shares, shares])
         self.logs = np.concatenate([self.logs, logs])
 
     def numbers(self, lists):
-        """Numbers of the texts' words in a row, an end after each text, and where each text starts. Numbers are
-        good until the next call."""
-        row = list(chain.from_iterable(chain(words, (b"",)) for words in lists))
-        different = set(row)
-        new = different - self.keys()
-        if len(self) + len(new) > self.remembered:
+        """:meth:`numbers_in` of texts that are given as lists of words."""
+        return self.numbers_in([b" ".join(words) for words in lists])
+
+    def numbers_in(self, texts):
+        """Numbers of the texts' words in a row, an end after each text, and where each text starts. A-Z are in
+        lower case, and words between spaces. Numbers are good until the next call."""
+        row = words_in(b"".join([text + BREAK for text in texts])).dictionary_encode()
+        different = row.dictionary.to_pylist()
+        numbers = np.fromiter(map(self.get, different, repeat(-1)), np.int64, len(different))
+        if len(self.words) + np.count_nonzero(numbers < 0) > self.remembered:
             self.forget()
-            new = different - self.keys()
-        if new:
-            self.learn(list(new))
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists)) + 1
-        return np.fromiter(map(self.__getitem__, row), np.int64, len(row)), np.cumsum(sizes) - sizes
+            numbers = np.fromiter(map(self.get, different, repeat(-1)), np.int64, len(different))
+        new = np.flatnonzero(numbers < 0)
+        if new.size:
+            numbers[new] = np.arange(new.size) + len(self.words)
+            self.learn([different[i] for i in new.tolist()])
+        numbers = numbers[row.indices.to_numpy()]
+        return numbers, np.append(0, np.flatnonzero(numbers == 0)[:-1] + 1)
 
     def coded_numbers(self, numbers, starts):
         """Codes of each text, and the log share of its classes, from :meth:`numbers`."""
@@ -293,7 +303,7 @@ def score_texts(docs, held_out, vocabulary, text="text", id_column="doc_id"):
         known = Words(shared.value(), classes.value(), logs=hot.value())
 
         def run(texts):
-            numbers, starts = known.numbers([words_of_text(t) for t in texts])
+            numbers, starts = known.numbers_in([(t or b"").translate(SPACED) for t in texts])
             codes, shares = known.coded_numbers(numbers, starts)
             logs = known.logs[numbers]
             hits = (~np.isnan(logs)).astype(np.int64)
