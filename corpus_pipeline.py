@@ -8,7 +8,7 @@ pass the stage that looks for near duplicates as they are.
 from pyspark.sql import functions as F
 
 from spindlewatch.llm.byte_pairs import read_vocabulary, tokenize
-from spindlewatch.llm.common import distilled, sized, table, written
+from spindlewatch.llm.common import copied, distilled, sized, table, written
 from spindlewatch.llm.decontaminate import without_leaks
 from spindlewatch.llm.passages import remove_repeats
 from spindlewatch.llm.quality_rules import good_rows
@@ -41,7 +41,7 @@ def near_duplicates(spark, docs, sf_dir):
         return first.where("first < doc_id").select("doc_id")
 
     # Only these ids are needed of all that the join writes, which is more than the documents themselves.
-    gone = sized(distilled(spark, "gone", later))
+    gone = copied(distilled(spark, "gone", later))
     kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     twice = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     if twice.isEmpty():

@@ -103,7 +103,7 @@ SLICE_ROWS = 512
 SLICE_BYTES = 8 * 1024 * 1024
 
 
-def _slices(batch, at):
+def slices(batch, at):
     """A batch in slices of bounded rows and text bytes (a row is never cut)."""
     sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_pylist()
     start = total = 0
@@ -132,7 +132,7 @@ def map_texts(docs, text, fields, make, keep=None):
         function = make()
         for batch in batches:
             at = batch.num_columns - 1
-            for part in _slices(batch, at):
+            for part in slices(batch, at):
                 made = function(part.column(at).to_pylist())
                 arrays = [*part.columns[:at], *made]
                 names = [*part.schema.names[:at], *new]
@@ -165,7 +165,11 @@ def list_array(lists, kind):
 BROADCAST_IDS = 2_000_000
 
 
-def sized(ids, limit=BROADCAST_IDS):
-    """A table of ids, written, and marked to be copied to all tasks if it has at most ``limit`` rows."""
-    stored = written(ids, "ids")
+def copied(stored, limit=BROADCAST_IDS):
+    """A stored table of ids, marked to be copied to all tasks if it has at most ``limit`` rows."""
     return F.broadcast(stored) if stored.count() <= limit else stored
+
+
+def sized(ids, limit=BROADCAST_IDS):
+    """A table of ids, written, and :func:`copied` if it is small."""
+    return copied(written(ids, "ids"), limit)

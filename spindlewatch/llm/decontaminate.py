@@ -10,9 +10,10 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
-from spindlewatch.llm.common import WORDY, Shared, list_array, map_texts, ship
+from spindlewatch.llm.common import WORDY, Shared, list_array, map_texts, ship, slices
 
 ship(__name__)
 
@@ -153,36 +154,53 @@ def n_hit(leaks):
     return F.aggregate(ordered, start, step, lambda done: done["n"])
 
 
-def without_leaks(docs, benchmark, text="text"):
+def without_leaks(docs, benchmark, text="text", block_windows=BLOCK_WINDOWS):
     """``docs`` with the leaked words cut out of their texts, and without documents of which no word is left.
 
     A cut reaches from the first to the last leaked word; what stands between words outside of cuts is kept as
-    it is. Documents without leaks are left alone, also those that have no words.
+    it is. Documents without leaks are left alone, also those that have no words. The last block of windows is
+    looked for where the cuts are made, so one block takes one worker per task, and texts go to it once.
     """
-    # The rows go along as they are, whatever their columns are called.
-    rows = docs.select(F.col(f"`{text}`").alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    found = find_leaks(rows, benchmark, keep=["_row"]).select("_row", "text", "leaks")
-    names = docs.columns
+    blocks = [Shared(docs.sparkSession, b) for b in item_blocks(benchmark, block_windows=block_windows)]
+    if not blocks:
+        return docs
+    # The other columns go along as they are, whatever they are called.
+    names, others = docs.columns, [c for c in docs.columns if c != text]
+    row = F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.lit(0)
+    found = docs.select(F.col(f"`{text}`").alias("text"), row.alias("_row"))
+    for i, shared in enumerate(blocks[:-1]):
+        found = _scan(found, shared, "text", i == 0, ["_row", "text"])
+    found = found.select("text", "_row", *(["leaks"] if len(blocks) > 1 else []))
+    last = blocks[-1]
 
     def cut(batches):
+        block = last.value()
         for batch in batches:
-            kept, texts = [], []
-            for i, (content, leaks) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
-                rest = cut_text(content, leaks) if leaks else content
-                if not leaks or words_of_text(rest.encode()):
-                    kept.append(i)
-                    texts.append(rest)
-            row = batch.column(0).take(pa.array(kept, pa.int64()))
-            arrays = [pa.array(texts, pa.string()) if n == text else row.field(n) for n in names]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+            for part in slices(batch, 0):
+                contents = part.column(0).cast(pa.binary()).to_pylist()
+                before = part.column(2).to_pylist() if part.num_columns > 2 else [[]] * len(contents)
+                keep, changed = np.ones(len(contents), bool), {}
+                for i, content in enumerate(contents):
+                    spans = before[i] + [{"start": a, "end": b} for a, b in block.hits(words_of_text(content))[0]]
+                    if spans:
+                        changed[i] = cut_text(content, spans)
+                        keep[i] = bool(words_of_text(changed[i]))
+                texts = part.column(0)
+                if changed:
+                    new = pa.array([x.decode() for x in changed.values()], texts.type)
+                    mask = np.zeros(len(contents), bool)
+                    mask[list(changed)] = True
+                    texts = pc.replace_with_mask(texts, pa.array(mask), new)
+                arrays = [texts if n == text else part.column(1).field(n) for n in names]
+                made = pa.RecordBatch.from_arrays(arrays, names=names)
+                yield made if keep.all() else made.filter(pa.array(keep))
 
     return found.mapInArrow(cut, docs.schema)
 
 
 def cut_text(content, leaks):
-    """A text without the words in the given spans."""
-    data = content.encode()
-    plain = data.translate(WORDY)
+    """A UTF-8 text without the words in the given spans."""
+    plain = content.translate(WORDY)
     cuts = merged((s["start"], s["end"]) for s in leaks)
     out, kept_to, number, at = [], 0, 0, 0
     for start, end in cuts:
@@ -195,7 +213,7 @@ def cut_text(content, leaks):
             if number == start:
                 begin = at
             at, stop, number = close, close, number + 1
-        out.append(data[kept_to:begin])
+        out.append(content[kept_to:begin])
         kept_to = stop
-    out.append(data[kept_to:])
-    return b"".join(out).decode()
+    out.append(content[kept_to:])
+    return b"".join(out)

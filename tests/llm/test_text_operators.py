@@ -15,7 +15,7 @@ from spindlewatch.llm import byte_pairs, language_id, language_model, quality_ru
 from spindlewatch.llm.attention_model import CLASSES, CONTEXT, GROUP, STRIDE, Model
 from spindlewatch.llm.byte_pairs import BytePairs, read_vocabulary, tokenize
 from spindlewatch.llm.common import Shared, crc_remainder
-from spindlewatch.llm.decontaminate import find_leaks, n_hit, without_leaks
+from spindlewatch.llm.decontaminate import find_leaks, item_blocks, n_hit, without_leaks
 from spindlewatch.llm.language_id import fit, predict
 from spindlewatch.llm.language_model import score_texts
 from spindlewatch.llm.license_scan import BASE, find_licenses, searches, notices_in
@@ -182,6 +182,19 @@ def test_cutting_leaks(docs, no_docs, all_rows, benchmark, items):
     assert ordered((r.doc_id, r.text) for r in unchanged) == ordered(r[:2] for r in all_rows)
 
 
+@pytest.mark.parametrize("block_windows", [200_000, 60])
+def test_cutting_leaks_takes_a_worker_for_each_block(docs, benchmark, block_windows):
+    found = without_leaks(docs, benchmark, block_windows=block_windows)
+    plan = found._jdf.queryExecution().analyzed().toString()
+    assert plan.count("MapInArrow") == len(list(item_blocks(benchmark, block_windows=block_windows)))
+    assert ordered(found.collect()) == ordered(without_leaks(docs, benchmark).collect())
+
+
+def test_cutting_leaks_from_texts_alone(docs, benchmark):
+    found = without_leaks(docs.select("text"), benchmark)
+    assert ordered(found.collect()) == ordered(without_leaks(docs, benchmark).select("text").collect())
+
+
 def library():
     tokenizer = Tokenizer.from_file(queries.VOCABULARY)
     tokenizer.no_truncation()
