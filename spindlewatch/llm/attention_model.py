@@ -52,6 +52,18 @@ def _sums(a):
     return _flat(a) @ np.ones(a.shape[-1], a.dtype)
 
 
+def _weights(q, k, inputs):
+    """Weights of each window's inputs for its scored positions, not divided by their sums, and these sums."""
+    weights = q @ k.transpose(0, 2, 1)
+    np.clip(weights, -MOST, MOST, out=weights)
+    np.exp(weights, out=weights)
+    weights *= SEEN
+    none = inputs == Model.NONE
+    short = np.flatnonzero(none.any(axis=1))
+    weights[short] *= ~none[short, None, :]
+    return weights, _sums(weights).reshape(-1, STRIDE, 1)
+
+
 class Model:
     """Parameters by name. Codes beyond the classes stand for the start of a text and for no input."""
 
@@ -143,20 +155,35 @@ class Model:
         q = _times(last, p["query"] * SCALE)
         both = _times(x, np.concatenate([p["key"], p["value"]], axis=1))
         k, v = both[..., :WIDTH], both[..., WIDTH:]
-        weights = q @ k.transpose(0, 2, 1)
-        np.clip(weights, -MOST, MOST, out=weights)
-        np.exp(weights, out=weights)
-        weights *= SEEN
-        none = inputs == self.NONE
-        short = np.flatnonzero(none.any(axis=1))
-        weights[short] *= ~none[short, None, :]
-        sums = _sums(weights).reshape(-1, STRIDE, 1)
+        weights, sums = _weights(q, k, inputs)
         read = weights @ v
         read /= sums
         hidden = _times(read, p["mix"])
         hidden += last
         return inputs, x, last, q, k, v, weights, sums, read, hidden
 
+    def _reader(self):
+        """The hidden rows of windows by their inputs, as :meth:`_forward` has them. While parameters stay as they are,
+        so do the products of embeddings and places with matrices: a position looks them up."""
+        p = self.parameters
+        own = np.concatenate([np.eye(WIDTH, dtype=np.float32), p["query"] * SCALE], axis=1)
+        both = np.concatenate([p["key"], p["value"] @ p["mix"]], axis=1)
+        own, own_place = p["embed"] @ own, p["place"][CONTEXT - STRIDE :] @ own
+        both, both_place = p["embed"] @ both, p["place"] @ both
+
+        def hidden(inputs):
+            here = np.take(own, inputs[:, CONTEXT - STRIDE :], axis=0)
+            here += own_place
+            all_ = np.take(both, inputs, axis=0)
+            all_ += both_place
+            weights, sums = _weights(here[..., WIDTH:], all_[..., :WIDTH], inputs)
+            read = weights @ all_[..., WIDTH:]
+            read /= sums
+            read += here[..., :WIDTH]
+            return read
+
+        return hidden
+
     def _logits(self, hidden, targets):
         """For the targets there are, in the order of their classes: their places, classes, hidden rows with a
         one behind, the rows of each group, and the logits of the groups and of the members of their group."""
@@ -183,9 +210,10 @@ class Model:
         """Log probability of the classes that each window scores, as one sum per window."""
         _keep_memory()
         sums = np.zeros(len(segments))
+        hidden_of = self._reader()
         for at in range(0, len(segments), BATCH):
             part = segments[at : at + BATCH]
-            hidden = self._forward(part)[-1]
+            hidden = hidden_of(part[:, :CONTEXT])
             real, codes, _, _, logits = self._logits(hidden, part[:, CONTEXT - STRIDE + 1 :])
             here = np.arange(len(codes))
             chosen = logits[0, here, codes // GROUP] + logits[1, here, codes % GROUP]

@@ -40,6 +40,14 @@ def byte_letters():
     letters.update({b: chr(256 + i) for i, b in enumerate(others)})
     return letters
 
+# Kinds of bytes: runs of one kind, letters, digits or signs, are pieces. An apostrophe may begin an ending of its own.
+OTHER, SPACE = 0, 4
+KINDS = np.full(256, OTHER, np.uint8)
+KINDS[0x21:0x7F] = 3
+KINDS[0x30:0x3A] = 2
+KINDS[0x41:0x5B] = KINDS[0x61:0x7B] = 1
+KINDS[0x20], KINDS[0x27] = SPACE, OTHER
+
 
 class BytePairs:
     """Encoder and decoder of a byte-level vocabulary, given as the JSON text of its file."""
@@ -129,24 +137,36 @@ class BytePairs:
 
     def encode_together(self, fragments):
         """Ids of fragments of text in a row, and how many each has."""
-        pieces = []
-        for fragment in fragments:
-            # A word of Latin letters with a space before it is one piece; all else is split by the pattern.
-            if fragment[fragment[:1] == b" " :].isalpha():
-                pieces.append(fragment)
-                continue
-            text = fragment.decode()
-            if max(text) < "\u0250" and text[text[0] == " " :].isalpha():
-                pieces.append(fragment)
-            else:
-                pieces += [piece.encode() for piece in self.pieces(text)]
-        data = np.frombuffer(b"".join(pieces), np.uint8)
-        begins = np.zeros(len(data), bool)
-        begins[np.cumsum([0, *map(len, pieces[:-1])])] = True
+        data = np.frombuffer(b"".join(fragments), np.uint8)
+        sizes = np.fromiter(map(len, fragments), np.int64, len(fragments))
+        starts = np.cumsum(sizes) - sizes
+        kinds = KINDS[data]
+        begins = np.ones(len(data), bool)
+        np.not_equal(kinds[1:], kinds[:-1], out=begins[1:])
+        # A space at the start goes with what stands behind it.
+        spaced = kinds[starts] == SPACE
+        begins[(starts + 1)[spaced & (sizes > 1)]] = False
+        begins[starts] = True
+        # Fragments with anything else are split by the pattern.
+        other = (kinds == OTHER) | (kinds == SPACE)
+        other[starts[spaced]] = False
+        owners = np.zeros(len(fragments), bool)
+        owners[np.searchsorted(starts, np.flatnonzero(other), "right") - 1] = True
+        begins[np.repeat(owners, sizes)] = False
+        places = []
+        for i, at in zip(np.flatnonzero(owners).tolist(), starts[owners].tolist()):
+            places.append(at)
+            text = fragments[i].decode()
+            # A word of Latin letters with a space before it is one piece.
+            if max(text) >= "\u0250" or not text[text[0] == " " :].isalpha():
+                for piece in self.pieces(text)[:-1]:
+                    at += len(piece.encode())
+                    places.append(at)
+        begins[places] = True
         begins[1:] |= ~self.inside[data[:-1], data[1:]]
         ids = self.merge_all(data, np.flatnonzero(begins))
         # Where each fragment's ids end, once those that were merged away are left out.
-        ends = np.cumsum(ids >= 0)[np.cumsum([*map(len, fragments)]) - 1]
+        ends = np.cumsum(ids >= 0)[starts + sizes - 1]
         return ids[ids >= 0], np.diff(ends, prepend=0)
 
     def merge(self, data):

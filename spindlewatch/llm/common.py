@@ -103,12 +103,12 @@ SLICE_ROWS = 512
 SLICE_BYTES = 8 * 1024 * 1024
 
 
-def slices(batch, at):
+def slices(batch, at, rows=SLICE_ROWS):
     """A batch in slices of bounded rows and text bytes (a row is never cut)."""
     sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_pylist()
     start = total = 0
     for i, size in enumerate(sizes):
-        if i > start and (i - start >= SLICE_ROWS or total + size > SLICE_BYTES):
+        if i > start and (i - start >= rows or total + size > SLICE_BYTES):
             yield batch.slice(start, i - start)
             start, total = i, 0
         total += size

@@ -9,7 +9,6 @@ task; the rest of a text's words is joined with the counts, which is the smaller
 hot key.
 """
 
-from collections import Counter
 from itertools import chain, repeat
 from math import log10
 
@@ -19,13 +18,15 @@ from pyspark.sql import functions as F
 
 from spindlewatch.llm.attention_model import CLASSES, STRIDE, Model
 from spindlewatch.llm.byte_pairs import BytePairs
-from spindlewatch.llm.common import BREAK, LOWERED, SPACES, Shared, map_texts, ship, words_in, written
+from spindlewatch.llm.common import BREAK, LOWERED, SPACES, Shared, map_texts, ship, slices, words_in, written
 
 ship(__name__)
 
 # Words whose counts every task gets; results do not depend on it.
 HOT_WORDS = 100_000
-COUNTED = 200_000
+
+# Rows whose words are counted at the same time, if their texts are not too long.
+COUNTED = 8_192
 
 # Words whose subwords are merged at the same time.
 MERGED = 20_000
@@ -54,22 +55,16 @@ def words_of_text(text):
 
 
 def count_words(training, text="text"):
-    """(word, c) over all whole training texts, added up in each task first."""
+    """(word, c) over all whole training texts, added up for many texts at the same time first."""
 
     def count(batches):
-        total = Counter()
-
-        def flush():
-            words, counts = pa.array(list(total), pa.binary()), pa.array(list(total.values()), pa.int64())
-            yield from pa.table({"word": words, "c": counts}).to_batches(20_000)
-            total.clear()
-
         for batch in batches:
-            for content in batch.column(0).to_pylist():
-                total.update(words_of_text(content))
-                if len(total) > COUNTED:
-                    yield from flush()
-        yield from flush()
+            for part in slices(batch, 0, COUNTED):
+                content = b" ".join([t.translate(SPACED) for t in part.column(0).to_pylist() if t])
+                if content:
+                    found = words_in(content).value_counts()
+                    table = pa.table({"word": found.field("values"), "c": found.field("counts")})
+                    yield from table.to_batches(20_000)
 
     counted = training.select(F.col(text).cast("binary")).mapInArrow(count, "word binary, c bigint")
     return counted.groupBy("word").agg(F.sum("c").alias("c"))

@@ -17,7 +17,7 @@ from spindlewatch.llm.byte_pairs import BytePairs, read_vocabulary, tokenize
 from spindlewatch.llm.common import Shared, crc_remainder
 from spindlewatch.llm.decontaminate import find_leaks, item_blocks, n_hit, without_leaks
 from spindlewatch.llm.language_id import fit, predict
-from spindlewatch.llm.language_model import score_texts
+from spindlewatch.llm.language_model import count_words, score_texts, words_of_text
 from spindlewatch.llm.license_scan import BASE, find_licenses, searches, notices_in
 from spindlewatch.llm.quality_rules import judge_quality
 from spindlewatch.llm.quality_trees import Trees, fit_quality, fit_trees, score_quality, statistics
@@ -506,3 +506,27 @@ def test_notices_before_a_better_one_are_found(text, errors):
     found = notices_in(text, search)
     assert [e for _, _, e in found] == errors
     assert all(text[a:b].startswith(b"under the m") and text[a:b].endswith(b"t license") for a, b, _ in found)
+
+
+def test_hidden_rows_are_looked_up_as_they_are_computed():
+    model = Model.new(1.0 / np.arange(1, CLASSES + 1))
+    rng = np.random.default_rng(3)
+    windows, _ = model.windows([rng.integers(0, CLASSES, n).astype(np.uint16) for n in (0, 1, 15, 16, 17, 200)])
+    looked_up = model._reader()(windows[:, :CONTEXT])
+    assert np.allclose(looked_up, model._forward(windows)[-1], atol=1e-5)
+
+
+def test_fragments_that_are_not_one_word():
+    pairs, tokenizer = BytePairs(read_vocabulary(queries.VOCABULARY)), library()
+    fragments = " a1b2 _x!?9 'sure it's 's !'s we'll'd 12'ts été nº5 a　b 　 \x1cz a\x00".split(" ")[1:]
+    fragments = [space + f for f in [*fragments, "x", "7", "-", " ", "  b"] for space in ("", " ")]
+    ids, sizes = pairs.encode_together([f.encode() for f in fragments])
+    parts = np.split(ids, np.cumsum(sizes)[:-1])
+    expected = [tokenizer.encode(f, add_special_tokens=False).ids for f in fragments]
+    assert [p.tolist() for p in parts] == expected
+
+
+def test_words_of_many_texts_are_counted(docs, all_rows):
+    counted = count_words(docs)
+    expected = Counter(w for r in all_rows for w in words_of_text((r[1] or "").encode()))
+    assert {bytes(r.word): r.c for r in counted.collect()} == expected
