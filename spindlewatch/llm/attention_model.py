@@ -19,7 +19,7 @@ WIDTH = 16
 GROUPS = 32
 GROUP = 32
 CLASSES = GROUPS * GROUP
-BATCH = 512
+BATCH = 256
 
 # Bytes that a worker takes and gives back before it works on the model: from then on the C library's allocator keeps
 # memory of this order for reuse, and every step's arrays need no new pages.
@@ -52,15 +52,21 @@ def _sums(a):
     return _flat(a) @ np.ones(a.shape[-1], a.dtype)
 
 
-def _weights(q, k, inputs):
+def _held(logits):
+    """Logits within their bounds, in place; looking whether they are is faster than clipping."""
+    if not (logits.max(initial=0.0) <= MOST and logits.min(initial=0.0) >= -MOST):
+        np.clip(logits, -MOST, MOST, out=logits)
+
+
+def _weights(q, turned, inputs):
     """Weights of each window's inputs for its scored positions, not divided by their sums, and these sums."""
-    weights = q @ k.transpose(0, 2, 1)
-    np.clip(weights, -MOST, MOST, out=weights)
+    weights = q @ turned
+    _held(weights)
     np.exp(weights, out=weights)
     weights *= SEEN
-    none = inputs == Model.NONE
-    short = np.flatnonzero(none.any(axis=1))
-    weights[short] *= ~none[short, None, :]
+    # What is no input stands before the start of a text or behind its end.
+    short = np.flatnonzero((inputs[:, 0] == Model.NONE) | (inputs[:, -1] == Model.NONE))
+    weights[short] *= (inputs[short] != Model.NONE)[:, None, :]
     return weights, _sums(weights).reshape(-1, STRIDE, 1)
 
 
@@ -145,129 +151,136 @@ class Model:
         starts = starts * STRIDE + np.repeat(begins, counts)
         return np.lib.stride_tricks.sliding_window_view(padded, CONTEXT + 1)[starts], counts
 
-    def _forward(self, segments):
-        """What the gradients need, last the hidden rows. Weights are not divided by their sums, ``read`` is."""
+    def _pairing(self):
+        """What takes a scored position to what its weights are products of the inputs with: query and key in one."""
+        return (self.parameters["query"] * SCALE) @ self.parameters["key"].T
+
+    def _moving(self):
+        """What takes the weighted mean of inputs to what is added to a scored position: value and mix in one."""
+        return self.parameters["value"] @ self.parameters["mix"]
+
+    def _heads(self):
+        """For each group, a matrix to the logits of the groups and of its members; biases are the last row."""
         p = self.parameters
-        inputs = segments[:, :CONTEXT]
-        x = np.take(p["embed"], inputs, axis=0)
-        x += p["place"]
-        last = np.ascontiguousarray(x[:, CONTEXT - STRIDE :])
-        q = _times(last, p["query"] * SCALE)
-        both = _times(x, np.concatenate([p["key"], p["value"]], axis=1))
-        k, v = both[..., :WIDTH], both[..., WIDTH:]
-        weights, sums = _weights(q, k, inputs)
-        read = weights @ v
+        heads = np.empty((GROUPS, WIDTH + 1, GROUPS + GROUP), np.float32)
+        heads[:, :WIDTH, :GROUPS], heads[:, WIDTH, :GROUPS] = p["group"], p["group_bias"]
+        heads[:, :WIDTH, GROUPS:], heads[:, WIDTH, GROUPS:] = p["member"], p["member_bias"]
+        return heads
+
+    def _read(self, last, q, x, inputs):
+        """Turned inputs, weights not divided by their sums, these sums, the weighted means, and the hidden rows."""
+        turned = np.ascontiguousarray(x.transpose(0, 2, 1))
+        weights, sums = _weights(q, turned, inputs)
+        read = weights @ x
         read /= sums
-        hidden = _times(read, p["mix"])
+        hidden = _times(read, self._moving())
         hidden += last
-        return inputs, x, last, q, k, v, weights, sums, read, hidden
+        return turned, weights, sums, read, hidden
 
-    def _reader(self):
-        """The hidden rows of windows by their inputs, as :meth:`_forward` has them. While parameters stay as they are,
-        so do the products of embeddings and places with matrices: a position looks them up."""
-        p = self.parameters
-        own = np.concatenate([np.eye(WIDTH, dtype=np.float32), p["query"] * SCALE], axis=1)
-        both = np.concatenate([p["key"], p["value"] @ p["mix"]], axis=1)
-        own, own_place = p["embed"] @ own, p["place"][CONTEXT - STRIDE :] @ own
-        both, both_place = p["embed"] @ both, p["place"] @ both
-
-        def hidden(inputs):
-            here = np.take(own, inputs[:, CONTEXT - STRIDE :], axis=0)
-            here += own_place
-            all_ = np.take(both, inputs, axis=0)
-            all_ += both_place
-            weights, sums = _weights(here[..., WIDTH:], all_[..., :WIDTH], inputs)
-            read = weights @ all_[..., WIDTH:]
-            read /= sums
-            read += here[..., :WIDTH]
-            return read
-
-        return hidden
-
-    def _logits(self, hidden, targets):
-        """For the targets there are, in the order of their classes: their places, classes, hidden rows with a
-        one behind, the rows of each group, and the logits of the groups and of the members of their group."""
-        p = self.parameters
+    def _logits(self, hidden, targets, heads):
+        """For the targets there are, in the order of their classes, and the others behind: their places; and of those
+        there are the classes, hidden rows with a one behind, the rows of each group, and the logits."""
         targets = targets.ravel()
         order = np.argsort(targets, kind="stable")
         codes = targets[order]
         bounds = np.searchsorted(codes, np.arange(GROUPS + 1) * GROUP).tolist()
         n = bounds[-1]
-        real, codes = order[:n], codes[:n].astype(np.int64)
+        codes = codes[:n].astype(np.int64)
         rows = np.empty((n, WIDTH + 1), np.float32)
-        rows[:, :WIDTH] = np.take(_flat(hidden), real, axis=0)
+        rows[:, :WIDTH] = np.take(_flat(hidden), order[:n], axis=0)
         rows[:, WIDTH] = 1.0
-        logits = np.empty((2, n, GROUP), np.float32)
-        np.matmul(rows, np.vstack([p["group"], p["group_bias"]]), out=logits[0])
-        members = np.concatenate([p["member"], p["member_bias"][:, None]], axis=1)
+        logits = np.empty((n, GROUPS + GROUP), np.float32)
         parts = [(g, a, b) for g, (a, b) in enumerate(zip(bounds, bounds[1:])) if b > a]
         for g, a, b in parts:
-            np.matmul(rows[a:b], members[g], out=logits[1, a:b])
-        np.clip(logits, -MOST, MOST, out=logits)
-        return real, codes, rows, parts, logits
+            np.matmul(rows[a:b], heads[g], out=logits[a:b])
+        _held(logits)
+        return order, codes, rows, parts, logits
+
+    @staticmethod
+    def _chosen(codes):
+        """Where the logits of each target's group and of its member are, of all logits in a row."""
+        at = np.arange(len(codes)) * (GROUPS + GROUP)
+        return at + codes // GROUP, at + GROUPS + codes % GROUP
 
     def log10(self, segments):
         """Log probability of the classes that each window scores, as one sum per window."""
         _keep_memory()
+        p = self.parameters
+        pairing, heads = self._pairing(), self._heads()
         sums = np.zeros(len(segments))
-        hidden_of = self._reader()
         for at in range(0, len(segments), BATCH):
             part = segments[at : at + BATCH]
-            hidden = hidden_of(part[:, :CONTEXT])
-            real, codes, _, _, logits = self._logits(hidden, part[:, CONTEXT - STRIDE + 1 :])
-            here = np.arange(len(codes))
-            chosen = logits[0, here, codes // GROUP] + logits[1, here, codes % GROUP]
+            inputs = part[:, :CONTEXT]
+            x = np.take(p["embed"], inputs, axis=0)
+            x += p["place"]
+            last = np.ascontiguousarray(x[:, CONTEXT - STRIDE :])
+            hidden = self._read(last, _times(last, pairing), x, inputs)[-1]
+            order, codes, _, _, logits = self._logits(hidden, part[:, CONTEXT - STRIDE + 1 :], heads)
+            groups, members = self._chosen(codes)
+            chosen = logits.ravel()[groups] + logits.ravel()[members]
             np.exp(logits, out=logits)
-            totals = np.log(_sums(logits)).reshape(2, -1)
-            logs = (chosen - totals[0] - totals[1]).astype(np.float64) / np.log(10.0)
-            sums[at : at + BATCH] += np.bincount(real // STRIDE, np.maximum(logs, -30.0), len(part))
+            totals = np.log(_sums(logits.reshape(-1, GROUP))).reshape(-1, 2)
+            logs = (chosen - totals[:, 0] - totals[:, 1]).astype(np.float64) / np.log(10.0)
+            sums[at : at + BATCH] += np.bincount(order[: len(codes)] // STRIDE, np.maximum(logs, -30.0), len(part))
         return sums
 
     def gradients(self, segments):
         """Gradients of the mean negative log probability over the windows' targets."""
         p = self.parameters
-        inputs, x, last, q, k, v, weights, sums, read, hidden = self._forward(segments)
-        real, codes, rows, parts, logits = self._logits(hidden, segments[:, CONTEXT - STRIDE + 1 :])
-        scale = np.float32(1.0 / max(1, len(codes)))
+        pairing, moving, heads = self._pairing(), self._moving(), self._heads()
+        inputs = segments[:, :CONTEXT]
+        x = np.take(p["embed"], inputs, axis=0)
+        x += p["place"]
+        last = np.ascontiguousarray(x[:, CONTEXT - STRIDE :])
+        q = _times(last, pairing)
+        turned, weights, sums, read, hidden = self._read(last, q, x, inputs)
+        order, codes, rows, parts, logits = self._logits(hidden, segments[:, CONTEXT - STRIDE + 1 :], heads)
+        n = len(codes)
+        scale = np.float32(1.0 / max(1, n))
         np.exp(logits, out=logits)
-        logits *= (scale / _sums(logits)).reshape(2, -1, 1)
-        here = np.arange(len(codes))
-        logits[0, here, codes // GROUP] -= scale
-        logits[1, here, codes % GROUP] -= scale
-        d_rows = logits[0] @ p["group"].T
-        group = rows.T @ logits[0]
-        out = {"group": group[:WIDTH], "group_bias": group[WIDTH]}
-        members = np.zeros((GROUPS, WIDTH + 1, GROUP), np.float32)
+        halves = logits.reshape(-1, GROUP)
+        halves *= (scale / _sums(halves))[:, None]
+        for chosen in self._chosen(codes):
+            logits.ravel()[chosen] -= scale
+        found = np.zeros_like(heads)
+        d_rows = np.empty((n, WIDTH), np.float32)
+        back = np.ascontiguousarray(heads[:, :WIDTH].transpose(0, 2, 1))
         for g, a, b in parts:
-            shares = logits[1, a:b]
-            d_rows[a:b] += shares @ p["member"][g].T
-            np.matmul(rows[a:b].T, shares, out=members[g])
-        out["member"], out["member_bias"] = members[:, :WIDTH], members[:, WIDTH]
-        d_hidden = np.zeros_like(hidden)
-        _flat(d_hidden)[real] = d_rows
-        out["mix"] = _flat(read).T @ _flat(d_hidden)
-        d_read = _times(d_hidden, p["mix"].T)
+            np.matmul(logits[a:b], back[g], out=d_rows[a:b])
+            np.matmul(rows[a:b].T, logits[a:b], out=found[g])
+        group = found[:, :, :GROUPS].sum(axis=0)
+        out = {"group": group[:WIDTH], "group_bias": group[WIDTH]}
+        out["member"], out["member_bias"] = found[:, :WIDTH, GROUPS:], found[:, WIDTH, GROUPS:]
+        d_hidden = np.empty_like(hidden)
+        _flat(d_hidden)[order[:n]] = d_rows
+        _flat(d_hidden)[order[n:]] = 0.0
+        d_moving = _flat(read).T @ _flat(d_hidden)
+        out["value"], out["mix"] = d_moving @ p["mix"].T, p["value"].T @ d_moving
+        # Of both products that make an input's gradient, what is on the left and on the right, one below the other.
+        left = np.empty((len(inputs), 2 * STRIDE, CONTEXT), np.float32)
+        right = np.empty((len(inputs), 2 * STRIDE, WIDTH), np.float32)
+        d_read = _times(d_hidden, moving.T)
         d_read /= sums
-        d_scores = d_read @ v.transpose(0, 2, 1)
-        d_scores -= _sums(d_read * read).reshape(-1, STRIDE, 1)
-        d_scores *= weights
-        d_q = d_scores @ k
-        d_q *= SCALE
-        d_both = np.empty((len(inputs), CONTEXT, 2 * WIDTH), np.float32)
-        np.matmul(d_scores.transpose(0, 2, 1), q, out=d_both[..., :WIDTH])
-        np.matmul(weights.transpose(0, 2, 1), d_read, out=d_both[..., WIDTH:])
-        out["query"] = _flat(last).T @ _flat(d_q)
-        pair = _flat(x).T @ _flat(d_both)
-        out["key"], out["value"] = pair[:, :WIDTH], pair[:, WIDTH:]
-        d_x = _times(d_both, np.concatenate([p["key"], p["value"]], axis=1).T)
-        d_hidden += _times(d_q, p["query"].T)
+        d_scores = d_read @ turned
+        read *= d_read
+        d_scores -= _sums(read).reshape(-1, STRIDE, 1)
+        np.multiply(d_scores, weights, out=left[:, :STRIDE])
+        left[:, STRIDE:], right[:, :STRIDE], right[:, STRIDE:] = weights, q, d_read
+        d_scores = left[:, :STRIDE]
+        d_q = d_scores @ x
+        d_pairing = _flat(last).T @ _flat(d_q)
+        out["query"], out["key"] = d_pairing @ p["key"] * SCALE, d_pairing.T @ p["query"] * SCALE
+        d_x = left.transpose(0, 2, 1) @ right
+        d_hidden += _times(d_q, pairing.T)
         d_x[:, CONTEXT - STRIDE :] += d_hidden
         out["place"] = d_x.sum(axis=0)
         order = np.argsort(inputs, axis=None, kind="stable")
         found = inputs.ravel()[order]
         starts = np.flatnonzero(np.append(True, found[1:] != found[:-1]))
+        # Two numbers are added at a time, as one complex number.
+        ordered = np.take(_flat(d_x).view(np.complex64), order, axis=0)
         out["embed"] = np.zeros_like(p["embed"])
-        out["embed"][found[starts]] = np.add.reduceat(np.take(_flat(d_x), order, axis=0), starts, axis=0)
+        out["embed"].view(np.complex64)[found[starts]] = np.add.reduceat(ordered, starts, axis=0)
         return out
 
     def train(self, segments, rate, batch=64):
@@ -275,19 +288,20 @@ class Model:
         _keep_memory()
         values = self.flat().astype(np.float32)
         model = Model(self._named(values))
-        first, second = np.zeros_like(values), np.zeros_like(values)
+        # The means of gradients and of their squares are kept 10 and 100 times as large as Adam has them.
+        first, second, g = np.zeros_like(values), np.zeros_like(values), np.empty_like(values)
         for step, at in enumerate(range(0, len(segments), batch), 1):
             found = model.gradients(segments[at : at + batch])
-            g = np.concatenate([found[name].ravel() for name in self.SHAPES])
-            first += np.float32(0.1) * (g - first)
+            np.concatenate([found[name].ravel() for name in self.SHAPES], out=g)
+            first *= np.float32(0.9)
+            first += g
+            second *= np.float32(0.99)
             g *= g
-            g -= second
-            g *= np.float32(0.01)
             second += g
-            np.multiply(second, np.float32(1 / (1 - 0.99**step)), out=g)
-            np.sqrt(g, out=g)
-            g += np.float32(1e-6)
+            root = 0.1 / (1 - 0.99**step) ** 0.5
+            np.sqrt(second, out=g)
+            g += np.float32(1e-6 / root)
             np.divide(first, g, out=g)
-            g *= np.float32(rate / (1 - 0.9**step))
+            g *= np.float32(0.1 * rate / (1 - 0.9**step) / root)
             values -= g
         return model

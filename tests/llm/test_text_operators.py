@@ -11,7 +11,7 @@ from brute import LOWER, lettered, leaks, quality, remainder, spaced, text_count
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from spindlewatch.llm import byte_pairs, language_id, language_model, quality_rules, queries
+from spindlewatch.llm import attention_model, byte_pairs, language_id, language_model, quality_rules, queries
 from spindlewatch.llm.attention_model import CLASSES, CONTEXT, GROUP, STRIDE, Model
 from spindlewatch.llm.byte_pairs import BytePairs, read_vocabulary, tokenize
 from spindlewatch.llm.common import Shared, crc_remainder
@@ -364,6 +364,77 @@ def test_attention_gradients_and_training():
     assert loss(trained) < 0.8 * loss(model)
 
 
+def test_attention_multiplies_scored_positions_only(monkeypatch):
+    """Query and key are one matrix, and so are value and mix: inputs that are only looked at meet neither, and the
+    gradients of the four are those of a plain backward pass through each of them."""
+    rows, times = [], attention_model._times
+
+    def noted(a, matrix):
+        rows.append(a.size // a.shape[-1])
+        return times(a, matrix)
+
+    monkeypatch.setattr(attention_model, "_times", noted)
+    model = Model.new(some_frequencies(8), seed=3)
+    codes = np.random.default_rng(8).integers(0, CLASSES, 5 * STRIDE + 3).astype(np.uint16)
+    segments = model.segments(codes)
+    found = model.gradients(segments)
+    assert rows and max(rows) <= len(segments) * STRIDE
+    rows.clear()
+    model.log10(segments)
+    assert rows and max(rows) <= len(segments) * STRIDE
+
+    p = {n: a.astype(float) for n, a in model.parameters.items()}
+    plain = {n: np.zeros_like(a) for n, a in p.items()}
+    for window in segments.astype(int):
+        for at in range(CONTEXT - STRIDE, CONTEXT):
+            seen, target = [i for i in range(at + 1) if window[i] != Model.NONE], window[at + 1]
+            if target == Model.NONE:
+                continue
+            x = p["embed"][window[seen]] + p["place"][seen]
+            q, k, v = x[-1] @ p["query"] / 4.0, x @ p["key"], x @ p["value"]
+            weights = np.exp(k @ q) / np.exp(k @ q).sum()
+            read = weights @ v
+            hidden = x[-1] + read @ p["mix"]
+            group, member = divmod(target, GROUP)
+            groups = np.exp(hidden @ p["group"] + p["group_bias"])
+            members = np.exp(hidden @ p["member"][group] + p["member_bias"][group])
+            d_groups, d_members = groups / groups.sum() / len(codes), members / members.sum() / len(codes)
+            d_groups[group] -= 1 / len(codes)
+            d_members[member] -= 1 / len(codes)
+            plain["group"] += np.outer(hidden, d_groups)
+            plain["group_bias"] += d_groups
+            plain["member"][group] += np.outer(hidden, d_members)
+            plain["member_bias"][group] += d_members
+            d_hidden = p["group"] @ d_groups + p["member"][group] @ d_members
+            plain["mix"] += np.outer(read, d_hidden)
+            d_read = p["mix"] @ d_hidden
+            d_scores = weights * (v @ d_read - read @ d_read)
+            d_q, d_k, d_v = k.T @ d_scores, np.outer(d_scores, q), np.outer(weights, d_read)
+            plain["query"] += np.outer(x[-1], d_q) / 4.0
+            plain["key"] += x.T @ d_k
+            plain["value"] += x.T @ d_v
+            d_x = d_k @ p["key"].T + d_v @ p["value"].T
+            d_x[-1] += d_hidden + p["query"] @ d_q / 4.0
+            np.add.at(plain["embed"], window[seen], d_x)
+            plain["place"][seen] += d_x
+    for name in Model.SHAPES:
+        assert found[name] == pytest.approx(plain[name], rel=1e-3, abs=1e-4 * np.abs(plain[name]).max()), name
+
+
+def test_training_is_adam():
+    """The optimizer in its usual form, on a few steps that the last one makes smaller."""
+    model = Model.new(some_frequencies(9), seed=5)
+    segments = model.segments(np.random.default_rng(9).integers(0, CLASSES, 50 * STRIDE).astype(np.uint16))
+    values, first, second = model.flat(), 0.0, 0.0
+    for step, at in enumerate(range(0, len(segments), 16), 1):
+        gradients = model.with_flat(values).gradients(segments[at : at + 16])
+        g = np.concatenate([gradients[name].ravel() for name in Model.SHAPES]).astype(float)
+        first, second = 0.9 * first + 0.1 * g, 0.99 * second + 0.01 * g * g
+        values = values - 0.02 * first / (1 - 0.9**step) / (np.sqrt(second / (1 - 0.99**step)) + 1e-6)
+    trained = model.train(segments, 0.02, batch=16).flat()
+    assert np.abs(trained - values).max() < 2e-3 and np.abs(trained - values).mean() < 2e-5
+
+
 def test_language_model(docs, no_docs, all_rows):
     vocabulary = read_vocabulary(queries.VOCABULARY)
     found = score_texts(docs, crc_remainder("doc_id", 7) == 2, vocabulary).collect()
