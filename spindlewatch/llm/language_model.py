@@ -42,6 +42,9 @@ RATES = (0.02, 0.01, 0.004)
 GATHERED = 49_152
 STEP = 256
 
+# By these, powers of two, a logarithm is divided into two whole numbers.
+UNIT, PLACES = float(1 << 20), float(1 << 32)
+
 # The words of a text that are counted by a join, with how often they are there.
 RARE = pa.list_(pa.struct([("word", pa.binary()), ("k", pa.int64())]))
 
@@ -50,6 +53,11 @@ RARE = pa.list_(pa.struct([("word", pa.binary()), ("k", pa.int64())]))
 SPACED = bytes(0x20 if b in SPACES.encode() else b for b in LOWERED)
 
 
+def listed(words):
+    """An Arrow array of words as a list; by way of numpy, since Arrow's own makes an object more for each."""
+    return words.to_numpy(zero_copy_only=False).tolist()
+
+
 def words_of_text(text):
     return text.translate(LOWERED).split() if text else []
 
@@ -71,10 +79,11 @@ def count_words(training, text="text"):
 
 
 class Subwords:
-    """Ids of words' subwords, with the space before them; texts of special tokens are ordinary words here."""
+    """Ids of words' subwords, with the space before them; texts of special tokens are ordinary words here. The
+    vocabulary is the content of the tokenizer's file, or a :class:`BytePairs`, which is there much sooner."""
 
     def __init__(self, vocabulary):
-        self.pairs = BytePairs(vocabulary)
+        self.pairs = BytePairs(vocabulary) if isinstance(vocabulary, str) else vocabulary
 
     def __call__(self, word):
         return self.many([word])[0].tolist()
@@ -94,7 +103,7 @@ def count_subwords(words, shared):
         encode = Subwords(shared.value())
         total = np.zeros(len(encode.pairs.tokens), np.int64)
         for batch in batches:
-            ids, sizes = encode.many(batch.column(0).to_pylist())
+            ids, sizes = encode.many(listed(batch.column(0)))
             np.add.at(total, ids, np.repeat(batch.column(1).to_numpy(), sizes))
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(total[found])], names=["id", "n"])
@@ -164,7 +173,7 @@ class Words(dict):
         """Numbers of the texts' words in a row, an end after each text, and where each text starts. A-Z are in
         lower case, and words between spaces. Numbers are good until the next call."""
         row = words_in(b"".join([text + BREAK for text in texts])).dictionary_encode()
-        different = row.dictionary.to_pylist()
+        different = listed(row.dictionary)
         numbers = np.fromiter(map(self.get, different, repeat(-1)), np.int64, len(different))
         if len(self.words) + np.count_nonzero(numbers < 0) > self.remembered:
             self.forget()
@@ -276,9 +285,9 @@ def score_texts(docs, held_out, vocabulary, text="text", id_column="doc_id"):
     ends = training.count()
     total, different = sums.n + ends, sums.v + (1 if ends else 0)
     base = total + different + 1
-    shared = Shared(spark, vocabulary)
-    tokens = BytePairs(vocabulary).tokens
-    kinds = Classes(tokens, [(r.id, r.n) for r in count_subwords(words, shared).collect()], ends)
+    pairs = BytePairs(vocabulary)
+    shared = Shared(spark, pairs)
+    kinds = Classes(pairs.tokens, [(r.id, r.n) for r in count_subwords(words, shared).collect()], ends)
     classes = Shared(spark, kinds)
     hot = words.orderBy(F.desc("c"), "word").limit(HOT_WORDS).collect()
     logs = {bytes(r.word): log10((r.c + 1) / base) for r in hot}
@@ -332,15 +341,15 @@ def score_texts(docs, held_out, vocabulary, text="text", id_column="doc_id"):
     kept = ["row", "doc_id", "held_out", "n_tokens", "hot_known", "hot_score", "share"]
     scored = map_texts(coded, "codes", [("score", pa.float64(), "double")], make_scores, kept)
     rare = coded.select("row", F.inline("rare"))
-    # Words are counted per row in a fixed order, so the sum does not depend on how rows were dealt.
-    joined = rare.join(words, "word", "left").select("row", F.coalesce("c", F.lit(0)).alias("c"), "k")
-    joined = joined.groupBy("row", "c").agg(F.sum("k").alias("k"))
-    listed = joined.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("c", "k"))).alias("counts"))
-    logs = F.aggregate(
-        "counts", F.lit(0.0), lambda a, x: a + x["k"] * F.log10((x["c"] + 1) / F.lit(base).cast("double"))
-    )
-    seen = F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, x: a + F.when(x["c"] > 0, x["k"]).otherwise(0))
-    rest = listed.select("row", logs.alias("rest_score"), seen.alias("rest_known"))
+    joined = rare.join(words, "word", "left").select("row", "k", F.coalesce("c", F.lit(0)).alias("c"))
+    # A logarithm's 52 binary places as two whole numbers: sums of these do not depend on how rows were dealt.
+    scaled = F.log10((F.col("c") + 1) / F.lit(base).cast("double")) * UNIT
+    joined = joined.select("row", "k", F.when(F.col("c") > 0, F.col("k")).otherwise(0).alias("known"), scaled.alias("log"))
+    whole, places = F.floor("log"), F.floor((F.col("log") - F.floor("log")) * PLACES)
+    sums = [F.sum(whole * F.col("k")).alias("whole"), F.sum(places * F.col("k")).alias("places")]
+    rest = joined.groupBy("row").agg(F.sum("known").alias("rest_known"), *sums)
+    rest_score = F.col("whole") / UNIT + F.col("places") / (UNIT * PLACES)
+    rest = rest.select("row", "rest_known", rest_score.alias("rest_score"))
     return scored.join(rest, "row", "left").select(
         "doc_id",
         "held_out",

@@ -1,6 +1,7 @@
 """Operators that look at each text by itself, against plain versions."""
 
 import hashlib
+import math
 import random
 from collections import Counter
 from math import log10
@@ -457,6 +458,40 @@ def test_language_model(docs, no_docs, all_rows):
     assert all(r.train_tokens == 0 and r.n_known == 0 for r in nothing)
 
 
+def test_base_scores_of_words_that_are_joined(docs, all_rows, monkeypatch):
+    """Words beyond the most frequent ones: base scores to the last places, however rows are dealt, and the vocabulary
+    is parsed once, by the driver."""
+    monkeypatch.setattr(language_model, "HOT_WORDS", 3)
+    vocabulary, shared = read_vocabulary(queries.VOCABULARY), []
+
+    class Noted(Shared):
+        def __init__(self, spark, value):
+            shared.append(value)
+            super().__init__(spark, value)
+
+    monkeypatch.setattr(language_model, "Shared", Noted)
+    held_out = crc_remainder("doc_id", 7) == 2
+    found = score_texts(docs, held_out, vocabulary).collect()
+    dealt = score_texts(docs.repartition(5), held_out, vocabulary).collect()
+    assert not any(isinstance(value, str) for value in shared)
+    monkeypatch.undo()
+    assert ordered((r.doc_id, r.n_known, r.base_score) for r in found) == ordered((r.doc_id, r.n_known, r.base_score) for r in dealt)
+    counts, ends = Counter(), 0
+    for doc_id, text, *_ in all_rows:
+        if remainder(doc_id, 7) != 2:
+            counts.update(spaced((text or "").translate(LOWER)))
+            ends += 1
+    base = sum(counts.values()) + ends + len(counts) + 2
+    expected = []
+    for doc_id, text, *_ in all_rows:
+        words = spaced((text or "").translate(LOWER))
+        logs = [log10((counts[w] + 1) / base) for w in words] + [log10((ends + 1) / base)]
+        expected.append((doc_id, sum(counts[w] > 0 for w in words) + 1, math.fsum(logs)))
+    found, expected = (ordered(rows) for rows in ([(r.doc_id, r.n_known, r.base_score) for r in found], expected))
+    assert [r[:2] for r in found] == [r[:2] for r in expected]
+    assert [r[2] for r in found] == pytest.approx([r[2] for r in expected], rel=1e-13)
+
+
 def test_language_model_codes_every_text_once_and_every_new_word_in_one_go(spark, make_docs, monkeypatch, tmp_path):
     """The words of texts, to be trained on or held out, go to the tokenizer once in a slice, besides being counted."""
     texts = ["alpha beta alpha", "gamma <|endoftext|> beta \u00c9t\u00e9", None, "delta " * 40]
