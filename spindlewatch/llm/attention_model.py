@@ -256,31 +256,29 @@ class Model:
         _flat(d_hidden)[order[n:]] = 0.0
         d_moving = _flat(read).T @ _flat(d_hidden)
         out["value"], out["mix"] = d_moving @ p["mix"].T, p["value"].T @ d_moving
-        # Of both products that make an input's gradient, what is on the left and on the right, one below the other.
-        left = np.empty((len(inputs), 2 * STRIDE, CONTEXT), np.float32)
-        right = np.empty((len(inputs), 2 * STRIDE, WIDTH), np.float32)
         d_read = _times(d_hidden, moving.T)
         d_read /= sums
         d_scores = d_read @ turned
         read *= d_read
         d_scores -= _sums(read).reshape(-1, STRIDE, 1)
-        np.multiply(d_scores, weights, out=left[:, :STRIDE])
-        left[:, STRIDE:], right[:, :STRIDE], right[:, STRIDE:] = weights, q, d_read
-        d_scores = left[:, :STRIDE]
+        d_scores *= weights
         d_q = d_scores @ x
         d_pairing = _flat(last).T @ _flat(d_q)
         out["query"], out["key"] = d_pairing @ p["key"] * SCALE, d_pairing.T @ p["query"] * SCALE
-        d_x = left.transpose(0, 2, 1) @ right
+        d_x = weights.transpose(0, 2, 1) @ d_read
+        d_x += d_scores.transpose(0, 2, 1) @ q
         d_hidden += _times(d_q, pairing.T)
         d_x[:, CONTEXT - STRIDE :] += d_hidden
         out["place"] = d_x.sum(axis=0)
-        order = np.argsort(inputs, axis=None, kind="stable")
-        found = inputs.ravel()[order]
-        starts = np.flatnonzero(np.append(True, found[1:] != found[:-1]))
+        found = inputs.ravel()
+        order = np.argsort(found, kind="stable")
+        counts = np.bincount(found, minlength=CLASSES + 2)
+        found = np.flatnonzero(counts)
+        starts = (np.cumsum(counts) - counts)[found]
         # Two numbers are added at a time, as one complex number.
         ordered = np.take(_flat(d_x).view(np.complex64), order, axis=0)
         out["embed"] = np.zeros_like(p["embed"])
-        out["embed"].view(np.complex64)[found[starts]] = np.add.reduceat(ordered, starts, axis=0)
+        out["embed"].view(np.complex64)[found] = np.add.reduceat(ordered, starts, axis=0)
         return out
 
     def train(self, segments, rate, batch=64):
