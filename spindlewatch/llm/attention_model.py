@@ -167,15 +167,38 @@ class Model:
         heads[:, :WIDTH, GROUPS:], heads[:, WIDTH, GROUPS:] = p["member"], p["member_bias"]
         return heads
 
-    def _read(self, last, q, x, inputs):
-        """Turned inputs, weights not divided by their sums, these sums, the weighted means, and the hidden rows."""
+    def _positions(self, inputs):
+        """Embeddings with their places, of all inputs and of the scored positions."""
+        x = np.take(self.parameters["embed"], inputs, axis=0)
+        x += self.parameters["place"]
+        return x, np.ascontiguousarray(x[:, CONTEXT - STRIDE :])
+
+    @staticmethod
+    def _read(inputs, x, last, pairing, moving):
+        """What the gradients need, last the hidden rows. Weights are not divided by their sums, ``read`` is."""
+        q = _times(last, pairing)
         turned = np.ascontiguousarray(x.transpose(0, 2, 1))
         weights, sums = _weights(q, turned, inputs)
         read = weights @ x
         read /= sums
-        hidden = _times(read, self._moving())
+        hidden = _times(read, moving)
         hidden += last
-        return turned, weights, sums, read, hidden
+        return q, turned, weights, sums, read, hidden
+
+    def _forward(self, segments):
+        """The positions, what is in the middle of :meth:`_read`, and last the hidden rows."""
+        inputs = segments[:, :CONTEXT]
+        x, last = self._positions(inputs)
+        return x, last, *self._read(inputs, x, last, self._pairing(), self._moving())
+
+    def _reader(self):
+        """The hidden rows of windows by their inputs, as :meth:`_forward` has them, for parameters that stay."""
+        pairing, moving = self._pairing(), self._moving()
+
+        def hidden(inputs):
+            return self._read(inputs, *self._positions(inputs), pairing, moving)[-1]
+
+        return hidden
 
     def _logits(self, hidden, targets, heads):
         """For the targets there are, in the order of their classes, and the others behind: their places; and of those
@@ -205,16 +228,11 @@ class Model:
     def log10(self, segments):
         """Log probability of the classes that each window scores, as one sum per window."""
         _keep_memory()
-        p = self.parameters
-        pairing, heads = self._pairing(), self._heads()
+        hidden_of, heads = self._reader(), self._heads()
         sums = np.zeros(len(segments))
         for at in range(0, len(segments), BATCH):
             part = segments[at : at + BATCH]
-            inputs = part[:, :CONTEXT]
-            x = np.take(p["embed"], inputs, axis=0)
-            x += p["place"]
-            last = np.ascontiguousarray(x[:, CONTEXT - STRIDE :])
-            hidden = self._read(last, _times(last, pairing), x, inputs)[-1]
+            hidden = hidden_of(part[:, :CONTEXT])
             order, codes, _, _, logits = self._logits(hidden, part[:, CONTEXT - STRIDE + 1 :], heads)
             groups, members = self._chosen(codes)
             chosen = logits.ravel()[groups] + logits.ravel()[members]
@@ -228,12 +246,7 @@ class Model:
         """Gradients of the mean negative log probability over the windows' targets."""
         p = self.parameters
         pairing, moving, heads = self._pairing(), self._moving(), self._heads()
-        inputs = segments[:, :CONTEXT]
-        x = np.take(p["embed"], inputs, axis=0)
-        x += p["place"]
-        last = np.ascontiguousarray(x[:, CONTEXT - STRIDE :])
-        q = _times(last, pairing)
-        turned, weights, sums, read, hidden = self._read(last, q, x, inputs)
+        x, last, q, turned, weights, sums, read, hidden = self._forward(segments)
         order, codes, rows, parts, logits = self._logits(hidden, segments[:, CONTEXT - STRIDE + 1 :], heads)
         n = len(codes)
         scale = np.float32(1.0 / max(1, n))
@@ -270,7 +283,7 @@ class Model:
         d_hidden += _times(d_q, pairing.T)
         d_x[:, CONTEXT - STRIDE :] += d_hidden
         out["place"] = d_x.sum(axis=0)
-        found = inputs.ravel()
+        found = segments[:, :CONTEXT].ravel()
         order = np.argsort(found, kind="stable")
         counts = np.bincount(found, minlength=CLASSES + 2)
         found = np.flatnonzero(counts)
